@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from retailtide.catalog import sales
+from retailtide.catalog import changes, logs, sales, streams, tables
 
-_GROUPS = (sales,)
+_GROUPS = (sales, logs, changes, tables, streams)
 
 
 def queries() -> dict:

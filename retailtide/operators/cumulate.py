@@ -35,6 +35,10 @@ class Steps:
     def last(self) -> int:
         return self.size // self.step - 1
 
+    def position(self, bucket: int, slot: int) -> int:
+        """Windows numbered by their end, over all window starts."""
+        return bucket * (self.last + 1) + slot
+
 
 # Aggregates that can be carried on from slot to slot.
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
@@ -89,11 +93,25 @@ def running_totals(
     )
 
 
-def fill_windows(running: DataFrame, steps: Steps = Steps()) -> DataFrame:
-    """Repeat each running total until the key's next slot, or the end of the window."""
+def fill_windows(
+    running: DataFrame, steps: Steps = Steps(), after: int | None = None, upto: int | None = None
+) -> DataFrame:
+    """Repeat each running total until the key's next slot, or the end of the window.
+
+    ``after`` and ``upto`` limit the windows by position, so that a stream makes only those
+    that closed since its last batch.
+    """
+    first = F.col("slot")
     until = F.coalesce(F.col("next_slot") - 1, F.lit(steps.last))
+    base = F.col("bucket").cast("bigint") * (steps.last + 1)
+    if after is not None:
+        first = F.greatest(first, (F.lit(after + 1) - base).cast("int"))
+    if upto is not None:
+        until = F.least(until, (F.lit(upto) - base).cast("int"))
     others = [c for c in running.columns if c not in ("slot", "next_slot")]
-    return running.select(*others, F.explode(F.sequence(F.col("slot"), until)).alias("slot"))
+    return running.filter(first <= until).select(
+        *others, F.explode(F.sequence(first, until)).alias("slot")
+    )
 
 
 def window_start(steps: Steps = Steps()) -> Column:

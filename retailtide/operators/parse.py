@@ -46,6 +46,10 @@ def log_records(df: DataFrame) -> DataFrame:
     return flat.withColumn("ts", ts).withColumn("event_time", log_time(F.col("ts")))
 
 
+def record_log_time() -> Column:
+    return log_time(F.col("record.ts").try_cast("bigint"))
+
+
 def complete_log() -> Column:
     """A log row every report can use: page, address, device and a readable time."""
     return (

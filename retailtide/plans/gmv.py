@@ -16,25 +16,30 @@ from retailtide.operators.cumulate import (
     window_start,
     with_bounds,
 )
+from retailtide.operators.latest import latest_by_key
 from retailtide.operators.ranking import top_k
 
 TOP = 5
 
+Span = tuple[int | None, int | None]
+ALL: Span = (None, None)
 
-def sale_lines(orders: DataFrame) -> DataFrame:
-    """The three columns the sales reports use, cleaned."""
+
+def sale_lines(orders: DataFrame, *keep: str) -> DataFrame:
+    """The three columns the sales reports use, cleaned, and any to ``keep`` beside them."""
     return orders.select(
+        *keep,
         clean_product_id(F.col("product_id")).alias("product_id"),
         cents(money(F.col("total_amount"))).alias("cents"),
         "ts_ms",
     )
 
 
-def latest_per_order(orders: DataFrame, key: str = "id") -> DataFrame:
+def latest_per_order(
+    orders: DataFrame, key: str = "id", order: tuple[str, ...] | list[str] = ("ts", "op")
+) -> DataFrame:
     """Optional: count only the newest state of each order instead of every change."""
-    columns = [c for c in orders.columns if c != key]
-    newest = F.max_by(F.struct(*columns), F.struct("ts", "op"))
-    return orders.groupBy(key).agg(newest.alias("row")).select(key, "row.*")
+    return latest_by_key(orders, [key], F.struct(*order))
 
 
 def sale_slots(orders: DataFrame, steps: Steps = Steps()) -> DataFrame:
@@ -42,8 +47,9 @@ def sale_slots(orders: DataFrame, steps: Steps = Steps()) -> DataFrame:
     return slot_totals(sale_lines(orders), "ts_ms", ["product_id"], {"cents": ("sum", "cents")}, steps)
 
 
-def _product_windows(slots: DataFrame, steps: Steps) -> DataFrame:
-    return fill_windows(running_totals(slots, ["product_id"], {"cents": "sum"}), steps)
+def _product_windows(slots: DataFrame, steps: Steps, span: Span = ALL) -> DataFrame:
+    running = running_totals(slots, ["product_id"], {"cents": "sum"})
+    return fill_windows(running, steps, *span)
 
 
 def product_windows(orders: DataFrame, steps: Steps = Steps()) -> DataFrame:
@@ -54,9 +60,9 @@ def product_windows(orders: DataFrame, steps: Steps = Steps()) -> DataFrame:
     )
 
 
-def _ranked(slots: DataFrame, steps: Steps, k: int) -> DataFrame:
+def _ranked(slots: DataFrame, steps: Steps, k: int, span: Span = ALL) -> DataFrame:
     return top_k(
-        _product_windows(slots, steps),
+        _product_windows(slots, steps, span),
         ["bucket", "slot"],
         [F.col("cents").desc_nulls_last(), F.col("product_id").asc_nulls_last()],
         k,
@@ -74,7 +80,7 @@ def top_products(orders: DataFrame, steps: Steps = Steps(), k: int = TOP) -> Dat
     )
 
 
-def _window_totals(slots: DataFrame, steps: Steps, with_ids: bool) -> DataFrame:
+def _window_totals(slots: DataFrame, steps: Steps, with_ids: bool, span: Span) -> DataFrame:
     """Total and product list of every window, from per-slot totals.
 
     A product enters the list in the slot of its first sale of the day, so each id is
@@ -99,12 +105,12 @@ def _window_totals(slots: DataFrame, steps: Steps, with_ids: bool) -> DataFrame:
         # a day whose sales all lack a product id has no list at all
         extra = [F.when(F.max("ids").over(so_far).isNotNull(), ids).alias("win_gmv_ids")]
     running = running_totals(per_slot, [], {"cents": "sum"}, extra)
-    return fill_windows(running, steps)
+    return fill_windows(running, steps, *span)
 
 
-def _top_lists(slots: DataFrame, steps: Steps, k: int) -> DataFrame:
+def _top_lists(slots: DataFrame, steps: Steps, k: int, span: Span) -> DataFrame:
     return (
-        _ranked(slots, steps, k)
+        _ranked(slots, steps, k, span)
         .groupBy("bucket", "slot")
         .agg(
             F.expr("listagg(product_id, ',') WITHIN GROUP (ORDER BY rn)").alias("top5_product_ids"),
@@ -125,18 +131,27 @@ def _report(df: DataFrame, steps: Steps, amount: Column, ids: Column) -> DataFra
 
 
 def gmv_all_from_slots(
-    slots: DataFrame, steps: Steps = Steps(), k: int = TOP, with_ids: bool = True
+    slots: DataFrame,
+    steps: Steps = Steps(),
+    k: int = TOP,
+    with_ids: bool = True,
+    span: Span = ALL,
 ) -> DataFrame:
-    """All-product total, product list and best sellers per window."""
-    totals = _window_totals(slots, steps, with_ids)
-    tops = _top_lists(slots, steps, k).drop("top_cents")
+    """All-product total, product list and best sellers per window.
+
+    ``span`` keeps the windows after one position up to another (see ``Steps.position``).
+    """
+    totals = _window_totals(slots, steps, with_ids, span)
+    tops = _top_lists(slots, steps, k, span).drop("top_cents")
     ids = F.col("win_gmv_ids") if with_ids else F.lit(None).cast("string")
     return _report(totals.join(tops, ["bucket", "slot"]), steps, F.col("cents"), ids)
 
 
-def gmv_top_from_slots(slots: DataFrame, steps: Steps = Steps(), k: int = TOP) -> DataFrame:
+def gmv_top_from_slots(
+    slots: DataFrame, steps: Steps = Steps(), k: int = TOP, span: Span = ALL
+) -> DataFrame:
     """The other report's rule: only the best sellers count, in total and in both lists."""
-    tops = _top_lists(slots, steps, k)
+    tops = _top_lists(slots, steps, k, span)
     return _report(tops, steps, F.col("top_cents"), F.col("top5_product_ids"))
 
 
