@@ -78,10 +78,10 @@ def stream_region(spark, sf_dir):
 
 def stream_search_top10(spark, sf_dir):
     session, folder, running = _setting(spark, "stream_search")
-    part = derive.table(session, sf_dir, "part")
-    items = table_stream(session, f"{sf_dir}/lineitem.parquet")
-    searches = items.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_shipdate").alias("event_time"), F.split("p_name", " ").alias("keywords")
+    events = table_stream(session, f"{sf_dir}/events.parquet")
+    word = F.concat(F.lit("w"), F.get_json_object("props", "$.k"))
+    searches = events.select(
+        F.col("ts").alias("event_time"), F.array(F.col("event_type"), word).alias("keywords")
     )
     finish(logs.search_stream(searches, folder, running, keep=None))
     return logs.top_words(spark, folder)
@@ -119,6 +119,18 @@ ORACLE = {
     "stream_pages": log_queries.ORACLE["page_view_users"],
     "stream_device": log_queries.ORACLE["device_stats"],
     "stream_region": log_queries.ORACLE["region_heat"],
-    "stream_search_top10": log_queries.ORACLE["search_top10_day"],
+    "stream_search_top10": """WITH searches AS (
+    SELECT CAST(ts AS DATE) AS pt,
+           unnest([event_type, 'w' || json_extract_string(props, '$.k')]) AS keyword
+    FROM events
+),
+counts AS (SELECT pt, keyword, count(*) AS cnt FROM searches GROUP BY ALL),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY pt ORDER BY cnt DESC, keyword) AS rn FROM counts
+)
+SELECT pt,
+       '[' || string_agg('{"word":"' || keyword || '","cnt":' || cnt || '}', ',' ORDER BY rn) || ']'
+           AS search_item
+FROM ranked WHERE rn <= 10 GROUP BY pt""",
     "stream_cdc": change_queries.ORACLE["cdc_topic_text"],
 }

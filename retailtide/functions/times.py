@@ -30,9 +30,12 @@ def order_time(ts: Column) -> Column:
 
 
 def epoch_from(ts: Column, since: Column) -> Column:
-    """``order_time(ts) >= since`` on the raw epoch, so that a columnar scan can skip blocks."""
+    """``order_time(ts) >= since`` on the raw epoch, so that a columnar scan can skip blocks.
+
+    ``since`` must fall on a whole second.
+    """
     return ((ts >= SECONDS_BELOW) & (ts >= F.unix_millis(since))) | (
-        (ts < SECONDS_BELOW) & (ts * 1000 >= F.unix_millis(since))
+        (ts < SECONDS_BELOW) & (ts >= F.unix_seconds(since))
     )
 
 

@@ -12,22 +12,22 @@ from retailtide.functions.times import log_time, order_time
 _JSON_OPTIONS = {"allowUnquotedFieldNames": "true"}
 
 
-def json_object(value: Column, schema: T.StructType) -> Column:
-    """The text as one struct, or null unless it holds exactly one JSON object.
+def with_record(
+    df: DataFrame, schema: T.StructType, value: str = "value", name: str = "record"
+) -> DataFrame:
+    """Add the text as one struct, null unless it holds exactly one JSON object.
 
     ``from_json`` alone stops after the first object and would accept trailing rubbish, so
-    the text is read as a one-element list.
+    the text is read as a one-element list. The generator makes the struct a column of its
+    own: as a plain expression Spark would parse the text anew for every field taken from it.
     """
-    items = F.from_json(
-        F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(schema), _JSON_OPTIONS
+    text = F.col(value)
+    items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), _JSON_OPTIONS)
+    closed = F.rtrim(text).endswith("}")
+    single = F.transform(
+        F.array(items), lambda a: F.when((F.size(a) == 1) & closed, F.get(a, F.lit(0)))
     )
-    whole = (F.size(items) == 1) & F.rtrim(value).endswith("}")
-    return F.when(whole, F.get(items, F.lit(0)))
-
-
-def with_record(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Add ``record`` (null for text that is not an object); the raw text stays."""
-    return df.withColumn("record", json_object(F.col(value), schema))
+    return df.select("*", F.explode(single).alias(name))
 
 
 def parsed(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailtide.functions.texts import cents, clean_product_id, from_cents, money
-from retailtide.functions.times import start_of_day
+from retailtide.functions.times import epoch_from, start_of_day
 from retailtide.operators.cumulate import (
     Steps,
     fill_windows,
@@ -167,8 +167,11 @@ def gmv_all(
 
 
 def since_today(orders: DataFrame, as_of=None) -> DataFrame:
-    """Orders from today's midnight on."""
-    return orders.filter(F.col("ts_ms") >= start_of_day(as_of))
+    """Orders from today's midnight on, by the raw epoch where there is one."""
+    midnight = start_of_day(as_of)
+    if "ts" in orders.columns:
+        return orders.filter(epoch_from(F.col("ts"), midnight))
+    return orders.filter(F.col("ts_ms") >= midnight)
 
 
 def gmv_today_top(orders: DataFrame, as_of=None, steps: Steps = Steps(), k: int = TOP) -> DataFrame:

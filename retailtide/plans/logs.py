@@ -104,7 +104,7 @@ def region_columns(
         "abnormal", raw.isNull() | ~F.contains(raw, F.lit("|"))
     )
     if zero_is_abnormal:
-        pieces = F.transform(F.slice(F.split(raw, r"\|"), 2, 3), F.trim)
+        pieces = F.transform(F.slice(F.split(raw, r"\|"), 2, 3), lambda part: F.trim(part))
         df = df.withColumn("abnormal", F.col("abnormal") | F.array_contains(pieces, "0"))
         df = df.withColumns({n: F.when(~F.col("abnormal"), F.col(n)) for n in parts})
     label = texts.region_label(F.col("province"), F.col("city"), F.col("district"))

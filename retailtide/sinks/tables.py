@@ -31,7 +31,8 @@ class LoadRejected(RuntimeError):
 class ReportTable:
     """``keys`` makes it an upsert table; without them rows are only appended.
 
-    ``files`` spreads a batch over that many files by key; leave it unset for large batches.
+    ``files`` is the number of files a day gets per batch, filled by a hash of the key, so a
+    day never depends on one task alone. Unset, every task writes its own file per day.
     """
 
     path: str
@@ -42,6 +43,11 @@ class ReportTable:
     schema: T.StructType | None = None
 
 
+def day_files(spark: SparkSession, most: int = 64) -> int:
+    """Files per day and batch for large tables, by the cores of the cluster."""
+    return min(most, spark.sparkContext.defaultParallelism)
+
+
 def unusable(required: tuple[str, ...] | list[str]) -> Column:
     """True where a required column is missing."""
     bad = F.lit(False)
@@ -62,8 +68,9 @@ def check_rejects(
 
 
 def _put(df: DataFrame, batch_id: int, table: ReportTable) -> None:
-    if table.files and table.keys:
-        df = df.repartition(table.files, *table.keys)
+    if table.files:
+        spread = [k for k in table.keys or df.columns if k != table.day]
+        df = df.repartition(table.day, F.pmod(F.xxhash64(*spread), F.lit(table.files)))
     (
         df.withColumn("update_time", F.current_timestamp())
         .withColumn(BATCH, F.lit(batch_id).cast("bigint"))

@@ -15,7 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 from retailtide.operators import iprange, metrics, parse
 from retailtide.operators.bounded import BROADCAST_LIMIT
 from retailtide.plans import logs as reports
-from retailtide.sinks.tables import BATCH, ReportTable, read_batches, read_table, write_batch
+from retailtide.sinks.tables import (
+    BATCH,
+    ReportTable,
+    day_files,
+    read_batches,
+    read_table,
+    write_batch,
+)
 from retailtide.sinks.topics import Deliver
 from retailtide.sources.topics import broken_logs, log_rows
 from retailtide.streaming.run import Running, start
@@ -23,6 +30,9 @@ from retailtide.streaming.run import Running, start
 # Fixed value: days a count is kept after its day.
 KEEP_COUNTS = "2 days"
 
+# Files a day gets per batch in the tables of counts.
+DAY_FILES = 4
+
 DAY = "day_start"
 
 
@@ -37,31 +47,31 @@ def _dated(df: DataFrame) -> DataFrame:
 
 def device_table(folder: str) -> ReportTable:
     keys = ("pt", "os", "brand", "platv")
-    return ReportTable(f"{folder}/device", keys, required=keys, files=8)
+    return ReportTable(f"{folder}/device", keys, required=keys, files=DAY_FILES)
 
 
 def region_table(folder: str) -> ReportTable:
-    return ReportTable(f"{folder}/region", ("pt", "region_raw"), required=("pt", "region"), files=8)
+    return ReportTable(f"{folder}/region", ("pt", "region_raw"), required=("pt", "region"), files=DAY_FILES)
 
 
 def word_table(folder: str) -> ReportTable:
     """Present count of each word."""
-    return ReportTable(f"{folder}/search_words", ("pt", "keyword"))
+    return ReportTable(f"{folder}/search_words", ("pt", "keyword"), files=DAY_FILES)
 
 
 def search_table(folder: str) -> ReportTable:
     """Every emitted search row."""
-    return ReportTable(f"{folder}/search", required=("pt",))
+    return ReportTable(f"{folder}/search", required=("pt",), files=DAY_FILES)
 
 
-def user_table(folder: str) -> ReportTable:
+def user_table(spark: SparkSession, folder: str) -> ReportTable:
     """Present views of each page and user."""
-    return ReportTable(f"{folder}/page_users", ("pt", "page", "user_id"))
+    return ReportTable(f"{folder}/page_users", ("pt", "page", "user_id"), files=day_files(spark))
 
 
 def page_table(folder: str) -> ReportTable:
     """Every emitted page row."""
-    return ReportTable(f"{folder}/page", required=("pt",))
+    return ReportTable(f"{folder}/page", required=("pt",), files=DAY_FILES)
 
 
 def device_stream(
@@ -143,8 +153,8 @@ def page_stream(
     very many users costs no more per batch than its active ones; only the report gathers
     lists, from the stored rows.
     """
-    users, report = user_table(folder), page_table(folder)
     spark = logs.sparkSession
+    users, report = user_table(spark, folder), page_table(folder)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         write_batch(_dated(df).withColumnRenamed("day", "pt"), batch_id, users)
@@ -168,7 +178,7 @@ def page_lists(
     spark: SparkSession, folder: str, pages: DataFrame | None = None
 ) -> DataFrame:
     """Views and users per page from the stored rows, of all pages or the given ``pt, page``."""
-    present = read_table(spark, user_table(folder))
+    present = read_table(spark, user_table(spark, folder))
     if pages is not None:
         present = present.join(pages, ["pt", "page"], "left_semi")
     return metrics.page_user_lists(present.withColumnRenamed("pt", "day"))

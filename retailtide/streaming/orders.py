@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from retailtide.operators import parse
 from retailtide.operators.cumulate import Steps, with_slot
 from retailtide.plans import gmv
-from retailtide.sinks.tables import BATCH, ReportTable, exists, read_batches, write_batch
+from retailtide.sinks.tables import BATCH, ReportTable, day_files, exists, read_batches, write_batch
 from retailtide.sinks.topics import Deliver
 from retailtide.streaming import watermarks
 from retailtide.streaming.run import Running, start
@@ -132,13 +132,13 @@ def report_closed(
     write_batch(plan(whole, steps, span=(after, upto)), batch_id, report)
 
 
-def slot_table(path: str) -> ReportTable:
-    return ReportTable(path, schema=SLOTS)
+def slot_table(spark: SparkSession, path: str) -> ReportTable:
+    return ReportTable(path, files=day_files(spark), schema=SLOTS)
 
 
 def gmv_table(path: str, keyed: bool = True) -> ReportTable:
     keys = ("ds", "window_start", "window_end") if keyed else ()
-    return ReportTable(path, keys, day="ds", files=1 if keyed else None, schema=REPORT)
+    return ReportTable(path, keys, day="ds", files=1, schema=REPORT)
 
 
 def _gmv_query(
@@ -155,7 +155,7 @@ def _gmv_query(
     each_batch = partial(
         report_closed,
         spark=orders.sparkSession,
-        slots=slot_table(f"{folder}/slots"),
+        slots=slot_table(orders.sparkSession, f"{folder}/slots"),
         report=gmv_table(f"{folder}/report", keyed),
         plan=plan,
         steps=steps,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailtide.operators.parse import json_object
+from retailtide.operators.parse import with_record
 
 ORDER_DELAY = "5 seconds"
 
@@ -20,10 +20,10 @@ def by_text_field(
 ) -> DataFrame:
     """From a millisecond field of a JSON text; broken texts and missing fields count as 0."""
     schema = T.StructType([T.StructField(field, T.StringType())])
-    millis = json_object(F.col(value), schema).getField(field).try_cast("bigint")
-    return df.withColumn(
-        name, F.timestamp_millis(F.coalesce(millis, F.lit(0)))
-    ).withWatermark(name, delay)
+    read = with_record(df, schema, value, "__read")
+    millis = F.col("__read").getField(field).try_cast("bigint")
+    timed = read.withColumn(name, F.timestamp_millis(F.coalesce(millis, F.lit(0))))
+    return timed.drop("__read").withWatermark(name, delay)
 
 
 def by_block_time(df: DataFrame, delay: str, name: str = "event_time") -> DataFrame:
