@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from retailtide import schemas
 from retailtide.catalog import changes as change_queries
-from retailtide.catalog import derive, logs as log_queries, sales
+from retailtide.catalog import derive, sales
+from retailtide.catalog import logs as log_queries
 from retailtide.functions.times import order_time
+from retailtide.operators import parse
 from retailtide.plans.logs import page_columns, with_day
 from retailtide.session import shared_folder, stream_session
 from retailtide.sinks.tables import read_table
 from retailtide.sinks.topics import to_files
-from retailtide.sources.topics import table_stream
+from retailtide.sources.topics import order_rows, table_stream, text_stream
 from retailtide.streaming import logs, orders
 from retailtide.streaming.run import Running, finish
 
@@ -47,6 +50,25 @@ def stream_gmv(spark, sf_dir):
     return _report(spark, folder)
 
 
+def stream_gmv_changed(spark, sf_dir):
+    """Every window up to the newest sale, reported as sales arrive."""
+    session, folder, running = _setting(spark, "stream_gmv_changed")
+    finish(orders.gmv_all_history(_orders(session, sf_dir), folder, running, delay=None))
+    return _report(spark, folder)
+
+
+def stream_changes_to_gmv(spark, sf_dir):
+    """From change records over the order topic to the sales report: two jobs in a row."""
+    session, folder, running = _setting(spark, "stream_changes_to_gmv")
+    rows = table_stream(session, f"{sf_dir}/events.parquet").select(*derive.order_columns())
+    topic = f"{folder}/topic"
+    texts = parse.snapshot_changes(rows, "oms", "dbo", "orders")
+    finish(orders.sync_changes(texts, to_files(topic), to_files(f"{folder}/dead"), running))
+    sales_rows = order_rows(text_stream(session, topic), schemas.SALE)
+    finish(orders.gmv_all_history(sales_rows, folder, running))
+    return _report(spark, folder)
+
+
 def stream_gmv_today(spark, sf_dir):
     session, folder, running = _setting(spark, "stream_gmv_today")
     finish(
@@ -98,6 +120,8 @@ def stream_cdc(spark, sf_dir):
 
 QUERIES = {
     "stream_gmv": stream_gmv,
+    "stream_gmv_changed": stream_gmv_changed,
+    "stream_changes_to_gmv": stream_changes_to_gmv,
     "stream_gmv_today": stream_gmv_today,
     "stream_pages": stream_pages,
     "stream_device": stream_device,
@@ -115,6 +139,11 @@ WHERE {a}.window_end <= (
 
 ORACLE = {
     "stream_gmv": sales.ORACLE["gmv_cumulate_all"] + _CLOSED.format(a="t"),
+    "stream_gmv_changed": sales.ORACLE["gmv_cumulate_all"]
+    + """
+WHERE t.window_end <= (SELECT max(time_bucket(INTERVAL 10 MINUTE, ts)) FROM events)
+                      + INTERVAL 10 MINUTE""",
+    "stream_changes_to_gmv": sales.ORACLE["gmv_cumulate_all"] + _CLOSED.format(a="t"),
     "stream_gmv_today": sales.ORACLE["gmv_cumulate_today_top5"] + _CLOSED.format(a="r"),
     "stream_pages": log_queries.ORACLE["page_view_users"],
     "stream_device": log_queries.ORACLE["device_stats"],

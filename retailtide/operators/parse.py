@@ -75,11 +75,10 @@ def keyword_rows(df: DataFrame, keywords: str = "keywords") -> DataFrame:
 def order_records(df: DataFrame) -> DataFrame:
     """Typed order columns, ``ts_ms`` (order rule) and ``proc_time`` of rows with ``record``."""
     flat = parsed(df).select("record.*")
-    return (
-        flat.withColumn("id", F.col("id").try_cast("bigint"))
-        .withColumn("ts", F.col("ts").try_cast("bigint"))
-        .withColumn("ts_ms", order_time(F.col("ts")))
-        .withColumn("proc_time", F.current_timestamp())
+    longs = [c for c in ("id", "ts") if c in flat.columns]
+    typed = flat.withColumns({c: F.col(c).try_cast("bigint") for c in longs})
+    return typed.withColumns(
+        {"ts_ms": order_time(F.col("ts")), "proc_time": F.current_timestamp()}
     )
 
 

@@ -62,6 +62,11 @@ ORDER_ROW = T.StructType([f for f in ORDER.fields if f.name not in ("table_name"
 SOURCE = _strings("db", "schema", "table")
 
 
+def only(schema: T.StructType, *names: str) -> T.StructType:
+    """A narrower layout, so that only the needed fields are read from a text."""
+    return T.StructType([schema[n] for n in names])
+
+
 def envelope(after: T.StructType = ORDER_ROW) -> T.StructType:
     """Change record around one table's after-image."""
     return (
@@ -72,17 +77,5 @@ def envelope(after: T.StructType = ORDER_ROW) -> T.StructType:
     )
 
 
-# Report tables, their keys and the columns that may not be null.
-REPORT_KEYS = {
-    "device": ["pt", "os", "brand", "platv"],
-    "region": ["pt", "region_raw"],
-    "region_merged": ["pt", "region"],
-    "gmv": ["ds", "window_start", "window_end"],
-}
-REQUIRED = {
-    "device": ["pt", "os", "brand", "platv"],
-    "region": ["pt", "region"],
-    "search": ["pt"],
-    "page": ["pt"],
-    "gmv": ["ds", "window_start", "window_end"],
-}
+# The fields of an order text that the sales reports use.
+SALE = only(ORDER, "product_id", "total_amount", "ts")

@@ -7,6 +7,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailtide import schemas
 from retailtide.operators import parse
@@ -67,9 +68,12 @@ def table_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.schema(schema).options(**options).parquet(pattern)
 
 
-def order_rows(texts: DataFrame) -> DataFrame:
-    """Order columns with event and processing time; texts that do not parse are ignored."""
-    return parse.order_records(parse.with_record(texts, schemas.ORDER))
+def order_rows(texts: DataFrame, schema: T.StructType = schemas.ORDER) -> DataFrame:
+    """Order columns with event and processing time; texts that do not parse are ignored.
+
+    Pass ``schemas.SALE`` where only the sales reports read on.
+    """
+    return parse.order_records(parse.with_record(texts, schema))
 
 
 def log_rows(texts: DataFrame) -> DataFrame:

@@ -76,6 +76,10 @@ def closed_slots(orders: DataFrame, steps: Steps, delay: str, tz: str) -> DataFr
     return lines.groupBy(slot.alias("w"), "product_id").agg(F.sum("cents").alias("cents"))
 
 
+def _position(steps: Steps):
+    return F.col("bucket").cast("bigint") * (steps.last + 1) + F.col("slot")
+
+
 def _last_reported(spark: SparkSession, report: ReportTable, batch_id: int, steps: Steps):
     """Position of the newest window of earlier batches; None before the first."""
     if not exists(spark, report.path):
@@ -97,6 +101,18 @@ def _day(position: int, steps: Steps) -> date:
     return (EPOCH + timedelta(seconds=seconds)).date()
 
 
+def _store_slots(placed: DataFrame, batch_id: int, slots: ReportTable, steps: Steps) -> None:
+    day = F.date_from_unix_date(F.floor(F.col("bucket") * (steps.size / 86_400)).cast("int"))
+    write_batch(
+        placed.select("bucket", "slot", "product_id", "cents", day.alias("pt")), batch_id, slots
+    )
+
+
+def _whole(stored: DataFrame) -> DataFrame:
+    """One row per slot and product of rows stored by several batches."""
+    return stored.groupBy("bucket", "slot", "product_id").agg(F.sum("cents").alias("cents"))
+
+
 def report_closed(
     batch: DataFrame,
     batch_id: int,
@@ -106,30 +122,55 @@ def report_closed(
     plan: Callable[..., DataFrame],
     steps: Steps,
 ) -> None:
-    """Store the slots of this batch, then report every window closed since the last one.
+    """Store the slots that closed in this batch, then report every window they complete.
 
     Windows are made from the stored slots of the days concerned, so neither the state nor
     any single task has to hold a day's products. ``spark`` is the caller's session, whose
     adaptive execution a stateful stream switches off in its own.
     """
-    placed = with_slot(batch.select("product_id", "cents", F.col("w.start").alias("at")), "at", steps)
-    day = F.date_from_unix_date(F.floor(F.col("bucket") * (steps.size / 86_400)).cast("int"))
-    write_batch(
-        placed.select("bucket", "slot", "product_id", "cents", day.alias("pt")), batch_id, slots
-    )
+    rows = batch.select("product_id", "cents", F.col("w.start").alias("at"))
+    _store_slots(with_slot(rows, "at", steps), batch_id, slots, steps)
     stored = read_batches(spark, slots).filter(F.col(BATCH) <= batch_id)
-    ends = F.col("bucket").cast("bigint") * (steps.last + 1) + F.col("slot")
-    upto = stored.filter(F.col(BATCH) == batch_id).agg(F.max(ends)).first()[0]
+    upto = stored.filter(F.col(BATCH) == batch_id).agg(F.max(_position(steps))).first()[0]
     if upto is None:
         return
     after = _last_reported(spark, report, batch_id, steps)
     days = F.col("pt") <= F.lit(_day(upto, steps))
     if after is not None:
         days = days & (F.col("pt") >= F.lit(_day(after + 1, steps)))
-    whole = (
-        stored.filter(days).groupBy("bucket", "slot", "product_id").agg(F.sum("cents").alias("cents"))
-    )
-    write_batch(plan(whole, steps, span=(after, upto)), batch_id, report)
+    windows = plan(_whole(stored.filter(days)), steps, span=(after, upto))
+    write_batch(windows, batch_id, report)
+
+
+def report_changed(
+    batch: DataFrame,
+    batch_id: int,
+    spark: SparkSession,
+    slots: ReportTable,
+    report: ReportTable,
+    plan: Callable[..., DataFrame],
+    steps: Steps,
+) -> None:
+    """Store what this batch adds to its slots, then report every window that changes.
+
+    Slot rows of several batches add up, so no state is held and no sale is ever late: one
+    that arrives days behind corrects the windows of its own day.
+    """
+    _store_slots(gmv.sale_slots(batch, steps), batch_id, slots, steps)
+    stored = read_batches(spark, slots).filter(F.col(BATCH) <= batch_id)
+    mine = stored.filter(F.col(BATCH) == batch_id)
+    low, high = mine.agg(F.min(_position(steps)), F.max(_position(steps))).first()
+    if low is None:
+        return
+    before = _last_reported(spark, report, batch_id, steps)
+    days = {r.pt for r in mine.select("pt").distinct().collect()}
+    after, upto = low - 1, high
+    if before is not None:
+        # the newest day so far goes on to its end, even without further sales
+        days.add(_day(before, steps))
+        after, upto = min(after, before), max(upto, before)
+    windows = plan(_whole(stored.filter(F.col("pt").isin(days))), steps, span=(after, upto))
+    write_batch(windows, batch_id, report)
 
 
 def slot_table(spark: SparkSession, path: str) -> ReportTable:
@@ -149,18 +190,21 @@ def _gmv_query(
     plan: Callable[..., DataFrame],
     keyed: bool,
     steps: Steps,
-    delay: str,
+    delay: str | None,
 ) -> StreamingQuery:
-    tz = orders.sparkSession.conf.get("spark.sql.session.timeZone")
+    spark = orders.sparkSession
     each_batch = partial(
-        report_closed,
-        spark=orders.sparkSession,
-        slots=slot_table(orders.sparkSession, f"{folder}/slots"),
-        report=gmv_table(f"{folder}/report", keyed),
+        report_closed if delay else report_changed,
+        spark=spark,
+        slots=slot_table(spark, f"{folder}/slots"),
+        report=gmv_table(f"{folder}/report", keyed or not delay),
         plan=plan,
         steps=steps,
     )
-    return start(closed_slots(orders, steps, delay, tz), name, "append", each_batch, running)
+    if delay:
+        tz = spark.conf.get("spark.sql.session.timeZone")
+        orders = closed_slots(orders, steps, delay, tz)
+    return start(orders, name, "append", each_batch, running)
 
 
 def gmv_all_history(
@@ -169,9 +213,15 @@ def gmv_all_history(
     running: Running,
     name: str = "gmv_all",
     steps: Steps = Steps(),
-    delay: str = watermarks.ORDER_DELAY,
+    delay: str | None = watermarks.ORDER_DELAY,
 ) -> StreamingQuery:
-    """Keyed report of every cumulative window, over all products."""
+    """Keyed report of every cumulative window, over all products.
+
+    A window is reported once, when the newest sale is ``delay`` past its end; sales that
+    come later still are dropped. With ``delay=None`` it is reported as soon as it has
+    sales and again whenever they change, and none are dropped: the choice for reading an
+    old topic whose partitions do not run level.
+    """
     return _gmv_query(
         orders, folder, running, name, gmv.gmv_all_from_slots, True, steps, delay
     )
@@ -184,8 +234,11 @@ def gmv_since_today(
     as_of=None,
     name: str = "gmv_today",
     steps: Steps = Steps(),
-    delay: str = watermarks.ORDER_DELAY,
+    delay: str | None = watermarks.ORDER_DELAY,
 ) -> StreamingQuery:
-    """Unkeyed report of the windows from today on, counting best sellers only."""
+    """Report of the windows from today on, counting best sellers only.
+
+    It has no key while windows are reported once, and is keyed with ``delay=None``.
+    """
     today = gmv.since_today(orders, as_of)
     return _gmv_query(today, folder, running, name, gmv.gmv_top_from_slots, False, steps, delay)
