@@ -34,8 +34,10 @@ def cdc_snapshot(spark, sf_dir):
 
 def _broken_texts(spark, sf_dir):
     """Events as log texts, every tenth damaged in one of five ways."""
-    number = F.col("event_id")
-    good = F.to_json(F.struct(*derive.log_columns(), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")))
+    number = F.col("log_id").cast("bigint")
+    stamp = F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")
+    logs = derive.log_columns(derive.table(spark, sf_dir, "events"), stamp)
+    good = F.to_json(F.struct(*logs.columns))
     kind = F.floor(number / 10) % 5
     bad = (
         F.when(kind == 0, F.concat(F.lit("{broken "), number))
@@ -44,8 +46,9 @@ def _broken_texts(spark, sf_dir):
         .when(kind == 3, F.concat(good, F.lit(" tail")))
         .otherwise(F.lit(""))
     )
-    events = derive.table(spark, sf_dir, "events")
-    return events.select("event_id", F.when(number % 10 == 0, bad).otherwise(good).alias("value"))
+    return logs.select(
+        number.alias("event_id"), F.when(number % 10 == 0, bad).otherwise(good).alias("value")
+    )
 
 
 def json_dead_letter(spark, sf_dir):
@@ -68,7 +71,7 @@ def json_log_records(spark, sf_dir):
 
 def json_order_records(spark, sf_dir):
     """Order texts to typed rows with a clean product id, a decimal amount and an event time."""
-    texts = parse.as_json(derive.table(spark, sf_dir, "events").select(*derive.order_columns()))
+    texts = parse.as_json(derive.order_columns(derive.table(spark, sf_dir, "events")))
     records = parse.order_records(parse.with_record(texts, schemas.ORDER))
     lines = sale_lines(records.withColumn("order_no", F.col("id")), "order_no")
     return lines.select(

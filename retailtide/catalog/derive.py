@@ -21,20 +21,25 @@ def _text_variant(k: Column) -> Column:
     )
 
 
-def order_columns() -> list[Column]:
+def with_key(events: DataFrame) -> DataFrame:
+    """Add the number inside ``props`` as a column of its own, so its text is read once a row."""
+    return events.withColumn("k", F.get_json_object("props", "$.k"))
+
+
+def order_columns(events: DataFrame) -> DataFrame:
     """Events as order rows; epochs in seconds and milliseconds, some amounts unreadable."""
     ts = F.col("ts").cast("timestamp")
-    return [
+    return with_key(events).select(
         F.col("event_id").alias("id"),
         F.col("user_id").cast("string").alias("user_id"),
-        _text_variant(F.get_json_object("props", "$.k")).alias("product_id"),
+        _text_variant(F.col("k")).alias("product_id"),
         F.when(F.col("event_id") % 97 == 0, F.lit("n/a"))
         .otherwise(F.col("value").cast("string"))
         .alias("total_amount"),
         F.when(F.col("event_id") % 2 == 0, F.unix_seconds(ts))
         .otherwise(F.unix_millis(ts))
         .alias("ts"),
-    ]
+    )
 
 
 def orders(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
@@ -44,12 +49,12 @@ def orders(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFr
     events = table(spark, sf_dir, "events")
     if since:
         events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
-    return events.select(*order_columns()).withColumn("ts_ms", order_time(F.col("ts")))
+    return order_columns(events).withColumn("ts_ms", order_time(F.col("ts")))
 
 
-def log_columns() -> list[Column]:
+def log_columns(events: DataFrame, *keep: Column | str) -> DataFrame:
     """Events as log records; some rows lack the user, the brand or the version."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k").cast("int")
     number = F.col("event_id")
     device = F.struct(
         F.when(k % 10 != 3, F.concat(F.lit("B"), k % 7)).alias("brand"),
@@ -57,7 +62,7 @@ def log_columns() -> list[Column]:
         F.when(k % 10 != 0, F.concat(F.lit("V"), k % 5)).alias("platv"),
     )
     ip = F.concat_ws(".", F.lit("10"), F.col("user_id") % 30, number % 256, F.lit("1"))
-    return [
+    return with_key(events).select(
         number.cast("string").alias("log_id"),
         device.alias("device"),
         F.struct(ip.alias("ip")).alias("gis"),
@@ -65,14 +70,15 @@ def log_columns() -> list[Column]:
         F.when(number % 11 == 0, F.lit("").cast("string"))
         .otherwise(F.col("user_id").cast("string"))
         .alias("user_id"),
-    ]
+        *keep,
+    )
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from retailtide.plans.logs import with_day
 
     events = table(spark, sf_dir, "events")
-    return with_day(events.select(*log_columns(), F.col("ts").alias("event_time")))
+    return with_day(log_columns(events, F.col("ts").alias("event_time")))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

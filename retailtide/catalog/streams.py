@@ -30,12 +30,12 @@ def _setting(spark, purpose):
 
 def _orders(session, sf_dir):
     events = table_stream(session, f"{sf_dir}/events.parquet")
-    return events.select(*derive.order_columns()).withColumn("ts_ms", order_time(F.col("ts")))
+    return derive.order_columns(events).withColumn("ts_ms", order_time(F.col("ts")))
 
 
 def _logs(session, sf_dir):
     events = table_stream(session, f"{sf_dir}/events.parquet")
-    return with_day(events.select(*derive.log_columns(), F.col("ts").alias("event_time")))
+    return with_day(derive.log_columns(events, F.col("ts").alias("event_time")))
 
 
 def _report(spark, path):
@@ -60,7 +60,7 @@ def stream_gmv_changed(spark, sf_dir):
 def stream_changes_to_gmv(spark, sf_dir):
     """From change records over the order topic to the sales report: two jobs in a row."""
     session, folder, running = _setting(spark, "stream_changes_to_gmv")
-    rows = table_stream(session, f"{sf_dir}/events.parquet").select(*derive.order_columns())
+    rows = derive.order_columns(table_stream(session, f"{sf_dir}/events.parquet"))
     topic = f"{folder}/topic"
     texts = parse.snapshot_changes(rows, "oms", "dbo", "orders")
     finish(orders.sync_changes(texts, to_files(topic), to_files(f"{folder}/dead"), running))

@@ -57,6 +57,8 @@ def page_user_lists(
     over ``chunks`` rows of about ``ids_per_row`` ids, numbered by ``chunk``; ``pv`` and
     ``users`` are the page's own on each of them. Pages below that size have one row.
     """
+    # every row has views; asking keeps both uses below the same plan, which then runs once
+    user_counts = user_counts.filter(F.col("views") > 0)
     totals = page_views(user_counts, day).withColumn(
         "chunks", F.greatest(F.lit(1), F.ceil(F.col("users") / ids_per_row)).cast("int")
     )

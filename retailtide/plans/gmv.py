@@ -80,29 +80,41 @@ def top_products(orders: DataFrame, steps: Steps = Steps(), k: int = TOP) -> Dat
     )
 
 
+def _computed_once(slots: DataFrame) -> DataFrame:
+    """Let the branches of a report share the slot aggregate, and so one read of the orders.
+
+    Spark reuses a shuffle only between equal plans. A branch that does not look at the sums
+    would get its own aggregate without them; this condition, which every row meets, keeps
+    them in all branches.
+    """
+    lowest = F.lit(-(2**63)).cast("bigint")
+    return slots.filter(F.col("cents").isNull() | (F.col("cents") >= lowest))
+
+
+def _new_ids(slots: DataFrame) -> DataFrame:
+    """Products per slot of their first sale of the day, as one text in id order."""
+    firsts = slots.groupBy("bucket", "product_id").agg(F.min("slot").alias("slot"))
+    ids = F.expr("listagg(product_id, ',') WITHIN GROUP (ORDER BY product_id)")
+    return firsts.groupBy("bucket", "slot").agg(ids.alias("ids"))
+
+
 def _window_totals(slots: DataFrame, steps: Steps, with_ids: bool, span: Span) -> DataFrame:
     """Total and product list of every window, from per-slot totals.
 
     A product enters the list in the slot of its first sale of the day, so each id is
     gathered once a day instead of once a window; later windows only append.
     """
-    columns = [F.sum("cents").alias("cents")]
-    if with_ids:
-        first = F.row_number().over(
-            Window.partitionBy("bucket", "product_id").orderBy("slot")
-        )
-        slots = slots.withColumn("new_id", F.when(first == 1, F.col("product_id")))
-        columns.append(F.expr("listagg(new_id, ',') WITHIN GROUP (ORDER BY new_id)").alias("ids"))
-    per_slot = slots.groupBy("bucket", "slot").agg(*columns)
-    so_far = (
-        Window.partitionBy("bucket")
-        .orderBy("slot")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    per_slot = slots.groupBy("bucket", "slot").agg(F.sum("cents").alias("cents"))
     extra = []
     if with_ids:
+        per_slot = per_slot.join(_new_ids(slots), ["bucket", "slot"], "left")
+        so_far = (
+            Window.partitionBy("bucket")
+            .orderBy("slot")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
         ids = F.array_join(F.collect_list("ids").over(so_far), ",")
-        # a day whose sales all lack a product id has no list at all
+        # while all sales lack a product id there is no list at all
         extra = [F.when(F.max("ids").over(so_far).isNotNull(), ids).alias("win_gmv_ids")]
     running = running_totals(per_slot, [], {"cents": "sum"}, extra)
     return fill_windows(running, steps, *span)
@@ -141,6 +153,7 @@ def gmv_all_from_slots(
 
     ``span`` keeps the windows after one position up to another (see ``Steps.position``).
     """
+    slots = _computed_once(slots)
     totals = _window_totals(slots, steps, with_ids, span)
     tops = _top_lists(slots, steps, k, span).drop("top_cents")
     ids = F.col("win_gmv_ids") if with_ids else F.lit(None).cast("string")

@@ -186,3 +186,39 @@ def test_newest_state_per_order(spark):
     )
     got = {(r.id, r.total_amount) for r in gmv.latest_per_order(frame).collect()}
     assert got == {(1, "7"), (2, "1")}
+
+
+def executed_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_report_reads_its_orders_once(spark, tmp_path):
+    orders(spark, sales(3, 200)).write.parquet(str(tmp_path / "orders"))
+    plan = executed_plan(gmv.gmv_all(spark.read.parquet(str(tmp_path / "orders"))))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    # three of the stored columns are read, and nothing is multiplied before the first shuffle
+    assert "ReadSchema: struct<product_id:string,total_amount:string,ts_ms:timestamp>" in plan
+
+
+def test_hot_product_collapses_before_the_shuffle(spark):
+    """One product with all the rows reaches the shuffle as one row per task and slot."""
+    frame = spark.range(0, 200_000, 1, 4).select(
+        F.lit("hot").alias("product_id"),
+        F.lit("1.00").alias("total_amount"),
+        F.timestamp_seconds(F.col("id") % 86_400 + 1709251200).alias("ts_ms"),
+    )
+    slots = gmv.sale_slots(frame)
+    assert slots.agg(F.sum("cents")).first()[0] == 20_000_000
+    slots.collect()
+    plan = slots._jdf.queryExecution().executedPlan()
+    written = shuffled_rows(plan)
+    assert written == 4 * 144
+
+
+def shuffled_rows(plan):
+    """Records written by the first shuffle of an executed adaptive plan."""
+    stage = plan.executedPlan()
+    while not (name := stage.getClass().getSimpleName()).startswith("ShuffleQueryStage"):
+        stage = stage.plan() if name.startswith("ResultQueryStage") else stage.children().head()
+    return stage.shuffle().metrics().get("shuffleRecordsWritten").get().value()

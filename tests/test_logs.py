@@ -227,3 +227,11 @@ def test_counts_add_up(spark):
     assert reports.device_report(frame).agg(F.sum("count")).first()[0] == len(rows)
     for r in reports.page_report(frame).collect():
         assert r.pv >= r.users
+
+
+def test_page_report_reads_its_logs_once(spark, tmp_path):
+    logs(spark, page_rows()).write.parquet(str(tmp_path / "logs"))
+    report = reports.page_report(spark.read.parquet(str(tmp_path / "logs")))
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
