@@ -202,7 +202,7 @@ def test_report_reads_its_orders_once(spark, tmp_path):
 
 
 def test_hot_product_collapses_before_the_shuffle(spark):
-    """One product with all the rows reaches the shuffle as one row per task and slot."""
+    """200,000 rows of one product reach the shuffle as at most one per task and slot."""
     frame = spark.range(0, 200_000, 1, 4).select(
         F.lit("hot").alias("product_id"),
         F.lit("1.00").alias("total_amount"),
@@ -213,7 +213,7 @@ def test_hot_product_collapses_before_the_shuffle(spark):
     slots.collect()
     plan = slots._jdf.queryExecution().executedPlan()
     written = shuffled_rows(plan)
-    assert written == 4 * 144
+    assert written <= 4 * 144
 
 
 def shuffled_rows(plan):
