@@ -69,6 +69,15 @@ def region_heat_merged(spark, sf_dir):
     return logs.merged_labels(region_heat(spark, sf_dir)).select("pt", "region", "count")
 
 
+def device_texts(spark, sf_dir):
+    """The device report as the line JSON a warehouse load takes; unknown fields are left out."""
+    return parse.as_json(device_stats(spark, sf_dir))
+
+
+def region_texts(spark, sf_dir):
+    return parse.as_json(region_heat(spark, sf_dir))
+
+
 def search_word_counts(spark, sf_dir):
     words = parse.keyword_rows(derive.searches(spark, sf_dir))
     return metrics.keyword_counts(words).withColumnRenamed("day", "pt")
@@ -89,6 +98,8 @@ QUERIES = {
     "ip_region_shuffled": ip_region_shuffled,
     "region_heat": region_heat,
     "region_heat_merged": region_heat_merged,
+    "device_texts": device_texts,
+    "region_texts": region_texts,
     "search_word_counts": search_word_counts,
     "search_word_items": search_word_items,
     "search_top10_day": search_top10_day,
@@ -120,6 +131,16 @@ report AS (
     FROM parts
 )"""
 
+_DEVICE = f"""WITH {_LOGS},
+report AS (
+    SELECT pt, lower(page) AS os,
+           CASE WHEN k % 10 = 3 THEN 'unknown' ELSE 'b' || (k % 7) END AS brand,
+           CASE WHEN k % 10 = 0 THEN 'unk' ELSE 'v' || (k % 5) END AS platv,
+           count(*) AS "count",
+           CASE WHEN pt = DATE '{AS_OF}' THEN 'periodic' ELSE 'history' END AS type
+    FROM logs GROUP BY ALL
+)"""
+
 _WORDS = """WITH searches AS (
     SELECT CAST(l.l_shipdate AS DATE) AS pt, unnest(string_split(p.p_name, ' ')) AS keyword
     FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
@@ -136,13 +157,20 @@ SELECT pt, page, count(*) AS pv,
        count(DISTINCT user_id) AS users,
        CAST(0 AS INTEGER) AS chunk, CAST(1 AS INTEGER) AS chunks
 FROM logs GROUP BY pt, page""",
-    "device_stats": f"""WITH {_LOGS}
-SELECT pt, lower(page) AS os,
-       CASE WHEN k % 10 = 3 THEN 'unknown' ELSE 'b' || (k % 7) END AS brand,
-       CASE WHEN k % 10 = 0 THEN 'unk' ELSE 'v' || (k % 5) END AS platv,
-       count(*) AS "count",
-       CASE WHEN pt = DATE '{AS_OF}' THEN 'periodic' ELSE 'history' END AS type
-FROM logs GROUP BY ALL""",
+    "device_stats": f"{_DEVICE}\nSELECT * FROM report",
+    "device_texts": f"""{_DEVICE}
+SELECT '{{"pt":"' || pt || '","os":"' || os || '","brand":"' || brand || '","platv":"' || platv
+       || '","count":' || "count" || ',"type":"' || type || '"}}' AS "value"
+FROM report""",
+    "region_texts": f"""{_HEAT}
+SELECT '{{"pt":"' || pt || '","region":"' || region || '"'
+       || coalesce(',"province":"' || province || '"', '')
+       || coalesce(',"city":"' || city || '"', '')
+       || coalesce(',"district":"' || district || '"', '')
+       || ',"count":' || "count" || ',"abnormal":' || abnormal
+       || ',"region_raw":"' || region_raw || '","type":"' || type || '"'
+       || coalesce(',"ip":"' || ip || '"', '') || '}}' AS "value"
+FROM report""",
     "ip_region": _IP,
     "ip_region_shuffled": _IP,
     "region_heat": f"{_HEAT}\nSELECT * FROM report",

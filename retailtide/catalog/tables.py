@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from retailtide.catalog import derive
 from retailtide.functions.texts import camel_columns
 from retailtide.operators import kv, membership
 from retailtide.operators.latest import latest_by_key
+from retailtide.session import shared_folder
 from retailtide.sinks.retention import kept
+from retailtide.sinks.tables import ReportTable, compact, read_table, write_batch
 from retailtide.streaming import watermarks
 
 FIELDS = ["c_name", "c_mktsegment", "c_acctbal"]
@@ -105,6 +109,43 @@ def upsert_last_wins(spark, sf_dir):
     return latest_by_key(events, ["user_id", "event_type"], F.col("event_id"))
 
 
+def _stored_report(spark, sf_dir, purpose):
+    """Events written to a keyed table in two batches, the second of them twice."""
+    events = derive.table(spark, sf_dir, "events").select(
+        F.col("ts").cast("date").alias("pt"),
+        "user_id",
+        "event_type",
+        "event_id",
+        F.col("value").cast("decimal(18,2)").alias("value"),
+        F.hour("ts").alias("hour"),
+    )
+    table = ReportTable(
+        f"{shared_folder(spark, purpose)}/table",
+        ("pt", "user_id", "event_type"),
+        required=("pt", "user_id"),
+        files=1,
+    )
+    late = events.filter("hour >= 12").drop("hour")
+    write_batch(events.filter("hour < 12").drop("hour"), 0, table, F.col("event_id"))
+    for _ in range(2):
+        write_batch(late, 1, table, F.col("event_id"))
+    return table
+
+
+def report_table_upsert(spark, sf_dir):
+    """Newest row per key of a table written by batches, one of which was replayed."""
+    table = _stored_report(spark, sf_dir, "report_table_upsert")
+    return read_table(spark, table).drop("update_time")
+
+
+def report_table_compacted(spark, sf_dir):
+    """The same after its batches were folded into one."""
+    table = _stored_report(spark, sf_dir, "report_table_compacted")
+    compacted = replace(table, path=f"{table.path}_compacted")
+    compact(spark, table, compacted.path)
+    return read_table(spark, compacted).drop("update_time")
+
+
 def retention_30d(spark, sf_dir):
     """Line items of the days a report table would still hold."""
     lines = derive.table(spark, sf_dir, "lineitem").withColumn("pt", F.col("l_shipdate").cast("date"))
@@ -168,6 +209,8 @@ QUERIES = {
     "blacklist_anti": blacklist_anti,
     "blacklist_flag": blacklist_flag,
     "upsert_last_wins": upsert_last_wins,
+    "report_table_upsert": report_table_upsert,
+    "report_table_compacted": report_table_compacted,
     "retention_30d": retention_30d,
     "camel_names": camel_names,
     "watermark_block_ts": watermark_block_ts,
@@ -190,7 +233,15 @@ _WORD_SETS = """WITH words AS (
 listed AS (SELECT DISTINCT word FROM words WHERE p_retailprice < 900.3)
 """
 
+_STORED = """
+SELECT CAST(ts AS DATE) AS pt, user_id, event_type,
+       arg_max(event_id, (hour(ts) >= 12, event_id)) AS event_id,
+       arg_max(CAST(value AS DECIMAL(18,2)), (hour(ts) >= 12, event_id)) AS "value"
+FROM events GROUP BY ALL"""
+
 ORACLE = {
+    "report_table_upsert": _STORED,
+    "report_table_compacted": _STORED,
     "kv_cells": _ROWS + """
 SELECT row_key, 'c_name' AS qualifier, c_name AS "value" FROM kv
 UNION ALL SELECT row_key, 'c_mktsegment', c_mktsegment FROM kv""",

@@ -190,6 +190,41 @@ def top_words(spark: SparkSession, folder: str, k: int = reports.TOP_WORDS) -> D
     return reports.search_top_columns(present, k)
 
 
+def stage_logs(
+    texts: DataFrame, path: str, running: Running, name: str = "log_rows"
+) -> StreamingQuery:
+    """Parse a topic once into a columnar log table by day, committed by Spark's file sink."""
+    rows = log_rows(texts).withColumn("pt", F.col("event_time").cast("date"))
+    return (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .queryName(name)
+        .option("checkpointLocation", f"{running.checkpoints.rstrip('/')}/{name}")
+        .option("path", path)
+        .partitionBy("pt")
+        .trigger(**running.trigger)
+        .start()
+    )
+
+
+def staged_logs(spark: SparkSession, path: str) -> DataFrame:
+    """The staged log rows as a stream; a report reads the columns it needs, and no JSON."""
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def log_reports(
+    logs: DataFrame, ranges: DataFrame, folder: str, running: Running, as_of=None
+) -> list[StreamingQuery]:
+    """The four reports of one stream of log rows, a query each."""
+    return [
+        device_stream(logs, folder, running, as_of),
+        region_stream(logs, ranges, folder, running, as_of),
+        search_stream(logs, folder, running),
+        page_stream(logs, folder, running),
+    ]
+
+
 def log_job(
     texts: DataFrame,
     ranges: DataFrame,
@@ -198,12 +233,13 @@ def log_job(
     broken: Deliver,
     as_of=None,
 ) -> list[StreamingQuery]:
-    """The whole log job: four reports and the dead letters of one topic, a query each."""
-    logs = log_rows(texts)
+    """The whole log job: four reports and the dead letters of one topic, a query each.
+
+    Every query parses the topic for itself. Where that costs too much, run ``stage_logs``
+    and give ``staged_logs`` to ``log_reports``.
+    """
+    reports_running = log_reports(log_rows(texts), ranges, folder, running, as_of)
     return [
-        device_stream(logs, folder, running, as_of),
-        region_stream(logs, ranges, folder, running, as_of),
-        search_stream(logs, folder, running),
-        page_stream(logs, folder, running),
+        *reports_running,
         start(broken_logs(texts), "broken_logs", "append", broken, running),
     ]

@@ -244,6 +244,28 @@ def test_log_job_equals_batch(spark, session, tmp_path):
     assert {(r.pt, r.search_item) for r in want.collect()} <= {(r.pt, r.search_item) for r in searches.collect()}
 
 
+def test_staged_logs_give_the_same_reports(spark, session, tmp_path):
+    texts = log_texts(120)
+    ranges = spark.createDataFrame([(10 * 2**24, 10 * 2**24 + 65_535, "C|P|Q|R")], "ip_lo long, ip_hi long, region string")
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for n, lines in enumerate([texts[:50], [*texts[50:], "{broken"]]):
+        (source / f"{n}.txt").write_text("\n".join(lines))
+        finish(logs.stage_logs(text_stream(session, str(source)), f"{out}/rows", once(out)))
+        staged = logs.staged_logs(session, f"{out}/rows")
+        finish(*logs.log_reports(staged, ranges, out, once(out), "2024-03-01"))
+    rows = reports.with_day(log_rows(spark.createDataFrame([(t,) for t in texts], "value string")))
+    for table, want in (
+        (logs.device_table(out), reports.device_report(rows, "2024-03-01")),
+        (logs.region_table(out), reports.region_report(rows, ranges, "2024-03-01")),
+    ):
+        got = read_table(spark, table).select(want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    want = reports.page_report(rows)
+    got = reports.page_columns(logs.page_lists(spark, out)).select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_region_stream_with_a_large_range_table(spark, session, tmp_path):
     texts = log_texts(60)
     ranges = spark.createDataFrame([(10 * 2**24, 10 * 2**24 + 65_535, "C|P|Q|R")], "ip_lo long, ip_hi long, region string")
