@@ -32,11 +32,11 @@ def cdc_snapshot(spark, sf_dir):
     return flat.select("id", "user_id", "table_name", "op")
 
 
-def _broken_texts(spark, sf_dir):
+def log_texts(events):
     """Events as log texts, every tenth damaged in one of five ways."""
     number = F.col("log_id").cast("bigint")
     stamp = F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")
-    logs = derive.log_columns(derive.table(spark, sf_dir, "events"), stamp)
+    logs = derive.log_columns(events, stamp)
     good = F.to_json(F.struct(*logs.columns))
     kind = F.floor(number / 10) % 5
     bad = (
@@ -52,13 +52,14 @@ def _broken_texts(spark, sf_dir):
 
 
 def json_dead_letter(spark, sf_dir):
-    texts = parse.with_record(_broken_texts(spark, sf_dir), schemas.LOG)
+    texts = parse.with_record(log_texts(derive.table(spark, sf_dir, "events")), schemas.LOG)
     return texts.filter(F.col("record").isNull()).select("event_id")
 
 
 def json_log_records(spark, sf_dir):
     """Complete log records read back from their texts."""
-    records = parse.log_records(parse.with_record(_broken_texts(spark, sf_dir), schemas.LOG))
+    texts = parse.with_record(log_texts(derive.table(spark, sf_dir, "events")), schemas.LOG)
+    records = parse.log_records(texts)
     return records.filter(parse.complete_log()).select(
         F.col("log_id").cast("bigint").alias("event_id"),
         "log_type",

@@ -131,7 +131,7 @@ report AS (
     FROM parts
 )"""
 
-_DEVICE = f"""WITH {_LOGS},
+DEVICE = f"""WITH {_LOGS},
 report AS (
     SELECT pt, lower(page) AS os,
            CASE WHEN k % 10 = 3 THEN 'unknown' ELSE 'b' || (k % 7) END AS brand,
@@ -157,8 +157,8 @@ SELECT pt, page, count(*) AS pv,
        count(DISTINCT user_id) AS users,
        CAST(0 AS INTEGER) AS chunk, CAST(1 AS INTEGER) AS chunks
 FROM logs GROUP BY pt, page""",
-    "device_stats": f"{_DEVICE}\nSELECT * FROM report",
-    "device_texts": f"""{_DEVICE}
+    "device_stats": f"{DEVICE}\nSELECT * FROM report",
+    "device_texts": f"""{DEVICE}
 SELECT '{{"pt":"' || pt || '","os":"' || os || '","brand":"' || brand || '","platv":"' || platv
        || '","count":' || "count" || ',"type":"' || type || '"}}' AS "value"
 FROM report""",

@@ -89,6 +89,16 @@ def stream_device(spark, sf_dir):
     return read_table(spark, logs.device_table(folder)).drop("update_time")
 
 
+def stream_staged_logs(spark, sf_dir):
+    """Log texts, some of them broken, to a log table and on to the device report."""
+    session, folder, running = _setting(spark, "stream_staged_logs")
+    texts = change_queries.log_texts(table_stream(session, f"{sf_dir}/events.parquet"))
+    finish(logs.stage_logs(texts.select("value"), f"{folder}/rows", running))
+    staged = logs.staged_logs(session, f"{folder}/rows")
+    finish(logs.device_stream(staged, folder, running, log_queries.AS_OF))
+    return read_table(spark, logs.device_table(folder)).drop("update_time")
+
+
 def stream_region(spark, sf_dir):
     session, folder, running = _setting(spark, "stream_region")
     ranges = derive.ip_ranges(session, sf_dir)
@@ -125,6 +135,7 @@ QUERIES = {
     "stream_gmv_today": stream_gmv_today,
     "stream_pages": stream_pages,
     "stream_device": stream_device,
+    "stream_staged_logs": stream_staged_logs,
     "stream_region": stream_region,
     "stream_search_top10": stream_search_top10,
     "stream_cdc": stream_cdc,
@@ -147,6 +158,10 @@ WHERE t.window_end <= (SELECT max(time_bucket(INTERVAL 10 MINUTE, ts)) FROM even
     "stream_gmv_today": sales.ORACLE["gmv_cumulate_today_top5"] + _CLOSED.format(a="r"),
     "stream_pages": log_queries.ORACLE["page_view_users"],
     "stream_device": log_queries.ORACLE["device_stats"],
+    "stream_staged_logs": log_queries.DEVICE.replace(
+        "FROM logs GROUP", "FROM logs WHERE event_id % 10 <> 0 GROUP"
+    )
+    + "\nSELECT * FROM report",
     "stream_region": log_queries.ORACLE["region_heat"],
     "stream_search_top10": """WITH searches AS (
     SELECT CAST(ts AS DATE) AS pt,
