@@ -27,12 +27,17 @@ def money(col: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """``decimal(18,2)`` as whole cents: exact, and cheap to sum."""
+    """``decimal(18,2)`` as whole cents: exact, and cheaper to sum than decimals.
+
+    A sum beyond 92 quadrillion fails under ANSI rules, which ``build_session`` sets.
+    """
     return (amount * 100).cast("bigint")
 
 
 def from_cents(col: Column) -> Column:
-    return (col.cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
+    """Whole cents as ``decimal(18,2)``; sums beyond its range become null."""
+    exact = col.cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")
+    return exact.try_cast("decimal(18,2)")
 
 
 def lower_or(col: Column, default: str) -> Column:

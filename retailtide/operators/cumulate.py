@@ -40,7 +40,8 @@ class Steps:
         return bucket * (self.last + 1) + slot
 
 
-# Aggregates that can be carried on from slot to slot.
+# Aggregates that can be carried on from slot to slot. Sums must fail on overflow rather than
+# turn null: the next level would skip the null and report too little.
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 _FIRST = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 

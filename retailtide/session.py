@@ -29,6 +29,7 @@ def build_session(
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": tz,
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -66,6 +67,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
     """
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.ansi.enabled", "true")
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     session.conf.set(

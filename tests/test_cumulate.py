@@ -112,6 +112,21 @@ def test_borders(spark):
     assert got["2024-03-02 00:00:00", "2024-03-02 00:10:00"] == 4
 
 
+def test_totals_beyond_the_report_range(spark):
+    """A total that does not fit the report is null; a sum that cannot be held is an error."""
+    huge = Decimal("9999999999999999.99")
+    day = datetime(2024, 3, 1)
+    rows = [(i, "a", huge, day + timedelta(hours=10)) for i in range(3)]
+    rows += [(20, "b", Decimal("1.50"), day + timedelta(hours=9)), (21, "b", Decimal("2.00"), day + DAY)]
+    got = {(r.window_start, r.window_end): r.win_gmv for r in gmv.gmv_all(orders(spark, rows)).collect()}
+    assert got["2024-03-01 00:00:00", "2024-03-01 10:00:00"] == Decimal("1.50")
+    assert got["2024-03-01 00:00:00", "2024-03-01 10:10:00"] is None
+    assert got["2024-03-02 00:00:00", "2024-03-02 00:10:00"] == 2
+    assert len(got) == 144 - 54 + 144
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
+        gmv.sale_slots(orders(spark, rows[:1] * 12)).collect()
+
+
 def test_days_follow_the_session_zone(shanghai):
     frame = shanghai.createDataFrame([(1, "a", "1", 1709308800000)], "id long, product_id string, total_amount string, ts long")
     frame = frame.withColumn("ts_ms", F.timestamp_millis("ts"))  # 2024-03-01 16:00 UTC
