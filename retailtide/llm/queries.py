@@ -5,11 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailtide.llm import chat_format, quality_rules
+from retailtide.llm import chat_format, decontaminate, quality_classifier, quality_rules
+from retailtide.llm.shipping import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.train(spark, docs, _table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score(docs, model)
+    return scored.select(
+        "doc_id",
+        quality_classifier.held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality_classifier.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +60,7 @@ measured AS (
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(ls) - len(list_distinct(ls)) AS n_dup_lines,
          coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines,
-         len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_echo,
+         len(list_filter(list_zip(ws, ws[2:]), lambda p: p[1] = p[2])) AS n_echo,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
          length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower
   FROM split LEFT JOIN repeated USING (doc_id)),
@@ -99,11 +112,56 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_OP10_SQL = r"""
+WITH lowered AS (
+  SELECT doc_id AS id, 1 AS side, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT item_id, 2, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+split AS (SELECT id, side, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM lowered),
+items AS (SELECT id, ws, least(len(ws), 13) AS size FROM split WHERE side = 2 AND len(ws) > 0),
+sizes AS (SELECT DISTINCT size FROM items),
+windows AS (
+  SELECT DISTINCT id AS item, size, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM items)),
+places AS (
+  SELECT id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+        FROM split, sizes WHERE side = 1 AND len(ws) >= size)),
+hits AS (SELECT id, size, i, item FROM places JOIN windows USING (size, w)),
+covered AS (
+  SELECT id, count(DISTINCT i + j) AS n_hit
+  FROM hits, range(13) AS r(j) WHERE j < size GROUP BY id),
+found AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM hits) GROUP BY id)
+SELECT id AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM split LEFT JOIN covered USING (id) LEFT JOIN found USING (id) WHERE side = 1
+"""
+
 QUERIES = {
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_format": op9_chat_format,
+    "op10_decontaminate": op10_decontaminate,
 }
 ORACLE = {
     "op8_quality_rules": _OP8_SQL,
     "op9_chat_format": _OP9_SQL,
+    "op10_decontaminate": _OP10_SQL,
 }
