@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailtide.llm import chat_format, decontaminate, quality_classifier, quality_rules
+from retailtide.llm import chat_format, decontaminate, near_dedup, packing, quality_classifier, quality_rules
+from retailtide.llm.tokens import vocabulary
 from retailtide.llm.shipping import ship
 
 
@@ -13,6 +14,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+
+
+_OP1_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+members AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS m
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i
+        FROM split WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM members GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM members a JOIN members b ON a.m = b.m AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2
+  HAVING 100 * count(*) >= 75 * ((SELECT n FROM sizes s WHERE s.doc_id = a.doc_id)
+                               + (SELECT n FROM sizes s WHERE s.doc_id = b.doc_id) - count(*))),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM split
+  UNION
+  SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM split JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, vocabulary("word_bpe_49k.json")))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality_classifier.train(spark, docs, _table(spark, sf_dir, "labels"))
@@ -155,12 +190,15 @@ FROM split LEFT JOIN covered USING (id) LEFT JOIN found USING (id) WHERE side =
 """
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op6_pack": op6_pack,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLE = {
+    "op1_near_dedup": _OP1_SQL,
     "op8_quality_rules": _OP8_SQL,
     "op9_chat_format": _OP9_SQL,
     "op10_decontaminate": _OP10_SQL,
