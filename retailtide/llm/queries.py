@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailtide.llm import chat_format, decontaminate, near_dedup, packing, quality_classifier, quality_rules
+from retailtide.llm import (
+    chat_format,
+    decontaminate,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_files,
+    warc,
+)
 from retailtide.llm.tokens import vocabulary
 from retailtide.llm.shipping import ship
 
@@ -43,6 +52,30 @@ FROM split JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_files.read(token_files.write(docs, vocabulary("byte_bpe_50k.json")))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read(warc.write(_table(spark, sf_dir, "pages")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP4_SQL = """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+                 ELSE page_id END AS first FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM firsts
+"""
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, vocabulary("word_bpe_49k.json")))
@@ -191,6 +224,8 @@ FROM split LEFT JOIN covered USING (id) LEFT JOIN found USING (id) WHERE side =
 
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_token_files": op2_token_files,
+    "op4_warc": op4_warc,
     "op6_pack": op6_pack,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
@@ -199,6 +234,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_near_dedup": _OP1_SQL,
+    "op4_warc": _OP4_SQL,
     "op8_quality_rules": _OP8_SQL,
     "op9_chat_format": _OP9_SQL,
     "op10_decontaminate": _OP10_SQL,

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are held as arrays at once; one longer text makes a slice of its own.
 SLICE_BYTES = 4_000_000
@@ -120,7 +121,7 @@ class Texts:
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds at most ``limit`` bytes of text, or one row."""
     sizes = np.asarray(
-        pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64
+        pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64
     )
     start = 0
     while start < batch.num_rows:
