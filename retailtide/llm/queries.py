@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from retailtide.llm import (
     chat_format,
     decontaminate,
+    main_text,
     near_dedup,
     packing,
+    pitman_yor,
     quality_classifier,
     quality_rules,
     token_files,
@@ -57,6 +59,14 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(docs, vocabulary("byte_bpe_50k.json")))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(spark, _table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read(warc.write(_table(spark, sf_dir, "pages")), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -225,9 +235,11 @@ FROM split LEFT JOIN covered USING (id) LEFT JOIN found USING (id) WHERE side =
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
+    "op3_main_text": op3_main_text,
     "op4_warc": op4_warc,
-    "op6_pack": op6_pack,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_pack": op6_pack,
+    "op7_pitman_yor": op7_pitman_yor,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
