@@ -15,7 +15,8 @@ from retailtide.plans.gmv import latest_per_order, sale_lines
 def cdc_flatten(spark, sf_dir):
     texts = derive.changes(derive.table(spark, sf_dir, "orders"))
     flat = parse.flatten_changes(parse.parsed(parse.order_changes(texts)))
-    return flat.select("id", "order_id", "user_id", "total_amount", "ds", "table_name", "op")
+    unlisted = [F.get_json_object("after", f"$.{n}").alias(n) for n in ("priority", "lines")]
+    return flat.select("id", "order_id", "user_id", "total_amount", "ds", *unlisted, "table_name", "op")
 
 
 def cdc_topic_text(spark, sf_dir):
@@ -137,14 +138,16 @@ ORACLE = {
 SELECT CAST(o_orderkey AS VARCHAR) AS id, 'SO' || o_orderkey AS order_id,
        CAST(o_custkey AS VARCHAR) AS user_id,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS total_amount,
-       strftime(o_orderdate, '%Y%m%d') AS ds,
+       strftime(o_orderdate, '%Y%m%d') AS ds, o_orderpriority AS priority,
+       CAST(o_orderkey % 7 AS VARCHAR) AS lines,
        {_TABLE_NAME} AS table_name, {_OP} AS op
 FROM orders WHERE o_orderstatus <> 'P'""",
     "cdc_topic_text": f"""
-SELECT '{{"id":"' || o_orderkey || '","order_id":"SO' || o_orderkey || '","user_id":"' || o_custkey
-       || '","total_amount":"' || CAST(o_totalprice AS DECIMAL(18,2)) || '","ds":"'
-       || strftime(o_orderdate, '%Y%m%d') || '","table_name":"' || {_TABLE_NAME}
-       || '","op":"' || {_OP} || '"}}' AS "value"
+SELECT '{{"ds":"' || strftime(o_orderdate, '%Y%m%d') || '","id":' || o_orderkey
+       || ',"lines":' || (o_orderkey % 7) || ',"order_id":"SO' || o_orderkey
+       || '","priority":"' || o_orderpriority || '","total_amount":"'
+       || CAST(o_totalprice AS DECIMAL(18,2)) || '","user_id":"' || o_custkey
+       || '","table_name":"' || {_TABLE_NAME} || '","op":"' || {_OP} || '"}}' AS "value"
 FROM orders WHERE o_orderstatus <> 'P'""",
     "cdc_snapshot": """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,

@@ -116,6 +116,8 @@ def changes(orders: DataFrame) -> DataFrame:
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total_amount"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("ds"),
+        F.col("o_orderpriority").alias("priority"),
+        (F.col("o_orderkey") % 7).alias("lines"),
     )
     source = F.struct(
         F.lit("oms").alias("db"),

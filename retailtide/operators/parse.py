@@ -23,7 +23,12 @@ def with_record(
     """
     text = F.col(value)
     items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), _JSON_OPTIONS)
-    closed = F.rtrim(text).endswith("}")
+    # A list that the text itself closes would hide what follows, so such texts must also be
+    # good as the one field of an object; no others are read twice.
+    field = T.StructType([T.StructField("x", T.MapType(T.StringType(), T.StringType()))])
+    inside = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), field, _JSON_OPTIONS)
+    whole = F.when(text.rlike(r"\}\s*\]"), inside["x"].isNotNull()).otherwise(F.lit(True))
+    closed = F.rtrim(text).endswith("}") & whole
     single = F.transform(
         F.array(items), lambda a: F.when((F.size(a) == 1) & closed, F.get(a, F.lit(0)))
     )
@@ -82,19 +87,52 @@ def order_records(df: DataFrame) -> DataFrame:
     )
 
 
-def flatten_changes(df: DataFrame) -> DataFrame:
-    """After-images with ``table_name`` and ``op``; deletes, which have none, drop out."""
+def change_images(df: DataFrame) -> DataFrame:
+    """Whole after-images as JSON, with ``table_name`` and ``op``; deletes drop out."""
     source = F.col("record.source")
     table_name = F.concat_ws(
         ".", *[F.coalesce(source.getField(f), F.lit("")) for f in ("db", "schema", "table")]
     )
-    return df.filter(F.col("record.after").isNotNull()).select(
-        "record.after.*",
+    after = F.to_json("record.after")
+    return df.filter(after.startswith("{")).select(
+        after.alias("after"),
         table_name.alias("table_name"),
         F.coalesce(F.col("record.op"), F.lit("")).alias("op"),
     )
 
 
+def flatten_changes(df: DataFrame, schema: T.StructType = schemas.ORDER_ROW) -> DataFrame:
+    """The fields of ``schema`` of each after-image as columns, and the whole of it in ``after``."""
+    read = parsed(with_record(change_images(df), schema, "after"))
+    own = [f"record.{n}" for n in schema.names if n not in ("after", "table_name", "op")]
+    return read.select(*own, "after", "table_name", "op")
+
+
+def change_texts(df: DataFrame, value: str = "value") -> DataFrame:
+    """Each after-image as one JSON text, all its fields, plus ``table_name`` and ``op``.
+
+    Numbers stay the numbers they are and nulls stay nulls, whatever the table's columns. Only an
+    image that has fields of these two names is taken apart to put others in their place.
+    """
+    images = change_images(df)
+    body = F.rtrim(F.substring(F.col("after"), F.lit(2), F.char_length("after") - 2))
+    added = F.to_json(F.struct("table_name", "op"))
+    names = F.json_object_keys("after")
+    joined = F.concat(
+        F.lit("{"), body, F.when(F.trim(body) != "", ",").otherwise(""), F.substring(added, 2, 2**31 - 1)
+    )
+    fields = F.try_parse_json("after").cast("map<string,variant>")
+    others = F.map_filter(fields, lambda k, v: ~k.isin("table_name", "op"))
+    rest = F.to_json(others, {"ignoreNullFields": "false"})
+    rebuilt = F.concat(
+        F.substring(rest, F.lit(1), F.char_length(rest) - 1),
+        F.when(F.size(others) > 0, ",").otherwise(""),
+        F.substring(added, 2, 2**31 - 1),
+    )
+    taken = F.arrays_overlap(names, F.array(F.lit("table_name"), F.lit("op")))
+    return images.select(F.when(taken, rebuilt).otherwise(joined).alias(value))
+
+
 def as_json(df: DataFrame, value: str = "value") -> DataFrame:
     """Each row as one JSON text; null fields are left out."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(value))
@@ -103,7 +141,10 @@ def as_json(df: DataFrame, value: str = "value") -> DataFrame:
 def snapshot_changes(
     rows: DataFrame, db: str, schema: str, table: str, op: str = "r"
 ) -> DataFrame:
-    """A table's present rows as change-record texts, as the first phase of a change feed."""
+    """A table's present rows as change-record texts, as the first phase of a change feed.
+
+    Columns without a value are written as nulls.
+    """
     return rows.select(
         F.to_json(
             F.struct(
@@ -114,10 +155,11 @@ def snapshot_changes(
                     F.lit(table).alias("table"),
                 ).alias("source"),
                 F.lit(op).alias("op"),
-            )
+            ),
+            {"ignoreNullFields": "false"},
         ).alias("value")
     )
 
 
 def order_changes(df: DataFrame) -> DataFrame:
-    return with_record(df, schemas.envelope())
+    return with_record(df, schemas.ENVELOPE)

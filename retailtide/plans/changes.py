@@ -9,7 +9,7 @@ from retailtide.operators import parse
 
 def order_topic(changes: DataFrame) -> DataFrame:
     """Change texts to the texts of the order topic; deletes and broken texts drop out."""
-    return parse.as_json(parse.flatten_changes(parse.parsed(parse.order_changes(changes))))
+    return parse.change_texts(parse.parsed(parse.order_changes(changes)))
 
 
 def broken_changes(changes: DataFrame) -> DataFrame:

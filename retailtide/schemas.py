@@ -67,15 +67,8 @@ def only(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([schema[n] for n in names])
 
 
-def envelope(after: T.StructType = ORDER_ROW) -> T.StructType:
-    """Change record around one table's after-image."""
-    return (
-        T.StructType()
-        .add("after", after)
-        .add("source", SOURCE)
-        .add("op", T.StringType())
-    )
-
+# Change record around one row of any table: its after-image keeps all fields and their types.
+ENVELOPE = T.StructType().add("after", T.VariantType()).add("source", SOURCE).add("op", T.StringType())
 
 # The fields of an order text that the sales reports use.
 SALE = only(ORDER, "product_id", "total_amount", "ts")

@@ -54,7 +54,7 @@ def sync_changes(
     def each_batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            deliver(parse.as_json(parse.flatten_changes(parse.parsed(df))), batch_id)
+            deliver(parse.change_texts(parse.parsed(df)), batch_id)
             broken(parse.dead_letters(df), batch_id)
         finally:
             df.unpersist()

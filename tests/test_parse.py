@@ -101,6 +101,34 @@ def test_change_records(spark):
     assert got == [("1", "3.50", "d.s.t", "c"), ("1", "3.50", "d..t", ""), ("1", "3.50", "..", "")]
 
 
+def test_the_whole_after_image_is_carried(spark):
+    images = [
+        '{"extra":{"a":[1,null]},"id":98765432109876543210,"none":null,"price":12345678901234567.891}',
+        "{}",
+        '{"op":"own","x":1,"none":null}',
+    ]
+    values = ['{"after":%s,"source":{"db":"d","schema":"s","table":"t"},"op":"u"}' % i for i in images]
+    values += ['{"after":"text","op":"c"}', '{"after":null,"op":"d"}']
+    got = parse.change_texts(parse.parsed(parse.order_changes(texts_frame(spark, values)))).collect()
+    added = {"table_name": "d.s.t", "op": "u"}
+    assert [json.loads(r.value) for r in got] == [{**json.loads(i), **added} for i in images]
+    assert got[0].value.startswith(images[0][:-1])
+
+
+@pytest.mark.parametrize(
+    "text, good",
+    [
+        ('{"op":"c","after":{"id":9}}] junk }', False),
+        ('{"op":"c"}],[{"op":"c"}', False),
+        ('{"op":"c","list":[{"a":1} ]}', True),
+        ('{"op":"c","text":"}] x"}', True),
+    ],
+)
+def test_text_after_an_object_that_closes_the_list(spark, text, good):
+    row = parse.order_changes(texts_frame(spark, [text])).first()
+    assert (row.record is not None) == good
+
+
 def test_order_rows(spark):
     values = [
         json.dumps({"id": 1, "ts": 1761878400, "total_amount": "12.345", "product_id": " p\\n"}),
@@ -124,7 +152,8 @@ def test_order_rows(spark):
 def test_record_is_parsed_once(spark):
     frame = log_rows(texts_frame(spark, [json.dumps(GOOD)]))
     plan = frame.select("log_type", "gis.ip", "device.plat")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+    # the other one only looks at texts that may hide something after a closed list
+    assert plan.count("from_json") == 2 and plan.count("RLIKE") == 1
 
 
 def test_time_rules(spark):
