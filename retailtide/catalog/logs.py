@@ -66,7 +66,10 @@ def region_heat(spark, sf_dir):
 
 
 def region_heat_merged(spark, sf_dir):
-    return logs.merged_labels(region_heat(spark, sf_dir)).select("pt", "region", "count")
+    """The region table: one row per day and label."""
+    return logs.region_label_report(
+        derive.logs(spark, sf_dir), derive.ip_ranges(spark, sf_dir), AS_OF
+    )
 
 
 def device_texts(spark, sf_dir):
@@ -110,7 +113,7 @@ SELECT event_id, ip, region_raw AS region FROM located"""
 
 _HEAT = f"""WITH {_LOGS}, {_REGIONS},
 counts AS (
-    SELECT pt, region_raw, count(*) AS "count", arg_max(ip, (ts, ip)) AS ip
+    SELECT pt, region_raw, count(*) AS "count", arg_max(ip, (ts, ip)) AS ip, max(ts) AS newest
     FROM located GROUP BY ALL
 ),
 parts AS (
@@ -129,6 +132,16 @@ report AS (
            CASE WHEN pt = DATE '{AS_OF}' THEN 'periodic' ELSE 'history' END AS type,
            CASE WHEN province IS NULL THEN ip END AS ip
     FROM parts
+),
+merged AS (
+    SELECT pt, coalesce(province, 'null') || '|' || coalesce(city, 'null') || '|'
+               || coalesce(district, 'null') AS region,
+           max(province) AS province, max(city) AS city, max(district) AS district,
+           CAST(sum("count") AS BIGINT) AS "count", bool_or(NOT regular) AS abnormal,
+           arg_max(region_raw, (newest, ip, region_raw)) AS region_raw,
+           CASE WHEN pt = DATE '{AS_OF}' THEN 'periodic' ELSE 'history' END AS type,
+           CASE WHEN max(province) IS NULL THEN arg_max(ip, (newest, ip, region_raw)) END AS ip
+    FROM parts GROUP BY 1, 2
 )"""
 
 DEVICE = f"""WITH {_LOGS},
@@ -174,8 +187,7 @@ FROM report""",
     "ip_region": _IP,
     "ip_region_shuffled": _IP,
     "region_heat": f"{_HEAT}\nSELECT * FROM report",
-    "region_heat_merged": f"""{_HEAT}
-SELECT pt, region, CAST(sum("count") AS BIGINT) AS "count" FROM report GROUP BY pt, region""",
+    "region_heat_merged": f"{_HEAT}\nSELECT * FROM merged",
     "search_word_counts": f"{_WORDS}\nSELECT pt, keyword, cnt FROM counts",
     "search_word_items": f"{_WORDS}\nSELECT pt, '[' || item || ']' AS search_item FROM items",
     "search_top10_day": f"""{_WORDS},

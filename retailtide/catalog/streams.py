@@ -39,21 +39,23 @@ def _logs(session, sf_dir):
 
 
 def _report(spark, path):
-    report = read_table(spark, orders.gmv_table(f"{path}/report")).drop("update_time")
+    report = read_table(spark, orders.gmv_table(spark, f"{path}/report")).drop("update_time")
     return report.select("ds", "window_start", "window_end", "win_gmv", "win_gmv_ids", "top5_product_ids")
 
 
 def stream_gmv(spark, sf_dir):
     """Every window that the end of the events closes."""
     session, folder, running = _setting(spark, "stream_gmv")
-    finish(orders.gmv_all_history(_orders(session, sf_dir), folder, running))
+    finish(
+        orders.gmv_all_history(_orders(session, sf_dir), folder, running, delay=orders.ORDER_DELAY)
+    )
     return _report(spark, folder)
 
 
 def stream_gmv_changed(spark, sf_dir):
     """Every window up to the newest sale, reported as sales arrive."""
     session, folder, running = _setting(spark, "stream_gmv_changed")
-    finish(orders.gmv_all_history(_orders(session, sf_dir), folder, running, delay=None))
+    finish(orders.gmv_all_history(_orders(session, sf_dir), folder, running))
     return _report(spark, folder)
 
 
@@ -65,7 +67,7 @@ def stream_changes_to_gmv(spark, sf_dir):
     texts = parse.snapshot_changes(rows, "oms", "dbo", "orders")
     finish(orders.sync_changes(texts, to_files(topic), to_files(f"{folder}/dead"), running))
     sales_rows = order_rows(text_stream(session, topic), schemas.SALE)
-    finish(orders.gmv_all_history(sales_rows, folder, running))
+    finish(orders.gmv_all_history(sales_rows, folder, running, delay=orders.ORDER_DELAY))
     return _report(spark, folder)
 
 
@@ -141,28 +143,24 @@ QUERIES = {
     "stream_cdc": stream_cdc,
 }
 
-# the last slot whose end the watermark (newest event less five seconds) has passed
-_CLOSED = """
-WHERE {a}.window_end <= (
-    SELECT max(time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE) FROM events
-    WHERE time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE
-          <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND)"""
+# windows that the newest event less five seconds has passed
+_CLOSED = "WHERE {a}.window_end <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"
 
 ORACLE = {
-    "stream_gmv": sales.ORACLE["gmv_cumulate_all"] + _CLOSED.format(a="t"),
+    "stream_gmv": sales.ORACLE["gmv_cumulate_all"] + "\n" + _CLOSED.format(a="t"),
     "stream_gmv_changed": sales.ORACLE["gmv_cumulate_all"]
     + """
 WHERE t.window_end <= (SELECT max(time_bucket(INTERVAL 10 MINUTE, ts)) FROM events)
                       + INTERVAL 10 MINUTE""",
-    "stream_changes_to_gmv": sales.ORACLE["gmv_cumulate_all"] + _CLOSED.format(a="t"),
-    "stream_gmv_today": sales.ORACLE["gmv_cumulate_today_top5"] + _CLOSED.format(a="r"),
+    "stream_changes_to_gmv": sales.ORACLE["gmv_cumulate_all"] + "\n" + _CLOSED.format(a="t"),
+    "stream_gmv_today": sales.ORACLE["gmv_cumulate_today_top5"] + "\n" + _CLOSED.format(a="r"),
     "stream_pages": log_queries.ORACLE["page_view_users"],
     "stream_device": log_queries.ORACLE["device_stats"],
     "stream_staged_logs": log_queries.DEVICE.replace(
         "FROM logs GROUP", "FROM logs WHERE event_id % 10 <> 0 GROUP"
     )
     + "\nSELECT * FROM report",
-    "stream_region": log_queries.ORACLE["region_heat"],
+    "stream_region": log_queries.ORACLE["region_heat_merged"],
     "stream_search_top10": """WITH searches AS (
     SELECT CAST(ts AS DATE) AS pt,
            unnest([event_type, 'w' || json_extract_string(props, '$.k')]) AS keyword

@@ -15,6 +15,9 @@ from retailtide.operators.bounded import BROADCAST_LIMIT, measured_bytes
 
 _BLOCK = 65_536
 
+# Copies of a block's ranges in a stream that joins a large range table.
+STREAM_SALTS = 16
+
 # Fixed value: dotted quad of decimal octets, none above 255.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
@@ -31,20 +34,48 @@ def ip_number(ip: Column) -> Column:
 
 
 def block_ranges(ranges: DataFrame) -> DataFrame:
-    """``ip_lo, ip_hi, region`` cut into /16 blocks."""
+    """``ip_lo, ip_hi, region`` as pieces that do not overlap, each within one /16 block.
+
+    Where ranges overlap, the one with the greatest start has the address; of equal starts the
+    one that ends first, then the greater text. Only blocks with overlaps are cut up further.
+    """
     blocks = F.sequence(
         F.floor(F.col("ip_lo") / _BLOCK), F.floor(F.col("ip_hi") / _BLOCK)
     )
-    return (
+    cut = (
         ranges.filter("ip_lo <= ip_hi")
         .select("ip_lo", "ip_hi", "region", F.explode(blocks).alias("block"))
-        .select("block", "ip_lo", "ip_hi", "region")
+        .select(
+            "block",
+            F.greatest("ip_lo", F.col("block") * _BLOCK).alias("at"),
+            F.least("ip_hi", F.col("block") * _BLOCK + (_BLOCK - 1)).alias("upto"),
+            F.struct("ip_lo", -F.col("ip_hi"), "region").alias("rank"),
+            "region",
+        )
     )
-
-
-def _joined(numbered: DataFrame, blocks: DataFrame) -> DataFrame:
+    earlier = (
+        Window.partitionBy("block").orderBy("at", "upto").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    seen = cut.withColumn("overlaps", F.max("upto").over(earlier) >= F.col("at"))
+    whole = Window.partitionBy("block")
+    marked = seen.withColumn("messy", F.coalesce(F.bool_or("overlaps").over(whole), F.lit(False)))
+    clean = marked.filter("not messy").select("block", F.col("at").alias("ip_lo"), F.col("upto").alias("ip_hi"), "region")
+    messy = marked.filter("messy").select("block", "at", "upto", "rank", "region")
+    borders = messy.select("block", F.explode(F.array("at", F.col("upto") + 1)).alias("begin")).distinct()
+    following = F.lead("begin").over(Window.partitionBy("block").orderBy("begin"))
+    pieces = borders.withColumn("end", following - 1).filter("end is not null")
+    owned = pieces.join(messy, "block").filter("begin between at and upto")
+    best = owned.groupBy("block", "begin", "end").agg(F.max_by("region", "rank").alias("region"))
+    return clean.union(best.select("block", "begin", "end", "region"))
+
+
+def _joined(numbered: DataFrame, blocks: DataFrame, salts: int = 1) -> DataFrame:
+    """Equi-join by block; with ``salts`` a block's rows are dealt to so many copies of its ranges."""
+    numbered = numbered.withColumn("salt", F.pmod(F.col("ip_number"), F.lit(salts)).cast("int"))
+    blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     inside = (
         (F.col("l.block") == F.col("r.block"))
+        & (F.col("l.salt") == F.col("r.salt"))
         & (F.col("l.ip_number") >= F.col("r.ip_lo"))
         & (F.col("l.ip_number") <= F.col("r.ip_hi"))
     )
@@ -52,7 +83,7 @@ def _joined(numbered: DataFrame, blocks: DataFrame) -> DataFrame:
         numbered.alias("l")
         .join(blocks.alias("r"), inside, "left")
         .select("l.*", F.col("r.region").alias("region"))
-        .drop("ip_number", "block")
+        .drop("ip_number", "block", "salt")
     )
 
 
@@ -77,7 +108,7 @@ def _last_range(addresses: DataFrame, blocks: DataFrame) -> DataFrame:
     )
     starts = blocks.select(
         "block",
-        F.greatest("ip_lo", F.col("block") * _BLOCK).alias("at"),
+        F.col("ip_lo").alias("at"),
         F.lit(None).cast("string").alias("ip_text"),
         F.struct("ip_hi", "region").alias("span"),
     )
@@ -103,18 +134,21 @@ def with_region(
 ) -> DataFrame:
     """Add ``region`` to every row; unreadable or uncovered addresses get the unknown label.
 
-    Ranges must not overlap. A range table within ``limit`` bytes (measured) is broadcast
+    Of ranges that overlap the one with the greatest start counts, whatever the way taken (see
+    ``block_ranges``). A range table within ``limit`` bytes (measured) is broadcast
     and the rows stay where they are. A larger one is joined to the distinct addresses
     only, of which a /16 block holds at most 65,536 however hot it is; the rows then take
-    the answer by address in a join whose hot keys adaptive execution can split. A stream,
-    whose batches are small, meets a large range table block by block.
+    the answer by address in a join whose hot keys adaptive execution can split. A stream, which
+    runs without adaptive execution, meets a large range table block by block, a block's rows
+    dealt to ``STREAM_SALTS`` copies of its ranges.
     """
     blocks = block_ranges(ranges)
     labelled = F.coalesce("region", F.lit(UNKNOWN_REGION))
     small = measured_bytes(blocks) <= limit
     if small or df.isStreaming:
         side = F.broadcast(blocks) if small else blocks
-        return _joined(_numbered(df, F.col(ip)), side).withColumn("region", labelled)
+        joined = _joined(_numbered(df, F.col(ip)), side, 1 if small else STREAM_SALTS)
+        return joined.withColumn("region", labelled)
     keyed = df.withColumn("ip_text", F.col(ip))
     addresses = keyed.select("ip_text").distinct()
     answers = _last_range(addresses, blocks)

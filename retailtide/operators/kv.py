@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailtide.operators.bounded import BROADCAST_LIMIT, broadcast_if_small
-
 
 def to_cells(df: DataFrame, key: Column) -> DataFrame:
     """Put form of each row: one text cell per field that is present."""
@@ -43,13 +41,14 @@ def get(rows: DataFrame, key: str) -> DataFrame:
     return rows.filter(F.col("row_key") == key)
 
 
-def get_many(rows: DataFrame, keys: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    return rows.join(broadcast_if_small(keys.select("row_key"), limit), "row_key", "left_semi")
+def get_many(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of the given keys. Adaptive execution broadcasts few keys, by their shuffled size."""
+    return rows.join(keys.select("row_key"), "row_key", "left_semi")
 
 
-def delete(rows: DataFrame, keys: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """The table without the given keys."""
-    return rows.join(broadcast_if_small(keys.select("row_key"), limit), "row_key", "left_anti")
+def delete(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The table without the given keys; write the result where the table is to be without them."""
+    return rows.join(keys.select("row_key"), "row_key", "left_anti")
 
 
 def scan(rows: DataFrame, n: int) -> DataFrame:

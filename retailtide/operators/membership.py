@@ -1,12 +1,14 @@
-"""Is a word in a named set."""
+"""Is a word in a named set.
+
+The joins are not marked: adaptive execution broadcasts the set when its shuffled size turns out
+small (``spark.sql.adaptive.autoBroadcastJoinThreshold``), at no extra pass over it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailtide.operators.bounded import BROADCAST_LIMIT, broadcast_if_small
-
 
 def members(sets: DataFrame, name: str | None = None) -> DataFrame:
     """Distinct words of one set; ``sets`` has ``word`` and, when it holds several, ``set_name``."""
@@ -14,20 +16,16 @@ def members(sets: DataFrame, name: str | None = None) -> DataFrame:
     return chosen.select("word").filter("word is not null").distinct()
 
 
-def _lookup(df: DataFrame, column: str, words: DataFrame, limit: int) -> DataFrame:
-    return broadcast_if_small(words.select(F.col("word").alias(column)), limit)
+def _lookup(column: str, words: DataFrame) -> DataFrame:
+    return words.select(F.col("word").alias(column))
 
 
-def in_set(
-    df: DataFrame, column: str, words: DataFrame, limit: int = BROADCAST_LIMIT
-) -> DataFrame:
-    return df.join(_lookup(df, column, words, limit), column, "left_semi")
+def in_set(df: DataFrame, column: str, words: DataFrame) -> DataFrame:
+    return df.join(_lookup(column, words), column, "left_semi")
 
 
-def not_in_set(
-    df: DataFrame, column: str, words: DataFrame, limit: int = BROADCAST_LIMIT
-) -> DataFrame:
-    return df.join(_lookup(df, column, words, limit), column, "left_anti")
+def not_in_set(df: DataFrame, column: str, words: DataFrame) -> DataFrame:
+    return df.join(_lookup(column, words), column, "left_anti")
 
 
 def flag_in_set(
@@ -35,8 +33,7 @@ def flag_in_set(
     column: str,
     words: DataFrame,
     flag: str = "is_member",
-    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Keep every row and say whether its word is a member. ``words`` must be distinct."""
-    side = _lookup(df, column, words, limit).withColumn(flag, F.lit(True))
+    side = _lookup(column, words).withColumn(flag, F.lit(True))
     return df.join(side, column, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))

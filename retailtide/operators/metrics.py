@@ -90,5 +90,7 @@ def address_counts(logs: DataFrame, day: str = "day") -> DataFrame:
 def region_counts(addresses: DataFrame, day: str = "day") -> DataFrame:
     """Hits per day and raw region, with the address of the newest hit (ties: the greatest)."""
     return addresses.groupBy(day, F.col("region").alias("region_raw")).agg(
-        F.sum("count").alias("count"), F.max_by("ip", F.struct("newest", "ip")).alias("ip")
+        F.sum("count").alias("count"),
+        F.max_by("ip", F.struct("newest", "ip")).alias("ip"),
+        F.max("newest").alias("newest"),
     )

@@ -90,28 +90,28 @@ def search_top_report(logs: DataFrame, k: int = TOP_WORDS) -> DataFrame:
     return search_top_columns(metrics.keyword_counts(parse.keyword_rows(logs)), k)
 
 
-def region_columns(
-    counts: DataFrame, as_of=None, zero_is_abnormal: bool = False
-) -> DataFrame:
-    """Report columns of counts per ``day, region_raw`` with the newest ``ip``.
+def with_region_parts(df: DataFrame, zero_is_abnormal: bool = False) -> DataFrame:
+    """Add label, parts and ``abnormal`` of ``region_raw``.
 
     A region text without parts is abnormal. ``zero_is_abnormal`` also counts texts with
     a ``0`` part as such and clears their parts, which the original rule means to do.
     """
     raw = F.col("region_raw")
     parts = {n: texts.region_part(raw, i) for i, n in ((1, "province"), (2, "city"), (3, "district"))}
-    df = counts.withColumns(parts).withColumn(
-        "abnormal", raw.isNull() | ~F.contains(raw, F.lit("|"))
-    )
+    df = df.withColumns(parts).withColumn("abnormal", raw.isNull() | ~F.contains(raw, F.lit("|")))
     if zero_is_abnormal:
         pieces = F.transform(F.slice(F.split(raw, r"\|"), 2, 3), lambda part: F.trim(part))
         df = df.withColumn("abnormal", F.col("abnormal") | F.array_contains(pieces, "0"))
         df = df.withColumns({n: F.when(~F.col("abnormal"), F.col(n)) for n in parts})
     label = texts.region_label(F.col("province"), F.col("city"), F.col("district"))
+    return df.withColumn("region", label)
+
+
+def _region_report_columns(df: DataFrame, as_of) -> DataFrame:
     no_province = F.col("province").isNull() | (F.col("province") == texts.NULL_LABEL)
     return df.select(
         F.col("day").alias("pt"),
-        label.alias("region"),
+        "region",
         "province",
         "city",
         "district",
@@ -123,16 +123,44 @@ def region_columns(
     )
 
 
-def merged_labels(report: DataFrame) -> DataFrame:
-    """Optional: one row per region label, summing the raw regions that share it."""
-    firsts = ["province", "city", "district", "type"]
-    return report.groupBy("pt", "region").agg(
-        *[F.max(c).alias(c) for c in firsts],
+def region_columns(counts: DataFrame, as_of=None, zero_is_abnormal: bool = False) -> DataFrame:
+    """Detail: a report row per ``day, region_raw`` of such counts, with the newest ``ip``."""
+    return _region_report_columns(with_region_parts(counts, zero_is_abnormal), as_of)
+
+
+def region_label_counts(parts: DataFrame, day: str = "day") -> DataFrame:
+    """Hits per day and region label, with text and address of the newest hit.
+
+    Takes hits or sums of hits, with ``count``, ``ip`` and ``newest``, and the parts of their region;
+    ties go to the greatest address, then text.
+    """
+    newest = F.struct("newest", "ip", "region_raw")
+    return parts.groupBy(day, "region").agg(
+        *[F.max(c).alias(c) for c in ("province", "city", "district")],
         F.sum("count").alias("count"),
         F.bool_or("abnormal").alias("abnormal"),
-        F.max("region_raw").alias("region_raw"),
-        F.max("ip").alias("ip"),
-    ).select(*report.columns)
+        F.max(newest).alias("last"),
+    ).select(
+        "*", F.col("last.region_raw").alias("region_raw"), F.col("last.ip").alias("ip")
+    ).drop("last")
+
+
+def region_label_columns(counts: DataFrame, as_of=None) -> DataFrame:
+    """Report rows of counts per label, the key of the region table."""
+    return _region_report_columns(counts, as_of)
+
+
+def region_label_report(
+    logs: DataFrame,
+    ranges: DataFrame,
+    as_of=None,
+    zero_is_abnormal: bool = False,
+    limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """Heat per region label: one row per ``pt, region``."""
+    located = iprange.with_region(metrics.address_counts(logs), ranges, "ip", limit)
+    raw = metrics.region_counts(located)
+    return region_label_columns(region_label_counts(with_region_parts(raw, zero_is_abnormal)), as_of)
 
 
 def region_report(
@@ -142,7 +170,7 @@ def region_report(
     zero_is_abnormal: bool = False,
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Heat per region.
+    """Heat per raw region, the detail behind ``region_label_report``.
 
     Hits are counted per address first: the lookup then sees each address of a day once,
     however many hits it had.

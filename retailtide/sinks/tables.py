@@ -3,14 +3,16 @@
 Every batch owns the folders ``<day>/batch_id=<n>`` and replaces them when it is replayed, so
 a retry after a lost driver or executor leaves the table as one run would. Nothing written
 earlier is read or rewritten; a keyed table resolves "newest row wins" when it is read, and
-``compact`` folds old batches away.
+``compact`` folds old batches away. Rows that cannot be stored are kept beside the table.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,36 +83,86 @@ def _put(df: DataFrame, batch_id: int, table: ReportTable) -> None:
     )
 
 
+def rejected_path(table: ReportTable) -> str:
+    """Where the rows of a table that lack a required column go, by batch."""
+    return f"{table.path.rstrip('/')}_rejected"
+
+
 def write_batch(
-    df: DataFrame, batch_id: int, table: ReportTable, order: Column | None = None
+    df: DataFrame,
+    batch_id: int,
+    table: ReportTable,
+    order: Column | None = None,
+    unique: bool = False,
 ) -> None:
-    """Write one batch; ``order`` picks the newest row where a key occurs more than once in it."""
-    if table.keys and order is not None:
-        df = latest_by_key(df, list(table.keys), order)
+    """Write one batch of a table.
+
+    A keyed table needs ``order``, which picks the newest row where a key occurs more than once in
+    the batch, or the caller's word that its rows are ``unique``. Rows that lack a required
+    column are stored beside the table (``read_rejected``), each with its batch; with too many of them
+    the whole load is refused.
+    """
+    if table.keys and order is None and not unique:
+        raise ValueError("rows for a keyed table need an order, or must be unique")
     if not table.required:
-        _put(df, batch_id, table)
+        _put(_newest(df, table, order), batch_id, table)
         return
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         check_rejects(df, table.required)
-        _put(df.filter(~unusable(table.required)), batch_id, table)
+        _put(_newest(df.filter(~unusable(table.required)), table, order), batch_id, table)
+        rejected = df.filter(unusable(table.required)).withColumn("rejected_at", F.current_timestamp())
+        rejected.write.mode("overwrite").parquet(f"{rejected_path(table)}/{BATCH}={batch_id}")
     finally:
         df.unpersist()
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+def _newest(df: DataFrame, table: ReportTable, order: Column | None) -> DataFrame:
+    return latest_by_key(df, list(table.keys), order) if table.keys and order is not None else df
+
+
+def read_rejected(spark: SparkSession, table: ReportTable) -> DataFrame:
+    """Rejected rows of all batches, with their batch."""
+    return spark.read.parquet(rejected_path(table))
+
+
+def read_if_there(spark: SparkSession, schema: str | T.StructType, *paths: str, **options: str) -> DataFrame:
+    """Parquet below paths or patterns; no rows where nothing is there yet."""
+    try:
+        return spark.read.schema(schema).options(**options).parquet(*paths)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _batch_schema(schema: T.StructType) -> T.StructType:
+    extra = [T.StructField("update_time", T.TimestampType()), T.StructField(BATCH, T.LongType())]
+    known = [f for f in schema.fields if f.name not in ("update_time", BATCH)]
+    return T.StructType(known + extra)
 
 
 def read_batches(spark: SparkSession, table: ReportTable) -> DataFrame:
     """All rows ever written and not yet compacted, with their batch."""
-    reader = spark.read
     if table.schema is not None:
-        extra = [T.StructField("update_time", T.TimestampType()), T.StructField(BATCH, T.LongType())]
-        known = [f for f in table.schema.fields if f.name not in ("update_time", BATCH)]
-        reader = reader.schema(T.StructType(known + extra))
-    return reader.parquet(table.path)
+        return spark.read.schema(_batch_schema(table.schema)).parquet(table.path)
+    return spark.read.parquet(table.path)
+
+
+def read_days(spark: SparkSession, table: ReportTable, days) -> DataFrame:
+    """Rows of some days, listing no other day's folders; ``days`` is a list, a first and last day, or None.
+
+    The table needs a schema.
+    """
+    schema = _batch_schema(table.schema)
+    if days is None:
+        return read_if_there(spark, schema, table.path)
+    if isinstance(days, tuple):
+        first, last = days
+        days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    root = table.path.rstrip("/")
+    names = ",".join(f"{table.day}={day}" for day in days)
+    return read_if_there(spark, schema, f"{root}/{{{names}}}", basePath=root)
 
 
 def read_table(spark: SparkSession, table: ReportTable) -> DataFrame:
@@ -122,18 +174,22 @@ def read_table(spark: SparkSession, table: ReportTable) -> DataFrame:
 
 
 def compact(spark: SparkSession, table: ReportTable, new_path: str) -> None:
-    """Write the present state as one batch per day to a new place.
+    """Write the present state to a new place, all batches but the newest as one per day.
 
-    It carries the newest batch number, so later batches still win. Readers and
-    the stream switch to the new path between two batches.
+    Only the newest batch can be replayed, as its commit may have been lost. It keeps its folders, so a
+    replay replaces it and nothing else; the ones before it, which are committed, become one batch
+    numbered just below. Readers and the stream switch to the new path between two batches.
     """
     rows = read_batches(spark, table)
+    newest = rows.agg(F.max(BATCH)).first()[0]
+    if newest is None:
+        return
+    settled, last = rows.filter(F.col(BATCH) < newest), rows.filter(F.col(BATCH) == newest)
     if table.keys:
-        rows = latest_by_key(rows, list(table.keys), F.col(BATCH))
-    newest = read_batches(spark, table).agg(F.max(BATCH)).first()[0]
+        settled = latest_by_key(settled, list(table.keys), F.col(BATCH))
+    whole = settled.withColumn(BATCH, F.lit(newest - 1).cast("bigint")).unionByName(last)
     (
-        rows.withColumn(BATCH, F.lit(newest).cast("bigint"))
-        .hint("rebalance", table.day)
+        whole.hint("rebalance", table.day)
         .write.mode("errorifexists")
         .partitionBy(table.day, BATCH)
         .parquet(new_path)

@@ -82,15 +82,18 @@ def log_rows(texts: DataFrame) -> DataFrame:
     return parse.log_records(records).filter(parse.complete_log())
 
 
+def judged_logs(texts: DataFrame) -> DataFrame:
+    """Log columns of every text, with ``broken`` holding those that no report can use.
+
+    Such a text is no log record, or lacks a part every report needs. One parse serves both.
+    """
+    records = parse.with_record(texts, schemas.LOG)
+    ts = F.col("record.ts").try_cast("bigint")
+    others = [F.col(f"record.{n}") for n in schemas.LOG.names if n != "ts"]
+    rows = records.select("value", *others, ts.alias("ts"), parse.record_log_time().alias("event_time"))
+    return rows.withColumn("broken", F.when(~parse.complete_log(), F.col("value"))).drop("value")
+
+
 def broken_logs(texts: DataFrame) -> DataFrame:
     """Texts that are no log record, or lack a part every report needs."""
-    records = parse.with_record(texts, schemas.LOG)
-    timed = records.withColumns(
-        {
-            "log_type": F.col("record.log_type"),
-            "gis": F.col("record.gis"),
-            "device": F.col("record.device"),
-            "event_time": parse.record_log_time(),
-        }
-    )
-    return timed.filter(~parse.complete_log()).select("value")
+    return judged_logs(texts).filter("broken is not null").select(F.col("broken").alias("value"))

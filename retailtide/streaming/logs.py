@@ -1,8 +1,9 @@
 """Behaviour-log streams: running counts per day, written as the rows that changed.
 
-Each query groups by the start of the log's day, on which the watermark sits: state of a day
-is dropped once a day ``keep`` later has been seen. With ``keep=None`` it is kept for good,
-and no row is ever late.
+Each query groups by the start of the log's day. State is kept for good by default, so no row is
+ever late, whatever the order in which a topic's partitions are read. With ``keep``, such as
+``KEEP_COUNTS``, the watermark sits on the day: a day's state is dropped once a day that much later
+has been seen, and rows of it that come later still are dropped with it (``LateRows`` counts them).
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ from retailtide.sinks.tables import (
     write_batch,
 )
 from retailtide.sinks.topics import Deliver
-from retailtide.sources.topics import broken_logs, log_rows
+from retailtide.sources.topics import judged_logs
 from retailtide.streaming.run import Running, start
 
 # Fixed value: days a count is kept after its day.
 KEEP_COUNTS = "2 days"
 
-# Files a day gets per batch in the tables of counts.
+# Files a day gets per batch in tables whose rows are few by their keys.
 DAY_FILES = 4
 
 DAY = "day_start"
@@ -51,17 +52,17 @@ def device_table(folder: str) -> ReportTable:
 
 
 def region_table(folder: str) -> ReportTable:
-    return ReportTable(f"{folder}/region", ("pt", "region_raw"), required=("pt", "region"), files=DAY_FILES)
+    return ReportTable(f"{folder}/region", ("pt", "region"), required=("pt", "region"), files=DAY_FILES)
 
 
-def word_table(folder: str) -> ReportTable:
+def word_table(spark: SparkSession, folder: str) -> ReportTable:
     """Present count of each word."""
-    return ReportTable(f"{folder}/search_words", ("pt", "keyword"), files=DAY_FILES)
+    return ReportTable(f"{folder}/search_words", ("pt", "keyword"), files=day_files(spark))
 
 
-def search_table(folder: str) -> ReportTable:
+def search_table(spark: SparkSession, folder: str) -> ReportTable:
     """Every emitted search row."""
-    return ReportTable(f"{folder}/search", required=("pt",), files=DAY_FILES)
+    return ReportTable(f"{folder}/search", required=("pt",), files=day_files(spark))
 
 
 def user_table(spark: SparkSession, folder: str) -> ReportTable:
@@ -85,7 +86,7 @@ def device_stream(
     table = device_table(folder)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(reports.device_columns(_dated(df), as_of), batch_id, table)
+        write_batch(reports.device_columns(_dated(df), as_of), batch_id, table, unique=True)
 
     counts = metrics.device_counts(_by_day(logs, keep), DAY)
     return start(counts, name, "update", each_batch, running)
@@ -104,32 +105,34 @@ def region_stream(
     table = region_table(folder)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(reports.region_columns(_dated(df), as_of), batch_id, table)
+        write_batch(reports.region_label_columns(_dated(df), as_of), batch_id, table, unique=True)
 
     hits = iprange.with_region(_by_day(logs, keep), ranges, "gis.ip", limit).select(
         DAY,
-        "region",
+        F.col("region").alias("region_raw"),
         F.lit(1).alias("count"),
         F.col("gis.ip").alias("ip"),
         F.col("event_time").alias("newest"),
     )
-    return start(metrics.region_counts(hits, DAY), name, "update", each_batch, running)
+    counts = reports.region_label_counts(reports.with_region_parts(hits), DAY)
+    return start(counts, name, "update", each_batch, running)
 
 
 def search_stream(
     logs: DataFrame,
     folder: str,
     running: Running,
-    keep: str | None = KEEP_COUNTS,
+    keep: str | None = None,
     name: str = "search_words",
 ) -> StreamingQuery:
     """Counts per word: appended as report rows, and kept as the table ``top_words`` reads."""
-    words, report = word_table(folder), search_table(folder)
+    spark = logs.sparkSession
+    words, report = word_table(spark, folder), search_table(spark, folder)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         df = _dated(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(df.withColumnRenamed("day", "pt"), batch_id, words)
+            write_batch(df.withColumnRenamed("day", "pt"), batch_id, words, unique=True)
             rows = reports.search_word_columns(df, F.current_timestamp())
             write_batch(rows, batch_id, report)
         finally:
@@ -143,7 +146,7 @@ def page_stream(
     logs: DataFrame,
     folder: str,
     running: Running,
-    keep: str | None = KEEP_COUNTS,
+    keep: str | None = None,
     name: str = "page_views",
     emit: bool = True,
 ) -> StreamingQuery:
@@ -157,7 +160,7 @@ def page_stream(
     users, report = user_table(spark, folder), page_table(folder)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(_dated(df).withColumnRenamed("day", "pt"), batch_id, users)
+        write_batch(_dated(df).withColumnRenamed("day", "pt"), batch_id, users, unique=True)
         if emit:
             changed = (
                 read_batches(spark, users)
@@ -186,15 +189,18 @@ def page_lists(
 
 def top_words(spark: SparkSession, folder: str, k: int = reports.TOP_WORDS) -> DataFrame:
     """Most searched words per day from the stored counts."""
-    present = read_table(spark, word_table(folder)).withColumnRenamed("pt", "day")
+    present = read_table(spark, word_table(spark, folder)).withColumnRenamed("pt", "day")
     return reports.search_top_columns(present, k)
 
 
 def stage_logs(
     texts: DataFrame, path: str, running: Running, name: str = "log_rows"
 ) -> StreamingQuery:
-    """Parse a topic once into a columnar log table by day, committed by Spark's file sink."""
-    rows = log_rows(texts).withColumn("pt", F.col("event_time").cast("date"))
+    """Parse a topic once into a columnar table by day, committed by Spark's file sink.
+
+    Texts that no report can use are staged with the others, in the column ``broken``.
+    """
+    rows = judged_logs(texts).withColumn("pt", F.col("event_time").cast("date"))
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")
@@ -207,10 +213,21 @@ def stage_logs(
     )
 
 
+def _staged(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(_staged_frame(spark).schema).parquet(path)
+
+
 def staged_logs(spark: SparkSession, path: str) -> DataFrame:
     """The staged log rows as a stream; a report reads the columns it needs, and no JSON."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    return _staged(spark, path).filter("broken is null").drop("broken")
+
+
+def staged_dead_letters(
+    spark: SparkSession, path: str, broken: Deliver, running: Running, name: str = "broken_logs"
+) -> StreamingQuery:
+    """Deliver the staged texts that no report can use."""
+    rows = _staged(spark, path).filter("broken is not null").select(F.col("broken").alias("value"))
+    return start(rows, name, "append", broken, running)
 
 
 def log_reports(
@@ -233,13 +250,25 @@ def log_job(
     broken: Deliver,
     as_of=None,
 ) -> list[StreamingQuery]:
-    """The whole log job: four reports and the dead letters of one topic, a query each.
+    """The whole log job: a topic is read and parsed once, into ``<folder>/rows``.
 
-    Every query parses the topic for itself. Where that costs too much, run ``stage_logs``
-    and give ``staged_logs`` to ``log_reports``.
+    Four reports and the dead letters read on from there, a query each. With a trigger that ends
+    by itself the staging is waited for first, so that they see all of it.
     """
-    reports_running = log_reports(log_rows(texts), ranges, folder, running, as_of)
-    return [
-        *reports_running,
-        start(broken_logs(texts), "broken_logs", "append", broken, running),
-    ]
+    path = f"{folder}/rows"
+    staging = stage_logs(texts, path, running)
+    if "processingTime" not in running.trigger:
+        staging.awaitTermination()
+    spark = texts.sparkSession
+    _staged_folder(spark, path)
+    reports_running = log_reports(staged_logs(spark, path), ranges, folder, running, as_of)
+    return [staging, *reports_running, staged_dead_letters(spark, path, broken, running)]
+
+
+def _staged_folder(spark: SparkSession, path: str) -> None:
+    """A stream can only read a folder that is there; one without files stays empty to it."""
+    _staged_frame(spark).limit(0).write.mode("ignore").parquet(path)
+
+
+def _staged_frame(spark: SparkSession) -> DataFrame:
+    return judged_logs(spark.createDataFrame([], "value string")).withColumn("pt", F.lit(None).cast("date"))

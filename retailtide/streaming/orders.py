@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import partial
-from zoneinfo import ZoneInfo
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +16,22 @@ from pyspark.sql.streaming import StreamingQuery
 from retailtide.operators import parse
 from retailtide.operators.cumulate import Steps, with_slot
 from retailtide.plans import gmv
-from retailtide.sinks.tables import BATCH, ReportTable, day_files, exists, read_batches, write_batch
+from retailtide.sinks.tables import (
+    BATCH,
+    ReportTable,
+    day_files,
+    read_days,
+    read_if_there,
+    write_batch,
+)
 from retailtide.sinks.topics import Deliver
-from retailtide.streaming import watermarks
 from retailtide.streaming.run import Running, start
 
 EPOCH = datetime(1970, 1, 1)
 
+# Fixed value: how long a closed window waits for late sales.
+ORDER_DELAY = timedelta(seconds=5)
+
 SLOTS = (
     T.StructType()
     .add("bucket", T.IntegerType())
@@ -62,38 +71,47 @@ def sync_changes(
     return start(parse.order_changes(texts), name, "append", each_batch, running)
 
 
-def slot_shift(tz: str, step: int) -> str:
-    """Offset that lines fixed-length slots up with a zone's midnight."""
-    offset = datetime.now(ZoneInfo(tz)).utcoffset() or timedelta()
-    return f"{int(-offset.total_seconds()) % step} seconds"
+@dataclass(frozen=True)
+class Progress:
+    """How far a report has come: newest sale (microseconds), last reported window, late sales."""
+
+    newest: int | None = None
+    upto: int | None = None
+    late: int = 0
+
+
+_PROGRESS = "newest long, upto long, late long"
+
+
+def _progress_path(folder: str, batch_id: int | str) -> str:
+    return f"{folder}/progress/{BATCH}={batch_id}"
+
 
+def read_progress(spark: SparkSession, folder: str, batch_id: int) -> Progress:
+    """What the given batch has left, read from its own folder; the start if it left nothing."""
+    row = read_if_there(spark, _PROGRESS, _progress_path(folder, batch_id)).first()
+    return Progress(*row) if row else Progress()
 
-def closed_slots(orders: DataFrame, steps: Steps, delay: str, tz: str) -> DataFrame:
-    """Cents per slot and product, each once, when the watermark passes the slot's end."""
-    length = f"{steps.step} seconds"
-    slot = F.window("ts_ms", length, length, slot_shift(tz, steps.step))
-    lines = watermarks.by_column(gmv.sale_lines(orders), "ts_ms", delay)
-    return lines.groupBy(slot.alias("w"), "product_id").agg(F.sum("cents").alias("cents"))
+
+def _write_progress(spark: SparkSession, folder: str, batch_id: int, progress: Progress) -> None:
+    row = (progress.newest, progress.upto, progress.late)
+    frame = spark.createDataFrame([row], _PROGRESS).coalesce(1)
+    frame.write.mode("overwrite").parquet(_progress_path(folder, batch_id))
+
+
+def late_sales(spark: SparkSession, folder: str) -> int:
+    """All sales that the report in ``folder`` has dropped, because their window was reported."""
+    return read_if_there(spark, _PROGRESS, _progress_path(folder, "*")).agg(F.max("late")).first()[0] or 0
 
 
 def _position(steps: Steps):
     return F.col("bucket").cast("bigint") * (steps.last + 1) + F.col("slot")
 
 
-def _last_reported(spark: SparkSession, report: ReportTable, batch_id: int, steps: Steps):
-    """Position of the newest window of earlier batches; None before the first."""
-    if not exists(spark, report.path):
-        return None
-    newest = (
-        read_batches(spark, report)
-        .filter(F.col(BATCH) < batch_id)
-        .agg(F.max(F.struct("window_start", "window_end")).alias("w"))
-        .first()["w"]
-    )
-    if newest is None:
-        return None
-    begin, end = ((datetime.fromisoformat(t) - EPOCH).total_seconds() for t in newest)
-    return steps.position(int(begin // steps.size), int((end - begin) // steps.step) - 1)
+def _closed_by(spark: SparkSession, micros: int, steps: Steps) -> int:
+    """Position of the last window that ends at or before an instant."""
+    instant = spark.range(1).select(F.timestamp_micros(F.lit(micros)).alias("at"))
+    return with_slot(instant, "at", steps).select(_position(steps)).first()[0] - 1
 
 
 def _day(position: int, steps: Steps) -> date:
@@ -108,45 +126,63 @@ def _store_slots(placed: DataFrame, batch_id: int, slots: ReportTable, steps: St
     )
 
 
-def _whole(stored: DataFrame) -> DataFrame:
-    """One row per slot and product of rows stored by several batches."""
-    return stored.groupBy("bucket", "slot", "product_id").agg(F.sum("cents").alias("cents"))
+def _stored(spark: SparkSession, slots: ReportTable, days, batch_id: int) -> DataFrame:
+    """One row per slot and product of the rows that batches have stored for some days."""
+    rows = read_days(spark, slots, days).filter(F.col(BATCH) <= batch_id)
+    return rows.groupBy("bucket", "slot", "product_id").agg(F.sum("cents").alias("cents"))
 
 
 def report_closed(
     batch: DataFrame,
     batch_id: int,
     spark: SparkSession,
-    slots: ReportTable,
+    folder: str,
     report: ReportTable,
     plan: Callable[..., DataFrame],
     steps: Steps,
+    delay: timedelta,
 ) -> None:
-    """Store the slots that closed in this batch, then report every window they complete.
+    """Store this batch's slots, then report every window that the newest sale has closed.
 
-    Windows are made from the stored slots of the days concerned, so neither the state nor
-    any single task has to hold a day's products. ``spark`` is the caller's session, whose
-    adaptive execution a stateful stream switches off in its own.
+    A window is closed when the newest sale so far is ``delay`` past its end, whether or not its last
+    slots had sales. Sales of windows that an earlier batch has reported are late: they are
+    dropped and counted. What a batch has come to is kept beside it, so the next one reads that and
+    the days it reports, whatever the length of the history. ``spark`` is the caller's session.
     """
-    rows = batch.select("product_id", "cents", F.col("w.start").alias("at"))
-    _store_slots(with_slot(rows, "at", steps), batch_id, slots, steps)
-    stored = read_batches(spark, slots).filter(F.col(BATCH) <= batch_id)
-    upto = stored.filter(F.col(BATCH) == batch_id).agg(F.max(_position(steps))).first()[0]
-    if upto is None:
-        return
-    after = _last_reported(spark, report, batch_id, steps)
-    days = F.col("pt") <= F.lit(_day(upto, steps))
-    if after is not None:
-        days = days & (F.col("pt") >= F.lit(_day(after + 1, steps)))
-    windows = plan(_whole(stored.filter(days)), steps, span=(after, upto))
-    write_batch(windows, batch_id, report)
+    before = read_progress(spark, folder, batch_id - 1)
+    lines = with_slot(gmv.sale_lines(batch), "ts_ms", steps)
+    totals = lines.groupBy("bucket", "slot", "product_id").agg(
+        F.sum("cents").alias("cents"),
+        F.max(F.unix_micros(F.col("ts_ms").cast("timestamp"))).alias("newest"),
+        F.count(F.lit(1)).alias("sales"),
+    )
+    is_late = F.lit(False) if before.upto is None else _position(steps) <= before.upto
+    totals = totals.withColumn("late", is_late).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        newest, late = totals.agg(
+            F.max("newest"), F.coalesce(F.sum(F.when(F.col("late"), F.col("sales"))), F.lit(0))
+        ).first()
+        slots = slot_table(spark, f"{folder}/slots")
+        _store_slots(totals.filter("not late"), batch_id, slots, steps)
+    finally:
+        totals.unpersist()
+    newest = max((n for n in (newest, before.newest) if n is not None), default=None)
+    after, upto = before.upto, before.upto
+    if newest is not None:
+        closed = _closed_by(spark, newest - delay // timedelta(microseconds=1), steps)
+        upto = closed if upto is None else max(upto, closed)
+        if after is None or upto > after:
+            days = None if after is None else (_day(after + 1, steps), _day(upto, steps))
+            windows = plan(_stored(spark, slots, days, batch_id), steps, span=(after, upto))
+            write_batch(windows, batch_id, report, unique=True)
+    _write_progress(spark, folder, batch_id, Progress(newest, upto, before.late + late))
 
 
 def report_changed(
     batch: DataFrame,
     batch_id: int,
     spark: SparkSession,
-    slots: ReportTable,
+    folder: str,
     report: ReportTable,
     plan: Callable[..., DataFrame],
     steps: Steps,
@@ -156,30 +192,35 @@ def report_changed(
     Slot rows of several batches add up, so no state is held and no sale is ever late: one
     that arrives days behind corrects the windows of its own day.
     """
-    _store_slots(gmv.sale_slots(batch, steps), batch_id, slots, steps)
-    stored = read_batches(spark, slots).filter(F.col(BATCH) <= batch_id)
-    mine = stored.filter(F.col(BATCH) == batch_id)
-    low, high = mine.agg(F.min(_position(steps)), F.max(_position(steps))).first()
-    if low is None:
-        return
-    before = _last_reported(spark, report, batch_id, steps)
-    days = {r.pt for r in mine.select("pt").distinct().collect()}
-    after, upto = low - 1, high
-    if before is not None:
-        # the newest day so far goes on to its end, even without further sales
-        days.add(_day(before, steps))
-        after, upto = min(after, before), max(upto, before)
-    windows = plan(_whole(stored.filter(F.col("pt").isin(days))), steps, span=(after, upto))
-    write_batch(windows, batch_id, report)
+    before = read_progress(spark, folder, batch_id - 1)
+    totals = gmv.sale_slots(batch, steps).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        slots = slot_table(spark, f"{folder}/slots")
+        _store_slots(totals, batch_id, slots, steps)
+        low, high = totals.agg(F.min(_position(steps)), F.max(_position(steps))).first()
+        touched = {_day(r[0] * (steps.last + 1), steps) for r in totals.select("bucket").distinct().collect()}
+    finally:
+        totals.unpersist()
+    reached = before.upto
+    if low is not None:
+        after, upto = low - 1, high
+        if before.upto is not None:
+            # the newest day so far goes on to its end, even without further sales
+            touched.add(_day(before.upto, steps))
+            after, upto = min(after, before.upto), max(upto, before.upto)
+        windows = plan(_stored(spark, slots, sorted(touched), batch_id), steps, span=(after, upto))
+        write_batch(windows, batch_id, report, unique=True)
+        reached = upto
+    _write_progress(spark, folder, batch_id, Progress(None, reached, 0))
 
 
 def slot_table(spark: SparkSession, path: str) -> ReportTable:
     return ReportTable(path, files=day_files(spark), schema=SLOTS)
 
 
-def gmv_table(path: str, keyed: bool = True) -> ReportTable:
+def gmv_table(spark: SparkSession, path: str, keyed: bool = True) -> ReportTable:
     keys = ("ds", "window_start", "window_end") if keyed else ()
-    return ReportTable(path, keys, day="ds", files=1, schema=REPORT)
+    return ReportTable(path, keys, day="ds", files=day_files(spark), schema=REPORT)
 
 
 def _gmv_query(
@@ -190,20 +231,19 @@ def _gmv_query(
     plan: Callable[..., DataFrame],
     keyed: bool,
     steps: Steps,
-    delay: str | None,
+    delay: timedelta | None,
 ) -> StreamingQuery:
     spark = orders.sparkSession
+    more = {"delay": delay} if delay is not None else {}
     each_batch = partial(
-        report_closed if delay else report_changed,
+        report_closed if more else report_changed,
         spark=spark,
-        slots=slot_table(spark, f"{folder}/slots"),
-        report=gmv_table(f"{folder}/report", keyed or not delay),
+        folder=folder,
+        report=gmv_table(spark, f"{folder}/report", keyed or not more),
         plan=plan,
         steps=steps,
+        **more,
     )
-    if delay:
-        tz = spark.conf.get("spark.sql.session.timeZone")
-        orders = closed_slots(orders, steps, delay, tz)
     return start(orders, name, "append", each_batch, running)
 
 
@@ -213,14 +253,14 @@ def gmv_all_history(
     running: Running,
     name: str = "gmv_all",
     steps: Steps = Steps(),
-    delay: str | None = watermarks.ORDER_DELAY,
+    delay: timedelta | None = None,
 ) -> StreamingQuery:
     """Keyed report of every cumulative window, over all products.
 
-    A window is reported once, when the newest sale is ``delay`` past its end; sales that
-    come later still are dropped. With ``delay=None`` it is reported as soon as it has
-    sales and again whenever they change, and none are dropped: the choice for reading an
-    old topic whose partitions do not run level.
+    By default a window is reported as soon as it has sales and again whenever they change, and no
+    sale is ever too late: an old topic may be read whose partitions do not run level. With a
+    ``delay`` (such as ``ORDER_DELAY``) a window is reported once, when the newest sale is that far
+    past its end; sales that come later still are dropped, and ``late_sales`` counts them.
     """
     return _gmv_query(
         orders, folder, running, name, gmv.gmv_all_from_slots, True, steps, delay
@@ -234,7 +274,7 @@ def gmv_since_today(
     as_of=None,
     name: str = "gmv_today",
     steps: Steps = Steps(),
-    delay: str | None = watermarks.ORDER_DELAY,
+    delay: timedelta | None = ORDER_DELAY,
 ) -> StreamingQuery:
     """Report of the windows from today on, counting best sellers only.
 

@@ -6,11 +6,14 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 # Fixed value: how often the log reports are emitted.
 EMIT_EVERY = "5 minutes"
 
+# Fixed value: how often the order jobs run a batch.
+ORDERS_EVERY = "5 seconds"
+
 
 @dataclass(frozen=True)
 class Running:
@@ -24,6 +27,11 @@ class Running:
     trigger: dict = field(default_factory=lambda: {"processingTime": EMIT_EVERY})
 
 
+def running_orders(checkpoints: str) -> Running:
+    """For the order jobs, whose batches are short."""
+    return Running(checkpoints, {"processingTime": ORDERS_EVERY})
+
+
 def start(
     df: DataFrame,
     name: str,
@@ -47,10 +55,26 @@ def finish(*queries: StreamingQuery) -> None:
         query.awaitTermination()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark so far, from the progress reports still held."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that each query, by name, has dropped behind its watermark.
+
+    Add it to ``spark.streams`` before the queries start: it sees every progress report, while a
+    query itself holds only the last hundred.
+    """
+
+    def __init__(self):
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.by_query.setdefault(event.name, 0)
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        name = event.progress.name
+        self.by_query[name] = self.by_query.get(name, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

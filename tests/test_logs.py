@@ -80,16 +80,19 @@ def test_zero_parts_as_abnormal(spark):
     }
 
 
-def test_labels_shared_by_raw_regions_can_be_merged(spark):
+def test_raw_regions_that_share_a_label_are_one_row(spark):
     counts = spark.createDataFrame(
-        [(date(2024, 5, 1), "A|x|0|0", 2, "1"), (date(2024, 5, 1), "B|x||", 5, "2")],
-        "day date, region_raw string, count long, ip string",
+        [
+            (date(2024, 5, 1), "A|0|x|0", 2, "9.9.9.9", DAY),
+            (date(2024, 5, 1), "B||x|", 5, "1.1.1.1", DAY.replace(minute=9)),
+        ],
+        "day date, region_raw string, count long, ip string, newest timestamp",
     )
-    report = reports.region_columns(counts)
-    assert report.count() == 2
-    merged = reports.merged_labels(report)
-    assert merged.columns == report.columns
-    assert [(r.region, r["count"]) for r in merged.collect()] == [("x|null|null", 7)]
+    assert reports.region_columns(counts).count() == 2
+    merged = reports.region_label_columns(reports.region_label_counts(reports.with_region_parts(counts)))
+    assert merged.columns == reports.region_columns(counts).columns
+    got = [(r.region, r["count"], r.ip, r.region_raw) for r in merged.collect()]
+    assert got == [("null|x|null", 7, "1.1.1.1", "B||x|")]
 
 
 def test_newest_address_of_a_region(spark):
@@ -213,6 +216,24 @@ def test_address_lookup_against_brute_force(spark, limit):
         assert got[i] == next((r for lo, hi, r in spans if lo <= v <= hi), "未知")
 
 
+@pytest.mark.parametrize("limit", [0, 10**8])
+def test_overlapping_ranges(spark, limit):
+    """The covering range with the greatest start counts, in either way; then the one that ends first."""
+    rng = random.Random(4)
+    spans = [(0, 100, "A"), (10, 20, "B"), (10, 15, "C"), (10, 15, "D"), (60_000, 140_000, "E"), (65_536, 65_536, "F")]
+    spans += [(lo, lo + rng.randrange(9000), f"r{i}") for i, lo in enumerate(rng.sample(range(200, 190_000), 60))]
+    table = spark.createDataFrame(spans, "ip_lo long, ip_hi long, region string")
+    numbers = [*range(0, 120), *rng.sample(range(200_000), 1500), 65_535, 65_536, 65_537]
+    text = lambda v: ".".join(str(v >> s & 255) for s in (24, 16, 8, 0))
+    frame = spark.createDataFrame([(i, text(v)) for i, v in enumerate(numbers)], "id long, ip string")
+    rows = iprange.with_region(frame, table, "ip", limit).collect()
+    assert len(rows) == len(numbers)
+    for r in rows:
+        v = numbers[r.id]
+        covering = [(lo, -hi, region) for lo, hi, region in spans if lo <= v <= hi]
+        assert r.region == (max(covering)[2] if covering else "未知")
+
+
 def test_lookup_is_a_hash_join_not_a_nested_loop(spark):
     frame = spark.createDataFrame([("1.2.3.4",)], "ip string")
     plan = iprange.with_region(frame, ranges(spark), "ip")._jdf.queryExecution().executedPlan().toString()

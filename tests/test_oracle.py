@@ -5,7 +5,8 @@ import os
 import oracle
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from retailtide.catalog import oracle_sql, queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 

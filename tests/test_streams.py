@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 from datetime import datetime, timedelta
 from types import SimpleNamespace
 
@@ -18,7 +19,7 @@ from retailtide.sinks.tables import read_batches, read_table
 from retailtide.sinks.topics import to_files
 from retailtide.sources.topics import log_rows, order_rows, text_stream
 from retailtide.streaming import logs, orders, watermarks
-from retailtide.streaming.run import Running, finish, late_rows, start
+from retailtide.streaming.run import LateRows, Running, finish, start
 
 ORDER_SCHEMA = "id long, product_id string, total_amount string, ts long"
 START = datetime(2024, 3, 1)
@@ -56,16 +57,14 @@ def batch_report(spark, rows, **more):
 
 
 def stream_report(spark, folder):
-    table = orders.gmv_table(f"{folder}/report")
+    table = orders.gmv_table(spark, f"{folder}/report")
     columns = ["window_start", "window_end", "win_gmv", "win_gmv_ids", "top5_product_ids"]
     return {r[1]: r for r in map(tuple, read_table(spark, table).select(columns).collect())}
 
 
-def last_closed(rows):
-    """End of the last slot with sales that the watermark has passed."""
-    ends = (START + timedelta(seconds=(t - 1709251200) // 600 * 600 + 600) for *_, t in rows)
-    newest = START + timedelta(seconds=rows[-1][3] - 1709251200 - 5)
-    return str(max(e for e in ends if e <= newest))
+def last_closed(rows, delay=5):
+    """The latest end of a window that the newest sale has closed."""
+    return str(START + timedelta(seconds=max(r[3] for r in rows) - 1709251200 - delay))
 
 
 def once(folder):
@@ -78,10 +77,10 @@ def test_windows_are_reported_once_as_they_close(spark, session, tmp_path):
     for part in range(4):
         put_file(spark, source, rows[part * 100 : part * 100 + 100])
         # a restart from the checkpoint after every file
-        finish(orders.gmv_all_history(order_stream(session, source), out, once(out)))
+        finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=orders.ORDER_DELAY))
     got, want = stream_report(spark, out), batch_report(spark, rows)
     assert got == {e: r for e, r in want.items() if e <= last_closed(rows)}
-    written = read_batches(spark, orders.gmv_table(f"{out}/report"))
+    written = read_batches(spark, orders.gmv_table(spark, f"{out}/report"))
     assert written.count() == len(got)
     assert written.select("batch_id").distinct().count() > 3
 
@@ -90,15 +89,56 @@ def test_late_sale_is_dropped_and_counted(spark, session, tmp_path):
     rows = sales(200)
     source, out = tmp_path / "in", str(tmp_path / "out")
     put_file(spark, source, rows)
-    finish(orders.gmv_all_history(order_stream(session, source), out, once(out)))
+    finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=orders.ORDER_DELAY))
     late = (999, "late", "1000.00", rows[10][3])
     put_file(spark, source, [late, (1000, "p1", "1.00", rows[-1][3] + 86_400)])
-    query = orders.gmv_all_history(order_stream(session, source), out, once(out))
-    finish(query)
-    assert late_rows(query) == 1
+    assert orders.late_sales(spark, out) == 0
+    finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=orders.ORDER_DELAY))
+    assert orders.late_sales(spark, out) == 1
     assert not any("late" in (r[3] or "") for r in stream_report(spark, out).values())
 
 
+def test_windows_close_without_sales_in_their_slots(spark, session, tmp_path):
+    """Sales at 00:05 and 00:45:30 close four windows, the next day's first sale all the others."""
+    epoch = 1709251200
+    rows = [(0, "a", "1.00", epoch + 300), (1, "b", "2.00", epoch + 45 * 60 + 30)]
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    put_file(spark, source, rows)
+    finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=orders.ORDER_DELAY))
+    ends = sorted(stream_report(spark, out))
+    assert ends == [f"2024-03-01 00:{m}0:00" for m in (1, 2, 3, 4)]
+    rows.append((2, "c", "4.00", epoch + 86_400 + 20 * 60 + 4))
+    put_file(spark, source, rows[2:])
+    finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=orders.ORDER_DELAY))
+    want = batch_report(spark, rows)
+    assert stream_report(spark, out) == {e: r for e, r in want.items() if e <= last_closed(rows)}
+    assert len(stream_report(spark, out)) == 144
+
+
+def test_a_batch_lists_only_the_days_it_reports(spark, session, tmp_path):
+    rows = sales(200)
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    put_file(spark, source, rows)
+    finish(orders.gmv_all_history(order_stream(session, source), out, once(out)))
+    from retailtide.sinks.tables import read_days
+
+    table = orders.slot_table(spark, f"{out}/slots")
+    second = read_days(spark, table, [datetime(2024, 3, 2).date(), datetime(2031, 1, 1).date()])
+    assert {f.split("/pt=")[1][:10] for f in second.inputFiles()} == {"2024-03-02"}
+    assert read_days(spark, table, [datetime(2031, 1, 1).date()]).count() == 0
+
+
+def test_partitions_days_apart_lose_nothing(spark, session, tmp_path):
+    rows = sales(120, 3)
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for part in (rows[60:], rows[:60]):
+        put_file(spark, source, part)
+    finish(orders.gmv_all_history(order_stream(session, source), out, once(out)))
+    newest = START + timedelta(seconds=(rows[-1][3] - 1709251200) // 600 * 600 + 600)
+    want = {e: r for e, r in batch_report(spark, rows).items() if e <= str(newest)}
+    assert stream_report(spark, out) == want
+
+
 def test_no_sale_is_late_when_windows_follow_changes(spark, session, tmp_path):
     """Batches in any order of time give the batch report, up to the newest sale."""
     rows = sales(300, 12)
@@ -107,7 +147,7 @@ def test_no_sale_is_late_when_windows_follow_changes(spark, session, tmp_path):
     random.Random(1).shuffle(shuffled)
     for part in (rows[100:150], shuffled[:120], rows[:1], shuffled[120:]):
         put_file(spark, source, part)
-        finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=None))
+        finish(orders.gmv_all_history(order_stream(session, source), out, once(out)))
     seen = rows[100:150] + shuffled + rows[:1]
     newest = START + timedelta(seconds=(max(r[3] for r in seen) - 1709251200) // 600 * 600 + 600)
     want = {e: r for e, r in batch_report(spark, seen).items() if e <= str(newest)}
@@ -143,11 +183,6 @@ def test_today_only(spark, session, tmp_path):
     assert all(r[2] == want[e].win_gmv and r[4] == want[e].top5_product_ids for e, r in got.items())
 
 
-def test_slot_shift():
-    assert orders.slot_shift("Asia/Shanghai", 600) == "0 seconds"
-    assert orders.slot_shift("Asia/Kathmandu", 600) == "300 seconds"
-
-
 def test_slots_of_a_zone_off_the_step(spark, tmp_path):
     session = stream_session(spark)
     session.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")
@@ -220,7 +255,10 @@ def test_log_job_equals_batch(spark, session, tmp_path):
     for n, lines in enumerate([texts[:100] + broken[:1], texts[100:200], texts[200:] + broken[1:]]):
         (source / f"{n}.txt").write_text("\n".join(lines))
         stream = text_stream(session, str(source))
-        finish(*logs.log_job(stream, ranges, out, once(out), to_files(f"{out}/dead"), "2024-03-02"))
+        queries = logs.log_job(stream, ranges, out, once(out), to_files(f"{out}/dead"), "2024-03-02")
+        finish(*queries)
+        read = [q.lastProgress["sources"][0]["description"] for q in queries if q.lastProgress]
+        assert sum(str(source) in d for d in read) == 1
 
     rows = reports.with_day(log_rows(spark.createDataFrame([(t,) for t in texts], "value string")))
 
@@ -229,7 +267,7 @@ def test_log_job_equals_batch(spark, session, tmp_path):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
     same(read_table(spark, logs.device_table(out)), reports.device_report(rows, "2024-03-02"))
-    same(read_table(spark, logs.region_table(out)), reports.region_report(rows, ranges, "2024-03-02"))
+    same(read_table(spark, logs.region_table(out)), reports.region_label_report(rows, ranges, "2024-03-02"))
     same(reports.page_columns(logs.page_lists(spark, out)), reports.page_report(rows))
     same(logs.top_words(spark, out), reports.search_top_report(rows))
     assert sorted(r.value for r in spark.read.text(f"{out}/dead").collect()) == sorted(broken)
@@ -239,7 +277,7 @@ def test_log_job_equals_batch(spark, session, tmp_path):
     newest = pages.groupBy("pt", "page").agg(F.max_by("pv", "batch_id").alias("pv"))
     same(newest, reports.page_report(rows).select("pt", "page", "pv"))
     assert pages.count() > newest.count() and "emit_time" in pages.columns
-    searches = read_batches(spark, logs.search_table(out))
+    searches = read_batches(spark, logs.search_table(spark, out))
     want = reports.search_word_report(rows)
     assert {(r.pt, r.search_item) for r in want.collect()} <= {(r.pt, r.search_item) for r in searches.collect()}
 
@@ -253,11 +291,13 @@ def test_staged_logs_give_the_same_reports(spark, session, tmp_path):
         (source / f"{n}.txt").write_text("\n".join(lines))
         finish(logs.stage_logs(text_stream(session, str(source)), f"{out}/rows", once(out)))
         staged = logs.staged_logs(session, f"{out}/rows")
+        finish(logs.staged_dead_letters(session, f"{out}/rows", to_files(f"{out}/dead"), once(out)))
         finish(*logs.log_reports(staged, ranges, out, once(out), "2024-03-01"))
+    assert [r.value for r in spark.read.text(f"{out}/dead").collect()] == ["{broken"]
     rows = reports.with_day(log_rows(spark.createDataFrame([(t,) for t in texts], "value string")))
     for table, want in (
         (logs.device_table(out), reports.device_report(rows, "2024-03-01")),
-        (logs.region_table(out), reports.region_report(rows, ranges, "2024-03-01")),
+        (logs.region_table(out), reports.region_label_report(rows, ranges, "2024-03-01")),
     ):
         got = read_table(spark, table).select(want.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
@@ -276,7 +316,7 @@ def test_region_stream_with_a_large_range_table(spark, session, tmp_path):
     finish(logs.region_stream(stream, ranges, out, once(out), "2024-03-01", limit=0))
     got = read_table(spark, logs.region_table(out)).drop("update_time")
     rows = reports.with_day(log_rows(spark.createDataFrame([(t,) for t in texts], "value string")))
-    want = reports.region_report(rows, ranges, "2024-03-01")
+    want = reports.region_label_report(rows, ranges, "2024-03-01")
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
 
 
@@ -308,7 +348,8 @@ def test_watermarks_drop_late_rows(spark, session, tmp_path, kind):
     schema = "block_timestamp long, timestamp long, items array<struct<window_start_time:long>>"
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
-    got = []
+    got, late = [], LateRows()
+    session.streams.addListener(late)
     for n, seconds in enumerate([[100, 101], [1000], [150, 995, 1301]]):
         (source / f"{n}.txt").write_text("\n".join(map(make, seconds)))
         texts = text_stream(session, str(source))
@@ -326,7 +367,11 @@ def test_watermarks_drop_late_rows(spark, session, tmp_path, kind):
             once(out),
         )
         finish(query)
-    assert late_rows(query) == 1
+    deadline = time.time() + 20
+    while not late.by_query.get(kind) and time.time() < deadline:
+        time.sleep(0.1)  # the listener hears of the last batch a moment later
+    session.streams.removeListener(late)
+    assert late.by_query[kind] == 1
     assert sorted(got) == [(60, 2), (960, 2)]
 
 

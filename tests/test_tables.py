@@ -51,20 +51,32 @@ def test_put_delete_scan_count(spark):
     assert kv.count_rows(rows).first()["rows"] == 2
 
 
-@pytest.mark.parametrize("limit", [0, 10**8])
-def test_membership(spark, limit):
+def test_membership(spark):
     sets = spark.createDataFrame(
         [("s", "x"), ("s", "x"), ("s", None), ("t", "y")], "set_name string, word string"
     )
     words = membership.members(sets, "s")
     frame = spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (4, "x")], "id int, word string")
-    assert {r.id for r in membership.in_set(frame, "word", words, limit).collect()} == {1, 4}
-    assert {r.id for r in membership.not_in_set(frame, "word", words, limit).collect()} == {2, 3}
-    flags = membership.flag_in_set(frame, "word", words, limit=limit)
+    assert {r.id for r in membership.in_set(frame, "word", words).collect()} == {1, 4}
+    assert {r.id for r in membership.not_in_set(frame, "word", words).collect()} == {2, 3}
+    flags = membership.flag_in_set(frame, "word", words)
     assert {r.id: r.is_member for r in flags.collect()} == {1: True, 2: False, 3: False, 4: True}
     assert membership.members(sets).count() == 2
 
 
+def test_membership_reads_each_side_once_and_measures_nothing(spark, tmp_path):
+    spark.range(5000).selectExpr("cast(id as string) word").write.parquet(str(tmp_path / "rows"))
+    spark.range(9).selectExpr("cast(id as string) word").write.parquet(str(tmp_path / "words"))
+    rows, words = (spark.read.parquet(str(tmp_path / n)) for n in ("rows", "words"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("membership", "")
+    joined = membership.in_set(rows, "word", membership.members(words))
+    assert not tracker.getJobIdsForGroup("membership")
+    assert joined.count() == 9
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
 def test_only_measured_sides_are_broadcast(spark):
     small = spark.createDataFrame([("x" * 100,)], "word string")
     assert 100 < measured_bytes(small) < 200
@@ -88,26 +100,45 @@ def content(spark, table):
 @pytest.mark.parametrize("files", [None, 2])
 def test_upsert_and_replay(spark, tmp_path, files):
     table = keyed(str(tmp_path / "t"), files=files)
-    write_batch(frame(spark, [(1, "a", 1), (1, "b", 1), (2, "a", 1)]), 0, table)
+    write_batch(frame(spark, [(1, "a", 1), (1, "b", 1), (2, "a", 1)]), 0, table, unique=True)
     second = frame(spark, [(1, "a", 2), (3, "c", 2)])
     for _ in range(2):  # a batch run twice counts once
-        write_batch(second, 1, table)
+        write_batch(second, 1, table, unique=True)
         assert content(spark, table) == [(1, "a", 2), (1, "b", 1), (2, "a", 1), (3, "c", 2)]
-    write_batch(frame(spark, []), 2, table)
+    write_batch(frame(spark, []), 2, table, unique=True)
     write_batch(frame(spark, [(1, "a", 7), (1, "a", 9), (1, "a", 8)]), 3, table, F.col("v"))
     assert content(spark, table)[0] == (1, "a", 9)
 
 
 def test_compaction_keeps_the_state_and_later_batches_win(spark, tmp_path):
     old, new = keyed(str(tmp_path / "old")), keyed(str(tmp_path / "new"))
-    write_batch(frame(spark, [(1, "a", 1), (2, "b", 1)]), 4, old)
-    write_batch(frame(spark, [(1, "a", 2)]), 5, old)
+    write_batch(frame(spark, [(1, "a", 1), (2, "b", 1)]), 4, old, unique=True)
+    write_batch(frame(spark, [(1, "a", 2)]), 5, old, unique=True)
     compact(spark, old, new.path)
     assert content(spark, new) == content(spark, old) == [(1, "a", 2), (2, "b", 1)]
-    write_batch(frame(spark, [(2, "b", 6)]), 6, new)
+    write_batch(frame(spark, [(2, "b", 6)]), 6, new, unique=True)
     assert content(spark, new) == [(1, "a", 2), (2, "b", 6)]
 
 
+def test_compacted_table_survives_a_replay_of_its_newest_batch(spark, tmp_path):
+    old, new = keyed(str(tmp_path / "old")), keyed(str(tmp_path / "new"))
+    write_batch(frame(spark, [(1, "a", 1), (1, "b", 1)]), 0, old, unique=True)
+    write_batch(frame(spark, [(1, "a", 2)]), 1, old, unique=True)
+    compact(spark, old, new.path)
+    for _ in range(2):
+        write_batch(frame(spark, [(1, "a", 2)]), 1, new, unique=True)
+        assert content(spark, new) == [(1, "a", 2), (1, "b", 1)]
+    write_batch(frame(spark, [(1, "b", 3)]), 2, new, unique=True)
+    again = keyed(str(tmp_path / "again"))
+    compact(spark, new, again.path)
+    assert content(spark, again) == [(1, "a", 2), (1, "b", 3)]
+
+
+def test_a_keyed_write_needs_an_order(spark, tmp_path):
+    with pytest.raises(ValueError):
+        write_batch(frame(spark, [(1, "a", 1), (1, "a", 2)]), 0, keyed(str(tmp_path / "t")))
+
+
 def test_append_table_keeps_every_row(spark, tmp_path):
     table = ReportTable(str(tmp_path / "t"), files=3)
     for batch in (0, 1, 1):
@@ -118,17 +149,18 @@ def test_append_table_keeps_every_row(spark, tmp_path):
 def test_load_is_refused_above_a_tenth_of_unusable_rows(spark, tmp_path):
     table = keyed(str(tmp_path / "t"), required=("pt", "k"))
     good = [(1, f"k{i}", i) for i in range(9)]
-    write_batch(frame(spark, good + [(1, None, 0)]), 0, table)
+    write_batch(frame(spark, good + [(1, None, 0)]), 0, table, unique=True)
     assert len(content(spark, table)) == 9
+    assert [(r.k, r.v, r.batch_id) for r in tables.read_rejected(spark, table).collect()] == [(None, 0, 0)]
     with pytest.raises(LoadRejected):
-        write_batch(frame(spark, good[:8] + [(1, None, 0)]), 1, table)
+        write_batch(frame(spark, good[:8] + [(1, None, 0)]), 1, table, unique=True)
     assert len(content(spark, table)) == 9
     tables.check_rejects(frame(spark, []), ("k",))
 
 
 def test_retention_and_truncate(spark, tmp_path):
     table = keyed(str(tmp_path / "t"))
-    write_batch(frame(spark, [(1, "a", 1), (15, "b", 1), (31, "c", 1)]), 0, table)
+    write_batch(frame(spark, [(1, "a", 1), (15, "b", 1), (31, "c", 1)]), 0, table, unique=True)
     rows = spark.read.parquet(table.path)
     assert {r.k for r in retention.kept(rows, "2024-01-31").collect()} == {"a", "b", "c"}
     assert {r.k for r in retention.kept(rows, "2024-02-01", ahead=0).collect()} == {"b", "c"}
@@ -140,7 +172,7 @@ def test_retention_and_truncate(spark, tmp_path):
     assert retention.truncate(spark, table.path) == ["pt=2024-01-15", "pt=2024-01-31"]
     empty = keyed(table.path, schema=frame(spark, []).schema)
     assert content(spark, empty) == []
-    write_batch(frame(spark, [(4, "d", 1)]), 1, empty)
+    write_batch(frame(spark, [(4, "d", 1)]), 1, empty, unique=True)
     assert content(spark, empty) == [(4, "d", 1)]
 
 
