@@ -12,9 +12,11 @@ one class, found by hash, so exact copies never meet pairwise. Each class has 12
 
 Linking never emits all pairs of a group. First each class is checked against one class that is the
 smallest of a bucket of both, and components are formed. Pairs of one component need no check; only
-buckets that still hold several components are searched for more pairs across components, by sketch,
-in tiles of bounded size, and what passes is checked. Every check counts the common members of the
-whole sets. Then components are formed again.
+buckets that still hold several components are searched for links across components, in tiles of bounded
+size: sketches first tell which members have a close one in another component, and only these bring
+their sets. A tile's close pairs are then checked, the closest first, and a pair is passed over once its
+components have met, so a tile returns a few links where all its members are alike. Every check counts
+the common members of the whole sets. Then components are formed again.
 
 Scale: one pass over the texts makes signatures of about 350 bytes a row; then shuffles hold ids,
 band keys and sketches. Only texts of candidates are read again. Hot buckets and classes are summed
@@ -139,17 +141,23 @@ def _member_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], ["doc_id", "members"])
 
 
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets, as sorted arrays, meet the threshold."""
+    small, large = sorted((len(a), len(b)))
+    if 100 * small < PERCENT * large:
+        return False
+    both = np.concatenate([a, b])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= PERCENT * (len(both) - common)
+
+
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose whole sets meet the threshold."""
     for batch in batches:
-        linked = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
-            a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = np.concatenate([a, b])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            linked[i] = 100 * common >= PERCENT * (len(both) - common)
-        yield batch.select(["a", "b"]).filter(pa.array(linked))
+        pairs = zip(batch.column("set_a"), batch.column("set_b"))
+        linked = [alike(*(np.frombuffer(v.as_buffer(), np.uint64) for v in pair)) for pair in pairs]
+        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
 def odd_bits(a: str, b: str) -> Column:
@@ -158,40 +166,38 @@ def odd_bits(a: str, b: str) -> Column:
     return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within a tile whose sketches are close.
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of whole tiles, and where each tile begins.
 
     Rows come sorted by tile; a tile that a batch breaks off is carried on to the next.
     """
     rest = None
-    names = ["key", "row_part", "col_part"]
     for batch in batches:
         if rest is not None and rest.num_rows:
             batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-        columns = [batch.column(n).to_numpy() for n in names]
         changes = np.zeros(batch.num_rows, bool)
-        if len(changes):
-            changes[0] = True
-        for c in columns:
-            changes[1:] |= c[1:] != c[:-1]
+        changes[:1] = True
+        for name in _TILE_KEY:
+            column = batch.column(name).to_numpy()
+            changes[1:] |= column[1:] != column[:-1]
         last = int(np.flatnonzero(changes)[-1]) if len(changes) else 0
-        yield from _close_pairs(batch.slice(0, last), changes[:last])
+        if last:
+            yield batch.slice(0, last), changes[:last]
         rest = batch.slice(last)
     if rest is not None and rest.num_rows:
-        whole = np.zeros(rest.num_rows, bool)
-        whole[0] = True
-        yield from _close_pairs(rest, whole)
+        yield rest, np.arange(rest.num_rows) == 0
 
 
-def _close_pairs(batch: pa.RecordBatch, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if not batch.num_rows:
-        return
+def _close_pairs(batch: pa.RecordBatch, begins: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Rows of one tile, of different components, whose sketches are close; with their odd bits.
+
+    Tiles off the diagonal pair the rows of one part with those of the other.
+    """
     start = np.flatnonzero(begins)
     end = np.append(start[1:], batch.num_rows)
-    until = np.repeat(end, end - start)
-    counts = until - np.arange(batch.num_rows) - 1
+    counts = np.repeat(end, end - start) - np.arange(batch.num_rows) - 1
     sketch = batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1)
-    ids, component, part = (batch.column(n).to_numpy() for n in ("rep", "component", "part"))
+    component, part = batch.column("component").to_numpy(), batch.column("part").to_numpy()
     diagonal = batch.column("row_part").to_numpy() == batch.column("col_part").to_numpy()
     total = np.cumsum(counts)
     at = 0
@@ -202,14 +208,52 @@ def _close_pairs(batch: pa.RecordBatch, begins: np.ndarray) -> Iterator[pa.Recor
         right = left + 1 + runs(counts[at:stop])
         use = (component[left] != component[right]) & (diagonal[left] | (part[left] != part[right]))
         left, right = left[use], right[use]
-        near = np.bitwise_count(sketch[left] ^ sketch[right]).sum(1) <= MAX_ODD
-        left, right = left[near], right[near]
-        if len(left):
-            a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        odd = np.bitwise_count(sketch[left] ^ sketch[right]).sum(1)
+        near = odd <= MAX_ODD
+        yield left[near], right[near], odd[near]
         at = stop
 
 
+def _involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of tiles that have a close row in another component."""
+    for batch, begins in _tiles(batches):
+        marked = np.zeros(batch.num_rows, bool)
+        for left, right, _ in _close_pairs(batch, begins):
+            marked[left] = marked[right] = True
+        if marked.any():
+            yield batch.filter(pa.array(marked))
+
+
+def _cross_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Checked links between components; of components that have met in this task, no more."""
+    above: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while above.get(c, c) != c:
+            above[c] = c = above.get(above[c], above[c])
+        return c
+
+    for batch, begins in _tiles(batches):
+        ids, component = batch.column("rep").to_pylist(), batch.column("component").to_pylist()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("members")]
+        found = []
+        for left, right, odd in _close_pairs(batch, begins):
+            order = np.argsort(odd, kind="stable")
+            for i, j in zip(left[order].tolist(), right[order].tolist()):
+                x, y = root(component[i]), root(component[j])
+                if x != y and alike(sets[i], sets[j]):
+                    above[max(x, y)] = min(x, y)
+                    found.append((ids[i], ids[j]))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+
+_TILE_KEY = ("key", "row_part", "col_part")
+_TILE_ROW = (
+    "key long, row_part int, col_part int, rep long, component long, part int, sketch array<long>"
+)
+
+
 class Linker:
     """The stages of linking over one table; each writes what later stages read more than once."""
 
@@ -245,8 +289,8 @@ class Linker:
         best = near.groupBy("rep").agg(F.min(F.struct("odd", "hub")).alias("best"))
         return best.select(F.col("best.hub").alias("a"), F.col("rep").alias("b"))
 
-    def cross_pairs(self, held: DataFrame, found: DataFrame) -> DataFrame:
-        """Close pairs of different components in one bucket."""
+    def cross_rows(self, held: DataFrame, found: DataFrame) -> DataFrame:
+        """Members of buckets that have a close member of another component there, by tile."""
         roots = found.withColumnRenamed("node", "rep")
         placed = held.join(roots, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         open_keys = (
@@ -256,26 +300,33 @@ class Linker:
             .select("key", F.ceil(F.col("size") / TILE).cast("int").alias("parts"))
         )
         sketch = self.classes.groupBy("rep").agg(F.first("sketch").alias("sketch"))
-        rows = placed.join(open_keys, "key").withColumn(
-            "part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-        )
+        rows = placed.join(open_keys, "key").join(sketch, "rep")
+        part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
         tiles = F.transform(
             F.sequence(F.lit(0), F.col("parts") - 1),
             lambda other: F.struct(
                 F.least(F.col("part"), other).alias("row_part"), F.greatest(F.col("part"), other).alias("col_part")
             ),
         )
-        rows = rows.select("key", "rep", "component", "part", F.inline(tiles)).join(sketch, "rep")
-        dealt = rows.repartition("key", "row_part", "col_part").sortWithinPartitions("key", "row_part", "col_part")
-        return dealt.mapInArrow(_tile_pairs, "a long, b long").distinct()
-
-    def _sets_of(self, pairs: DataFrame) -> DataFrame:
-        """The sets of the pairs' texts, each made once."""
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        names = self.classes.select(F.col("rep").alias("doc_id"))
-        ids = ids.join(names, "doc_id", "left_semi") if self.sets is None else ids.join(
-            self.sets.select("doc_id"), "doc_id", "left_anti"
-        )
+        rows = rows.withColumn("part", part).select("key", "rep", "component", "part", "sketch", F.inline(tiles))
+        return written(self._by_tile(rows).mapInArrow(_involved, _TILE_ROW), "cross")
+
+    @staticmethod
+    def _by_tile(rows: DataFrame) -> DataFrame:
+        rows = rows.select(*[c.split()[0] for c in _TILE_ROW.split(", ")], *[c for c in rows.columns if c == "members"])
+        return rows.repartition(*_TILE_KEY).sortWithinPartitions(*_TILE_KEY)
+
+    def cross_links(self, rows: DataFrame) -> DataFrame:
+        """Links between components, checked on the whole sets."""
+        sets = self._sets_of(rows.select(F.col("rep").alias("doc_id")))
+        with_sets = rows.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        return self._by_tile(with_sets).mapInArrow(_cross_links, "a long, b long").distinct()
+
+    def _sets_of(self, ids: DataFrame) -> DataFrame:
+        """The sets of the texts with these ids, each made once."""
+        ids = ids.distinct()
+        if self.sets is not None:
+            ids = ids.join(self.sets.select("doc_id"), "doc_id", "left_anti")
         texts = self.texts.join(broadcast_if_small(ids, ID_BYTES), "doc_id", "left_semi")
         fresh = written(texts.mapInArrow(_member_lists, "doc_id long, members binary"), "sets")
         self.sets = fresh if self.sets is None else self.sets.union(fresh)
@@ -283,7 +334,7 @@ class Linker:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs that the whole sets confirm."""
-        sets = self._sets_of(pairs)
+        sets = self._sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")))
         rows = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("set_b")), "b").join(
             sets.select(F.col("doc_id").alias("a"), F.col("members").alias("set_a")), "a"
         )
@@ -304,10 +355,9 @@ class Linker:
         stars = written(self.star_pairs(held), "pairs")
         links = self.linked(stars).union(self.shared_ids())
         found = components(self.spark, links)
-        cross = written(self.cross_pairs(held, found), "pairs")
+        cross = self.cross_rows(held, found)
         if not cross.isEmpty():
-            more = self.linked(cross)
-            found = components(self.spark, found.toDF("a", "b").union(more))
+            found = components(self.spark, found.toDF("a", "b").union(self.cross_links(cross)))
         roots = found.withColumnRenamed("node", "rep")
         named = self.classes.select("name1", "name2", "rep").join(roots, "rep", "left").select(
             "name1", "name2", F.coalesce("component", "rep").alias("component_id")
