@@ -19,8 +19,8 @@ from retailtide.session import shared_folder, stream_session
 from retailtide.sinks.tables import read_table
 from retailtide.sinks.topics import to_files
 from retailtide.sources.topics import order_rows, table_stream, text_stream
-from retailtide.streaming import logs, orders
-from retailtide.streaming.run import Running, finish
+from retailtide.streaming import logs, orders, watermarks
+from retailtide.streaming.run import Running, finish, start
 
 
 def _setting(spark, purpose):
@@ -130,7 +130,99 @@ def stream_cdc(spark, sf_dir):
     return spark.read.text(f"{folder}/topic").select("value")
 
 
+def stream_pages_emitted(spark, sf_dir):
+    """The page rows that a batch emits."""
+    session, folder, running = _setting(spark, "stream_pages_emitted")
+    finish(logs.page_stream(_logs(session, sf_dir), folder, running))
+    emitted = read_table(spark, logs.page_table(folder)).filter("emit_time is not null")
+    return emitted.select("pt", "page", "pv", "users", "user_ids", "chunk", "chunks")
+
+
+def stream_search_emitted(spark, sf_dir):
+    """The word rows that a batch emits; some records have no words, or none that count."""
+    session, folder, running = _setting(spark, "stream_search_emitted")
+    events = table_stream(session, f"{sf_dir}/events.parquet")
+    word = F.concat(F.lit("w"), F.get_json_object("props", "$.k"))
+    words = F.when(F.col("event_id") % 3 == 0, F.array(F.col("event_type"), word, F.lit(None)))
+    searches = events.select(
+        F.col("ts").alias("event_time"),
+        F.when(F.col("event_id") % 5 == 0, F.array().cast("array<string>")).otherwise(words).alias("keywords"),
+    )
+    finish(logs.search_stream(searches, folder, running))
+    emitted = read_table(spark, logs.search_table(spark, folder)).filter("emit_time is not null")
+    return emitted.select("pt", "search_item")
+
+
+def stream_processing_time(spark, sf_dir):
+    """Order rows of a stream have the time they were processed at."""
+    session, folder, running = _setting(spark, "stream_processing_time")
+    texts = parse.as_json(derive.order_columns(table_stream(session, f"{sf_dir}/events.parquet")))
+    rows = order_rows(texts).select("id", (F.col("proc_time") > F.col("ts_ms")).alias("later"))
+    finish(start(rows, "rows", "append", _to_parquet(f"{folder}/rows"), running))
+    return spark.read.parquet(f"{folder}/rows").select("id", "later")
+
+
+def _to_parquet(path):
+    return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}") and None
+
+
+_LATE_DAY = "2024-01-05"
+
+
+def _days_by_watermark(spark, sf_dir, purpose, records, timed):
+    """Events per day as their days close, when those of one day come a second time, too late.
+
+    ``records`` makes a record of its kind of the event's instant, ``timed`` its event time.
+    """
+    session, folder, running = _setting(spark, purpose)
+    events = derive.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at"))
+    split = F.lit("2024-01-20").cast("timestamp")
+    source, counts = f"{folder}/in", {}
+    for part in (
+        events.filter(F.col("at") < split),
+        events.filter((F.col("at") >= split) | (F.col("at").cast("date") == F.lit(_LATE_DAY))),
+    ):
+        frame = part.select(*records(F.col("at")))
+        frame.write.mode("append").parquet(source)
+        stream = session.readStream.schema(frame.schema).parquet(source)
+        per_day = timed(stream).groupBy(F.window("event_time", "1 day")).agg(F.count(F.lit(1)).alias("events"))
+        rows = per_day.select(F.col("window.start").cast("date").alias("day"), "events")
+        finish(start(rows, "days", "append", _to_parquet(f"{folder}/days"), running))
+    return spark.read.parquet(f"{folder}/days").select("day", "events")
+
+
+def stream_watermark_text_field(spark, sf_dir):
+    record = lambda at: [F.to_json(F.struct(F.unix_millis(at).alias("t"))).alias("value")]
+    timed = lambda df: watermarks.by_text_field(df, "t", "5 seconds")
+    return _days_by_watermark(spark, sf_dir, "stream_watermark_text_field", record, timed)
+
+
+def stream_watermark_block_time(spark, sf_dir):
+    def record(at):
+        seconds = F.unix_seconds(at)
+        own = F.when(seconds % 2 == 0, seconds)
+        return [own.alias("block_timestamp"), F.when(own.isNull(), seconds).otherwise(1).alias("timestamp")]
+
+    timed = lambda df: watermarks.by_block_time(df, "5 seconds")
+    return _days_by_watermark(spark, sf_dir, "stream_watermark_block_time", record, timed)
+
+
+def stream_watermark_first_item(spark, sf_dir):
+    def record(at):
+        item = lambda t: F.struct(t.alias("window_start_time"))
+        return [F.array(item(F.unix_millis(at)), item(F.lit(1).cast("bigint"))).alias("items")]
+
+    timed = lambda df: watermarks.by_first_item(df, "5 seconds")
+    return _days_by_watermark(spark, sf_dir, "stream_watermark_first_item", record, timed)
+
+
 QUERIES = {
+    "stream_pages_emitted": stream_pages_emitted,
+    "stream_search_emitted": stream_search_emitted,
+    "stream_processing_time": stream_processing_time,
+    "stream_watermark_text_field": stream_watermark_text_field,
+    "stream_watermark_block_time": stream_watermark_block_time,
+    "stream_watermark_first_item": stream_watermark_first_item,
     "stream_gmv": stream_gmv,
     "stream_gmv_changed": stream_gmv_changed,
     "stream_changes_to_gmv": stream_changes_to_gmv,
@@ -146,7 +238,24 @@ QUERIES = {
 # windows that the newest event less five seconds has passed
 _CLOSED = "WHERE {a}.window_end <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"
 
+# days that the newest event less five seconds has closed; the repeated day was closed before
+_DAYS = """
+SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events
+GROUP BY 1 HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"""
+
 ORACLE = {
+    "stream_pages_emitted": log_queries.ORACLE["page_view_users"],
+    "stream_search_emitted": """WITH searches AS (
+    SELECT CAST(ts AS DATE) AS pt,
+           unnest([event_type, 'w' || json_extract_string(props, '$.k')]) AS keyword
+    FROM events WHERE event_id % 3 = 0 AND event_id % 5 <> 0
+)
+SELECT pt, '[{"word":"' || keyword || '","cnt":' || count(*) || '}]' AS search_item
+FROM searches GROUP BY pt, keyword""",
+    "stream_processing_time": "SELECT event_id AS id, true AS later FROM events",
+    "stream_watermark_text_field": _DAYS,
+    "stream_watermark_block_time": _DAYS,
+    "stream_watermark_first_item": _DAYS,
     "stream_gmv": sales.ORACLE["gmv_cumulate_all"] + "\n" + _CLOSED.format(a="t"),
     "stream_gmv_changed": sales.ORACLE["gmv_cumulate_all"]
     + """

@@ -11,26 +11,37 @@ from retailtide.functions.texts import camel_columns
 from retailtide.operators import kv, membership
 from retailtide.operators.latest import latest_by_key
 from retailtide.session import shared_folder
-from retailtide.sinks.retention import kept
-from retailtide.sinks.tables import ReportTable, compact, read_table, write_batch
+from retailtide.functions import times
+from retailtide.sinks.retention import kept, truncate
+from retailtide.sinks.tables import (
+    ReportTable,
+    compact,
+    day_files,
+    read_batches,
+    read_rejected,
+    read_table,
+    write_batch,
+)
 from retailtide.streaming import watermarks
 
-FIELDS = ["c_name", "c_mktsegment", "c_acctbal"]
+FIELDS = ["c_name", "c_mktsegment", "c_nationkey", "c_acctbal"]
 
 
 def _customer_cells(spark, sf_dir):
-    customer = derive.table(spark, sf_dir, "customer")
+    customer = derive.table(spark, sf_dir, "customer").withColumn(
+        "c_acctbal", F.col("c_acctbal").cast("decimal(18,2)")
+    )
     key = F.format_string("%09d", "c_custkey")
     cells = kv.to_cells(customer.select("c_custkey", *FIELDS), key)
     return cells.filter(F.col("qualifier") != "c_custkey")
 
 
 def _customer_rows(spark, sf_dir):
-    return kv.cells_to_rows(_customer_cells(spark, sf_dir), FIELDS).drop("c_acctbal")
+    return kv.cells_to_rows(_customer_cells(spark, sf_dir), FIELDS)
 
 
 def kv_cells(spark, sf_dir):
-    return _customer_cells(spark, sf_dir).filter(F.col("qualifier") != "c_acctbal")
+    return _customer_cells(spark, sf_dir)
 
 
 def kv_cells_to_rows(spark, sf_dir):
@@ -109,9 +120,8 @@ def upsert_last_wins(spark, sf_dir):
     return latest_by_key(events, ["user_id", "event_type"], F.col("event_id"))
 
 
-def _stored_report(spark, sf_dir, purpose):
-    """Events written to a keyed table in two batches, the second of them twice."""
-    events = derive.table(spark, sf_dir, "events").select(
+def _report_rows(spark, sf_dir):
+    return derive.table(spark, sf_dir, "events").select(
         F.col("ts").cast("date").alias("pt"),
         "user_id",
         "event_type",
@@ -119,11 +129,16 @@ def _stored_report(spark, sf_dir, purpose):
         F.col("value").cast("decimal(18,2)").alias("value"),
         F.hour("ts").alias("hour"),
     )
+
+
+def _stored_report(spark, sf_dir, purpose):
+    """Events written to a keyed table in two batches, the second of them twice."""
+    events = _report_rows(spark, sf_dir)
     table = ReportTable(
         f"{shared_folder(spark, purpose)}/table",
         ("pt", "user_id", "event_type"),
         required=("pt", "user_id"),
-        files=1,
+        files=day_files(spark, 2),
     )
     late = events.filter("hour >= 12").drop("hour")
     write_batch(events.filter("hour < 12").drop("hour"), 0, table, F.col("event_id"))
@@ -139,13 +154,35 @@ def report_table_upsert(spark, sf_dir):
 
 
 def report_table_compacted(spark, sf_dir):
-    """The same after its batches were folded into one."""
+    """The same after its older batches were folded into one and the newest was replayed."""
     table = _stored_report(spark, sf_dir, "report_table_compacted")
     compacted = replace(table, path=f"{table.path}_compacted")
     compact(spark, table, compacted.path)
+    write_batch(_report_rows(spark, sf_dir).filter("hour >= 12").drop("hour"), 1, compacted, F.col("event_id"))
     return read_table(spark, compacted).drop("update_time")
 
 
+def report_table_rejects(spark, sf_dir):
+    """Rows of a load with what became of them: stored, or kept beside the table for want of a user."""
+    rows = _report_rows(spark, sf_dir).drop("hour").withColumn(
+        "user_id", F.when(F.col("event_id") % 20 != 0, F.col("user_id"))
+    )
+    path = f"{shared_folder(spark, 'report_table_rejects')}/table"
+    table = ReportTable(path, required=("pt", "user_id"), files=day_files(spark))
+    write_batch(rows, 0, table)
+    columns = ["event_id", "user_id", F.col("batch_id").cast("bigint").alias("batch_id")]
+    stored = read_batches(spark, table).select(*columns, F.lit("stored").alias("fate"))
+    return stored.union(read_rejected(spark, table).select(*columns, F.lit("rejected").alias("fate")))
+
+
+def report_table_truncated(spark, sf_dir):
+    """A table after all its days were cleared and one more batch was written."""
+    table = _stored_report(spark, sf_dir, "report_table_truncated")
+    truncate(spark, table.path)
+    write_batch(_report_rows(spark, sf_dir).filter("hour >= 12").drop("hour"), 2, table, F.col("event_id"))
+    return read_table(spark, table).drop("update_time")
+
+
 def retention_30d(spark, sf_dir):
     """Line items of the days a report table would still hold."""
     lines = derive.table(spark, sf_dir, "lineitem").withColumn("pt", F.col("l_shipdate").cast("date"))
@@ -195,7 +232,20 @@ def watermark_text_field(spark, sf_dir):
     return timed.select("event_id", F.unix_millis("event_time").alias("at"))
 
 
+def time_floors(spark, sf_dir):
+    """The five-minute tick of each event and its milliseconds since its day's midnight."""
+    instant = F.col("ts").cast("timestamp")
+    return derive.table(spark, sf_dir, "events").select(
+        "event_id",
+        times.floor_to_step(F.unix_seconds(instant)).alias("tick"),
+        (F.unix_millis(instant) - times.start_of_day_millis(instant)).alias("since_midnight"),
+    )
+
+
 QUERIES = {
+    "report_table_rejects": report_table_rejects,
+    "report_table_truncated": report_table_truncated,
+    "time_floors": time_floors,
     "kv_cells": kv_cells,
     "kv_cells_to_rows": kv_cells_to_rows,
     "kv_cells_to_maps": kv_cells_to_maps,
@@ -219,7 +269,10 @@ QUERIES = {
 }
 
 _ROWS = """WITH kv AS (
-    SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS row_key, c_name, c_mktsegment FROM customer
+    SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS row_key, c_name, c_mktsegment,
+           CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+           CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal
+    FROM customer
 ),
 urgent AS (
     SELECT DISTINCT lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS row_key
@@ -240,14 +293,30 @@ SELECT CAST(ts AS DATE) AS pt, user_id, event_type,
 FROM events GROUP BY ALL"""
 
 ORACLE = {
+    "report_table_rejects": """
+SELECT event_id, CASE WHEN event_id % 20 <> 0 THEN user_id END AS user_id,
+       CAST(0 AS BIGINT) AS batch_id,
+       CASE WHEN event_id % 20 <> 0 THEN 'stored' ELSE 'rejected' END AS fate
+FROM events""",
+    "report_table_truncated": """
+SELECT CAST(ts AS DATE) AS pt, user_id, event_type, max(event_id) AS event_id,
+       arg_max(CAST(value AS DECIMAL(18,2)), event_id) AS "value"
+FROM events WHERE hour(ts) >= 12 GROUP BY ALL""",
+    "time_floors": """
+SELECT event_id, CAST(floor(epoch(ts) / 300) AS BIGINT) * 300 AS tick,
+       (epoch_us(ts) - epoch_us(date_trunc('day', ts))) // 1000 AS since_midnight
+FROM events""",
     "report_table_upsert": _STORED,
     "report_table_compacted": _STORED,
     "kv_cells": _ROWS + """
 SELECT row_key, 'c_name' AS qualifier, c_name AS "value" FROM kv
-UNION ALL SELECT row_key, 'c_mktsegment', c_mktsegment FROM kv""",
+UNION ALL SELECT row_key, 'c_mktsegment', c_mktsegment FROM kv
+UNION ALL SELECT row_key, 'c_nationkey', c_nationkey FROM kv
+UNION ALL SELECT row_key, 'c_acctbal', c_acctbal FROM kv""",
     "kv_cells_to_rows": _ROWS + "SELECT * FROM kv",
     "kv_cells_to_maps": _ROWS + """
-SELECT row_key, '{"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '"}' AS info
+SELECT row_key, '{"c_acctbal":"' || c_acctbal || '","c_mktsegment":"' || c_mktsegment
+       || '","c_name":"' || c_name || '","c_nationkey":"' || c_nationkey || '"}' AS info
 FROM kv""",
     "kv_get": _ROWS + "SELECT * FROM kv WHERE row_key = '000000042'",
     "kv_get_many": _ROWS + "SELECT * FROM kv WHERE row_key IN (SELECT row_key FROM urgent)",

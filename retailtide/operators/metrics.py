@@ -54,24 +54,32 @@ def page_user_lists(
     """Views and the whole list of users per page.
 
     A page's list may outgrow one row and one task, so it is spread by a hash of the id
-    over ``chunks`` rows of about ``ids_per_row`` ids, numbered by ``chunk``; ``pv`` and
-    ``users`` are the page's own on each of them. Pages below that size have one row.
+    over ``chunks`` rows of about ``ids_per_row`` ids, numbered by ``chunk``. ``pv`` and ``users`` are
+    the page's own and stand on chunk 0 alone, which every page has, so they can be summed.
     """
-    # every row has views; asking keeps both uses below the same plan, which then runs once
-    user_counts = user_counts.filter(F.col("views") > 0)
+    # every row has views, and pages are never null here; asking keeps all uses below on the same
+    # plan, which then runs once
+    user_counts = user_counts.filter(
+        (F.col("views") > 0) & F.col(day).isNotNull() & F.col("page").isNotNull()
+    )
     totals = page_views(user_counts, day).withColumn(
         "chunks", F.greatest(F.lit(1), F.ceil(F.col("users") / ids_per_row)).cast("int")
     )
-    chunk = F.coalesce(F.pmod(F.xxhash64("user_id"), F.col("chunks")).cast("int"), F.lit(0))
-    placed = user_counts.select(day, "page", "user_id").join(totals, [day, "page"])
-    return (
-        placed.withColumn(
-            "chunk", F.when(F.col("user_id").isNull(), F.lit(0)).otherwise(chunk)
-        )
-        # without this the grouping would inherit the join's layout, a page per task
-        .repartition(day, "page", "chunk")
-        .groupBy(day, "page", "pv", "users", "chunks", "chunk")
-        .agg(F.array_sort(F.collect_list("user_id")).alias("user_ids"))
+    chunk = F.when(F.col("user_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("user_id"), F.col("chunks")).cast("int"))
+    ids = (
+        user_counts.select(day, "page", "user_id")
+        .join(totals.select(day, "page", "chunks"), [day, "page"])
+        .select(day, "page", "chunks", chunk.alias("chunk"), "user_id")
+    )
+    none = F.lit(None)
+    heads = totals.select(
+        day, "page", "chunks", F.lit(0).alias("chunk"), none.cast("string").alias("user_id"), "pv", "users"
+    )
+    rows = ids.withColumns({n: none.cast("bigint") for n in ("pv", "users")}).unionByName(heads)
+    return rows.groupBy(day, "page", "chunks", "chunk").agg(
+        F.max("pv").alias("pv"),
+        F.max("users").alias("users"),
+        F.array_sort(F.collect_list("user_id")).alias("user_ids"),
     )
 
 

@@ -93,31 +93,33 @@ def _computed_once(slots: DataFrame) -> DataFrame:
 
 def _new_ids(slots: DataFrame) -> DataFrame:
     """Products per slot of their first sale of the day, as one text in id order."""
-    firsts = slots.groupBy("bucket", "product_id").agg(F.min("slot").alias("slot"))
+    by_product = Window.partitionBy("bucket", "product_id").orderBy("slot")
+    firsts = slots.withColumn("nth", F.row_number().over(by_product)).filter("nth = 1")
     ids = F.expr("listagg(product_id, ',') WITHIN GROUP (ORDER BY product_id)")
-    return firsts.groupBy("bucket", "slot").agg(ids.alias("ids"))
+    return firsts.groupBy("bucket", "slot").agg(ids.alias("ids")).filter("ids is not null")
 
 
-def _window_totals(slots: DataFrame, steps: Steps, with_ids: bool, span: Span) -> DataFrame:
-    """Total and product list of every window, from per-slot totals.
+def _id_lists(slots: DataFrame, steps: Steps, span: Span) -> DataFrame:
+    """Product list of every window: those of its slots, in the order of their first sales.
 
-    A product enters the list in the slot of its first sale of the day, so each id is
-    gathered once a day instead of once a window; later windows only append.
+    A slot's text goes to each window that has it, so a window's list is joined in a group of its
+    own and no task holds a day's.
     """
+    texts = _new_ids(slots).select(
+        "bucket", "slot", F.lit(None).cast("int").alias("next_slot"), "ids", F.col("slot").alias("first")
+    )
+    joined = F.expr("listagg(ids, ',') WITHIN GROUP (ORDER BY first)")
+    return fill_windows(texts, steps, *span).groupBy("bucket", "slot").agg(joined.alias("win_gmv_ids"))
+
+
+def _window_totals(slots: DataFrame, steps: Steps, with_ids: bool, span: Span) -> DataFrame:
+    """Total and product list of every window, from per-slot totals."""
     per_slot = slots.groupBy("bucket", "slot").agg(F.sum("cents").alias("cents"))
-    extra = []
+    totals = fill_windows(running_totals(per_slot, [], {"cents": "sum"}), steps, *span)
     if with_ids:
-        per_slot = per_slot.join(_new_ids(slots), ["bucket", "slot"], "left")
-        so_far = (
-            Window.partitionBy("bucket")
-            .orderBy("slot")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        ids = F.array_join(F.collect_list("ids").over(so_far), ",")
         # while all sales lack a product id there is no list at all
-        extra = [F.when(F.max("ids").over(so_far).isNotNull(), ids).alias("win_gmv_ids")]
-    running = running_totals(per_slot, [], {"cents": "sum"}, extra)
-    return fill_windows(running, steps, *span)
+        totals = totals.join(_id_lists(slots, steps, span), ["bucket", "slot"], "left")
+    return totals
 
 
 def _top_lists(slots: DataFrame, steps: Steps, k: int, span: Span) -> DataFrame:
