@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retailtide.functions.times import as_date
 from retailtide.operators.latest import latest_by_key
 
 # Fixed value: share of unusable rows above which a load is refused.
@@ -35,6 +36,8 @@ class ReportTable:
 
     ``files`` is the number of files a day gets per batch, filled by a hash of the key, so a
     day never depends on one task alone. Unset, every task writes its own file per day.
+    ``back`` and ``ahead`` are the days before and after today that the table has; rows of other days
+    are rejected like those that lack a required column.
     """
 
     path: str
@@ -43,6 +46,8 @@ class ReportTable:
     required: tuple[str, ...] = ()
     files: int | None = None
     schema: T.StructType | None = None
+    back: int | None = None
+    ahead: int | None = None
 
 
 def day_files(spark: SparkSession, most: int = 64) -> int:
@@ -58,15 +63,21 @@ def unusable(required: tuple[str, ...] | list[str]) -> Column:
     return bad
 
 
-def check_rejects(
-    df: DataFrame, required: tuple[str, ...] | list[str], limit: float = MAX_REJECTED
-) -> None:
+def cannot_store(table: ReportTable, as_of=None) -> Column:
+    """True for rows that a table cannot take: a column is missing, or the table has no such day."""
+    bad, today = unusable(table.required), as_date(as_of)
+    if table.back is not None:
+        bad = bad | F.coalesce(F.col(table.day) < F.date_sub(today, table.back), F.lit(True))
+    if table.ahead is not None:
+        bad = bad | F.coalesce(F.col(table.day) > F.date_add(today, table.ahead), F.lit(True))
+    return bad
+
+
+def check_rejects(df: DataFrame, bad: Column, limit: float = MAX_REJECTED) -> None:
     """Refuse the load when more than ``limit`` of its rows are unusable."""
-    total, rejected = df.agg(
-        F.count(F.lit(1)), F.count(F.when(unusable(required), F.lit(1)))
-    ).first()
+    total, rejected = df.agg(F.count(F.lit(1)), F.count(F.when(bad, F.lit(1)))).first()
     if rejected > limit * total:
-        raise LoadRejected(f"{rejected} of {total} rows lack one of {list(required)}")
+        raise LoadRejected(f"{rejected} of {total} rows cannot be stored")
 
 
 def _put(df: DataFrame, batch_id: int, table: ReportTable) -> None:
@@ -94,24 +105,26 @@ def write_batch(
     table: ReportTable,
     order: Column | None = None,
     unique: bool = False,
+    as_of=None,
 ) -> None:
     """Write one batch of a table.
 
     A keyed table needs ``order``, which picks the newest row where a key occurs more than once in
-    the batch, or the caller's word that its rows are ``unique``. Rows that lack a required
-    column are stored beside the table (``read_rejected``), each with its batch; with too many of them
-    the whole load is refused.
+    the batch, or the caller's word that its rows are ``unique``. Rows that the table cannot take
+    are stored beside it (``read_rejected``), each with its batch; with too many of them the whole load
+    is refused.
     """
     if table.keys and order is None and not unique:
         raise ValueError("rows for a keyed table need an order, or must be unique")
-    if not table.required:
+    if not table.required and table.back is None and table.ahead is None:
         _put(_newest(df, table, order), batch_id, table)
         return
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_rejects(df, table.required)
-        _put(_newest(df.filter(~unusable(table.required)), table, order), batch_id, table)
-        rejected = df.filter(unusable(table.required)).withColumn("rejected_at", F.current_timestamp())
+        bad = cannot_store(table, as_of)
+        check_rejects(df, bad)
+        _put(_newest(df.filter(~bad), table, order), batch_id, table)
+        rejected = df.filter(bad).withColumn("rejected_at", F.current_timestamp())
         rejected.write.mode("overwrite").parquet(f"{rejected_path(table)}/{BATCH}={batch_id}")
     finally:
         df.unpersist()

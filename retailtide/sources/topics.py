@@ -62,6 +62,7 @@ def text_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 def table_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Rows of Parquet files that appear below a path."""
+    path = path.rstrip("/")
     schema = spark.read.parquet(path).schema
     # a pattern, because a stream takes a folder or a pattern but not one file's name
     pattern = f"{path[:-1]}[{path[-1]}]"

@@ -155,7 +155,15 @@ def test_load_is_refused_above_a_tenth_of_unusable_rows(spark, tmp_path):
     with pytest.raises(LoadRejected):
         write_batch(frame(spark, good[:8] + [(1, None, 0)]), 1, table, unique=True)
     assert len(content(spark, table)) == 9
-    tables.check_rejects(frame(spark, []), ("k",))
+    tables.check_rejects(frame(spark, []), tables.unusable(("k",)))
+
+
+def test_days_a_table_does_not_have_are_rejected(spark, tmp_path):
+    table = keyed(str(tmp_path / "t"), back=2, ahead=1)
+    rows = [(d, "k", d) for d in (8, 9, 10)] + [(10, f"k{i}", 0) for i in range(20)]
+    write_batch(frame(spark, [*rows, (7, "k", 7), (12, "k", 12)]), 0, table, unique=True, as_of="2024-01-10")
+    assert {d for d, *_ in content(spark, table)} == {8, 9, 10}
+    assert sorted(r.v for r in tables.read_rejected(spark, table).collect()) == [7, 12]
 
 
 def test_retention_and_truncate(spark, tmp_path):
