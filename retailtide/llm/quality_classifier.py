@@ -37,7 +37,7 @@ EPOCHS = 20
 COST = 1.0
 THRESHOLD = 0.3
 LABEL_BYTES = 16 * 1024 * 1024
-_ROWS_AT_ONCE = 500
+_ROWS_AT_ONCE = 250
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,;:'-"]] = True
@@ -73,7 +73,7 @@ def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     t = Texts(column)
     present = np.zeros(len(t) * BUCKETS, bool)
     sizes = np.diff(t.offsets)
-    data = t.data.astype(np.int64)
+    data = t.data.astype(np.int32)
     for n in (1, 2, 3):
         counts = np.maximum(sizes - n + 1, 0)
         if counts.sum():

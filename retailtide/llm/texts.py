@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are held as arrays at once; one longer text makes a slice of its own.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 #: ASCII white space, which separates words.
 SPACES = b" \t\n\v\f\r"
@@ -123,9 +123,10 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     sizes = np.asarray(
         pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64
     )
-    start = 0
+    start, total = 0, np.cumsum(sizes)
     while start < batch.num_rows:
-        taken = np.searchsorted(np.cumsum(sizes[start:]), limit, side="right")
-        stop = min(batch.num_rows, start + max(1, int(taken)))
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from retailtide.llm.texts import Texts, runs, segment_hashes
 
-CACHED = 1_000_000
+CACHED = 400_000
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
