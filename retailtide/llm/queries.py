@@ -125,11 +125,12 @@ WITH split AS (
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l:
                      regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
   FROM documents),
-places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM split WHERE len(ws) >= 8),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM split WHERE len(ws) >= 8)),
 twice AS (
-  SELECT doc_id, i FROM (
-    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 7], ' ')) AS n
-    FROM places) WHERE n > 1),
+  SELECT doc_id, i FROM windows
+  JOIN (SELECT doc_id, w FROM windows GROUP BY doc_id, w HAVING count(*) > 1) USING (doc_id, w)),
 repeated AS (
   SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(8) AS r(j) GROUP BY doc_id),
 measured AS (
