@@ -216,6 +216,14 @@ def test_report_reads_its_orders_once(spark, tmp_path):
     assert "ReadSchema: struct<product_id:string,total_amount:string,ts_ms:timestamp>" in plan
 
 
+def test_no_window_or_list_gathers_a_days_products(spark):
+    """Ids are joined in a group per window; the windows over a day see sums only."""
+    plan = executed_plan(gmv.gmv_all(orders(spark, sales(3, 50))))
+    assert "collect_list" not in plan
+    over_days = [line for line in plan.splitlines() if "Window [" in line and "product_id" not in line]
+    assert over_days and not any("ids" in line for line in over_days)
+
+
 def test_hot_product_collapses_before_the_shuffle(spark):
     """200,000 rows of one product reach the shuffle as at most one per task and slot."""
     frame = spark.range(0, 200_000, 1, 4).select(
