@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailtide.llm.components import written
-from retailtide.llm.texts import Texts, mix, runs, slices
+from retailtide.llm.texts import Texts, mix, slices
 
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
 BURN_IN, SAMPLES = 1, 3
 SINGLE = 64
 STRENGTH = 1.0
@@ -120,7 +120,7 @@ class _Block:
             doc_ids=[i for part in self.doc_ids for i in part],
             held=held.tobytes(),
             lengths=lengths.astype(np.int64).tobytes(),
-            tokens=steps.astype(np.uint32).tobytes(),
+            tokens=pa.compress(steps.astype(np.uint32).tobytes(), codec="zstd", asbytes=True),
         )
         word_shard = shard[first]
         for s in np.unique(word_shard).tolist():
@@ -416,7 +416,8 @@ def _summed(train_tokens: int, types: int):
         counts = np.repeat(counts, _array(row["sizes"], np.int32))
         lengths = _array(row["lengths"], np.int64)
         begins = np.cumsum(lengths) - lengths
-        steps = _array(row["tokens"], np.uint32).astype(np.int64)
+        plain = pa.decompress(row["tokens"], 4 * int(lengths.sum()), codec="zstd", asbytes=True)
+        steps = _array(plain, np.uint32).astype(np.int64)
         # Within a text the entries are ascending, so their steps add up to them.
         total = np.cumsum(steps)
         entry = total - np.repeat(total[begins] - steps[begins], lengths)
