@@ -52,7 +52,7 @@ TILE = 512
 _ROWS_AT_ONCE = 1000
 #: Members of a set are hashes of this many bits, so that a row number fits above them.
 _MEMBER_BITS = np.uint64(54)
-_PAIRS_AT_ONCE = 500_000
+_PAIRS_AT_ONCE = 100_000
 
 _seeded = np.random.Generator(np.random.PCG64(97))
 _FACTORS = _seeded.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -259,7 +259,9 @@ class Linker:
 
     def __init__(self, spark: SparkSession, docs: DataFrame):
         self.spark = spark
-        self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.texts = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+        )
         self.signatures = written(self.texts.mapInArrow(_signed, _SIGNATURE), "signatures")
         identified = self.signatures.filter("n_shingles > 0 and doc_id is not null")
         self.classes = written(
@@ -279,7 +281,7 @@ class Linker:
     def star_pairs(self, held: DataFrame) -> DataFrame:
         """For each class the hub with the closest sketch, if any is close."""
         pairs = held.filter("rep <> hub").groupBy("rep", "hub").agg(F.count("*").alias("shared"))
-        sketch = self.classes.groupBy("rep").agg(F.first("sketch").alias("sketch"))
+        sketch = self.classes.select("rep", "sketch")
         near = (
             pairs.join(sketch.withColumnRenamed("sketch", "sketch_b"), "rep")
             .join(sketch.select(F.col("rep").alias("hub"), F.col("sketch").alias("sketch_a")), "hub")
@@ -299,7 +301,7 @@ class Linker:
             .filter("low <> high")
             .select("key", F.ceil(F.col("size") / TILE).cast("int").alias("parts"))
         )
-        sketch = self.classes.groupBy("rep").agg(F.first("sketch").alias("sketch"))
+        sketch = self.classes.select("rep", "sketch")
         rows = placed.join(open_keys, "key").join(sketch, "rep")
         part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
         tiles = F.transform(
@@ -313,7 +315,8 @@ class Linker:
 
     @staticmethod
     def _by_tile(rows: DataFrame) -> DataFrame:
-        rows = rows.select(*[c.split()[0] for c in _TILE_ROW.split(", ")], *[c for c in rows.columns if c == "members"])
+        names = [c.split()[0] for c in _TILE_ROW.split(", ")]
+        rows = rows.select(*names, *[c for c in rows.columns if c == "members"])
         return rows.repartition(*_TILE_KEY).sortWithinPartitions(*_TILE_KEY)
 
     def cross_links(self, rows: DataFrame) -> DataFrame:
@@ -364,9 +367,8 @@ class Linker:
         )
         rows = self.signatures.select("doc_id", "n_shingles", "name1", "name2")
         joined = rows.join(named, ["name1", "name2"], "left")
-        component = F.when(
-            F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        )
+        own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+        component = F.when(F.col("doc_id").isNotNull(), own)
         return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
             "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
         )
