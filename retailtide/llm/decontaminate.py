@@ -162,7 +162,8 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spans = _spans(hits.filter(whole_row | F.col("item_around").isNotNull()))
     spans = spans.filter(whole_row | F.col("begin").isNotNull())
     first, last = F.expr("begin div 64"), F.expr("(end - 1) div 64")
-    spans = spans.withColumn("part", F.explode(F.when(whole_row, F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(first, last))))
+    parts = F.when(whole_row, F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(first, last))
+    spans = spans.withColumn("part", F.explode(parts))
     low = F.greatest(F.col("begin"), F.col("part") * 64) - F.col("part") * 64
     high = F.least(F.col("end"), F.col("part") * 64 + 64) - F.col("part") * 64
     spans = spans.withColumn("low", low.cast("int")).withColumn("high", high.cast("int"))

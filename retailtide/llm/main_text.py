@@ -259,7 +259,11 @@ class _Page:
         if not self.blocks:
             return []
         self._score()
-        earned = {n: self.nodes[n].points * (1 - self._density(self.nodes[n])) for n in range(1, len(self.nodes)) if self.nodes[n].chars}
+        earned = {
+            n: node.points * (1 - self._density(node))
+            for n, node in enumerate(self.nodes)
+            if n and node.chars
+        }
         scored = self._scored_nodes()
         if scored:
             best = max(scored, key=lambda n: (earned.get(n, 0), -n))

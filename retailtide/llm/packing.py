@@ -49,7 +49,9 @@ TRIED = 24
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
 
 
-def pieces(docs: DataFrame, path: str, spaced: bool = False, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, spaced: bool = False, capacity: int = CAPACITY, end_id: int = END_ID
+) -> DataFrame:
     """The pieces of every document with their length and checksum, and ``deal``, which deals them out."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +72,10 @@ def pieces(docs: DataFrame, path: str, spaced: bool = False, capacity: int = CAP
                     [pa.array(c, kind) for c, kind in zip(zip(*rows), _PIECE_TYPES)], _PIECE_NAMES
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECE)
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    return texts.mapInArrow(cut, PIECE)
 
 
 _PIECE_NAMES = [c.split()[0] for c in PIECE.split(", ")]

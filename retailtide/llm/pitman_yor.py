@@ -283,7 +283,9 @@ def _array(value, kind) -> np.ndarray:
 
 def _merged(group: pd.DataFrame) -> pd.DataFrame:
     """A shard's training counts from the blocks' messages."""
-    words = np.concatenate([np.repeat(_array(w, np.uint64), _array(n, np.int32)) for w, n in zip(group["words"], group["sizes"])])
+    words = np.concatenate(
+        [np.repeat(_array(w, np.uint64), _array(n, np.int32)) for w, n in zip(group["words"], group["sizes"])]
+    )
     contexts = np.concatenate([_array(c, np.uint16) for c in group["contexts"]])
     counts = np.concatenate([_array(c, np.int32) for c in group["counts"]])
     words, contexts, counts = words[counts > 0], contexts[counts > 0], counts[counts > 0]
@@ -352,8 +354,8 @@ def _answers(messages: pd.DataFrame, rows: pd.DataFrame, history: list[Totals])
     if len(rows):
         row = rows.iloc[0]
     else:
-        empty = b""
-        row = {"shard": int(messages["shard"].iloc[0]), "words": empty, "sizes": empty, "contexts": empty, "counts": empty}
+        nothing = dict.fromkeys(("words", "sizes", "contexts", "counts"), b"")
+        row = {"shard": int(messages["shard"].iloc[0]), **nothing}
     asked = []
     shard = _shard(row)
     in_training = np.bincount(shard.word, shard.count, len(shard.words)).astype(np.int64)
@@ -365,7 +367,8 @@ def _answers(messages: pd.DataFrame, rows: pd.DataFrame, history: list[Totals])
         parent, has_parent = _found(shard.parent_keys, entry_word * _PARENTS + (context & 0xFF))
         entry, has_entry = _found(shard.keys, entry_word * _LEAVES + context)
         counts = np.where(known, in_training[word], 0) if len(shard.words) else np.zeros(len(words), np.int64)
-        asked.append((m.block, context, entry_word, entry_known, parent, has_parent & entry_known, entry, has_entry & entry_known, counts, np.zeros(len(context))))
+        places = (entry_word, entry_known, parent, has_parent & entry_known, entry, has_entry & entry_known)
+        asked.append((m.block, context, *places, counts, np.zeros(len(context))))
     for sweep, shard in enumerate(_replayed(row, history[:-1])):
         if sweep <= BURN_IN:
             continue
@@ -374,7 +377,10 @@ def _answers(messages: pd.DataFrame, rows: pd.DataFrame, history: list[Totals])
         own_root = shard.root_customers() - d0 * shard.root_seats
         own_parent = shard.parent_customers() - d1 * shard.parent_seats
         own_leaf = shard.count - d2 * shard.seats
-        pick = lambda values, at, has: np.where(has, values[at], 0.0) if len(values) else np.zeros(len(at))
+
+        def pick(values: np.ndarray, at: np.ndarray, has: np.ndarray) -> np.ndarray:
+            return np.where(has, values[at], 0.0) if len(values) else np.zeros(len(at))
+
         for _, context, word, known, parent, has_parent, entry, has_entry, _, total in asked:
             up = context & 0xFF
             p = pick(own_root, word, known) + (STRENGTH + d0 * totals.root_tables) / (totals.types + 1)
@@ -471,7 +477,9 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
             "block long, shard int, scores binary, known binary",
         )
     )
-    blocks = parts.filter(F.col("shard") == _BLOCK_ROW).select("block", "sizes", "doc_ids", "held", "lengths", "tokens")
+    blocks = parts.filter(F.col("shard") == _BLOCK_ROW).select(
+        "block", "sizes", "doc_ids", "held", "lengths", "tokens"
+    )
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _summed(train_tokens, types), _SCORED
     )

@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailtide.llm.texts import Texts, mix, slices
+from retailtide.llm.texts import Texts, mix, runs, slices
 from retailtide.operators.bounded import broadcast_if_small
 from retailtide.session import shared_folder
 
 BUCKETS = 1 << 16
-FIT_ROWS = 10_000
+FIT_ROWS = 6_000
 EPOCHS = 20
 COST = 1.0
 THRESHOLD = 0.3
@@ -78,7 +78,7 @@ def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         counts = np.maximum(sizes - n + 1, 0)
         if counts.sum():
             row = np.repeat(np.arange(len(t)), counts)
-            at = np.repeat(t.offsets[:-1], counts) + np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+            at = np.repeat(t.offsets[:-1], counts) + runs(counts)
             code = data[at]
             for j in range(1, n):
                 code = (code << 8) | data[at + j]
@@ -140,8 +140,16 @@ class Model:
 
 def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Class counts per n-gram of a task's rows, and the n-grams of the rows to fit on."""
+    grams_type = pa.list_(pa.int32())
     schema = pa.schema(
-        [("bucket", pa.int32()), ("n0", pa.int64()), ("n1", pa.int64()), ("label", pa.int32()), ("fit", pa.int64()), ("grams", pa.list_(pa.int32()))]
+        [
+            ("bucket", pa.int32()),
+            ("n0", pa.int64()),
+            ("n1", pa.int64()),
+            ("label", pa.int32()),
+            ("fit", pa.int64()),
+            ("grams", grams_type),
+        ]
     )
     counts = np.zeros((2, BUCKETS + 1), np.int64)  # the last is the number of rows
     for part in _parts(batches):
@@ -163,7 +171,7 @@ def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     none,
                     pa.array(label[chosen], pa.int32()),
                     pa.array(fit[chosen], pa.int64()),
-                    pa.array(grams, pa.list_(pa.int32())),
+                    pa.array(grams, grams_type),
                 ],
                 schema=schema,
             )
@@ -171,12 +179,25 @@ def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if len(used):
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array(counts[0, used]), pa.array(counts[1, used]), none.cast(pa.int32()), none, pa.nulls(len(used), pa.list_(pa.int32()))],
+            [
+                pa.array(used, pa.int32()),
+                pa.array(counts[0, used]),
+                pa.array(counts[1, used]),
+                none.cast(pa.int32()),
+                none,
+                pa.nulls(len(used), grams_type),
+            ],
             schema=schema,
         )
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, costs: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
+def descend(
+    rows: list[np.ndarray],
+    values: list[np.ndarray],
+    signs: np.ndarray,
+    costs: np.ndarray,
+    epochs: int = EPOCHS,
+) -> np.ndarray:
     """Weights of a linear hinge-loss model, by dual coordinate descent; rows have unit length."""
     weights, alpha = np.zeros(BUCKETS), np.zeros(len(rows))
     order = np.random.Generator(np.random.PCG64(5))
@@ -244,7 +265,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, training=None
     million = 1_000_000
     part = min(million, -(-million * FIT_ROWS // max(total, 1)))
     place = F.xxhash64(F.lit(17), "doc_id")
-    known = known.withColumn("fit", F.when(F.pmod(place, F.lit(million)) < part, F.pmod(F.shiftright(place, 20), F.lit(2**40))).otherwise(-1))
+    chosen = F.pmod(place, F.lit(million)) < part
+    known = known.withColumn(
+        "fit", F.when(chosen, F.pmod(F.shiftright(place, 20), F.lit(2**40))).otherwise(-1)
+    )
     rows = docs.select("doc_id", F.col("text").cast("string")).join(
         broadcast_if_small(known, LABEL_BYTES), "doc_id"
     )
@@ -254,7 +278,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, training=None
     folder = shared_folder(spark, "quality")
     made.write.parquet(folder)
     made = spark.read.parquet(folder)
-    sums = made.filter("bucket is not null").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    per_gram = made.filter("bucket is not null").groupBy("bucket")
+    sums = per_gram.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     counts = np.zeros((2, BUCKETS + 1), np.int64)
     at = sums.column("bucket").to_numpy()
     counts[0, at], counts[1, at] = sums.column("n0").to_numpy(), sums.column("n1").to_numpy()

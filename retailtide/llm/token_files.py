@@ -119,7 +119,9 @@ def write(docs: DataFrame, path: str, spaced: bool = True, end_id: int = END_ID,
             row = (TaskContext.get().partitionId(), *out.close())
             yield pa.RecordBatch.from_pylist([dict(zip((c.split()[0] for c in MANIFEST.split(", ")), row))])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
     order = ["doc_id", F.xxhash64("text")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     return written(ranged.mapInArrow(shard, MANIFEST), "token-manifest")
@@ -153,7 +155,7 @@ def read(manifest: DataFrame, documents_at_once: int = 20_000) -> DataFrame:
     order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
     parts = based.withColumn(
-        "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(documents_at_once).cast("long")))
+        "first", F.explode(F.expr(f"sequence(0L, n_docs - 1, {documents_at_once}L)"))
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
