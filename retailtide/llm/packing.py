@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from retailtide.llm.components import written
 from retailtide.llm.texts import slices
-from retailtide.llm.tokens import encoder
+from retailtide.llm.tokens import SLICE_BYTES, encoder
 
 CAPACITY = 4096
 END_ID = 1
@@ -57,7 +57,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, deal = encoder(path, spaced), TaskContext.get().partitionId()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids, counts = own.encode(part.column("text"))
                 at = 0
                 rows = []

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from retailtide.llm.components import written
 from retailtide.llm.files import new_file, random_access
 from retailtide.llm.texts import runs, slices
-from retailtide.llm.tokens import encoder
+from retailtide.llm.tokens import SLICE_BYTES, encoder
 from retailtide.session import shared_folder
 
 SEQUENCE = 2048
@@ -111,7 +111,7 @@ def write(docs: DataFrame, path: str, spaced: bool = True, end_id: int = END_ID,
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, out = encoder(path, spaced), None
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 out = out or ShardWriter(folder, width)
                 ids, counts = _with_end(*own.encode(part.column("text")), end_id)
                 out.add(part.column("doc_id"), ids, counts)

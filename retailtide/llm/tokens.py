@@ -2,9 +2,10 @@
 
 A text is cut only where its tokens cannot cross: at white space for a vocabulary that drops white
 space, and before a single space or around a single line break between two other characters for a
-byte-level vocabulary, whose words take the space before them. So the ids are those of the whole text,
-while a word that comes again costs a lookup. What a worker has learned stays for its next tasks, up to
-``CACHED`` chunks.
+byte-level vocabulary, whose words take the space before them; for both also between an ASCII letter and a
+punctuation mark after it, but for the apostrophe. So the ids are those of the whole text, while a word
+that comes again costs a lookup. The vocabulary that drops white space also drops letter case. What a
+worker has learned stays for its next tasks; of ``CACHED`` chunks the half used last is kept.
 """
 
 from __future__ import annotations
@@ -16,10 +17,19 @@ import pyarrow as pa
 
 from retailtide.llm.texts import Texts, runs, segment_hashes
 
-CACHED = 400_000
+CACHED = 500_000
+#: Bytes of text that are encoded at once.
+SLICE_BYTES = 2_000_000
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+# Marks at which a word ends: not the apostrophe, which begins contractions, and not what special
+# tokens are made of.
+_MARK = np.zeros(256, bool)
+_MARK[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
 
 def vocabulary(name: str) -> str:
     """Where the named public vocabulary file lies."""
@@ -36,48 +46,96 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced = spaced
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
+    def _start(self) -> None:
         self.known: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = [0]
+        self.bounds = np.zeros(1 << 12, np.int64)  # slot n has the ids from bounds[n] to bounds[n + 1]
+        self.used = np.zeros(1 << 12, np.int64)
+        self.clock = 0
 
     def _learn(self, hashes: list[int], chunks: list[str]) -> None:
-        for hashed, made in zip(hashes, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
-            start = self.ends[-1]
-            end = start + len(made.ids)
-            if end > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(end, len(self.ids)), np.uint32)])
-            self.ids[start:end] = made.ids
-            self.known[hashed] = len(self.ends) - 1
-            self.ends.append(end)
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        slot, start = len(self.known), int(self.bounds[len(self.known)])
+        ends = start + np.cumsum([len(m) for m in made])
+        self.ids = _room(self.ids, int(ends[-1]))
+        self.bounds = _room(self.bounds, slot + len(made) + 1)
+        self.used = _room(self.used, slot + len(made))
+        self.ids[start : ends[-1]] = np.concatenate([np.asarray(m, np.uint32) for m in made])
+        self.bounds[slot + 1 : slot + 1 + len(made)] = ends
+        self.known.update(zip(hashes, range(slot, slot + len(made))))
+
+    def _forget(self) -> None:
+        """Drop the half of the chunks that were used the longest ago."""
+        n = len(self.known)
+        keep = np.sort(np.argsort(self.used[:n], kind="stable")[n // 2 :])
+        first, counts = self.bounds[keep], self.bounds[keep + 1] - self.bounds[keep]
+        ids = self.ids[np.repeat(first, counts) + runs(counts)]
+        moved = np.full(n, -1, np.int64)
+        moved[keep] = np.arange(len(keep))
+        places = moved.tolist()
+        self.known = {h: places[s] for h, s in self.known.items() if places[s] >= 0}
+        self.ids, self.used = ids, self.used[keep]
+        self.bounds = np.concatenate([[0], np.cumsum(counts)])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and how many each text has."""
         t = Texts(column)
-        starts, ends, per_text = _spaced_chunks(t) if self.spaced else (t.starts, t.ends, t.n_words)
+        raw = t.data.tobytes()
+        if not self.spaced and b"<|" not in raw:  # a special token keeps its case
+            raw = raw.lower()
+            t.data = np.frombuffer(raw, np.uint8)
+        starts, ends, per_text = (_spaced_chunks if self.spaced else _word_chunks)(t)
         distinct, place, inverse = np.unique(
             segment_hashes(t.data, starts, ends), return_index=True, return_inverse=True
         )
-        if len(self.known) + len(distinct) > CACHED:
-            self._forget()
         names = distinct.tolist()
+        self.clock += 1
         new = [i for i, name in enumerate(names) if name not in self.known]
-        raw = t.data.tobytes() if new else b""
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
             chunks = [raw[starts[place[i]] : ends[place[i]]].decode() for i in part]
             self._learn([names[i] for i in part], chunks)
-        bounds = np.asarray(self.ends, np.int64)
-        slot = np.fromiter((self.known[name] for name in names), np.int64, len(names))[inverse]
-        first, counts = bounds[slot], bounds[slot + 1] - bounds[slot]
+        slots = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        self.used[slots] = self.clock
+        slot = slots[inverse]
+        first, counts = self.bounds[slot], self.bounds[slot + 1] - self.bounds[slot]
         ids = self.ids[np.repeat(first, counts) + runs(counts)]
         total = np.concatenate([[0], np.cumsum(counts)])
         chunk = np.concatenate([[0], np.cumsum(per_text)])
+        if len(self.known) > CACHED:
+            self._forget()
         return ids, np.diff(total[chunk])
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array with at least that many places."""
+    if size <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
+
+
+def _word_ends(t: Texts) -> np.ndarray:
+    """Places of marks that follow a letter of the same text."""
+    found = np.zeros(len(t.data) + 1, bool)
+    if len(t.data):
+        found[1:-1] = _LETTER[t.data[:-1]] & _MARK[t.data[1:]]
+        found[t.offsets] = False
+    return found
+
+
+def _word_chunks(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of the words of each text, and how many each text has."""
+    cut = _word_ends(t)
+    cut[t.starts] = True
+    starts = np.flatnonzero(cut)
+    if not len(starts):
+        return starts, starts, t.n_words
+    ends = np.minimum(t.ends[np.searchsorted(t.ends, starts, side="right")], np.append(starts[1:], len(t.data)))
+    return starts, ends, np.diff(np.searchsorted(starts, t.offsets))
+
+
 def _spaced_chunks(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Chunks that cover each text, and how many each text has."""
     data, n = t.data, len(t.data)
@@ -91,7 +149,7 @@ def _spaced_chunks(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.zeros(n, bool)
     if n > 2:
         inner[1:-1] = before[:-2] & after[2:] & ~begins[1 : n - 1] & ~begins[2:n]
-    cut = begins.copy()
+    cut = begins | _word_ends(t)
     cut[:-1] |= inner & ((data == 32) | (data == 10))
     cut[1:] |= inner & (data == 10)
     starts = np.flatnonzero(cut[:-1])

@@ -55,7 +55,7 @@ def crc(ids):
 @pytest.mark.parametrize("which", [0, 1])
 def test_chunked_encoding_equals_the_whole_text(vocabularies, which):
     random.seed(3)
-    pieces = ["a", " ", "  ", "\n", "é", "B c", "'s", "12", "\t", "…", " ", "z.\n", "<|endoftext|>"]
+    pieces = ["a", " ", "  ", "\n", "é", "B c", "'s", "12", "\t", "…", " ", "z.\n", "<|endoftext|>", "it's", "x,", "-y", "Q?!", "\u0301", "<|ENDOFTEXT|>", "a|b"]
     texts = [*ODD_TEXTS, *("".join(random.choices(pieces, k=random.randrange(40))) for _ in range(300))]
     encoder = tokens.Encoder(vocabularies[which], spaced=which == 0)
     ids, counts = encoder.encode(pa.array(texts, pa.string()))
