@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from retailtide.llm.texts import Texts, runs, segment_hashes
 
-CACHED = 500_000
+CACHED = 340_000
 #: Bytes of text that are encoded at once.
 SLICE_BYTES = 2_000_000
 
