@@ -6,12 +6,15 @@ points are discounted by the share of its text that is in links. The best contai
 those of its siblings that score well or are long paragraphs with few links. Before that, elements that
 never hold an article (menus, page headers and footers, sidebars, forms, scripts and the like, by tag, role
 or by the words of their class and id) are left out, and inside what is kept, lists and boxes that are
-mostly links.
+mostly links. A class that names content (``post``, ``content``) outweighs unlikely ones beside it, and names
+that speak of a part or a style (``with-sidebar``, ``overflow-hidden``) leave nothing out. A page of which words
+and forms have left out far more than is found is read again without those words.
 
 Blocks are joined in page order by one line feed; white space inside a block is one space, and so is a
 line break, while two in a row end the block. Character references are decoded.
 
-Scale: pages are independent; one pass without a shuffle. A page is read in time linear in its length.
+Scale: pages are independent; one pass without a shuffle. A page is read in time linear in its length, at
+most three times.
 
 Defined cases: a null or empty html, or one without text, has an empty text. Tags left open or closed out
 of order are closed where the next block begins, or at the end; a comment or script left open runs to the
@@ -36,7 +39,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style title textarea noscript template iframe xmp noembed noframes svg math".split())
 NEVER = frozenset(
     "script style title textarea noscript template iframe xmp noembed noframes svg math head nav footer"
-    " aside form button select option label fieldset menu dialog object canvas audio video map datalist".split()
+    " aside button select option label menu dialog object canvas audio video map datalist".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby rp rt s samp small"
@@ -64,12 +67,24 @@ UNLIKELY = frozenset(
 UNLIKELY_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog menu menubar alert form".split()
 )
+#: Those that stay unlikely when a page is read again, as they are seldom a wrapper of the article.
+FIRM = UNLIKELY - frozenset("header meta modal notice overlay paywall share skip tags widget widgets".split())
 LIKELY = frozenset("article body content entry hentry main page post story text blog".split())
+#: A class or id of such words alone outweighs unlikely ones beside it, if they are not firm or tell the layout.
+_CONTENT = frozenset("article content entry hentry main post story".split())
+_LAYOUT = frozenset("banner menu nav sidebar".split())
+#: Before an unlikely word: the element has or lacks such a part, and is not one.
+_HAVING = frozenset("has have having hide no non not show with without".split())
+_HIDING = frozenset("is js u visually".split())
+_WRAPS = frozenset("form fieldset".split())
 TAG_POINTS = {"article": 10, "main": 8, "div": 5, "section": 5, "pre": 3, "td": 3, "blockquote": 3}
 TAG_POINTS |= {"ul": -3, "ol": -3, "dl": -3, "address": -3, "th": -5}
 
 #: A paragraph of fewer characters earns nothing.
 LEAST_CHARS = 25
+#: A page is read again if what is left out has so many characters, or if less than ``NEARLY_NOTHING`` is found.
+ARTICLE_CHARS = 200
+NEARLY_NOTHING = 50
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -77,42 +92,68 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)[^>]*(?:>|\Z)",
     re.S,
 )
-_MARKS = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRS = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s>]++))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "dropped", "points", "chars", "linked", "inline")
+    __slots__ = ("tag", "parent", "dropped", "soft", "points", "chars", "linked", "inline")
 
-    def __init__(self, tag: str, parent: int, dropped: bool, points: float, inline: bool):
-        self.tag, self.parent, self.dropped, self.points = tag, parent, dropped, points
+    def __init__(self, tag: str, parent: int, dropped: bool, soft: bool, points: float, inline: bool):
+        self.tag, self.parent, self.dropped, self.soft, self.points = tag, parent, dropped, soft, points
         self.inline, self.chars, self.linked = inline, 0, 0
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, int]:
-    """Whether an element is not the article's by its attributes, and its points."""
-    words: set[str] = set()
-    for name, value in _MARKS.findall(attrs):
+def _unlikely(name: str, words: list[str]) -> frozenset[str]:
+    """The words of one class or id that say that an element is not the article's."""
+    found = UNLIKELY.intersection(words)
+    if not found or _HAVING.intersection(words[:-1]):
+        return frozenset()
+    if "hidden" in found and (":" in name or not _HIDING.issuperset(w for w in words if w != "hidden")):
+        found -= {"hidden"}  # overflow-hidden, hidden-print, md:hidden
+    if found == {"header"} and LIKELY.intersection(words) - {"page", "main", "body"}:
+        return frozenset()  # entry-header: the article's own
+    return found
+
+
+def _marks(tag: str, attrs: str) -> tuple[bool, frozenset[str], int]:
+    """Whether an element is hidden or has another role, its unlikely words, and its points."""
+    unlikely: frozenset[str] = frozenset()
+    likely = whole = False
+    for name, value in _ATTRS.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "role" and value.lower() in UNLIKELY_ROLES:
-            return True, 0
+            if value.lower() != "form":
+                return True, unlikely, 0
+            unlikely |= {"form"}
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True, 0
+            return True, unlikely, 0
         if name == "style" and _HIDDEN_STYLE.search(value):
-            return True, 0
+            return True, unlikely, 0
         if name in ("class", "id"):
-            words.update(w.lower() for w in _WORDS.findall(value))
+            for one in value.split():
+                words = [w.lower() for w in _WORDS.findall(one)]
+                unlikely |= _unlikely(one, words)
+                likely = likely or not LIKELY.isdisjoint(words)
+                whole = whole or bool(words) and _CONTENT.issuperset(words)
     if tag in ("html", "body", "article", "main"):
-        return False, 25 * bool(words & LIKELY)
-    return bool(words & UNLIKELY), 25 * bool(words & LIKELY)
+        unlikely &= {"form"}
+    elif whole:
+        unlikely &= FIRM - _LAYOUT | {"form"}
+    return False, unlikely, 25 * likely
 
 
 class _Page:
-    """The tree of a page, and its blocks of text as (node, text, characters in links)."""
+    """The tree of a page, and its blocks of text as (node, text, characters in links).
+
+    ``left_out`` are the unlikely words that leave an element out; without ``form`` forms are kept.
+    """
 
-    def __init__(self, page: str):
-        self.nodes = [_Node("", -1, False, 0, False)]
+    def __init__(self, page: str, left_out: frozenset[str] = UNLIKELY | {"form"}):
+        self.left_out = left_out
+        self.lost = 0  # characters outside of links that are left out by words or as a form
+        self.nodes = [_Node("", -1, False, False, 0, False)]
         self.blocks: list[tuple[int, str, int]] = []
         self.stack = [0]
         self.parts: list[str] = []
@@ -142,7 +183,10 @@ class _Page:
         self._flush()
 
     def _text(self, text: str) -> None:
-        if self.nodes[self.stack[-1]].dropped:
+        own = self.nodes[self.stack[-1]]
+        if own.dropped:
+            if own.soft and not self.in_link:
+                self.lost += len(text.strip())
             return
         if "&" in text:
             text = references.unescape(text)
@@ -184,18 +228,22 @@ class _Page:
         if inline and "=" not in attrs and "hidden" not in attrs:
             return
         parent = self.stack[-1]
-        unlikely, points = _marks(tag, attrs) if attrs else (False, 0)
-        if inline and not unlikely:
+        hidden, words, points = _marks(tag, attrs) if attrs else (False, frozenset(), 0)
+        if tag in _WRAPS:
+            words |= {"form"}
+        unlikely = not self.left_out.isdisjoint(words)
+        if inline and not unlikely and not hidden:
             return
         if not inline:
             self._flush()
             self.in_link = False
             self._imply(tag)
             parent = self.stack[-1]
-        dropped = self.nodes[parent].dropped or unlikely or tag in NEVER
-        if tag == "header" and not self._within(("article", "main")):
-            dropped = True
-        self.nodes.append(_Node(tag, parent, dropped, points + TAG_POINTS.get(tag, 0), inline))
+        up = self.nodes[parent]
+        never = hidden or tag in NEVER or (tag == "header" and not self._within(("article", "main")))
+        soft = not never and (up.soft or not up.dropped and unlikely)
+        dropped = up.dropped or never or unlikely
+        self.nodes.append(_Node(tag, parent, dropped, soft, points + TAG_POINTS.get(tag, 0), inline))
         self.stack.append(len(self.nodes) - 1)
 
     def _within(self, tags: tuple[str, ...]) -> bool:
@@ -315,8 +363,23 @@ class _Page:
 
 
 def main_text(page: str | None) -> str:
-    """The article of a page, a line per block."""
-    return "\n".join(_Page(page).main()) if page else ""
+    """The article of a page, a line per block.
+
+    If words of class and id, or forms, have left out far more than is found, the page is read again without
+    the words that may name a wrapper; and without any, if nearly nothing is found still.
+    """
+    if not page:
+        return ""
+    read = _Page(page)
+    text = "\n".join(read.main())
+    if read.lost >= max(ARTICLE_CHARS if text else LEAST_CHARS, 2 * len(text)):
+        again = "\n".join(_Page(page, FIRM).main())
+        if len(again) > max(ARTICLE_CHARS if text else 0, 2 * len(text)):
+            text = again
+    if len(text) < NEARLY_NOTHING and read.lost >= ARTICLE_CHARS:
+        again = "\n".join(_Page(page, frozenset()).main())
+        text = again if len(again) >= ARTICLE_CHARS else text
+    return text
 
 
 def extract(pages: DataFrame) -> DataFrame:

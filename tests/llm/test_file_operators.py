@@ -274,6 +274,39 @@ def test_main_text(page, want):
     assert want is None or got == want
 
 
+LONG = "".join(f"<p>Paragraph {i}, with a few words, and a good number of commas, so that it counts.</p>" for i in range(6))
+LONG_TEXT = "\n".join(re.findall("<p>(.*?)</p>", LONG))
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='content overflow-hidden'>",
+        "<div class='post with-sidebar'>",
+        "<div id=content class=no-sidebar>",
+        "<div class='has-sidebar'>",
+        "<div class='md:hidden'>",
+        "<form id=aspnetForm>",
+        "<div data-hidden=false>",
+        "<div data-x='is hidden now'>",
+        "<div class=share-page>",
+        "<div class=sidebar>",
+    ],
+)
+def test_one_word_of_a_wrapper_does_not_drop_the_article(wrapper):
+    end = f"</{re.match('<([a-z]+)', wrapper)[1]}>"
+    page = f"<body><div class=nav><a href=/>Home</a></div>{wrapper}{LONG}{end}<div><p>Imprint and the like, of some length.</p></div>"
+    assert main_text.main_text(page) == LONG_TEXT
+
+
+def test_parts_that_are_not_the_article_stay_out_beside_a_short_one():
+    short = "A short article, of only one paragraph, that says what there is to say."
+    for mark in ("class=comments", "class='post sponsored'", "class=sidebar", "hidden", "class=is-hidden", "aria-hidden=true", "class=post-meta"):
+        part = LONG if mark != "class=post-meta" else "<p>By someone, on some day, of some year, at noon.</p>"
+        assert main_text.main_text(f"<div><p>{short}</p></div><div {mark}>{part}</div>") == short, mark
+    assert main_text.main_text(f"<div class=ad>{LONG[:90]}</div>") == ""
+
+
 def test_very_long_and_deep_pages_are_read_in_linear_time():
     deep = "<div>" * 20_000 + "<p>Some text, down here, that counts.</p>"
     assert main_text.main_text(deep) == "Some text, down here, that counts."
