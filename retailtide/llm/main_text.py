@@ -2,8 +2,9 @@
 
 A page is read once into a tree of its block elements. Each paragraph gives points for its length and
 its commas to its ancestors, all to the parent, half to the next, and less further up; a container's
-points are discounted by the share of its text that is in links. The best container is kept, with
-those of its siblings that score well or are long paragraphs with few links. Before that, elements that
+points are discounted by the share of its text that is in links. The best container is kept with
+all of the article (else main, or box named so) around it, so that headings, short paragraphs, lists and quotes
+beside it stay, and with those of its siblings that score well or are long paragraphs with few links. Before that, elements that
 never hold an article (menus, page headers and footers, sidebars, forms, scripts and the like, by tag, role
 or by the words of their class and id) are left out, and inside what is kept, lists and boxes that are
 mostly links. A class that names content (``post``, ``content``) outweighs unlikely ones beside it, and names
@@ -72,6 +73,7 @@ FIRM = UNLIKELY - frozenset("header meta modal notice overlay paywall share skip
 LIKELY = frozenset("article body content entry hentry main page post story text blog".split())
 #: A class or id of such words alone outweighs unlikely ones beside it, if they are not firm or tell the layout.
 _CONTENT = frozenset("article content entry hentry main post story".split())
+_ARTICLE = frozenset("article entry hentry post story".split())
 _LAYOUT = frozenset("banner menu nav sidebar".split())
 #: Before an unlikely word: the element has or lacks such a part, and is not one.
 _HAVING = frozenset("has have having hide no non not show with without".split())
@@ -98,11 +100,13 @@ _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "dropped", "soft", "points", "chars", "linked", "inline")
+    __slots__ = ("tag", "parent", "dropped", "soft", "points", "article", "chars", "linked", "inline")
 
-    def __init__(self, tag: str, parent: int, dropped: bool, soft: bool, points: float, inline: bool):
+    def __init__(
+        self, tag: str, parent: int, dropped: bool, soft: bool, points: float, inline: bool, article: bool = False
+    ):
         self.tag, self.parent, self.dropped, self.soft, self.points = tag, parent, dropped, soft, points
-        self.inline, self.chars, self.linked = inline, 0, 0
+        self.inline, self.article, self.chars, self.linked = inline, article, 0, 0
 
 
 def _unlikely(name: str, words: list[str]) -> frozenset[str]:
@@ -117,31 +121,32 @@ def _unlikely(name: str, words: list[str]) -> frozenset[str]:
     return found
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, frozenset[str], int]:
-    """Whether an element is hidden or has another role, its unlikely words, and its points."""
+def _marks(tag: str, attrs: str) -> tuple[bool, frozenset[str], int, bool]:
+    """Whether an element is hidden or has another role, its unlikely words, its points, and if it is named an article."""
     unlikely: frozenset[str] = frozenset()
-    likely = whole = False
+    likely = whole = article = False
     for name, value in _ATTRS.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "role" and value.lower() in UNLIKELY_ROLES:
             if value.lower() != "form":
-                return True, unlikely, 0
+                return True, unlikely, 0, False
             unlikely |= {"form"}
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True, unlikely, 0
+            return True, unlikely, 0, False
         if name == "style" and _HIDDEN_STYLE.search(value):
-            return True, unlikely, 0
+            return True, unlikely, 0, False
         if name in ("class", "id"):
             for one in value.split():
                 words = [w.lower() for w in _WORDS.findall(one)]
                 unlikely |= _unlikely(one, words)
                 likely = likely or not LIKELY.isdisjoint(words)
                 whole = whole or bool(words) and _CONTENT.issuperset(words)
+                article = article or bool(words) and _ARTICLE.issuperset(words)
     if tag in ("html", "body", "article", "main"):
         unlikely &= {"form"}
     elif whole:
         unlikely &= FIRM - _LAYOUT | {"form"}
-    return False, unlikely, 25 * likely
+    return False, unlikely, 25 * likely, article
 
 
 class _Page:
@@ -228,7 +233,7 @@ class _Page:
         if inline and "=" not in attrs and "hidden" not in attrs:
             return
         parent = self.stack[-1]
-        hidden, words, points = _marks(tag, attrs) if attrs else (False, frozenset(), 0)
+        hidden, words, points, article = _marks(tag, attrs) if attrs else (False, frozenset(), 0, False)
         if tag in _WRAPS:
             words |= {"form"}
         unlikely = not self.left_out.isdisjoint(words)
@@ -243,7 +248,7 @@ class _Page:
         never = hidden or tag in NEVER or (tag == "header" and not self._within(("article", "main")))
         soft = not never and (up.soft or not up.dropped and unlikely)
         dropped = up.dropped or never or unlikely
-        self.nodes.append(_Node(tag, parent, dropped, soft, points + TAG_POINTS.get(tag, 0), inline))
+        self.nodes.append(_Node(tag, parent, dropped, soft, points + TAG_POINTS.get(tag, 0), inline, article))
         self.stack.append(len(self.nodes) - 1)
 
     def _within(self, tags: tuple[str, ...]) -> bool:
@@ -318,7 +323,7 @@ class _Page:
         else:
             named = [n for n in earned if self.nodes[n].tag in ("article", "main")]
             best = max(named, key=lambda n: self.nodes[n].chars) if named else 0
-        kept = {best} | self._siblings(best, earned)
+        kept = {self._enclosing(best)} | self._siblings(best, earned)
         out = []
         for node, text, _ in self.blocks:
             up, inside, links = node, False, False
@@ -347,6 +352,33 @@ class _Page:
                         up = self.nodes[up].parent
         return found
 
+    def _enclosing(self, best: int) -> int:
+        """The article around the best container, else the main part or a box named as an article, else itself.
+
+        A part around several articles, or one that is mostly links, is not taken.
+        """
+        if self.nodes[best].tag in ("article", "main"):
+            return best
+        named, up = best, self.nodes[best].parent
+        while up > 0 and self._density(self.nodes[up]) <= 0.5:
+            own = self.nodes[up]
+            if own.tag == "article":
+                return up
+            if own.tag == "main" or own.article and named == best:
+                named = up
+            if own.tag in ("main", "body"):
+                break
+            up = own.parent
+        if named == best:
+            return best
+        inside, articles = {named}, 0
+        for n in range(named + 1, len(self.nodes)):  # parents come before their children
+            own = self.nodes[n]
+            if own.parent in inside:
+                inside.add(n)
+                articles += own.tag == "article" and own.chars > 0
+        return best if articles > 1 else named
+
     def _siblings(self, best: int, earned: dict[int, float]) -> set[int]:
         if best == 0:
             return set()

@@ -307,6 +307,19 @@ def test_parts_that_are_not_the_article_stay_out_beside_a_short_one():
     assert main_text.main_text(f"<div class=ad>{LONG[:90]}</div>") == ""
 
 
+@pytest.mark.parametrize("outer", ["article", "main", "div class=post", "div class='hentry wide'"])
+def test_blocks_of_the_article_beside_its_best_container_stay(outer):
+    inner = f"<h1>Title</h1><div>{LONG}</div><blockquote>Said so.</blockquote><ul><li>One<li>Two</ul><p>Short end.</p>"
+    rest = "<div class=related><p>Another article, about another thing, of another day.</p></div><ul><li><a href=/>Home</a></ul>"
+    page = f"<body><h2>Site</h2><div><{outer}>{inner}{rest}</{outer.split()[0]}></div><div><p>Imprint, and so on.</p></div>"
+    assert main_text.main_text(page) == f"Title\n{LONG_TEXT}\nSaid so.\nOne\nTwo\nShort end."
+
+
+def test_main_with_several_articles_gives_the_best():
+    page = f"<main><article><div>{LONG}</div><p>End.</p></article><article><p>Short, other.</p></article></main>"
+    assert main_text.main_text(page) == f"{LONG_TEXT}\nEnd."
+
+
 def test_very_long_and_deep_pages_are_read_in_linear_time():
     deep = "<div>" * 20_000 + "<p>Some text, down here, that counts.</p>"
     assert main_text.main_text(deep) == "Some text, down here, that counts."
