@@ -3,12 +3,14 @@
 A document is its token ids and an end id; only a document longer than a sequence is cut. Pieces are
 dealt evenly into groups of a bounded number of tokens and rows, and each group is packed by one task:
 
-* the incumbent is best-fit decreasing;
+* the incumbent is best-fit decreasing, or a dive that is better: sequences filled one by one around the
+  largest piece, with the longest or the shortest pieces that waste least, or the shortest pieces by counts first;
 * the search fills one sequence at a time: the largest piece left, with fillings of the rest around it.
-  Only undominated fillings are tried, those that no other filling covers with larger pieces, the one
-  with the least waste first. A branch ends when the waste it has made cannot beat the incumbent, and
-  the search ends when the incumbent meets the bound (tokens over capacity, rounded up) or after
-  ``NODES`` fillings; what is left then is filled by best fit.
+  The first has the least waste of all, found in a bit set of the sums that the pieces left can reach,
+  of the longest pieces that make that sum; up to ``CHOICES`` are tried, each without the longest piece of
+  the one before, if that does not cover it piece by piece. A branch ends when the waste it has made
+  cannot beat the incumbent, and the search ends when the incumbent meets the bound (tokens over capacity,
+  rounded up) or after ``NODES`` fillings.
 
 Sequences that stay emptier than an eighth are taken from all groups and packed again together, in far
 fewer groups, so a group's remainder is not left over.
@@ -42,9 +44,8 @@ END_ID = 1
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 100_000
 NODES = 10_000
-#: Fillings tried per sequence, and lengths tried for a filling's first and second piece.
+#: Fillings tried per sequence.
 CHOICES = 3
-TRIED = 24
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
 
@@ -102,44 +103,67 @@ class _Lengths:
 
     def longest(self, limit: int) -> int:
         """The longest piece left of at most ``limit`` tokens, or 0."""
-        return (self.bits & ((2 << limit) - 1)).bit_length() - 1 if limit > 0 and self.bits else 0
-
-    def best_fit(self, room: int) -> list[int]:
-        """Fill a room with the longest piece that fits, again and again; the pieces are taken."""
-        taken = []
-        while (length := max(self.longest(room), 0)) > 0:
-            self.take(length)
-            taken.append(length)
-            room -= length
-        return taken
-
-
-def _fillings(lengths: _Lengths, room: int, most_waste: int) -> list[list[int]]:
-    """Undominated fillings of a room, least waste first, as lists of lengths."""
-    found: list[tuple[int, int, list[int]]] = []
-    single = max(lengths.longest(room), 0)
-    if not single:
-        return [[]] if room <= most_waste else []
-    if room - single <= most_waste:
-        found.append((room - single, 1, [single]))
-    if room > single:
-        first, tried = single, 0
-        covered = single  # a filling of more pieces must cover more, else the longer piece dominates it
-        while first > 0 and tried < TRIED and 2 * first >= room // 4:
-            lengths.take(first)
-            rest = lengths.best_fit(room - first)
-            for length in rest:
-                lengths.add(length)
-            lengths.add(first)
-            total = first + sum(rest)
-            if rest and total > covered and room - total <= most_waste:
-                found.append((room - total, 1 + len(rest), [first, *rest]))
-                covered = total
-                if total == room:
-                    break
-            first, tried = max(lengths.longest(first - 1), 0), tried + 1
-    found.sort()
-    return [filling for _, _, filling in found[:CHOICES]]
+        return max((self.bits & ((2 << limit) - 1)).bit_length() - 1, 0) if limit > 0 else 0
+
+    def shortest(self, least: int) -> int:
+        """The shortest piece left of at least ``least`` tokens, or 0."""
+        fitting = self.bits >> least
+        return least + (fitting & -fitting).bit_length() - 1 if fitting else 0
+
+
+def _fullest(lengths: _Lengths, room: int, skip: int = 0, short: bool = False) -> list[int]:
+    """The filling of a room with the least waste, of the longest (or shortest) pieces that reach it, without ``skip``.
+
+    A bit set holds the sums that the pieces so far can reach; it is ended early by a sum without waste.
+    """
+    reached, steps = 1, []
+    within, full = (2 << room) - 1, 1 << room
+    length = lengths.shortest(1) if short else lengths.longest(room)
+    while 0 < length <= room and not reached & full:
+        copies = min(lengths.left[length], room // length) if length != skip else 0
+        taken = 1
+        while copies > 0:  # 1, 2, 4... copies and the rest make every number of them
+            taken = min(taken, copies)
+            more = (reached | reached << taken * length) & within
+            if more != reached:
+                steps.append((length, taken, reached))
+                reached = more
+            copies -= taken
+            taken *= 2
+        length = lengths.shortest(length + 1) if short else lengths.longest(length - 1)
+    total = reached.bit_length() - 1
+    filling: list[int] = []
+    for length, taken, before in reversed(steps):
+        if not before >> total & 1:
+            filling += [length] * taken
+            total -= taken * length
+    return sorted(filling, reverse=True)
+
+
+def _covers(wide: list[int], narrow: list[int]) -> bool:
+    """Whether each piece of ``narrow`` has one of ``wide`` that is as long, so it is dominated."""
+    pairs = zip(sorted(wide, reverse=True), sorted(narrow, reverse=True))
+    return len(wide) >= len(narrow) and all(a >= b for a, b in pairs)
+
+
+def _fillings(lengths: _Lengths, largest: int, capacity: int) -> Iterator[list[int]]:
+    """Sequences with the largest piece left, least waste first, made as they are asked for.
+
+    Each filling after the first does without the longest piece that the one before put beside ``largest``,
+    and is left out if that one covers it. All pieces are left as they were whenever a filling is handed out.
+    """
+    before: list[int] | None = None
+    skip = 0
+    for _ in range(CHOICES):
+        lengths.take(largest)
+        filling = _fullest(lengths, capacity - largest, skip)
+        lengths.add(largest)
+        if before is None or not _covers(before, filling):
+            yield [largest, *filling]
+            before = filling
+        if not filling or filling[0] == skip:
+            return
+        skip = filling[0]
 
 
 def best_fit_decreasing(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
@@ -164,6 +188,43 @@ def best_fit_decreasing(lengths: list[int], capacity: int = CAPACITY) -> list[li
     return made
 
 
+def _dive(lengths: list[int], capacity: int, short: bool) -> list[list[int]]:
+    """Sequences filled one after another around the largest piece left, with the least waste each."""
+    left = _Lengths(lengths, capacity)
+    made = []
+    while left.bits:
+        largest = left.longest(capacity)
+        left.take(largest)
+        filling = _fullest(left, capacity - largest, short=short)
+        for length in filling:
+            left.take(length)
+        made.append([largest, *filling])
+    return made
+
+
+def _by_count(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Sequences of as many pieces each as can be: the shortest that fill sequences of k pieces, then of k - 1..."""
+    rest = np.sort(np.array(lengths, np.int64))
+    made: list[list[int]] = []
+    k = capacity // int(rest[0])
+    while len(rest):
+        k = max(min(k, capacity // int(rest[0])), 1)
+        sums = np.cumsum(rest)[k - 1 :: k]
+        fit = np.flatnonzero(sums <= capacity * np.arange(1, len(sums) + 1))
+        most = k * (int(fit[-1]) + 1) if len(fit) else 0
+        if k == 1 or len(rest) < k:
+            most = len(rest)
+        made += _dive(rest[:most].tolist(), capacity, False)
+        rest, k = rest[most:], k - 1
+    loose = [s for s in made if (capacity - sum(s)) * 8 > capacity]
+    again = min(
+        (_dive([x for s in loose for x in s], capacity, short) for short in (False, True)), key=len, default=[]
+    )
+    if len(again) < len(loose):
+        made = [s for s in made if (capacity - sum(s)) * 8 <= capacity] + again
+    return made
+
+
 def complete_bins(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
     """Sequences of lengths, as few as the search finds."""
     incumbent = best_fit_decreasing(lengths, capacity)
@@ -171,43 +232,43 @@ def complete_bins(lengths: list[int], capacity: int = CAPACITY, nodes: int = NOD
     bound = -(-total // capacity)
     if len(incumbent) == bound or not lengths:
         return incumbent
+    dives = (
+        lambda: _dive(lengths, capacity, False),
+        lambda: _dive(lengths, capacity, True),
+        lambda: _by_count(lengths, capacity),
+    )
+    for dive in dives:
+        incumbent = min(incumbent, dive(), key=len)
+        if len(incumbent) == bound:
+            return incumbent
     left = _Lengths(lengths, capacity)
     path: list[list[int]] = []  # sequences of the branch
-    options: list[list[list[int]]] = []  # fillings still to try at each of them
+    options: list[Iterator[list[int]]] = []  # fillings still to try at each of them
     waste = 0
     while nodes > 0:
-        may_waste = (len(incumbent) - 1) * capacity - total
         if left.bits:
-            largest = left.longest(capacity)
-            left.take(largest)
-            choices = _fillings(left, capacity - largest, may_waste - waste)
-            left.add(largest)
-            options.append([[largest, *c] for c in choices])
+            options.append(_fillings(left, left.longest(capacity), capacity))
         else:
             if len(path) < len(incumbent):
                 incumbent = [list(s) for s in path]
             if len(incumbent) == bound:
                 return incumbent
-            options.append([])
-        while options and not options[-1]:  # go back to where another filling is left
-            options.pop()
-            if path:
-                for length in path[-1]:
-                    left.add(length)
-                waste -= capacity - sum(path.pop())
-        if not options:
-            return incumbent
-        filling = options[-1].pop(0)
+            options.append(iter(()))
+        may_waste = (len(incumbent) - 1) * capacity - total
+        while (filling := next(options[-1], None)) is None or waste + capacity - sum(filling) > may_waste:
+            options.pop()  # go back to where another filling is left
+            if not options:
+                return incumbent
+            last = path.pop()
+            for length in last:
+                left.add(length)
+            waste -= capacity - sum(last)
         for length in filling:
             left.take(length)
         path.append(filling)
         waste += capacity - sum(filling)
         nodes -= 1
-    while left.bits:
-        largest = left.longest(capacity)
-        left.take(largest)
-        path.append([largest, *left.best_fit(capacity - largest)])
-    return path if len(path) < len(incumbent) else incumbent
+    return incumbent
 
 
 def _packed(capacity: int):

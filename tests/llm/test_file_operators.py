@@ -175,6 +175,17 @@ def test_bin_completion_beats_best_fit():
     assert packing.complete_bins([], 10) == []
 
 
+@pytest.mark.parametrize("least, most", [(300, 450), (100, 454), (600, 900), (900, 1400)])
+def test_narrow_bands_of_lengths_are_filled_around_the_largest(least, most):
+    random.seed(least)
+    lengths = [random.randrange(least, most) for _ in range(2000)]
+    made = packing.complete_bins(lengths)
+    assert sorted(x for s in made for x in s) == sorted(lengths) and max(map(sum, made)) <= packing.CAPACITY
+    plain, bound = len(packing.best_fit_decreasing(lengths)), -(-sum(lengths) // packing.CAPACITY)
+    assert len(made) < plain or plain == bound
+    assert 3 * (len(made) - bound) <= 2 * (plain - bound)
+
+
 def pages_of(spark):
     page = "<html>" + "é" * 80 + "</html>"
     rows = [
