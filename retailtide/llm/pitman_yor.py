@@ -1,32 +1,32 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Tokens are words and one end per text. A token is drawn in the restaurant of its context, the last two
-bytes of the word before it (or the start of the text). Restaurants whose contexts end in the same byte
-share a parent, and these share the root, which draws from a uniform base over the words of the training
-texts and one more for all others. A restaurant serves a word's customers at tables; each table is one
-customer of the parent. Seating is sampled by Gibbs: a sweep unseats, level by level, all customers of
-a word in a restaurant and seats them again one by one given all others (beyond ``SINGLE`` customers in
-blocks of a sixteenth of those seated, with the chance held within a block). Predictive probabilities are
-averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
-
-Scale: tables of one word, at all levels, depend on other words only through the totals of restaurants,
-of which there are at most 65,792 whatever the corpus. So words are dealt to shards by hash, shards
-sweep in parallel, and the totals are summed and handed out between sweeps (sweeps within a shard see
-its peers' totals as of the sweep before). Sweeps are replayed from their seeds and totals instead of
-being stored. Texts are read once, as blocks: a block holds its distinct (word, context) entries and each
-text's entries. Shuffles carry a block's distinct entries per shard, never a row per token, and the answer
-to them; hot words are summed per block before. The number of shards is that of the session's shuffle
-partitions, so that setting bounds a shard's memory. Everything between stages is written to the shared
-folder.
+Tokens are words and one end per text. A token is drawn in the restaurant of its context, the two words
+before it (or the start of the text). Restaurants of the same last word share a parent, and the parents
+share the root, which draws from a uniform base over the words of the training texts and one more for all
+others. A restaurant serves a word's customers at tables; each table is one customer of the parent. Seating
+is sampled by Gibbs: a sweep unseats, level by level, all customers of a word in a restaurant and seats them
+again one by one given all others (beyond ``SINGLE`` customers in blocks of a sixteenth of those seated, with
+the chance held within a block). Predictive probabilities are averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
+
+Scale: a parent and all restaurants below it are in one shard, so their totals never leave it. A word that
+more than ``HOT_TOKENS`` tokens follow has a parent for each so many tokens, by a hash of the word before it, so
+the tokens of a shard are bounded but for a single context's, which are summed per word; the number
+of shards comes from the tokens counted in a first pass. Only the root is spread over shards: after each
+sweep a shard tells how many tables each of its words has, words are summed and seated at the root by hash,
+and the shard is told the outcome (a sweep sees the root as of the sweep before). The driver sees sums of
+whole levels only. Sweeps are replayed from their seeds and the root's answers instead of being stored. A
+block of texts holds its distinct (context, word) entries and each text's entries; shuffles carry a block's
+distinct entries per shard, never a row per token. Everything between stages is written to the shared folder.
 
 Defined cases: a null or empty text is its end alone. Rows that share an id are scored each and count
 each; a null ``doc_id`` is scored and trains nothing (its fold is unknown). With no training text, all
-words are unknown. An empty table gives no rows. Other columns are left aside. Words are compared by
-64-bit hashes, ASCII letters in lower case; texts are read whole.
+words are unknown. An empty table gives no rows. Other columns are left aside. Words and contexts are
+compared by 64-bit hashes, ASCII letters in lower case; texts are read whole.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,19 +41,21 @@ from retailtide.llm.components import written
 from retailtide.llm.texts import Texts, mix, slices
 
 BLOCK_TOKENS = 1_000_000
+SHARD_TOKENS = 2_000_000
+HOT_TOKENS = 500_000
+#: Of a block's tokens, the share from which a word is reported when hot words are sought.
+HOT_SHARE = 20_000
 BURN_IN, SAMPLES = 1, 3
 SINGLE = 64
 STRENGTH = 1.0
 FOLDS = 10
+#: Restaurants of a shard that names none: contexts of 16 bits, whose low bytes are their parents.
 _LEAVES, _PARENTS = 65536, 256
-#: Line feeds are in no word, so they stand for the start of a text.
-_START = 0x0A0A
-_END = mix(np.array([0x0A], np.uint64))[0]
+#: Line feeds are in no word, so they stand for the start and the end of a text.
+_END, _START = mix(np.array([0x0A, 0x0A0A], np.uint64))
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
-_PARTS = (
-    "block long, shard int, words binary, sizes binary, contexts binary, counts binary,"
-    " doc_ids array<long>, held binary, lengths binary, tokens binary"
-)
+_PARTS = "block long, shard int, message binary, doc_ids array<long>, held binary, lengths binary, tokens binary"
 _BLOCK_ROW = -1
 
 
@@ -61,47 +63,110 @@ def held_out(folds: int = FOLDS):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(True))
 
 
-def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes and contexts of all tokens, and how many each text has."""
+def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all tokens, of the words one and two before them, and how many tokens each text has."""
     t = Texts(column, lower=True)
-    place = np.arange(len(t.starts)) + np.repeat(np.arange(len(t)), t.n_words)
-    total = len(t.starts) + len(t)
-    words = np.full(total, _END, np.uint64)
-    words[place] = t.hashes()
-    last = t.data[t.ends - 1].astype(np.int64)
-    second = np.where(t.ends - t.starts > 1, t.data[np.maximum(t.ends - 2, 0)], 0).astype(np.int64)
-    contexts = np.full(total, _START, np.int64)
-    after = place + 1
-    contexts[after] = second << 8 | last
-    return words, contexts, t.n_words + 1
+    lengths = t.n_words + 1
+    words = np.full(len(t.starts) + len(t), _END, np.uint64)
+    words[np.arange(len(t.starts)) + np.repeat(np.arange(len(t)), t.n_words)] = t.hashes()
+    begins = np.cumsum(lengths) - lengths
+    one, two = np.full(len(words), _START, np.uint64), np.full(len(words), _START, np.uint64)
+    one[1:], two[2:] = words[:-1], words[:-2]
+    one[begins] = two[begins] = _START
+    two[begins[lengths > 1] + 1] = _START
+    return words, one, two, lengths
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    plain = pickle.dumps(arrays, 5)
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def _unpacked(value: bytes) -> tuple[np.ndarray, ...]:
+    size = int.from_bytes(value[:8], "little")
+    return pickle.loads(pa.decompress(value[8:], size, codec="zstd", asbytes=True))
+
+
+@dataclass
+class _Hot:
+    """Words that many tokens follow, ascending, and how many parents each has."""
+
+    words: np.ndarray
+    parents: np.ndarray
+
+    def parent_of(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The parent of each context."""
+        at, hot = _found(self.words, one)
+        parent = one.copy()
+        if hot.any():
+            number = mix(two[hot]) % self.parents[at[hot]].astype(np.uint64) + np.uint64(1)
+            parent[hot] = mix(one[hot] + number * _STEP)
+        return parent
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens of a block (without a word), and the frequent words of it."""
+
+    def counted(parts: list) -> pa.RecordBatch:
+        words, counts = np.unique(np.concatenate(parts), return_counts=True)
+        often = counts * HOT_SHARE >= counts.sum()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([None, *words[often].view(np.int64).tolist()], pa.int64()),
+                pa.array([int(counts.sum()), *counts[often].tolist()], pa.int64()),
+            ],
+            ["word", "tokens"],
+        )
+
+    parts, size = [], 0
+    for batch in batches:
+        for part in slices(batch, "text"):
+            parts.append(tokens_of(part.column("text"))[1])
+            size += len(parts[-1])
+            if size >= BLOCK_TOKENS:
+                yield counted(parts)
+                parts, size = [], 0
+    if size:
+        yield counted(parts)
+
+
+def _dealt(rows: DataFrame) -> tuple[int, _Hot]:
+    """The number of shards, and the hot words: at most one for each ``HOT_TOKENS`` tokens."""
+    sums = (
+        rows.select("text").mapInArrow(_frequent, "word long, tokens long").groupBy("word")
+        .agg(F.sum("tokens").alias("tokens")).filter(F.col("word").isNull() | (F.col("tokens") > HOT_TOKENS)).collect()
+    )
+    total = sum(r.tokens for r in sums if r.word is None)
+    hot = [(r.word, -(-r.tokens // HOT_TOKENS)) for r in sums if r.word is not None]
+    words = np.array([w for w, _ in hot], np.int64).view(np.uint64)
+    order = np.argsort(words)
+    return max(1, -(-total // SHARD_TOKENS)), _Hot(words[order], np.array([n for _, n in hot], np.int64)[order])
 
 
 @dataclass
 class _Block:
     words: list = field(default_factory=list)
-    contexts: list = field(default_factory=list)
+    one: list = field(default_factory=list)
+    two: list = field(default_factory=list)
     lengths: list = field(default_factory=list)
     doc_ids: list = field(default_factory=list)
     held: list = field(default_factory=list)
 
-    def rows(self, number: int, shards: int) -> pa.RecordBatch:
-        """The block's own row, and a message to each shard that has words of it."""
-        words, contexts = np.concatenate(self.words), np.concatenate(self.contexts)
+    def rows(self, number: int, shards: int, hot: _Hot) -> pa.RecordBatch:
+        """The block's own row, and a message to each shard that has contexts of it."""
+        words, one, two = (np.concatenate(x) for x in (self.words, self.one, self.two))
         lengths, held = np.concatenate(self.lengths), np.concatenate(self.held)
-        shard = shard_of(words, shards)
-        pair = mix(words + contexts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        _, place, inverse = np.unique(pair, return_index=True, return_inverse=True)
-        order = np.lexsort((contexts[place], words[place], shard[place]))
+        leaves = leaf_of(one, two)
+        _, place, inverse = np.unique(mix(words + leaves * _STEP), return_index=True, return_inverse=True)
+        words, one, two, leaves = words[place], one[place], two[place], leaves[place]
+        parents = hot.parent_of(one, two)
+        shard = shard_of(parents, shards)
+        order = np.lexsort((words, leaves, parents, shard))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         entry = rank[inverse]
-        counts = np.bincount(entry[~np.repeat(held, lengths)], minlength=len(order))
-        place = place[order]
-        words, contexts, shard = words[place], contexts[place], shard[place]
-        new = np.ones(len(words), bool)
-        new[1:] = words[1:] != words[:-1]
-        first = np.flatnonzero(new)
-        sizes = np.diff(np.append(first, len(words)))
+        counts = np.bincount(entry[~np.repeat(held, lengths)], minlength=len(order)).astype(np.int32)
+        words, one, two, leaves, shard = words[order], one[order], two[order], leaves[order], shard[order]
         owner = np.repeat(np.arange(len(lengths)), lengths)
         sorted_entries = np.sort(owner << 32 | entry) & 0xFFFFFFFF
         steps = np.diff(sorted_entries, prepend=0)
@@ -116,56 +181,63 @@ class _Block:
 
         add(
             _BLOCK_ROW,
-            sizes=sizes.astype(np.int32).tobytes(),
             doc_ids=[i for part in self.doc_ids for i in part],
             held=held.tobytes(),
             lengths=lengths.astype(np.int64).tobytes(),
-            tokens=pa.compress(steps.astype(np.uint32).tobytes(), codec="zstd", asbytes=True),
+            tokens=_packed(steps.astype(np.uint32)),
         )
-        word_shard = shard[first]
-        for s in np.unique(word_shard).tolist():
-            a, b = np.searchsorted(word_shard, (s, s + 1))
-            x, y = first[a], first[b] if b < len(first) else len(words)
-            add(
-                s,
-                words=words[first[a:b]].tobytes(),
-                sizes=sizes[a:b].astype(np.int32).tobytes(),
-                contexts=contexts[x:y].astype(np.uint16).tobytes(),
-                counts=counts[x:y].astype(np.int32).tobytes(),
-            )
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), *[pa.binary()] * 3]
+        for s in np.unique(shard).tolist():
+            a, b = np.searchsorted(shard, (s, s + 1))
+            first = np.flatnonzero(_changes(leaves[a:b])) + a
+            sizes = np.diff(np.append(first, b)).astype(np.int32)
+            own, at = np.unique(np.concatenate([words[a:b], one[first], two[first]]), return_inverse=True)
+            at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+            word, *context = np.split(at, [b - a, b - a + len(first)])
+            add(s, message=_packed(own, word, *context, sizes, counts[a:b]))
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), *[pa.binary()] * 3]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out.values(), kinds)], list(out))
 
 
-def shard_of(words: np.ndarray, shards: int) -> np.ndarray:
-    return ((words >> np.uint64(20)) % np.uint64(shards)).astype(np.int32)
+def _changes(values: np.ndarray) -> np.ndarray:
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
+def leaf_of(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return mix(two * _STEP + one)
 
 
-def _blocks(shards: int):
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(hashes) % np.uint64(shards)).astype(np.int32)
+
+
+def _blocks(shards: int, hot: _Hot):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         block, size = _Block(), 0
         for batch in batches:
             for part in slices(batch, "text"):
-                words, contexts, lengths = tokens_of(part.column("text"))
+                words, one, two, lengths = tokens_of(part.column("text"))
                 block.words.append(words)
-                block.contexts.append(contexts)
+                block.one.append(one)
+                block.two.append(two)
                 block.lengths.append(lengths)
                 block.doc_ids.append(part.column("doc_id").to_pylist())
                 block.held.append(part.column("held").to_numpy(zero_copy_only=False).astype(bool))
                 size += len(words)
                 if size >= BLOCK_TOKENS:
-                    yield block.rows(number, shards)
+                    yield block.rows(number, shards, hot)
                     number, block, size = number + 1, _Block(), 0
         if size:
-            yield block.rows(number, shards)
+            yield block.rows(number, shards, hot)
 
     return make
 
 
 @dataclass
 class Totals:
-    """Customers and tables of every restaurant, and the model's parameters."""
+    """Customers and tables of a shard's restaurants and of the root, and the model's parameters."""
 
     leaf: np.ndarray
     leaf_tables: np.ndarray
@@ -177,24 +249,38 @@ class Totals:
     types: int
 
 
-_COUNTED = "level int, context int, customers long, tables long, once long, twice long"
+@dataclass
+class Root:
+    """What all shards share after a sweep."""
+
+    customers: float
+    tables: float
+    discounts: tuple[float, float, float]
+    types: int
+
+    def probabilities(self, customers: np.ndarray, seats: np.ndarray) -> np.ndarray:
+        d0 = self.discounts[2]
+        own = customers - d0 * seats + (STRENGTH + d0 * self.tables) / (self.types + 1)
+        return own / (STRENGTH + self.customers)
 
 
 @dataclass
 class Shard:
-    """The training counts of a shard's words: words ascending, with the entries of each."""
+    """The training counts of a shard: entries of a word in a context; ``up`` has each entry's parent."""
 
     words: np.ndarray
     word: np.ndarray
     context: np.ndarray
     count: np.ndarray
+    up: np.ndarray | None = None
+    leaves: int = _LEAVES
+    parents: int = _PARENTS
 
     def __post_init__(self):
-        parents = self.word * _PARENTS + (self.context & 0xFF)
-        self.parent_keys, self.parent = np.unique(parents, return_inverse=True)
-        self.parent_word = self.parent_keys // _PARENTS
-        self.parent_context = self.parent_keys % _PARENTS
-        self.keys = self.word * _LEAVES + self.context
+        up = self.context & 0xFF if self.up is None else self.up
+        self.parent_keys, self.parent = np.unique(self.word * self.parents + up, return_inverse=True)
+        self.parent_word = self.parent_keys // self.parents
+        self.parent_context = self.parent_keys % self.parents
         self.seats = np.ones(len(self.count), np.int64)
         self.parent_seats = np.ones(len(self.parent_keys), np.int64)
         self.root_seats = np.ones(len(self.words), np.int64)
@@ -205,21 +291,34 @@ class Shard:
     def root_customers(self) -> np.ndarray:
         return np.bincount(self.parent_word, self.parent_seats, len(self.words)).astype(np.int64)
 
-    def probabilities(self, totals: Totals) -> tuple[np.ndarray, np.ndarray]:
-        """Of the words at the root, and of the entries' words at their parents."""
-        _, d1, d0 = totals.discounts
-        base = 1 / (totals.types + 1)
-        root = self.root_customers() - d0 * self.root_seats + (STRENGTH + d0 * totals.root_tables) * base
-        root = root / (STRENGTH + totals.root)
+    def totals(self, root: Root) -> Totals:
+        return Totals(
+            np.bincount(self.context, self.count, self.leaves),
+            np.bincount(self.context, self.seats, self.leaves),
+            np.bincount(self.parent_context, self.parent_customers(), self.parents),
+            np.bincount(self.parent_context, self.parent_seats, self.parents),
+            root.customers,
+            root.tables,
+            root.discounts,
+            root.types,
+        )
+
+    def probabilities(self, totals: Totals, root: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Of the words at the root (if not given, of this shard alone), and of the entries' words at their parents."""
+        _, d1, _ = totals.discounts
+        if root is None:
+            whole = Root(totals.root, totals.root_tables, totals.discounts, totals.types)
+            root = whole.probabilities(self.root_customers(), self.root_seats)
         own = self.parent_customers() - d1 * self.parent_seats
         share = STRENGTH + d1 * totals.parent_tables[self.parent_context]
         parent = (own + share * root[self.parent_word]) / (STRENGTH + totals.parent[self.parent_context])
         return root, parent
 
-    def sweep(self, totals: Totals, random: np.random.Generator) -> None:
-        """Seat all customers anew, from the leaves to the root."""
+    def sweep(self, totals: Totals, random: np.random.Generator, root: np.ndarray | None = None) -> None:
+        """Seat all customers anew, from the leaves up, also at the root if its probabilities are not given."""
         d2, d1, d0 = totals.discounts
-        root, parent = self.probabilities(totals)
+        alone = root is None
+        root, parent = self.probabilities(totals, root)
         others = np.maximum(totals.leaf_tables[self.context] - self.seats, 0)
         chance = parent[self.parent]
         self.seats = seated(self.count, (STRENGTH + d2 * others) * chance, d2, chance, random)
@@ -228,30 +327,34 @@ class Shard:
         self.parent_seats = seated(
             self.parent_customers(), (STRENGTH + d1 * others) * chance, d1, chance, random
         )
-        base = np.full(len(self.words), 1 / (totals.types + 1))
-        others = np.maximum(totals.root_tables - self.root_seats, 0)
-        self.root_seats = seated(self.root_customers(), (STRENGTH + d0 * others) * base, d0, base, random)
+        if alone:
+            self.root_seats = root_seated(
+                self.root_customers(), self.root_seats, totals.root_tables, d0, totals.types, random
+            )
 
     def counted(self) -> pd.DataFrame:
-        """What the totals need of this shard, a row per restaurant."""
+        """The customers and tables of this shard, a row per restaurant."""
         levels = (
-            (2, self.context, self.count, self.seats, _LEAVES),
-            (1, self.parent_context, self.parent_customers(), self.parent_seats, _PARENTS),
+            (2, self.context, self.count, self.seats, self.leaves),
+            (1, self.parent_context, self.parent_customers(), self.parent_seats, self.parents),
             (0, np.zeros(len(self.words), np.int64), self.root_customers(), self.root_seats, 1),
         )
         frames = []
         for level, context, customers, tables, size in levels:
-            sums = [np.bincount(context, w, size) for w in (customers, tables, customers == 1, customers == 2)]
+            sums = [np.bincount(context, w, size) for w in (customers, tables)]
             used = np.flatnonzero(sums[0])
-            frames.append(
-                pd.DataFrame(
-                    {"level": level, "context": used}
-                    | {n: s[used].astype(np.int64) for n, s in zip(("customers", "tables", "once", "twice"), sums)}
-                )
-            )
+            columns = {n: s[used].astype(np.int64) for n, s in zip(("customers", "tables"), sums)}
+            frames.append(pd.DataFrame({"level": level, "context": used} | columns))
         return pd.concat(frames)
 
 
+def root_seated(customers, seats, tables: float, discount: float, types: int, random) -> np.ndarray:
+    """Tables at the root of words that had ``seats`` of its ``tables``."""
+    base = np.full(len(customers), 1 / (types + 1))
+    others = np.maximum(tables - seats, 0)
+    return seated(customers, (STRENGTH + discount * others) * base, discount, base, random)
+
+
 def seated(customers: np.ndarray, mass: np.ndarray, discount: float, chance: np.ndarray, random) -> np.ndarray:
     """Tables that so many customers of a word take, seated one after another.
 
@@ -281,121 +384,181 @@ def _array(value, kind) -> np.ndarray:
     return np.frombuffer(value, kind)
 
 
-def _merged(group: pd.DataFrame) -> pd.DataFrame:
-    """A shard's training counts from the blocks' messages."""
-    words = np.concatenate(
-        [np.repeat(_array(w, np.uint64), _array(n, np.int32)) for w, n in zip(group["words"], group["sizes"])]
-    )
-    contexts = np.concatenate([_array(c, np.uint16) for c in group["contexts"]])
-    counts = np.concatenate([_array(c, np.int32) for c in group["counts"]])
-    words, contexts, counts = words[counts > 0], contexts[counts > 0], counts[counts > 0]
-    order = np.lexsort((contexts, words))
-    words, contexts, counts = words[order], contexts[order], counts[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])
-    first = np.flatnonzero(new)
+def _entries(message: bytes, hot: _Hot) -> tuple[np.ndarray, ...]:
+    """Per entry: its word, context, parent and count."""
+    own, word, one, two, sizes, counts = _unpacked(message)
+    one, two = own[one], own[two]
+    return own[word], np.repeat(leaf_of(one, two), sizes), np.repeat(hot.parent_of(one, two), sizes), counts
+
+
+def _merged(group: pd.DataFrame, hot: _Hot) -> pd.DataFrame:
+    """A shard's words, also those not in training, and its training counts from the blocks' messages."""
+    parts = [_entries(message, hot) for message in group["message"]]
+    words, leaves, parents, counts = (np.concatenate(x) for x in zip(*parts))
+    all_words = np.unique(words)
+    train = counts > 0
+    words, leaves, parents, counts = words[train], leaves[train], parents[train], counts[train]
+    order = np.lexsort((words, leaves, parents))
+    words, leaves, parents, counts = words[order], leaves[order], parents[order], counts[order]
+    first = np.flatnonzero(_changes(words) | _changes(leaves))
     sums = np.add.reduceat(counts.astype(np.int64), first) if len(first) else counts.astype(np.int64)
-    distinct, sizes = np.unique(words[first], return_counts=True)
+    words, leaves, parents = words[first], leaves[first], parents[first]
+    new_leaf, new_parent = _changes(leaves), _changes(parents)
+    word = np.searchsorted(all_words, words).astype(np.int32)
     return pd.DataFrame(
         {
             "shard": [group["shard"].iloc[0]],
-            "words": [distinct.tobytes()],
-            "sizes": [sizes.astype(np.int32).tobytes()],
-            "contexts": [contexts[first].tobytes()],
-            "counts": [sums.tobytes()],
+            "data": [_packed(all_words, word, new_leaf, new_parent, sums)],
+            "keys": [_packed(leaves[new_leaf], parents[new_parent])],
         }
     )
 
 
-def _shard(row) -> Shard:
-    words, sizes = _array(row["words"], np.uint64), _array(row["sizes"], np.int32)
-    word = np.repeat(np.arange(len(words)), sizes)
-    return Shard(words, word, _array(row["contexts"], np.uint16).astype(np.int64), _array(row["counts"], np.int64))
-
-
-def _replayed(row, history: list[Totals]) -> Iterator[Shard]:
-    """A shard after none, one, two... of the sweeps so far."""
-    shard = _shard(row)
-    yield shard
-    for number, totals in enumerate(history):
-        shard.sweep(totals, np.random.Generator(np.random.PCG64([int(row["shard"]), number])))
-        yield shard
-
-
-def _totals(counted: DataFrame, before: Totals | None) -> Totals:
-    """Sum what the shards have counted; the result has a row per restaurant, so it is bounded."""
-    sums = counted.groupBy("level", "context").agg(
-        *[F.sum(n).alias(n) for n in ("customers", "tables", "once", "twice")]
-    ).toPandas()
-    arrays, discounts = {}, []
-    for level, size in ((2, _LEAVES), (1, _PARENTS), (0, 1)):
-        rows = sums[sums["level"] == level]
-        for name in ("customers", "tables"):
-            arrays[level, name] = np.zeros(size)
-            arrays[level, name][rows["context"]] = rows[name]
-        once, twice = float(rows["once"].sum()), float(rows["twice"].sum())
-        discounts.append(min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5)
-    # Before any sweep each word has one table at the root.
-    types = before.types if before else int(arrays[0, "tables"][0])
-    return Totals(
-        arrays[2, "customers"],
-        arrays[2, "tables"],
-        arrays[1, "customers"],
-        arrays[1, "tables"],
-        float(arrays[0, "customers"][0]),
-        float(arrays[0, "tables"][0]),
-        tuple(discounts),
-        types,
-    )
+def _shard(data: bytes) -> Shard:
+    words, word, new_leaf, new_parent, counts = _unpacked(data)
+    context, up = np.cumsum(new_leaf) - 1, np.cumsum(new_parent) - 1
+    return Shard(words, word.astype(np.int64), context, counts, up, int(new_leaf.sum()), int(new_parent.sum()))
 
 
-def _answers(messages: pd.DataFrame, rows: pd.DataFrame, history: list[Totals]) -> pd.DataFrame:
-    """For each message: the log10 probability of its entries, and the training count of its words."""
-    if len(rows):
-        row = rows.iloc[0]
-    else:
-        nothing = dict.fromkeys(("words", "sizes", "contexts", "counts"), b"")
-        row = {"shard": int(messages["shard"].iloc[0]), **nothing}
-    asked = []
-    shard = _shard(row)
-    in_training = np.bincount(shard.word, shard.count, len(shard.words)).astype(np.int64)
-    for m in messages.itertuples():
-        words, sizes = _array(m.words, np.uint64), _array(m.sizes, np.int32)
-        context = _array(m.contexts, np.uint16).astype(np.int64)
-        word, known = _found(shard.words, words)
-        entry_word, entry_known = np.repeat(word, sizes), np.repeat(known, sizes)
-        parent, has_parent = _found(shard.parent_keys, entry_word * _PARENTS + (context & 0xFF))
-        entry, has_entry = _found(shard.keys, entry_word * _LEAVES + context)
-        counts = np.where(known, in_training[word], 0) if len(shard.words) else np.zeros(len(words), np.int64)
-        places = (entry_word, entry_known, parent, has_parent & entry_known, entry, has_entry & entry_known)
-        asked.append((m.block, context, *places, counts, np.zeros(len(context))))
-    for sweep, shard in enumerate(_replayed(row, history[:-1])):
-        if sweep <= BURN_IN:
-            continue
-        totals = history[sweep]
-        d2, d1, d0 = totals.discounts
-        own_root = shard.root_customers() - d0 * shard.root_seats
-        own_parent = shard.parent_customers() - d1 * shard.parent_seats
-        own_leaf = shard.count - d2 * shard.seats
-
-        def pick(values: np.ndarray, at: np.ndarray, has: np.ndarray) -> np.ndarray:
-            return np.where(has, values[at], 0.0) if len(values) else np.zeros(len(at))
-
-        for _, context, word, known, parent, has_parent, entry, has_entry, _, total in asked:
-            up = context & 0xFF
-            p = pick(own_root, word, known) + (STRENGTH + d0 * totals.root_tables) / (totals.types + 1)
-            p = p / (STRENGTH + totals.root)
-            p = pick(own_parent, parent, has_parent) + (STRENGTH + d1 * totals.parent_tables[up]) * p
-            p = p / (STRENGTH + totals.parent[up])
-            p = pick(own_leaf, entry, has_entry) + (STRENGTH + d2 * totals.leaf_tables[context]) * p
-            total += p / (STRENGTH + totals.leaf[context])
+#: A shard's model (round -1), or what the root shard ``root`` answered it after a round.
+_TOLD = "shard int, round int, root int, data binary"
+
+
+def _replayed(rows: pd.DataFrame, history: list[Root], shards: int) -> Iterator[tuple[Shard, tuple | None]]:
+    """A shard after none, one, two... of the sweeps so far, each with the root's answer to it, if there is one.
+
+    An answer has, per word of the shard, its customers and tables at the root and its training count.
+    """
+    model = rows["round"].to_numpy() < 0
+    number = int(rows["shard"].iloc[0])
+    shard = _shard(rows["data"][model].iloc[0])
+    at_root = shard_of(shard.words, shards)
+    for sweep in range(len(history) + 1):
+        if sweep == len(history):
+            yield shard, None
+            return
+        answer = np.zeros((3, len(shard.words)), np.int64)
+        told = rows[rows["round"] == sweep]
+        for root, data in zip(told["root"], told["data"]):
+            answer[:, at_root == root] = _unpacked(data)
+        yield shard, answer
+        root = history[sweep]
+        random = np.random.Generator(np.random.PCG64([number, sweep]))
+        shard.sweep(shard.totals(root), random, root.probabilities(answer[0], answer[1]))
+
+
+_COUNTED = "shard int, root int, data binary, once2 long, twice2 long, once1 long, twice1 long"
+
+
+def _counting(history: list[Root], shards: int):
+    """Per shard: a message to each root shard with the tables of its words, and a row of what discounts need."""
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        seats = None
+        for shard, answer in _replayed(rows, history, shards):
+            seats = seats if answer is None else answer[1]
+        tables = shard.root_customers()
+        seats = np.zeros(len(tables), np.int64) if seats is None else seats
+        counts = np.bincount(shard.word, shard.count, len(shard.words)).astype(np.int64)
+        at_root = shard_of(shard.words, shards)
+        out = []
+        for root in np.unique(at_root).tolist():
+            own = at_root == root
+            data = _packed(shard.words[own], tables[own], seats[own], counts[own])
+            out.append((rows["shard"].iloc[0], root, data, 0, 0, 0, 0))
+        customers = shard.parent_customers()
+        sums = [int((c == n).sum()) for c in (shard.count, customers) for n in (1, 2)]
+        out.append((rows["shard"].iloc[0], _BLOCK_ROW, None, *sums))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in _COUNTED.split(", ")])
+
+    return count
+
+
+_ROOTED = f"{_TOLD}, customers long, tables long, once long, twice long, types long, tokens long"
+
+
+def _rooting(number: int, before: Root | None):
+    """Sum and seat the words of a root shard; each shard is told of its own words."""
+
+    def seat(group: pd.DataFrame) -> pd.DataFrame:
+        told = [_unpacked(d) for d in group["data"]]
+        words, inverse = np.unique(np.concatenate([t[0] for t in told]), return_inverse=True)
+        sums = lambda k: np.bincount(inverse, np.concatenate([t[k] for t in told])).astype(np.int64)
+        customers, counts = sums(1), sums(3)
+        seats = np.minimum(customers, 1)
+        if before:
+            held = np.zeros(len(words), np.int64)
+            held[inverse] = np.concatenate([t[2] for t in told])
+            random = np.random.Generator(np.random.PCG64([int(group["root"].iloc[0]), number, 1]))
+            seats = root_seated(customers, held, before.tables, before.discounts[2], before.types, random)
+        ends = np.cumsum([len(t[0]) for t in told])
+        data = [_packed(*np.stack([customers, seats, counts])[:, at]) for at in np.split(inverse, ends[:-1])]
+        out = pd.DataFrame({"shard": group["shard"], "round": number, "root": group["root"], "data": data})
+        first = np.arange(len(out)) == 0
+        sums = (customers.sum(), seats.sum(), (customers == 1).sum(), (customers == 2).sum(), (counts > 0).sum(), counts.sum())
+        for name, value in zip(("customers", "tables", "once", "twice", "types", "tokens"), sums):
+            out[name] = np.where(first, value, 0)
+        return out
+
+    return seat
+
+
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+
+
+def _sums(rows: DataFrame, *names: str) -> dict[str, int]:
+    return rows.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first().asDict()
+
+
+def _answers(
+    messages: pd.DataFrame, rows: pd.DataFrame, history: list[Root], shards: int, hot: _Hot
+) -> pd.DataFrame:
+    """For each message: the log10 probability of its entries, and the training count of their words."""
+    states = []
+    for sweep, (shard, answer) in zip(range(len(history)), _replayed(rows, history, shards)):
+        if sweep > BURN_IN:
+            root = history[sweep]
+            d2, d1, _ = root.discounts
+            own_parent = shard.parent_customers() - d1 * shard.parent_seats
+            states.append((shard.totals(root), answer, own_parent, shard.count - d2 * shard.seats))
+    leaves, parents = _unpacked(rows["keys"][rows["round"] < 0].iloc[0])
+    leaf_order, parent_order = np.argsort(leaves), np.argsort(parents)
+    leaves, parents = leaves[leaf_order], parents[parent_order]
+    keys = shard.word * shard.leaves + shard.context
+    key_order = np.argsort(keys)
+    keys = keys[key_order]
+
+    def place(values: np.ndarray, order: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, has = _found(values, wanted)
+        return (order[at] if len(order) else at), has
+
+    def pick(values: np.ndarray, at: np.ndarray, has: np.ndarray) -> np.ndarray:
+        return np.where(has, values[at], 0.0) if len(values) else np.zeros(len(at))
+
+    scores, known = [], []
+    for message in messages["message"]:
+        words, leaf, parent, _ = _entries(message, hot)
+        word = np.searchsorted(shard.words, words)
+        context, has_context = place(leaves, leaf_order, leaf)
+        up, has_up = place(parents, parent_order, parent)
+        entry, has_entry = place(keys, key_order, word * shard.leaves + context)
+        has_entry &= has_context
+        middle, has_middle = _found(shard.parent_keys, word * shard.parents + up)
+        has_middle &= has_up
+        total = np.zeros(len(word))
+        for (totals, answer, own_parent, own_leaf), root in zip(states, history[BURN_IN + 1 :]):
+            d2, d1, _ = root.discounts
+            p = root.probabilities(answer[0], answer[1])[word]
+            p = pick(own_parent, middle, has_middle) + (STRENGTH + d1 * pick(totals.parent_tables, up, has_up)) * p
+            p = p / (STRENGTH + pick(totals.parent, up, has_up))
+            share = STRENGTH + d2 * pick(totals.leaf_tables, context, has_context)
+            p = pick(own_leaf, entry, has_entry) + share * p
+            total += p / (STRENGTH + pick(totals.leaf, context, has_context))
+        scores.append(np.log10(total / len(states)).astype(np.float32).tobytes())
+        known.append(_packed(states[0][1][2][word]))
     return pd.DataFrame(
-        {
-            "block": [a[0] for a in asked],
-            "shard": int(row["shard"]),
-            "scores": [np.log10(a[-1] / SAMPLES).astype(np.float32).tobytes() for a in asked],
-            "known": [a[-2].astype(np.int64).tobytes() for a in asked],
-        }
+        {"block": messages["block"], "shard": int(rows["shard"].iloc[0]), "scores": scores, "known": known}
     )
 
 
@@ -418,12 +581,10 @@ def _summed(train_tokens: int, types: int):
         answers = answers.sort_values("shard")
         scores = np.concatenate([_array(a, np.float32) for a in answers["scores"]]).astype(np.float64)
         row = blocks.iloc[0]
-        counts = np.concatenate([_array(a, np.int64) for a in answers["known"]])
-        counts = np.repeat(counts, _array(row["sizes"], np.int32))
+        counts = np.concatenate([_unpacked(a)[0] for a in answers["known"]])
         lengths = _array(row["lengths"], np.int64)
         begins = np.cumsum(lengths) - lengths
-        plain = pa.decompress(row["tokens"], 4 * int(lengths.sum()), codec="zstd", asbytes=True)
-        steps = _array(plain, np.uint32).astype(np.int64)
+        steps = _unpacked(row["tokens"])[0].astype(np.int64)
         # Within a text the entries are ascending, so their steps add up to them.
         total = np.cumsum(steps)
         entry = total - np.repeat(total[begins] - steps[begins], lengths)
@@ -446,48 +607,50 @@ def _summed(train_tokens: int, types: int):
 
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per document row the columns of ``op7``: counts, ``base_score`` and ``score``, in log10."""
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).withColumn("held", held_out())
-    parts = written(rows.mapInArrow(_blocks(shards), _PARTS), "lm-blocks")
-    messages = parts.filter(F.col("shard") != _BLOCK_ROW)
-    merged = messages.select("shard", "words", "sizes", "contexts", "counts").groupBy("shard").applyInPandas(
-        _merged, "shard int, words binary, sizes binary, contexts binary, counts binary"
+    shards, hot = _dealt(rows)
+    parts = written(rows.mapInArrow(_blocks(shards, hot), _PARTS), "lm-blocks")
+    messages = parts.filter(F.col("shard") != _BLOCK_ROW).select("block", "shard", "message")
+    model = written(
+        messages.groupBy("shard").applyInPandas(lambda g: _merged(g, hot), "shard int, data binary, keys binary"), "lm-model"
     )
-    model = written(merged, "lm-model")
-    history: list[Totals] = []
-    for _ in range(1 + BURN_IN + SAMPLES):
-        past = list(history)
-
-        def count(batches: Iterator[pd.DataFrame], past=past) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for _, row in batch.iterrows():
-                    *_, shard = _replayed(row, past)
-                    yield shard.counted()
-
-        history.append(_totals(model.mapInPandas(count, _COUNTED), history[0] if history else None))
-    train_tokens, types = int(history[0].leaf.sum()), history[0].types
-    answers = (
-        messages.select("block", "shard", "words", "sizes", "contexts")
-        .groupBy("shard")
-        .cogroup(model.groupBy("shard"))
-        .applyInPandas(
-            lambda left, right: _answers(left, right, history) if len(left) else _NO_ANSWERS,
-            "block long, shard int, scores binary, known binary",
+    columns = [c.split()[0] for c in _TOLD.split(", ")]
+    none = F.lit(-1).cast("int")
+    told = model.select("shard", none.alias("round"), none.alias("root"), "data")
+    answered: DataFrame | None = None
+    history: list[Root] = []
+    tokens = 0
+    for number in range(1 + BURN_IN + SAMPLES):
+        asked = told if answered is None else told.union(answered)
+        counted = written(asked.groupBy("shard").applyInPandas(_counting(list(history), shards), _COUNTED), "lm-tables")
+        seat = _rooting(number, history[-1] if history else None)
+        rooted = counted.filter(F.col("root") >= 0).select("shard", "root", "data").groupBy("root")
+        rooted = written(rooted.applyInPandas(seat, _ROOTED), "lm-root")
+        d = _sums(counted, "once2", "twice2", "once1", "twice1")
+        r = _sums(rooted, "customers", "tables", "once", "twice", "types", "tokens")
+        discounts = (
+            _discount(d["once2"], d["twice2"]), _discount(d["once1"], d["twice1"]), _discount(r["once"], r["twice"])
         )
+        history.append(Root(float(r["customers"]), float(r["tables"]), discounts, r["types"]))
+        tokens = r["tokens"]
+        mine = rooted.select(columns)
+        answered = mine if answered is None else answered.union(mine)
+    empty = F.lit(None).cast("binary")
+    whole = model.select("shard", none.alias("round"), none.alias("root"), "data", "keys").union(
+        answered.select(*columns, empty)
     )
-    blocks = parts.filter(F.col("shard") == _BLOCK_ROW).select(
-        "block", "sizes", "doc_ids", "held", "lengths", "tokens"
+    answers = messages.groupBy("shard").cogroup(whole.groupBy("shard")).applyInPandas(
+        lambda left, right: _answers(left, right, history, shards, hot),
+        "block long, shard int, scores binary, known binary",
     )
+    blocks = parts.filter(F.col("shard") == _BLOCK_ROW).select("block", "doc_ids", "held", "lengths", "tokens")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        _summed(train_tokens, types), _SCORED
+        _summed(tokens, history[0].types), _SCORED
     )
 
 
-_NO_ANSWERS = pd.DataFrame({"block": [], "shard": [], "scores": [], "known": []})
-
-
 def perplexity(scored: DataFrame) -> DataFrame:
     """Per fold: tokens, and the perplexity of the model and of the base."""
     per_token = lambda name: F.pow(F.lit(10.0), -F.sum(name) / F.sum("n_tokens"))

@@ -120,6 +120,25 @@ def test_language_model_counts_and_base(spark):
     assert table[True].perplexity < table[True].base_perplexity
 
 
+def test_whole_words_before_are_the_context(spark, monkeypatch):
+    """Words of the same ending, and the same word after two others, are followed by words of their own."""
+    rng = random.Random(4)
+    after = {"bathe": "red", "soothe": "blue", "one mid": "left", "two mid": "right"}
+    texts = [" ".join(f"{k} {after[k]}" for k in rng.choices(list(after), k=30)) for _ in range(300)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "bathe red two mid right"), (None, "bathe blue two mid left")], "doc_id long, text string")
+    for hot in (pitman_yor.HOT_TOKENS, 500):
+        monkeypatch.setattr(pitman_yor, "HOT_TOKENS", hot)
+        monkeypatch.setattr(pitman_yor, "SHARD_TOKENS", 4 * hot)
+        rows = pitman_yor.score(spark, docs.repartition(3)).collect()
+        assert len(rows) == len(texts) + 2
+        right, wrong = sorted((r.score for r in rows if r.doc_id is None), reverse=True)
+        assert right > wrong + 3
+        held = [r for r in rows if r.held_out and r.doc_id is not None]
+        # a text draws one of four pairs 30 times, and all else follows from it
+        pairs = 10 ** (-sum(r.score for r in held) / (30 * len(held)))
+        assert 3.5 < pairs < 5
+
+
 def test_predictive_probabilities_sum_to_one():
     """Over the known words and one for all others, after sweeps, in every restaurant."""
     rng = np.random.default_rng(3)
