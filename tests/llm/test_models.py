@@ -139,6 +139,17 @@ def test_whole_words_before_are_the_context(spark, monkeypatch):
         assert 3.5 < pairs < 5
 
 
+def test_shards_come_from_the_tokens(spark, monkeypatch):
+    """And not from the shuffle partitions; hot words are shared out, to several parents each."""
+    monkeypatch.setattr(pitman_yor, "SHARD_TOKENS", 1000)
+    monkeypatch.setattr(pitman_yor, "HOT_TOKENS", 400)
+    for texts in (10, 100):
+        docs = spark.createDataFrame([("the word " * 49 + "end",)] * texts, "text string")
+        shards, hot = pitman_yor._dealt(docs)
+        assert shards == texts * 100 // 1000
+        assert hot.parents.tolist() == [-(-49 * texts // 400)] * 2
+
+
 def test_predictive_probabilities_sum_to_one():
     """Over the known words and one for all others, after sweeps, in every restaurant."""
     rng = np.random.default_rng(3)
