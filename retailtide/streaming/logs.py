@@ -70,9 +70,9 @@ def user_table(spark: SparkSession, folder: str) -> ReportTable:
     return ReportTable(f"{folder}/page_users", ("pt", "page", "user_id"), files=day_files(spark))
 
 
-def page_table(folder: str) -> ReportTable:
-    """Every emitted page row."""
-    return ReportTable(f"{folder}/page", required=("pt",), files=DAY_FILES)
+def page_table(folder: str, files: int | None = None) -> ReportTable:
+    """Every emitted page row; rows hold lists of users, so who writes it names its files."""
+    return ReportTable(f"{folder}/page", required=("pt",), files=files)
 
 
 def device_stream(
@@ -157,7 +157,7 @@ def page_stream(
     lists, from the stored rows.
     """
     spark = logs.sparkSession
-    users, report = user_table(spark, folder), page_table(folder)
+    users, report = user_table(spark, folder), page_table(folder, day_files(spark))
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
         write_batch(_dated(df).withColumnRenamed("day", "pt"), batch_id, users, unique=True)

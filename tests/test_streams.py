@@ -320,6 +320,23 @@ def test_region_stream_with_a_large_range_table(spark, session, tmp_path):
     assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_page_lists_are_spread_over_the_files_of_large_tables(spark, session, tmp_path, monkeypatch):
+    files = {}
+    write = logs.write_batch
+
+    def seen(df, batch_id, table, **how):
+        files[table.path.rpartition("/")[2]] = table.files
+        write(df, batch_id, table, **how)
+
+    monkeypatch.setattr(logs, "write_batch", seen)
+    monkeypatch.setattr(logs, "day_files", lambda spark: 7)
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "0.txt").write_text("\n".join(log_texts(40)))
+    finish(logs.page_stream(log_rows(text_stream(session, str(source))), out, once(out)))
+    assert files == {"page_users": 7, "page": 7}
+
+
 def test_counts_of_old_days_expire(spark, session, tmp_path):
     """With ``keep``, a day's counts end once a day that much later has been seen."""
     source, out = tmp_path / "in", str(tmp_path / "out")
