@@ -32,7 +32,7 @@ from retailtide.operators.bounded import broadcast_if_small
 from retailtide.session import shared_folder
 
 BUCKETS = 1 << 16
-FIT_ROWS = 6_000
+FIT_ROWS = 10_000
 EPOCHS = 20
 COST = 1.0
 THRESHOLD = 0.3

@@ -71,6 +71,11 @@ def test_classifier_without_labels_or_with_one_class(spark):
     assert quality_classifier.score(docs.limit(0), none).count() == 0
 
 
+def test_the_fit_keeps_its_sample():
+    """A smaller one needs figures of its quality on held-out rows."""
+    assert quality_classifier.FIT_ROWS >= 10_000
+
+
 def test_dual_descent_finds_the_separating_line():
     rng = np.random.default_rng(0)
     rows, values, signs = [], [], []
