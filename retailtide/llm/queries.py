@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from retailtide.llm import (
     chat_format,
+    clustering,
     decontaminate,
+    line_dedup,
     main_text,
     near_dedup,
     packing,
     pitman_yor,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     token_files,
@@ -233,6 +236,121 @@ SELECT id AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n
 FROM split LEFT JOIN covered USING (id) LEFT JOIN found USING (id) WHERE side = 1
 """
 
+
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_repeated_lines(spark, _table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (
+  SELECT row, doc_id, i, ls[i] AS line,
+         translate(regexp_replace(ls[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM docs)),
+repeated AS (
+  SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT row, doc_id, key FROM lines WHERE length(key) >= 40)
+  GROUP BY key HAVING count(*) >= 5),
+judged AS (
+  SELECT lines.*, repeated.key IS NOT NULL AND doc_id IS DISTINCT FROM last AS dropped
+  FROM lines LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY row, doc_id
+"""
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_lists(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(spark, prefix_trie.with_shared_openings(turns)).drop("node")
+
+
+_OP12_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+             lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+               lambda r, k: xor(r >> 1, (r & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+lists AS (
+  SELECT convs.conv_id, base, h,
+         list({'key': key, 'words': words} ORDER BY i) AS ts FROM convs JOIN turns USING (conv_id) GROUP BY ALL),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.ts, [])[1:a.h], a.ts[a.h + 1:]) AS ts
+  FROM lists a LEFT JOIN lists b ON b.conv_id = a.base),
+prefixes AS (
+  SELECT conv_id, d, list_transform(ts[1:d], lambda t: t['key']) AS prefix,
+         CASE WHEN d = 0 THEN 0 ELSE ts[d]['words'] END AS words, len(ts) = d AS last
+  FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, d),
+children AS (SELECT prefix[1:d - 1] AS prefix, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+whole AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children ON children.prefix = nodes.prefix),
+sums AS (
+  SELECT above, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT *, unnest(list_transform(range(0, d + 1), lambda k: prefix[1:k])) AS above FROM whole)
+  GROUP BY above)
+SELECT whole.conv_id, whole.d AS depth, parent.conv_id AS parent_conv_id, whole.n_convs, whole.n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, whole.ends_sha256
+FROM whole JOIN sums ON sums.above = whole.prefix
+LEFT JOIN nodes parent ON whole.d > 0 AND parent.prefix = whole.prefix[1:whole.d - 1]
+"""
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(spark, _table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _op13_sql() -> str:
+    nearest = """
+assigned_{r} AS MATERIALIZED (
+  SELECT id, any_value(vec_id) AS vec_id, any_value(v) AS v, min((d, c))[1] AS distance, min((d, c))[2] AS cluster
+  FROM (SELECT id, vec_id, v, c, list_sum(list_transform(list_zip(v, cv), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM vectors, centroids_{r}) GROUP BY id)"""
+    moved = """,
+sums_{r} AS (
+  SELECT cluster, k, CAST(floor_div AS BIGINT) AS x FROM (
+    SELECT cluster, k, (sum(v[k]) - ((sum(v[k]) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+    FROM (SELECT cluster, v, unnest(range(1, 65)) AS k FROM assigned_{p}) GROUP BY cluster, k)),
+centroids_{r} AS MATERIALIZED (
+  SELECT c, coalesce(moved, cv) AS cv FROM centroids_{p}
+  LEFT JOIN (SELECT cluster, list(x ORDER BY k) AS moved FROM sums_{r} GROUP BY cluster) ON cluster = c)"""
+    steps = []
+    for r in range(clustering.ROUNDS + 1):
+        if r:
+            steps.append(moved.format(r=r, p=r - 1))
+        steps.append("," + nearest.format(r=r))
+    return (
+        """
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+centroids_0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY rank, v) - 1 AS c, v AS cv
+  FROM (SELECT v, sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS rank FROM vectors ORDER BY rank, v LIMIT 40))"""
+        + "".join(steps)
+        + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(cv, ',')) AS centroid_sha256
+FROM assigned_{r} JOIN centroids_{r} ON c = cluster""".format(r=clustering.ROUNDS)
+    )
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_files": op2_token_files,
@@ -244,6 +362,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 ORACLE = {
     "op1_near_dedup": _OP1_SQL,
@@ -251,4 +372,7 @@ ORACLE = {
     "op8_quality_rules": _OP8_SQL,
     "op9_chat_format": _OP9_SQL,
     "op10_decontaminate": _OP10_SQL,
+    "op11_line_dedup": _OP11_SQL,
+    "op12_prefix_trie": _OP12_SQL,
+    "op13_centroid_clustering": _op13_sql(),
 }
