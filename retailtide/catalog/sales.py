@@ -105,3 +105,16 @@ SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
        CAST(rn AS INTEGER) AS rn
 FROM ranked WHERE rn <= 5""",
 }
+
+# The same report when the lines that are {late} count only in the windows that are {open}
+ORDER_BY_ARRIVAL = (
+    ORACLE["gmv_cumulate_all"]
+    .replace("           ts,\n", "           ts, {late} AS late,\n")
+    .replace(
+        """    SELECT product_id, amount, window_start,
+           unnest(""",
+        """    SELECT * FROM (SELECT product_id, amount, window_start, late,
+           unnest(""",
+    )
+    .replace("AS window_end\n    FROM lines", "AS window_end\n    FROM lines) WHERE NOT late OR {open}")
+)

@@ -52,6 +52,31 @@ def stream_gmv(spark, sf_dir):
     return _report(spark, folder)
 
 
+_SPLIT, _HELD_BACK = "2024-01-10 18:00:00", "2024-01-10 12:00:00"
+
+
+def stream_gmv_late(spark, sf_dir):
+    """Windows as they close, when a seventh of a morning's sales arrive in the evening.
+
+    The sales of a day long over come a second time and are dropped.
+    """
+    session, folder, running = _setting(spark, "stream_gmv_late")
+    events = derive.table(spark, sf_dir, "events")
+    at = F.col("ts")
+    split, noon = (F.lit(t).cast("timestamp_ntz") for t in (_SPLIT, _HELD_BACK))
+    late = (F.col("event_id") % 7 == 0) & (at.cast("date") == F.to_date(F.lit(_SPLIT))) & (at < noon)
+    source = f"{folder}/in"
+    for part in (
+        events.filter((at < split) & ~late),
+        events.filter((at >= split) | late | (at.cast("date") == F.lit(_LATE_DAY).cast("date"))),
+    ):
+        part.write.mode("append").parquet(source)
+        stream = derive.order_columns(session.readStream.schema(events.schema).parquet(source))
+        timed = stream.withColumn("ts_ms", order_time(F.col("ts")))
+        finish(orders.gmv_all_history(timed, folder, running, delay=orders.ORDER_DELAY))
+    return _report(spark, folder)
+
+
 def stream_gmv_changed(spark, sf_dir):
     """Every window up to the newest sale, reported as sales arrive."""
     session, folder, running = _setting(spark, "stream_gmv_changed")
@@ -217,6 +242,7 @@ def stream_watermark_first_item(spark, sf_dir):
 
 
 QUERIES = {
+    "stream_gmv_late": stream_gmv_late,
     "stream_pages_emitted": stream_pages_emitted,
     "stream_search_emitted": stream_search_emitted,
     "stream_processing_time": stream_processing_time,
@@ -238,6 +264,15 @@ QUERIES = {
 # windows that the newest event less five seconds has passed
 _CLOSED = "WHERE {a}.window_end <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"
 
+# the sales held back, and the windows that were closed without them
+_LATE = f"event_id % 7 = 0 AND CAST(ts AS DATE) = DATE '{_SPLIT[:10]}' AND ts < TIMESTAMP '{_HELD_BACK}'"
+_ALL_LATE = (
+    sales.ORDER_BY_ARRIVAL.replace("{late}", _LATE).replace(
+        "{open}",
+        f"window_end > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{_SPLIT}') - INTERVAL 5 SECOND",
+    )
+)
+
 # days that the newest event less five seconds has closed; the repeated day was closed before
 _DAYS = """
 SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events
@@ -256,6 +291,7 @@ FROM searches GROUP BY pt, keyword""",
     "stream_watermark_text_field": _DAYS,
     "stream_watermark_block_time": _DAYS,
     "stream_watermark_first_item": _DAYS,
+    "stream_gmv_late": _ALL_LATE + "\n" + _CLOSED.format(a="t"),
     "stream_gmv": sales.ORACLE["gmv_cumulate_all"] + "\n" + _CLOSED.format(a="t"),
     "stream_gmv_changed": sales.ORACLE["gmv_cumulate_all"]
     + """

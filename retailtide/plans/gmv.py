@@ -133,7 +133,7 @@ def _top_lists(slots: DataFrame, steps: Steps, k: int, span: Span) -> DataFrame:
     )
 
 
-def _report(df: DataFrame, steps: Steps, amount: Column, ids: Column) -> DataFrame:
+def report_columns(df: DataFrame, steps: Steps, amount: Column, ids: Column) -> DataFrame:
     return df.select(
         window_start(steps).cast("date").alias("ds"),
         window_start(steps).cast("string").alias("window_start"),
@@ -159,7 +159,7 @@ def gmv_all_from_slots(
     totals = _window_totals(slots, steps, with_ids, span)
     tops = _top_lists(slots, steps, k, span).drop("top_cents")
     ids = F.col("win_gmv_ids") if with_ids else F.lit(None).cast("string")
-    return _report(totals.join(tops, ["bucket", "slot"]), steps, F.col("cents"), ids)
+    return report_columns(totals.join(tops, ["bucket", "slot"]), steps, F.col("cents"), ids)
 
 
 def gmv_top_from_slots(
@@ -167,7 +167,7 @@ def gmv_top_from_slots(
 ) -> DataFrame:
     """The other report's rule: only the best sellers count, in total and in both lists."""
     tops = _top_lists(slots, steps, k, span)
-    return _report(tops, steps, F.col("top_cents"), F.col("top5_product_ids"))
+    return report_columns(tops, steps, F.col("top_cents"), F.col("top5_product_ids"))
 
 
 def gmv_all(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import partial
 
@@ -14,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from retailtide.operators import parse
-from retailtide.operators.cumulate import Steps, with_slot
+from retailtide.operators.cumulate import Steps
 from retailtide.plans import gmv
 from retailtide.sinks.tables import (
     BATCH,
@@ -25,6 +24,7 @@ from retailtide.sinks.tables import (
     write_batch,
 )
 from retailtide.sinks.topics import Deliver
+from retailtide.streaming import windows
 from retailtide.streaming.run import Running, start
 
 EPOCH = datetime(1970, 1, 1)
@@ -71,49 +71,28 @@ def sync_changes(
     return start(parse.order_changes(texts), name, "append", each_batch, running)
 
 
-@dataclass(frozen=True)
-class Progress:
-    """How far a report has come: newest sale (microseconds), last reported window, late sales."""
+_PROGRESS = "upto long"
 
-    newest: int | None = None
-    upto: int | None = None
-    late: int = 0
 
-
-_PROGRESS = "newest long, upto long, late long"
-
-
-def _progress_path(folder: str, batch_id: int | str) -> str:
+def _progress_path(folder: str, batch_id: int) -> str:
     return f"{folder}/progress/{BATCH}={batch_id}"
 
 
-def read_progress(spark: SparkSession, folder: str, batch_id: int) -> Progress:
-    """What the given batch has left, read from its own folder; the start if it left nothing."""
+def reported_upto(spark: SparkSession, folder: str, batch_id: int) -> int | None:
+    """The last window that a batch has reported, from what it left beside itself."""
     row = read_if_there(spark, _PROGRESS, _progress_path(folder, batch_id)).first()
-    return Progress(*row) if row else Progress()
+    return row[0] if row else None
 
 
-def _write_progress(spark: SparkSession, folder: str, batch_id: int, progress: Progress) -> None:
-    row = (progress.newest, progress.upto, progress.late)
-    frame = spark.createDataFrame([row], _PROGRESS).coalesce(1)
+def _write_progress(spark: SparkSession, folder: str, batch_id: int, upto: int | None) -> None:
+    frame = spark.createDataFrame([(upto,)], _PROGRESS).coalesce(1)
     frame.write.mode("overwrite").parquet(_progress_path(folder, batch_id))
 
 
-def late_sales(spark: SparkSession, folder: str) -> int:
-    """All sales that the report in ``folder`` has dropped, because their window was reported."""
-    return read_if_there(spark, _PROGRESS, _progress_path(folder, "*")).agg(F.max("late")).first()[0] or 0
-
-
 def _position(steps: Steps):
     return F.col("bucket").cast("bigint") * (steps.last + 1) + F.col("slot")
 
 
-def _closed_by(spark: SparkSession, micros: int, steps: Steps) -> int:
-    """Position of the last window that ends at or before an instant."""
-    instant = spark.range(1).select(F.timestamp_micros(F.lit(micros)).alias("at"))
-    return with_slot(instant, "at", steps).select(_position(steps)).first()[0] - 1
-
-
 def _day(position: int, steps: Steps) -> date:
     seconds = position // (steps.last + 1) * steps.size
     return (EPOCH + timedelta(seconds=seconds)).date()
@@ -132,52 +111,6 @@ def _stored(spark: SparkSession, slots: ReportTable, days, batch_id: int) -> Dat
     return rows.groupBy("bucket", "slot", "product_id").agg(F.sum("cents").alias("cents"))
 
 
-def report_closed(
-    batch: DataFrame,
-    batch_id: int,
-    spark: SparkSession,
-    folder: str,
-    report: ReportTable,
-    plan: Callable[..., DataFrame],
-    steps: Steps,
-    delay: timedelta,
-) -> None:
-    """Store this batch's slots, then report every window that the newest sale has closed.
-
-    A window is closed when the newest sale so far is ``delay`` past its end, whether or not its last
-    slots had sales. Sales of windows that an earlier batch has reported are late: they are
-    dropped and counted. What a batch has come to is kept beside it, so the next one reads that and
-    the days it reports, whatever the length of the history. ``spark`` is the caller's session.
-    """
-    before = read_progress(spark, folder, batch_id - 1)
-    lines = with_slot(gmv.sale_lines(batch), "ts_ms", steps)
-    totals = lines.groupBy("bucket", "slot", "product_id").agg(
-        F.sum("cents").alias("cents"),
-        F.max(F.unix_micros(F.col("ts_ms").cast("timestamp"))).alias("newest"),
-        F.count(F.lit(1)).alias("sales"),
-    )
-    is_late = F.lit(False) if before.upto is None else _position(steps) <= before.upto
-    totals = totals.withColumn("late", is_late).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        newest, late = totals.agg(
-            F.max("newest"), F.coalesce(F.sum(F.when(F.col("late"), F.col("sales"))), F.lit(0))
-        ).first()
-        slots = slot_table(spark, f"{folder}/slots")
-        _store_slots(totals.filter("not late"), batch_id, slots, steps)
-    finally:
-        totals.unpersist()
-    newest = max((n for n in (newest, before.newest) if n is not None), default=None)
-    after, upto = before.upto, before.upto
-    if newest is not None:
-        closed = _closed_by(spark, newest - delay // timedelta(microseconds=1), steps)
-        upto = closed if upto is None else max(upto, closed)
-        if after is None or upto > after:
-            days = None if after is None else (_day(after + 1, steps), _day(upto, steps))
-            windows = plan(_stored(spark, slots, days, batch_id), steps, span=(after, upto))
-            write_batch(windows, batch_id, report, unique=True)
-    _write_progress(spark, folder, batch_id, Progress(newest, upto, before.late + late))
-
-
 def report_changed(
     batch: DataFrame,
     batch_id: int,
@@ -192,7 +125,7 @@ def report_changed(
     Slot rows of several batches add up, so no state is held and no sale is ever late: one
     that arrives days behind corrects the windows of its own day.
     """
-    before = read_progress(spark, folder, batch_id - 1)
+    before = reported_upto(spark, folder, batch_id - 1)
     totals = gmv.sale_slots(batch, steps).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         slots = slot_table(spark, f"{folder}/slots")
@@ -201,17 +134,39 @@ def report_changed(
         touched = {_day(r[0] * (steps.last + 1), steps) for r in totals.select("bucket").distinct().collect()}
     finally:
         totals.unpersist()
-    reached = before.upto
+    reached = before
     if low is not None:
         after, upto = low - 1, high
-        if before.upto is not None:
+        if before is not None:
             # the newest day so far goes on to its end, even without further sales
-            touched.add(_day(before.upto, steps))
-            after, upto = min(after, before.upto), max(upto, before.upto)
-        windows = plan(_stored(spark, slots, sorted(touched), batch_id), steps, span=(after, upto))
-        write_batch(windows, batch_id, report, unique=True)
+            touched.add(_day(before, steps))
+            after, upto = min(after, before), max(upto, before)
+        changed = plan(_stored(spark, slots, sorted(touched), batch_id), steps, span=(after, upto))
+        write_batch(changed, batch_id, report, unique=True)
         reached = upto
-    _write_progress(spark, folder, batch_id, Progress(None, reached, 0))
+    _write_progress(spark, folder, batch_id, reached)
+
+
+def report_closed(
+    batch: DataFrame, batch_id: int, folder: str, report: ReportTable, plan: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Write the windows that a batch has closed, and beside them how many sales came too late."""
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_batch(plan(batch.filter(F.col("slot") != windows.NO_SLOT)), batch_id, report, unique=True)
+        late = batch.filter(F.col("slot") == windows.NO_SLOT).agg(F.sum("late").alias("late")).filter("late > 0")
+        late.coalesce(1).write.mode("overwrite").parquet(_late_path(folder, batch_id))
+    finally:
+        batch.unpersist()
+
+
+def _late_path(folder: str, batch_id: int | str) -> str:
+    return f"{folder}/late/{BATCH}={batch_id}"
+
+
+def late_sales(spark: SparkSession, folder: str) -> int:
+    """All sales that the report in ``folder`` has dropped, because every window of theirs was reported."""
+    return read_if_there(spark, "late long", _late_path(folder, "*")).agg(F.sum("late")).first()[0] or 0
 
 
 def slot_table(spark: SparkSession, path: str) -> ReportTable:
@@ -229,22 +184,20 @@ def _gmv_query(
     running: Running,
     name: str,
     plan: Callable[..., DataFrame],
+    closed_plan: Callable[..., DataFrame],
     keyed: bool,
     steps: Steps,
     delay: timedelta | None,
 ) -> StreamingQuery:
     spark = orders.sparkSession
-    more = {"delay": delay} if delay is not None else {}
-    each_batch = partial(
-        report_closed if more else report_changed,
-        spark=spark,
-        folder=folder,
-        report=gmv_table(spark, f"{folder}/report", keyed or not more),
-        plan=plan,
-        steps=steps,
-        **more,
-    )
-    return start(orders, name, "append", each_batch, running)
+    report = gmv_table(spark, f"{folder}/report", keyed or delay is None)
+    if delay is None:
+        each_batch = partial(
+            report_changed, spark=spark, folder=folder, report=report, plan=plan, steps=steps
+        )
+        return start(orders, name, "append", each_batch, running)
+    each_batch = partial(report_closed, folder=folder, report=report, plan=partial(closed_plan, steps=steps))
+    return start(windows.closed_windows(orders, delay, steps), name, "append", each_batch, running)
 
 
 def gmv_all_history(
@@ -260,10 +213,19 @@ def gmv_all_history(
     By default a window is reported as soon as it has sales and again whenever they change, and no
     sale is ever too late: an old topic may be read whose partitions do not run level. With a
     ``delay`` (such as ``ORDER_DELAY``) a window is reported once, when the newest sale is that far
-    past its end; sales that come later still are dropped, and ``late_sales`` counts them.
+    past its end. A sale that comes later counts in the windows of its day that are still open; when
+    none is, it is dropped, and ``late_sales`` counts it when the next window closes.
     """
     return _gmv_query(
-        orders, folder, running, name, gmv.gmv_all_from_slots, True, steps, delay
+        orders,
+        folder,
+        running,
+        name,
+        gmv.gmv_all_from_slots,
+        windows.all_products_report,
+        True,
+        steps,
+        delay,
     )
 
 
@@ -280,5 +242,14 @@ def gmv_since_today(
 
     It has no key while windows are reported once, and is keyed with ``delay=None``.
     """
-    today = gmv.since_today(orders, as_of)
-    return _gmv_query(today, folder, running, name, gmv.gmv_top_from_slots, False, steps, delay)
+    return _gmv_query(
+        gmv.since_today(orders, as_of),
+        folder,
+        running,
+        name,
+        gmv.gmv_top_from_slots,
+        windows.best_sellers_report,
+        False,
+        steps,
+        delay,
+    )

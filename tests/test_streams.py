@@ -18,7 +18,7 @@ from retailtide.session import shared_folder, stream_session
 from retailtide.sinks.tables import read_batches, read_table
 from retailtide.sinks.topics import to_files
 from retailtide.sources.topics import log_rows, order_rows, text_stream
-from retailtide.streaming import logs, orders, watermarks
+from retailtide.streaming import logs, orders, watermarks, windows
 from retailtide.streaming.run import LateRows, Running, finish, start
 
 ORDER_SCHEMA = "id long, product_id string, total_amount string, ts long"
@@ -98,6 +98,58 @@ def test_late_sale_is_dropped_and_counted(spark, session, tmp_path):
     assert not any("late" in (r[3] or "") for r in stream_report(spark, out).values())
 
 
+def test_a_late_sale_counts_in_every_window_still_open(spark, session, tmp_path):
+    """A sale of 00:09:59 comes when the first window is out: the later ones have it, the first stays."""
+    epoch = 1709251200
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    parts = [
+        [(0, "a", "1.00", epoch + 60), (1, "b", "2.00", epoch + 700)],
+        [(2, "c", "100.00", epoch + 599), (3, None, None, epoch + 300)],
+        [(4, "a", "4.00", epoch + 86_400 + 700)],
+    ]
+    for part in parts:
+        put_file(spark, source, part)
+        finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=orders.ORDER_DELAY))
+    got = stream_report(spark, out)
+    first = got.pop("2024-03-01 00:10:00")
+    assert [str(x) for x in first[2:]] == ["1.00", "a", "a"]
+    next_day = {e for e in got if e > "2024-03-02 00:00:00"}
+    assert len(got) == 143 and not next_day
+    assert {tuple(map(str, r[2:])) for r in got.values()} == {("103.00", "a,b,c", "c,b,a")}
+    assert orders.late_sales(spark, out) == 0
+
+
+def test_late_sales_of_a_day_that_is_out_are_counted_one_by_one(spark, session, tmp_path):
+    epoch = 1709251200
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for part in (
+        [(0, "a", "1.00", epoch + 60), (1, "b", "2.00", epoch + 86_400 + 700)],
+        [(2, "a", "5.00", epoch + 60)] * 3 + [(3, "z", "6.00", epoch + 61), (4, "b", "1.00", epoch + 86_400 + 3000)],
+        [(5, "b", "1.00", epoch + 3 * 86_400)],
+    ):
+        put_file(spark, source, part)
+        finish(orders.gmv_all_history(order_stream(session, source), out, once(out), delay=orders.ORDER_DELAY))
+    got = stream_report(spark, out)
+    assert {str(r[2]) for e, r in got.items() if e <= "2024-03-02 00:00:00"} == {"1.00"}
+    assert orders.late_sales(spark, out) == 4
+
+
+def test_windows_of_shards_and_without_lists(spark, session, tmp_path):
+    """Parts of the products come together, whatever their number; without ids there is no list."""
+    rows = sales(150, 8)
+    source = tmp_path / "in"
+    put_file(spark, source, rows)
+    want = {e: r for e, r in batch_report(spark, rows).items() if e <= last_closed(rows)}
+    for parts, with_ids in ((1, True), (7, False)):
+        out = str(tmp_path / f"out{parts}")
+        stream = windows.closed_windows(order_stream(session, source), timedelta(seconds=5), parts=parts, with_ids=with_ids)
+        write = lambda df, _: windows.all_products_report(df).write.mode("append").parquet(f"{out}/rows")  # noqa: B023, E731
+        finish(start(stream, "rows", "append", write, once(out)))
+        columns = ["window_start", "window_end", "win_gmv", "win_gmv_ids", "top5_product_ids"]
+        got = {r[1]: r for r in map(tuple, spark.read.parquet(f"{out}/rows").select(columns).collect())}
+        assert got == {e: r if with_ids else (*r[:3], None, r[4]) for e, r in want.items()}
+
+
 def test_windows_close_without_sales_in_their_slots(spark, session, tmp_path):
     """Sales at 00:05 and 00:45:30 close four windows, the next day's first sale all the others."""
     epoch = 1709251200
