@@ -6,6 +6,8 @@ folders come from the session's shared folder; the returned table is read back f
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from retailtide import schemas
@@ -13,13 +15,13 @@ from retailtide.catalog import changes as change_queries
 from retailtide.catalog import derive, sales
 from retailtide.catalog import logs as log_queries
 from retailtide.functions.times import order_time
-from retailtide.operators import parse
-from retailtide.plans.logs import page_columns, with_day
+from retailtide.operators import metrics, parse
+from retailtide.plans.logs import device_columns, page_columns, with_day
 from retailtide.session import shared_folder, stream_session
-from retailtide.sinks.tables import read_table
+from retailtide.sinks.tables import read_table, write_batch
 from retailtide.sinks.topics import to_files
 from retailtide.sources.topics import order_rows, table_stream, text_stream
-from retailtide.streaming import logs, orders, watermarks
+from retailtide.streaming import keyed, logs, orders, watermarks
 from retailtide.streaming.run import Running, finish, start
 
 
@@ -116,6 +118,39 @@ def stream_device(spark, sf_dir):
     return read_table(spark, logs.device_table(folder)).drop("update_time")
 
 
+def stream_device_expiring(spark, sf_dir):
+    """The device report from counts that expire two days after their last write."""
+    session, folder, running = _setting(spark, "stream_device_expiring")
+    session.conf.set(keyed.NO_DATA_BATCHES, "false")
+    rows = _logs(session, sf_dir).select("day", *metrics.device_columns())
+    table = logs.device_table(folder)
+
+    def each_batch(df, batch_id):
+        changed = df.filter("not periodic").select("day", "os", "brand", "platv", "count")
+        write_batch(device_columns(changed, log_queries.AS_OF), batch_id, table, unique=True)
+
+    counts = keyed.keyed_counts(rows, ["day", "os", "brand", "platv"])
+    finish(start(counts, "device", "update", each_batch, running))
+    return read_table(spark, table).drop("update_time")
+
+
+def stream_pages_timed(spark, sf_dir):
+    """The page report as each page's own timer emits it, once a page's first rows are counted."""
+    session, folder, running = _setting(spark, "stream_pages_timed")
+    session.conf.set(keyed.NO_DATA_BATCHES, "false")
+    rows = _logs(session, sf_dir).withColumnRenamed("log_type", "page")
+    counts = keyed.keyed_counts(
+        rows, ["day", "page"], "user_id", on_change=False, every=timedelta(0), chunks=4
+    )
+    finish(start(counts, "pages", "update", _to_parquet(f"{folder}/rows"), running))
+    emitted = spark.read.parquet(f"{folder}/rows").filter("periodic").groupBy("day", "page").agg(
+        F.sum("count").alias("pv"),
+        F.sum(F.size("members")).alias("users"),
+        F.array_sort(F.flatten(F.collect_list("members"))).alias("user_ids"),
+    )
+    return page_columns(emitted.withColumns({"chunk": F.lit(0), "chunks": F.lit(1)}))
+
+
 def stream_staged_logs(spark, sf_dir):
     """Log texts, some of them broken, to a log table and on to the device report."""
     session, folder, running = _setting(spark, "stream_staged_logs")
@@ -255,6 +290,8 @@ QUERIES = {
     "stream_gmv_today": stream_gmv_today,
     "stream_pages": stream_pages,
     "stream_device": stream_device,
+    "stream_device_expiring": stream_device_expiring,
+    "stream_pages_timed": stream_pages_timed,
     "stream_staged_logs": stream_staged_logs,
     "stream_region": stream_region,
     "stream_search_top10": stream_search_top10,
@@ -301,6 +338,8 @@ WHERE t.window_end <= (SELECT max(time_bucket(INTERVAL 10 MINUTE, ts)) FROM even
     "stream_gmv_today": sales.ORACLE["gmv_cumulate_today_top5"] + "\n" + _CLOSED.format(a="r"),
     "stream_pages": log_queries.ORACLE["page_view_users"],
     "stream_device": log_queries.ORACLE["device_stats"],
+    "stream_device_expiring": log_queries.ORACLE["device_stats"],
+    "stream_pages_timed": log_queries.ORACLE["page_view_users"],
     "stream_staged_logs": log_queries.DEVICE.replace(
         "FROM logs GROUP", "FROM logs WHERE event_id % 10 <> 0 GROUP"
     )
