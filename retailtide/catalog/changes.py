@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from retailtide import schemas
 from retailtide.catalog import derive
 from retailtide.functions import times
-from retailtide.operators import parse
+from retailtide.operators import handover, parse
 from retailtide.plans import changes
 from retailtide.plans.gmv import latest_per_order, sale_lines
 
@@ -119,7 +119,40 @@ def epoch_day_rules(spark, sf_dir):
     )
 
 
+def cdc_handover(spark, sf_dir):
+    """Newest state of the orders from a snapshot in ten chunks and the changes that overlap with it.
+
+    The feed has a change for every fifth order, a delete for every seventh of those, and orders that are
+    new. Chunk ``c`` lies between the marks ``100 * c`` and ``100 * c + 60`` and is read in the middle.
+    """
+    orders = derive.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount")
+    )
+    key, seq, raised = F.col("id"), F.col("id") * 7919 % 1000 + 1, (F.col("amount") + 1).cast("decimal(18,2)")
+    is_new, is_changed, is_deleted = key % 11 == 3, key % 5 == 0, key % 35 == 0
+    image = lambda amount: F.struct(amount.alias("amount"))
+    changes = (
+        orders.filter(is_new).select("id", F.lit("c").alias("op"), image(F.col("amount")).alias("image"), seq.alias("seq"))
+    ).unionAll(
+        orders.filter(is_changed & ~is_new).select(
+            "id",
+            F.when(is_deleted, "d").otherwise("u").alias("op"),
+            F.when(~is_deleted, image(raised)).alias("image"),
+            seq.alias("seq"),
+        )
+    )
+    low = key % 10 * 100
+    seen = seq <= low + 30
+    snapshot = orders.filter((~is_new | seen) & ~(is_deleted & ~is_new & seen)).select(
+        "id", image(F.when(is_changed & ~is_new & seen, raised).otherwise(F.col("amount"))).alias("image"),
+        low.alias("low"), (low + 60).alias("high"),
+    )
+    feed = handover.joined_feed(snapshot, changes, "id")
+    return handover.newest_state(feed, "id").select("id", "image.amount")
+
+
 QUERIES = {
+    "cdc_handover": cdc_handover,
     "cdc_flatten": cdc_flatten,
     "cdc_topic_text": cdc_topic_text,
     "cdc_snapshot": cdc_snapshot,
@@ -134,6 +167,11 @@ _TABLE_NAME = "'oms.' || CASE WHEN o_orderkey % 3 <> 0 THEN 'dbo' ELSE '' END ||
 _OP = "CASE o_orderstatus WHEN 'F' THEN 'c' ELSE 'u' END"
 
 ORACLE = {
+    "cdc_handover": """
+SELECT o_orderkey AS id,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2))
+            + CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 11 <> 3 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS amount
+FROM orders WHERE o_orderkey % 35 <> 0 OR o_orderkey % 11 = 3""",
     "cdc_flatten": f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS id, 'SO' || o_orderkey AS order_id,
        CAST(o_custkey AS VARCHAR) AS user_id,

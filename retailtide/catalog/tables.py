@@ -12,6 +12,7 @@ from retailtide.operators import kv, membership
 from retailtide.operators.latest import latest_by_key
 from retailtide.session import shared_folder
 from retailtide.functions import times
+from retailtide.sinks.entries import EntryTable, fold, read_present, write_entries
 from retailtide.sinks.retention import kept, truncate
 from retailtide.sinks.tables import (
     ReportTable,
@@ -71,6 +72,40 @@ def kv_delete(spark, sf_dir):
     return kv.delete(_customer_rows(spark, sf_dir), keys)
 
 
+def _stored_entries(spark, sf_dir, purpose):
+    """Customers put, those with urgent orders deleted, those of one segment put again; the deletes twice."""
+    customer = derive.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    orders = derive.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    key = F.format_string("%09d", "c_custkey")
+    urgent = orders.select(F.format_string("%09d", "o_custkey").alias("row_key")).distinct()
+    again = customer.filter(F.col("c_mktsegment") == "BUILDING").withColumn("c_name", F.upper("c_name"))
+    table = EntryTable(f"{shared_folder(spark, purpose)}/entries", files=4)
+    deletes = kv.delete_entries(urgent, F.lit(1))
+    write_entries(kv.put_entries(customer, key, F.lit(0)), 0, table)
+    write_entries(deletes, 1, table)
+    write_entries(kv.put_entries(again, key, F.lit(2)), 2, table)
+    write_entries(deletes, 1, table)
+    return table
+
+
+def _entry_rows(spark, table):
+    rows = read_present(spark, table)
+    return rows.select("row_key", *[F.col("info")[c].alias(c) for c in ("c_name", "c_mktsegment")])
+
+
+def kv_tombstones(spark, sf_dir):
+    """Put, delete and put over three batches, one of them replayed."""
+    return _entry_rows(spark, _stored_entries(spark, sf_dir, "kv_tombstones"))
+
+
+def kv_tombstones_folded(spark, sf_dir):
+    """The same when the first two batches are folded."""
+    table = _stored_entries(spark, sf_dir, "kv_tombstones_folded")
+    new = EntryTable(f"{table.path}_folded", files=4)
+    fold(spark, table, new, 1)
+    return _entry_rows(spark, new)
+
+
 def kv_scan_limit(spark, sf_dir):
     return kv.scan(_customer_rows(spark, sf_dir), 25)
 
@@ -243,6 +278,8 @@ def time_floors(spark, sf_dir):
 
 
 QUERIES = {
+    "kv_tombstones": kv_tombstones,
+    "kv_tombstones_folded": kv_tombstones_folded,
     "report_table_rejects": report_table_rejects,
     "report_table_truncated": report_table_truncated,
     "time_floors": time_floors,
@@ -292,7 +329,16 @@ SELECT CAST(ts AS DATE) AS pt, user_id, event_type,
        arg_max(CAST(value AS DECIMAL(18,2)), (hour(ts) >= 12, event_id)) AS "value"
 FROM events GROUP BY ALL"""
 
+_TOMBSTONES = """
+SELECT printf('%09d', c_custkey) AS row_key,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) ELSE c_name END AS c_name, c_mktsegment
+FROM customer
+WHERE c_mktsegment = 'BUILDING'
+   OR c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
+
 ORACLE = {
+    "kv_tombstones": _TOMBSTONES,
+    "kv_tombstones_folded": _TOMBSTONES,
     "report_table_rejects": """
 SELECT event_id, CASE WHEN event_id % 20 <> 0 THEN user_id END AS user_id,
        CAST(0 AS BIGINT) AS batch_id,

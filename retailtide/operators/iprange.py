@@ -7,11 +7,16 @@ compare every address with every range.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailtide.functions.texts import UNKNOWN_REGION
 from retailtide.operators.bounded import BROADCAST_LIMIT, measured_bytes
+from retailtide.workers import ship
 
 _BLOCK = 65_536
 
@@ -37,7 +42,7 @@ def block_ranges(ranges: DataFrame) -> DataFrame:
     """``ip_lo, ip_hi, region`` as pieces that do not overlap, each within one /16 block.
 
     Where ranges overlap, the one with the greatest start has the address; of equal starts the
-    one that ends first, then the greater text. Only blocks with overlaps are cut up further.
+    one that ends first, then the greater text. A block is swept in one pass, whatever its overlaps.
     """
     blocks = F.sequence(
         F.floor(F.col("ip_lo") / _BLOCK), F.floor(F.col("ip_hi") / _BLOCK)
@@ -49,24 +54,66 @@ def block_ranges(ranges: DataFrame) -> DataFrame:
             "block",
             F.greatest("ip_lo", F.col("block") * _BLOCK).alias("at"),
             F.least("ip_hi", F.col("block") * _BLOCK + (_BLOCK - 1)).alias("upto"),
-            F.struct("ip_lo", -F.col("ip_hi"), "region").alias("rank"),
+            "ip_lo",
+            "ip_hi",
             "region",
         )
     )
-    earlier = (
-        Window.partitionBy("block").orderBy("at", "upto").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    seen = cut.withColumn("overlaps", F.max("upto").over(earlier) >= F.col("at"))
-    whole = Window.partitionBy("block")
-    marked = seen.withColumn("messy", F.coalesce(F.bool_or("overlaps").over(whole), F.lit(False)))
-    clean = marked.filter("not messy").select("block", F.col("at").alias("ip_lo"), F.col("upto").alias("ip_hi"), "region")
-    messy = marked.filter("messy").select("block", "at", "upto", "rank", "region")
-    borders = messy.select("block", F.explode(F.array("at", F.col("upto") + 1)).alias("begin")).distinct()
-    following = F.lead("begin").over(Window.partitionBy("block").orderBy("begin"))
-    pieces = borders.withColumn("end", following - 1).filter("end is not null")
-    owned = pieces.join(messy, "block").filter("begin between at and upto")
-    best = owned.groupBy("block", "begin", "end").agg(F.max_by("region", "rank").alias("region"))
-    return clean.union(best.select("block", "begin", "end", "region"))
+    ship(ranges.sparkSession)
+    order = ["block", "at", "ip_lo", F.col("ip_hi").desc(), F.col("region").desc_nulls_last()]
+    return cut.repartition("block").sortWithinPartitions(*order).mapInArrow(_swept, _PIECES)
+
+
+_PIECES = "block long, ip_lo long, ip_hi long, region string"
+_PIECE_ROWS = 8192
+
+
+def _swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of ranges in order of their blocks and starts, in one pass.
+
+    Open ranges are held by rank, the one that has the address on top; only they are in memory. Each
+    range makes at most two pieces: one where it begins, one where a range inside it ends.
+    """
+    pieces: list[tuple] = []
+    open_ranges: list[tuple] = []  # (-ip_lo, ip_hi, upto, region)
+    block, at = None, 0
+
+    def advance(to: int) -> None:
+        """Give out the addresses from ``at`` to before ``to``."""
+        nonlocal at
+        while at < to:
+            while open_ranges and open_ranges[0][2] < at:
+                heapq.heappop(open_ranges)
+            if not open_ranges:
+                at = to
+                return
+            end = min(open_ranges[0][2], to - 1)
+            pieces.append((block, at, end, open_ranges[0][3]))
+            at = end + 1
+
+    def given() -> pa.RecordBatch:
+        columns = list(zip(*pieces)) or [()] * 4
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+        pieces.clear()
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["block", "ip_lo", "ip_hi", "region"])
+
+    before = None
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[0] != block:
+                advance(2**62)
+                open_ranges.clear()
+                block, at, before = row[0], row[1], None
+            _, start, upto, ip_lo, ip_hi, region = row
+            if (ip_lo, ip_hi) == before:
+                continue  # of equal ranges the greater text comes first
+            before = (ip_lo, ip_hi)
+            advance(start)
+            heapq.heappush(open_ranges, (-ip_lo, ip_hi, upto, region))
+            if len(pieces) >= _PIECE_ROWS:
+                yield given()
+    advance(2**62)
+    yield given()
 
 
 def _joined(numbered: DataFrame, blocks: DataFrame, salts: int = 1) -> DataFrame:
@@ -126,11 +173,18 @@ def _last_range(addresses: DataFrame, blocks: DataFrame) -> DataFrame:
     )
 
 
+def stored_blocks(spark: SparkSession, ranges: DataFrame, path: str) -> DataFrame:
+    """The pieces of a range table, worked out once and written, for jobs that look up again and again."""
+    block_ranges(ranges).write.mode("overwrite").parquet(path)
+    return spark.read.schema(_PIECES).parquet(path)
+
+
 def with_region(
     df: DataFrame,
     ranges: DataFrame,
     ip: str = "gis.ip",
     limit: int = BROADCAST_LIMIT,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``region`` to every row; unreadable or uncovered addresses get the unknown label.
 
@@ -140,9 +194,9 @@ def with_region(
     only, of which a /16 block holds at most 65,536 however hot it is; the rows then take
     the answer by address in a join whose hot keys adaptive execution can split. A stream, which
     runs without adaptive execution, meets a large range table block by block, a block's rows
-    dealt to ``STREAM_SALTS`` copies of its ranges.
+    dealt to ``STREAM_SALTS`` copies of its ranges. With ``stored`` the ranges are what ``stored_blocks`` gave.
     """
-    blocks = block_ranges(ranges)
+    blocks = ranges if stored else block_ranges(ranges)
     labelled = F.coalesce("region", F.lit(UNKNOWN_REGION))
     small = measured_bytes(blocks) <= limit
     if small or df.isStreaming:

@@ -69,3 +69,36 @@ def put(df: DataFrame, key: Column, order: Column) -> DataFrame:
         .agg(F.max_by("info", "put_order").alias("info"))
         .select("row_key", "info.*")
     )
+
+
+#: Columns of an entry: what was put under a key, or that it was deleted, and the place of that in time.
+ENTRY = "row_key string, info map<string,string>, deleted boolean, seq long"
+
+
+def put_entries(df: DataFrame, key: Column, seq: Column) -> DataFrame:
+    """An entry with every field of a row that is present, as text."""
+    pairs = [x for c in df.columns for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]
+    info = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+    return df.select(
+        key.cast("string").alias("row_key"), info.alias("info"), F.lit(False).alias("deleted"), seq.cast("long").alias("seq")
+    )
+
+
+def delete_entries(keys: DataFrame, seq: Column) -> DataFrame:
+    """A tombstone for each ``row_key``; the key need not be there."""
+    nothing = F.lit(None).cast("map<string,string>")
+    return keys.select("row_key", nothing.alias("info"), F.lit(True).alias("deleted"), seq.cast("long").alias("seq"))
+
+
+def merged(entries: DataFrame) -> DataFrame:
+    """The newest entry of every key, tombstones too: by number, and of equal ones the tombstone."""
+    newest = F.max_by(F.struct("info", "deleted", "seq"), F.struct("seq", "deleted"))
+    return entries.groupBy("row_key").agg(newest.alias("e")).select("row_key", "e.info", "e.deleted", "e.seq")
+
+
+def present(entries: DataFrame) -> DataFrame:
+    """``row_key, info`` of the keys whose newest entry is a put.
+
+    Entries may come in any order and any number of times, as after a replay.
+    """
+    return merged(entries).filter("not deleted").select("row_key", "info")

@@ -60,9 +60,49 @@ def product_windows(orders: DataFrame, steps: Steps = Steps()) -> DataFrame:
     )
 
 
-def _ranked(slots: DataFrame, steps: Steps, k: int, span: Span = ALL) -> DataFrame:
+_LOWEST = -(2**63)
+
+
+def _bounds(running: DataFrame, steps: Steps, k: int) -> DataFrame:
+    """``bucket, bounds``: for each slot a total that at least ``k`` products reach in its window.
+
+    Any ``k`` products will do, the least of their totals being such a bound; these are the ones that
+    sold most in the day. Slots before all of them have sold have no bound. There are ``k`` products and one
+    row a day, however many products there are.
+    """
+    most = running.groupBy("bucket", "product_id").agg(F.max("cents").alias("cents")).filter("cents is not null")
+    leaders = top_k(most, ["bucket"], [F.col("cents").desc(), F.col("product_id").asc_nulls_last()], k)
+    chosen = leaders.groupBy("bucket").agg(F.collect_list(F.struct("product_id")).alias("leaders"))
+    named = running.join(F.broadcast(chosen), "bucket").filter(
+        F.exists("leaders", lambda p: p["product_id"].eqNullSafe(F.col("product_id")))
+    )
+    windows = fill_windows(named.drop("leaders"), steps).groupBy("bucket", "slot")
+    least = windows.agg(F.min("cents").alias("least"), F.count("cents").alias("n")).filter(F.col("n") == k)
+    by_slot = least.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("slot", "least"))).alias("of"))
+    slot = F.sequence(F.lit(0), F.lit(steps.last))
+    bound = F.transform(slot, lambda s: F.coalesce(F.col("of")[s], F.lit(_LOWEST).cast("bigint")))
+    return by_slot.select("bucket", bound.alias("bounds"))
+
+
+def pruned(running: DataFrame, steps: Steps = Steps(), k: int = TOP) -> DataFrame:
+    """Running totals without those that are below a bound of the best ``k`` in all windows they fill.
+
+    The bounds are a row a day, of a few bytes a slot: a century of days is within the broadcast limit.
+    """
+    until = F.coalesce(F.col("next_slot") - 1, F.lit(steps.last))
+    inside = F.slice(F.col("bounds"), F.col("slot") + 1, until - F.col("slot") + 1)
+    lowest = F.lit(_LOWEST).cast("bigint")
+    reached = F.coalesce("cents", lowest) >= F.coalesce(F.array_min(inside), lowest)
+    bounds = F.broadcast(_bounds(running, steps, k))
+    return running.join(bounds, "bucket", "left").filter(reached).drop("bounds")
+
+
+def _ranked(slots: DataFrame, steps: Steps, k: int, span: Span = ALL, prune: bool = False) -> DataFrame:
+    running = running_totals(slots, ["product_id"], {"cents": "sum"})
+    if prune:
+        running = pruned(running, steps, k)
     return top_k(
-        _product_windows(slots, steps, span),
+        fill_windows(running, steps, *span),
         ["bucket", "slot"],
         [F.col("cents").desc_nulls_last(), F.col("product_id").asc_nulls_last()],
         k,
@@ -70,8 +110,12 @@ def _ranked(slots: DataFrame, steps: Steps, k: int, span: Span = ALL) -> DataFra
 
 
 def top_products(orders: DataFrame, steps: Steps = Steps(), k: int = TOP) -> DataFrame:
-    """Best sellers of every cumulative window, with their rank."""
-    return with_bounds(_ranked(sale_slots(orders, steps), steps, k), steps).select(
+    """Best sellers of every cumulative window, with their rank.
+
+    Products that cannot be among them are left out before windows are filled.
+    """
+    slots = _computed_once(sale_slots(orders, steps))
+    return with_bounds(_ranked(slots, steps, k, prune=True), steps).select(
         "window_start",
         "window_end",
         "product_id",

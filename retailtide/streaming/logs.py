@@ -107,7 +107,8 @@ def region_stream(
     def each_batch(df: DataFrame, batch_id: int) -> None:
         write_batch(reports.region_label_columns(_dated(df), as_of), batch_id, table, unique=True)
 
-    hits = iprange.with_region(_by_day(logs, keep), ranges, "gis.ip", limit).select(
+    blocks = iprange.stored_blocks(logs.sparkSession, ranges, f"{folder}/range_blocks")
+    hits = iprange.with_region(_by_day(logs, keep), blocks, "gis.ip", limit, stored=True).select(
         DAY,
         F.col("region").alias("region_raw"),
         F.lit(1).alias("count"),

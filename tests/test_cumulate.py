@@ -245,3 +245,36 @@ def shuffled_rows(plan):
     while not (name := stage.getClass().getSimpleName()).startswith("ShuffleQueryStage"):
         stage = stage.plan() if name.startswith("ResultQueryStage") else stage.children().head()
     return stage.shuffle().metrics().get("shuffleRecordsWritten").get().value()
+
+
+def test_products_that_cannot_be_best_sellers_are_left_out_before_windows_are_filled(spark):
+    """Two thousand small products and a few great ones: hardly a row of the small ones reaches the sort."""
+    rng = random.Random(3)
+    start = datetime(2024, 3, 1)
+    rows = [
+        (f"big{i % 6}", Decimal(1000 + rng.randrange(100)), start + timedelta(minutes=10 * (i // 6) + 1)) for i in range(6 * 144)
+    ]
+    rows += [(f"small{rng.randrange(2000)}", Decimal(rng.randrange(-5, 90)), start + timedelta(seconds=rng.randrange(86_400))) for _ in range(6000)]
+    rows += [(None, None, start + timedelta(minutes=3)), ("none", None, start + timedelta(minutes=4))]
+    frame = spark.createDataFrame(rows, "product_id string, total_amount decimal(18,2), ts_ms timestamp")
+    from retailtide.operators.cumulate import fill_windows, running_totals
+
+    running = running_totals(gmv.sale_slots(frame), ["product_id"], {"cents": "sum"})
+    before, after = fill_windows(running).count(), fill_windows(gmv.pruned(running)).count()
+    assert after * 10 < before
+    want = top_k(
+        fill_windows(running), ["bucket", "slot"], [F.col("cents").desc_nulls_last(), F.col("product_id").asc_nulls_last()], 5
+    )
+    got = gmv._ranked(gmv.sale_slots(frame), Steps(), 5, prune=True)
+    order = lambda df: sorted((tuple(r) for r in df.select("bucket", "slot", "rn", "product_id", "cents").collect()), key=repr)
+    assert order(got) == order(want)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pruned_best_sellers_of_rows_with_refunds_and_gaps(spark, seed):
+    frame = spark.createDataFrame(
+        [(p, a, t) for _, p, a, t in sales(seed, 300, 12)], "product_id string, total_amount decimal(18,2), ts_ms timestamp"
+    )
+    order = lambda df: sorted((tuple(r) for r in df.select("bucket", "slot", "rn", "product_id", "cents").collect()), key=repr)
+    slots = gmv.sale_slots(frame)
+    assert order(gmv._ranked(slots, Steps(), 5, prune=True)) == order(gmv._ranked(slots, Steps(), 5))

@@ -258,3 +258,48 @@ def test_page_report_reads_its_logs_once(spark, tmp_path):
     report.collect()
     plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_many_nested_ranges_of_one_block_are_swept_in_one_pass(spark):
+    """Fifty thousand ranges inside one another, and a few beside and across them."""
+    base = 10 << 24
+    nested = [(base + i // 2, base + 65_535 - i // 2 - i % 2, f"r{i}") for i in range(50_000)]
+    more = [(base + 70_000, base + 70_010, "a"), (base + 70_005, base + 200_000, "b"), (base + 70_000, base + 70_010, "z")]
+    table = spark.createDataFrame(nested + more, "ip_lo long, ip_hi long, region string")
+    pieces = iprange.block_ranges(table).collect()
+    owner = {}
+    for p in pieces:
+        for at in range(p.ip_lo, p.ip_hi + 1) if p.ip_lo < base + 65_536 else ():
+            assert at not in owner
+            owner[at] = p.region
+    want = {}
+    for lo, hi, region in sorted(nested, key=lambda r: (r[0], -r[1], r[2])):
+        want.update({lo: region, hi: region})
+    # outside the innermost range, an address belongs to the innermost range around it
+    best = {}
+    for lo, hi, region in nested:
+        for at in (lo, hi):
+            best[at] = max(best.get(at, (-1, 0, "")), (lo, -hi, region))
+    assert all(owner[at] == b[2] for at, b in best.items())
+    beside = sorted((p.ip_lo - base, p.ip_hi - base, p.region) for p in pieces if p.ip_lo >= base + 65_536)
+    assert beside[:2] == [(70_000, 70_004, "z"), (70_005, 131_071, "b")]
+    assert len(pieces) <= 2 * len(nested) + 8
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_swept_pieces_are_those_of_brute_force(spark, seed):
+    import random as rnd
+
+    rng = rnd.Random(seed)
+    rows = []
+    for i in range(60):
+        lo = rng.randrange(0, 400)
+        rows.append((lo, lo + rng.choice([-1, 0, 3, 40, 150]), rng.choice(["a", "b", "c"])))
+    table = spark.createDataFrame(rows + rows[:5], "ip_lo long, ip_hi long, region string")
+    got = {at: p.region for p in iprange.block_ranges(table).collect() for at in range(p.ip_lo, p.ip_hi + 1)}
+    want = {}
+    for at in range(600):
+        covering = [(lo, -hi, region) for lo, hi, region in rows if lo <= at <= hi]
+        if covering:
+            want[at] = max(covering)[2]
+    assert got == want
