@@ -1,4 +1,9 @@
-"""Connected components of an edge table, by alternating star contractions."""
+"""Connected components of an edge table, by alternating star contractions, and tables written on the way.
+
+Defined cases: an edge with a null end, or from a node to itself, is left out; repeated edges count once; an
+empty table has no components. Only ``a`` and ``b`` are read, so other columns may have any name; texts
+are not read at all.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +20,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, in no letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node hands its smallest neighbour to its larger ones."""
     both = edges.union(edges.select("b", "a")).toDF("a", "b")

@@ -30,6 +30,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retailtide.llm.components import unused
+
 WINDOW = 13
 #: Words per hashed run; stretches of ``WINDOW - K + 1`` runs keep one.
 K = 6
@@ -197,10 +199,11 @@ def filter_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_found(docs: DataFrame, found: DataFrame) -> DataFrame:
+    bad_id, bad_text = unused(docs, "__bad_id"), unused(docs, "__bad_text")
     bad = found.filter("contaminated").select(
-        F.col("doc_id").alias("__bad_id"), F.col("text_key").alias("__bad_text")
+        F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_text)
     ).distinct()
     small = bad.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("__bad_id")) & (key == F.col("__bad_text"))
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (key == F.col(bad_text))
     return docs.join(F.broadcast(bad) if small else bad, same, "left_anti")

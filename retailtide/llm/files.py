@@ -10,6 +10,7 @@ import uuid
 from urllib.parse import urlsplit
 
 import pyarrow.fs as pafs
+from pyspark.sql import SparkSession
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -19,6 +20,15 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), uri
 
 
+#: Bytes of files that a task reads, where there are enough for all cores.
+TASK_BYTES = 64 * 2**20
+
+
+def tasks_for(spark: SparkSession, parts: int, size: int) -> int:
+    """How many tasks are to read so many parts of files, of so many bytes in all."""
+    return max(1, min(parts, max(-(-size // TASK_BYTES), spark.sparkContext.defaultParallelism)))
+
+
 def new_file(folder: str, suffix: str):
     """A new file of this attempt: its uri, and a stream to write."""
     system, path = opened(folder)

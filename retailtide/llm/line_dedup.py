@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from retailtide.llm.components import written
 from retailtide.llm.files import opened
-from retailtide.llm.texts import SPACES, segment_hashes, slices
+from retailtide.llm.texts import SPACES, keeps, segment_hashes, slices
 from retailtide.operators.bounded import BROADCAST_LIMIT
 from retailtide.session import shared_folder
 
@@ -244,9 +244,16 @@ def seen_twice(docs: DataFrame, least: int = LEAST_CHARS, most_bits: int = FILTE
 _loaded: tuple[str, np.ndarray] | None = None
 
 
+def _let_go() -> bool:
+    global _loaded
+    had, _loaded = _loaded is not None, None
+    return had
+
+
 def _load(folder: str, bits: int) -> np.ndarray:
     """The whole "twice" filter, a bit per bit; the one used last is kept by a worker."""
     global _loaded
+    keeps(_let_go)
     if _loaded is None or _loaded[0] != folder:
         _loaded = None
         system, path = opened(folder)
@@ -268,7 +275,7 @@ def _suspect(batches: Iterator[pa.RecordBatch], folder: str, bits: int, least: i
     """``doc_id, digest`` of the keys that the "twice" filter has."""
     for batch in batches:
         twice = _load(folder, bits)
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", keep=True):
             keys = Keys(part.column("text"), least)
             at = positions(keys.hashes, bits)
             bit = np.left_shift(np.uint8(1), (7 - at % 8).astype(np.uint8))

@@ -68,6 +68,8 @@ UNLIKELY = frozenset(
 UNLIKELY_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog menu menubar alert form".split()
 )
+#: Links of fewer characters on average are a menu, also inside an article; longer ones are its references.
+MENU_CHARS = 20
 #: Those that stay unlikely when a page is read again, as they are seldom a wrapper of the article.
 FIRM = UNLIKELY - frozenset("header meta modal notice overlay paywall share skip tags widget widgets".split())
 LIKELY = frozenset("article body content entry hentry main page post story text blog".split())
@@ -100,13 +102,13 @@ _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "dropped", "soft", "points", "article", "chars", "linked", "inline")
+    __slots__ = ("tag", "parent", "dropped", "soft", "points", "article", "chars", "linked", "inline", "blocks")
 
     def __init__(
         self, tag: str, parent: int, dropped: bool, soft: bool, points: float, inline: bool, article: bool = False
     ):
         self.tag, self.parent, self.dropped, self.soft, self.points = tag, parent, dropped, soft, points
-        self.inline, self.article, self.chars, self.linked = inline, article, 0, 0
+        self.inline, self.article, self.chars, self.linked, self.blocks = inline, article, 0, 0, 0
 
 
 def _unlikely(name: str, words: list[str]) -> frozenset[str]:
@@ -182,7 +184,9 @@ class _Page:
                 else:
                     attrs = found["attrs"] or ""
                     self._open(tag, attrs)
-                    if tag in RAW and not attrs.endswith("/"):
+                    if tag in RAW and attrs.endswith("/"):
+                        self._close(tag)
+                    elif tag in RAW:
                         stop = re.compile(f"</{tag}", re.I).search(page, at)
                         at = stop.start() if stop else end
         self._flush()
@@ -236,7 +240,8 @@ class _Page:
         hidden, words, points, article = _marks(tag, attrs) if attrs else (False, frozenset(), 0, False)
         if tag in _WRAPS:
             words |= {"form"}
-        unlikely = not self.left_out.isdisjoint(words)
+        # words that may name a wrapper, such as tags, say little of a part of a paragraph
+        unlikely = not (self.left_out & FIRM if inline else self.left_out).isdisjoint(words)
         if inline and not unlikely and not hidden:
             return
         if not inline:
@@ -294,6 +299,7 @@ class _Page:
             while up >= 0:
                 self.nodes[up].chars += len(text)
                 self.nodes[up].linked += linked
+                self.nodes[up].blocks += 1
                 up = self.nodes[up].parent
             own = self.nodes[node]
             if len(text) < LEAST_CHARS or own.tag not in PARAGRAPHS:
@@ -324,16 +330,19 @@ class _Page:
             named = [n for n in earned if self.nodes[n].tag in ("article", "main")]
             best = max(named, key=lambda n: self.nodes[n].chars) if named else 0
         kept = {self._enclosing(best)} | self._siblings(best, earned)
+        kept |= self._titles(best, kept)
         out = []
         for node, text, _ in self.blocks:
-            up, inside, links = node, False, False
+            up, inside, links, menu = node, False, False, False
             while up >= 0:
                 own = self.nodes[up]
                 if up in kept:
                     inside = True
+                    links = menu if own.article or own.tag in ("article", "main") else links
                     break
                 if own.tag in ("ul", "ol", "dl", "div", "section", "table") and self._density(own) > 0.5:
                     links = True
+                    menu |= own.chars < MENU_CHARS * own.blocks
                 up = own.parent
             if inside and not links or best == 0:
                 out.append(text)
@@ -379,6 +388,26 @@ class _Page:
                 articles += own.tag == "article" and own.chars > 0
         return best if articles > 1 else named
 
+    def _titles(self, best: int, kept: set[int]) -> set[int]:
+        """The main headings above what is kept, if it has none of its own."""
+        above, up = set(), best
+        while up >= 0:
+            above.add(up)
+            up = self.nodes[up].parent
+        found = set()
+        for node, _, _ in self.blocks:
+            own = self.nodes[node]
+            if own.tag != "h1":
+                continue
+            up = node
+            while up >= 0 and up not in kept:
+                up = self.nodes[up].parent
+            if up >= 0:
+                return set()
+            if own.parent in above and self._density(own) < 0.25:
+                found.add(node)
+        return found
+
     def _siblings(self, best: int, earned: dict[int, float]) -> set[int]:
         if best == 0:
             return set()

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailtide.llm.components import components, written
+from retailtide.llm.components import components, unused, written
 from retailtide.llm.texts import Texts, mix, runs, slices, window_hashes
 from retailtide.operators.bounded import broadcast_if_small
 
@@ -381,6 +381,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def filter_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents that stand for their component, all columns as they came."""
-    dropped = near_duplicates(spark, docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
+    own = unused(docs, "__id")
+    dropped = near_duplicates(spark, docs).filter(~F.col("kept")).select(F.col("doc_id").alias(own)).distinct()
     dropped = written(dropped, "dropped")
-    return docs.join(broadcast_if_small(dropped, ID_BYTES), F.col("doc_id") == F.col("__id"), "left_anti")
+    return docs.join(broadcast_if_small(dropped, ID_BYTES), F.col("doc_id") == F.col(own), "left_anti")

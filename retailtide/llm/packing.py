@@ -58,7 +58,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, deal = encoder(path, spaced), TaskContext.get().partitionId()
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES, keep=True):
                 ids, counts = own.encode(part.column("text"))
                 at = 0
                 rows = []

@@ -6,7 +6,8 @@ a window of words is named by a 64-bit hash that is the same on every machine.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -118,8 +119,34 @@ class Texts:
         return np.repeat(self.first[:-1], counts) + runs(counts)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds at most ``limit`` bytes of text, or one row."""
+#: What a worker keeps for further tasks of one operator, by the functions that let it go.
+_kept: list[Callable[[], bool]] = []
+
+
+def keeps(let_go: Callable[[], bool]) -> None:
+    """Name a function that lets go what a worker keeps, and tells whether there was anything."""
+    if let_go not in _kept:
+        _kept.append(let_go)
+
+
+def release() -> None:
+    """Let go what a worker keeps, and give the memory back to the system."""
+    if any([let_go() for let_go in _kept]):
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def slices(
+    batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, keep: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part holds at most ``limit`` bytes of text, or one row.
+
+    Without ``keep`` what tasks of another operator have kept in this worker is let go first.
+    """
+    if not keep:
+        release()
     sizes = np.asarray(
         pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64
     )

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailtide.llm.components import written
-from retailtide.llm.files import new_file, random_access
+from retailtide.llm.files import new_file, random_access, tasks_for
 from retailtide.llm.texts import runs, slices
 from retailtide.llm.tokens import SLICE_BYTES, encoder
 from retailtide.session import shared_folder
@@ -111,7 +111,7 @@ def write(docs: DataFrame, path: str, spaced: bool = True, end_id: int = END_ID,
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, out = encoder(path, spaced), None
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES, keep=True):
                 out = out or ShardWriter(folder, width)
                 ids, counts = _with_end(*own.encode(part.column("text")), end_id)
                 out.add(part.column("doc_id"), ids, counts)
@@ -152,6 +152,7 @@ def read(manifest: DataFrame, documents_at_once: int = 20_000) -> DataFrame:
 
     A file is read by several tasks where it has many documents; each maps it and takes its own part.
     """
+    spark = manifest.sparkSession
     order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
     parts = based.withColumn(
@@ -190,7 +191,12 @@ def read(manifest: DataFrame, documents_at_once: int = 20_000) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    dealt = parts.repartition("sequences", "first")
+    # Rows of the manifest are a few bytes each and would all be read by one task, so the number of tasks
+    # comes from the bytes of the files; Spark keeps a number that is given.
+    n_parts, tokens = manifest.agg(
+        F.sum(F.ceil(F.col("n_docs") / documents_at_once)), F.sum("n_tokens")
+    ).first()
+    dealt = parts.repartition(tasks_for(spark, n_parts or 0, (tokens or 0) * 4))
     return dealt.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -5,7 +5,7 @@ space, and before a single space or around a single line break between two other
 byte-level vocabulary, whose words take the space before them; for both also between an ASCII letter and a
 punctuation mark after it, but for the apostrophe. So the ids are those of the whole text, while a word
 that comes again costs a lookup. The vocabulary that drops white space also drops letter case. What a
-worker has learned stays for its next tasks; of ``CACHED`` chunks the half used last is kept.
+worker has learned stays for its next tasks, until one of another operator runs in it; of ``CACHED`` chunks the half used last is kept.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from retailtide.llm.texts import Texts, runs, segment_hashes
+from retailtide.llm.texts import Texts, keeps, runs, segment_hashes
 
 CACHED = 340_000
 #: Bytes of text that are encoded at once.
@@ -160,8 +160,15 @@ def _spaced_chunks(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
+def _let_go() -> bool:
+    had = bool(_encoders)
+    _encoders.clear()
+    return had
+
+
 def encoder(path: str, spaced: bool) -> Encoder:
     """The worker's encoder for a vocabulary; it keeps what it has learned."""
+    keeps(_let_go)
     if (path, spaced) not in _encoders:
         _encoders[path, spaced] = Encoder(path, spaced)
     return _encoders[path, spaced]

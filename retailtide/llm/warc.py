@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailtide.llm.components import written
-from retailtide.llm.files import new_file, opened
+from retailtide.llm.files import new_file, opened, tasks_for
 from retailtide.session import shared_folder
 
 DEDUP_BYTES = 100
@@ -125,7 +125,7 @@ class _Window:
     """A stretch of a file that is read on as it is needed."""
 
     def __init__(self, file, start: int, size: int):
-        self.file, self.start, self.size, self.data = file, start, size, b""
+        self.file, self.start, self.size, self.data = file, start, size, bytearray()
 
     def until(self, end: int) -> bool:
         """Hold the bytes up to ``end``, or to the end of the file; whether there are more."""
@@ -138,7 +138,8 @@ class _Window:
 
     def forget(self, before: int) -> None:
         if before - self.start > _READ:
-            self.data, self.start = self.data[before - self.start :], before
+            del self.data[: before - self.start]
+            self.start = before
 
 
 def _inflate(window: _Window, at: int) -> tuple[bytes, int] | None:
@@ -245,7 +246,10 @@ def read(files: DataFrame, payloads: bool = True, range_bytes: int = RANGE_BYTES
         "page_id long, url string, record_type string, refers_to long, payload binary, "
         "payload_bytes long, payload_digest string"
     )
-    return ranges.repartition("file", "start").mapInArrow(scan, spark_schema)
+    # Rows of ranges are a few bytes each and would all be read by one task; a number that is given stays.
+    n_ranges, size = files.filter("bytes > 0").agg(F.sum(F.ceil(F.col("bytes") / range_bytes)), F.sum("bytes")).first()
+    dealt = ranges.repartition(tasks_for(files.sparkSession, n_ranges or 0, size or 0))
+    return dealt.mapInArrow(scan, spark_schema)
 
 
 def listed(spark, pattern: str) -> DataFrame:

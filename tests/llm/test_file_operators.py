@@ -12,7 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from retailtide.llm import files, main_text, packing, token_files, tokens, warc
+from retailtide.llm.shipping import ship
 
 ODD_TEXTS = [
     None,
@@ -365,3 +368,46 @@ def test_reading_a_window_far_from_the_start():
     for start in range(0, len(data), 333):
         found += [warc.parse(c)["page_id"] for c in warc.records_in(reader, start, min(len(data), start + 333), len(data))]
     assert found == list(range(50))
+
+
+def test_elements_that_close_themselves_do_not_swallow_what_follows():
+    for tag in ("svg", "iframe", "math"):
+        page = f"<body><article><p>{'One, two, three. ' * 9}</p><{tag} class=x />" + "".join(
+            f"<p>{w} paragraph, {'with some words, ' * 6}</p>" for w in ("Second", "Third")
+        ) + "</article></body>"
+        assert len(main_text.main_text(page).split("\n")) == 3, tag
+
+
+def test_references_and_titles_and_tagged_words_stay():
+    links = "".join(f'<li><a href="#{i}">Reference number {i}, of the article</a></li>' for i in range(6))
+    body = f"<p>{'A sentence, with <span class=tags>words</span> in it. ' * 9}</p>" * 2
+    page = f"<body><h1>The title</h1><div id=c>{body}</div><div><a href=x>Elsewhere</a></div></body>"
+    assert main_text.main_text(page).split("\n")[0] == "The title"
+    assert "with words in it" in main_text.main_text(page) and "Elsewhere" not in main_text.main_text(page)
+    article = f"<body><div class=nav>{links}</div><article>{body}<h2>References</h2><ul>{links}</ul></article></body>"
+    text = main_text.main_text(article).split("\n")
+    assert text[-1] == "Reference number 5, of the article" and len(text) == 9
+
+
+def test_archives_and_token_files_are_read_by_several_tasks(spark, vocabularies):
+    pages = ship(spark).range(40).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 40).alias("html")
+    )
+    records = warc.read(warc.write(pages.repartition(2)), range_bytes=1000)
+    tasks = records.select(F.spark_partition_id().alias("task"), "page_id")
+    assert tasks.select("task").distinct().count() > 2 and tasks.count() == 40
+    docs = pages.select(F.col("page_id").alias("doc_id"), F.col("html").alias("text"))
+    read = token_files.read(token_files.write(docs, vocabularies[0]), documents_at_once=5)
+    tasks = read.select(F.spark_partition_id().alias("task"), "doc_id")
+    assert tasks.select("task").distinct().count() > 2 and tasks.count() == 40
+
+
+def test_what_a_worker_keeps_is_let_go_by_tasks_of_another_operator(vocabularies):
+    from retailtide.llm import texts, tokens
+
+    tokens.encoder(vocabularies[0], True)
+    batch = pa.record_batch([pa.array(["a b"])], ["text"])
+    list(texts.slices(batch, "text", keep=True))
+    assert tokens._encoders
+    list(texts.slices(batch, "text"))
+    assert not tokens._encoders

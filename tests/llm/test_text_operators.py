@@ -288,3 +288,17 @@ def test_components_of_random_graphs(spark, seed):
         parent[b] = a
     found = components(spark, spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in found} == {x: root(x) for x in parent if root(x) != x}
+
+
+def test_filters_keep_columns_that_are_named_as_theirs(spark):
+    from pyspark.sql import functions as F
+
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(1, text), (2, text), (3, "another text of its own, with some words"), (4, None)]
+    names = ["__id", "__ID_", "__bad_id", "__bad_text", "kept", "component_id"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit("x") for n in names})
+    left = near_dedup.filter_documents(spark, docs)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
+    benchmark = spark.createDataFrame([(9, text)], "item_id long, text string")
+    clean = decontaminate.filter_documents(docs, benchmark)
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 4]
