@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from retailtide.catalog import derive
-from retailtide.operators import iprange, metrics, parse
+from retailtide.operators import distinct, iprange, metrics, parse
 from retailtide.plans import logs
 
 AS_OF = "2024-01-30"
@@ -38,6 +38,16 @@ def page_view_users(spark, sf_dir):
     return logs.page_report(derive.logs(spark, sf_dir))
 
 
+def page_users_spans(spark, sf_dir):
+    """Distinct users of a page in the 1, 7 and 30 days up to each day."""
+    rows = derive.logs(spark, sf_dir).select(
+        "day", F.col("log_type").alias("page"), F.nullif(F.col("user_id").cast("string"), F.lit("")).alias("user_id")
+    )
+    numbers = distinct.numbered(rows, "user_id")
+    sets = distinct.bitmaps(rows.join(numbers, "user_id"), ["day", "page"])
+    return distinct.over_days(sets, ["page"], (1, 7, 30))
+
+
 def device_stats(spark, sf_dir):
     return logs.device_report(derive.logs(spark, sf_dir), AS_OF)
 
@@ -95,6 +105,7 @@ def search_top10_day(spark, sf_dir):
 
 
 QUERIES = {
+    "page_users_spans": page_users_spans,
     "page_view_users": page_view_users,
     "device_stats": device_stats,
     "ip_region": ip_region,
@@ -164,6 +175,14 @@ items AS (
 )"""
 
 ORACLE = {
+    "page_users_spans": f"""WITH {_LOGS},
+views AS (SELECT DISTINCT pt, page, user_id FROM logs WHERE user_id IS NOT NULL AND user_id <> ''),
+ends AS (SELECT DISTINCT pt AS day FROM views)
+SELECT page, day,
+       count(DISTINCT user_id) FILTER (pt = day) AS users_1,
+       count(DISTINCT user_id) FILTER (pt > day - 7) AS users_7,
+       count(DISTINCT user_id) AS users_30
+FROM ends JOIN views ON pt <= day AND pt > day - 30 GROUP BY page, day""",
     "page_view_users": f"""WITH {_LOGS}
 SELECT pt, page, count(*) AS pv,
        '[' || coalesce(string_agg(DISTINCT '"' || user_id || '"', ',' ORDER BY '"' || user_id || '"'), '') || ']' AS user_ids,

@@ -12,7 +12,7 @@ from retailtide.operators import kv, membership
 from retailtide.operators.latest import latest_by_key
 from retailtide.session import shared_folder
 from retailtide.functions import times
-from retailtide.sinks.entries import EntryTable, fold, read_present, write_entries
+from retailtide.sinks.entries import EntryTable, fold, get_stored, read_present, store_by_key, write_entries
 from retailtide.sinks.retention import kept, truncate
 from retailtide.sinks.tables import (
     ReportTable,
@@ -58,6 +58,13 @@ def kv_get(spark, sf_dir):
     return kv.get(_customer_rows(spark, sf_dir), "000000042")
 
 
+def kv_get_stored(spark, sf_dir):
+    """The row of a key in a table laid out by key."""
+    path = f"{shared_folder(spark, 'kv_get_stored')}/table"
+    store_by_key(_customer_rows(spark, sf_dir), path, 16)
+    return get_stored(spark, path, "000000042", 16)
+
+
 def kv_get_many(spark, sf_dir):
     """Rows of the customers that ordered in urgent priority."""
     orders = derive.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
@@ -278,6 +285,7 @@ def time_floors(spark, sf_dir):
 
 
 QUERIES = {
+    "kv_get_stored": kv_get_stored,
     "kv_tombstones": kv_tombstones,
     "kv_tombstones_folded": kv_tombstones_folded,
     "report_table_rejects": report_table_rejects,
@@ -337,6 +345,7 @@ WHERE c_mktsegment = 'BUILDING'
    OR c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
 ORACLE = {
+    "kv_get_stored": _ROWS + "SELECT * FROM kv WHERE row_key = '000000042'",
     "kv_tombstones": _TOMBSTONES,
     "kv_tombstones_folded": _TOMBSTONES,
     "report_table_rejects": """

@@ -93,12 +93,13 @@ def change_images(df: DataFrame) -> DataFrame:
     table_name = F.concat_ws(
         ".", *[F.coalesce(source.getField(f), F.lit("")) for f in ("db", "schema", "table")]
     )
-    after = F.to_json("record.after")
-    return df.filter(after.startswith("{")).select(
-        after.alias("after"),
+    # The text is made once, behind a generator, and not anew where it is named.
+    texts = df.select(
+        F.explode(F.array(F.to_json("record.after"))).alias("after"),
         table_name.alias("table_name"),
         F.coalesce(F.col("record.op"), F.lit("")).alias("op"),
     )
+    return texts.filter(F.col("after").startswith("{"))
 
 
 def flatten_changes(df: DataFrame, schema: T.StructType = schemas.ORDER_ROW) -> DataFrame:
@@ -129,7 +130,9 @@ def change_texts(df: DataFrame, value: str = "value") -> DataFrame:
         F.when(F.size(others) > 0, ",").otherwise(""),
         F.substring(added, 2, 2**31 - 1),
     )
-    taken = F.arrays_overlap(names, F.array(F.lit("table_name"), F.lit("op")))
+    # Only a text that has such a name somewhere is read for its own fields.
+    named = F.col("after").contains('"table_name"') | F.col("after").contains('"op"')
+    taken = named & F.arrays_overlap(names, F.array(F.lit("table_name"), F.lit("op")))
     return images.select(F.when(taken, rebuilt).otherwise(joined).alias(value))
 
 

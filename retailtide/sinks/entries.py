@@ -1,10 +1,10 @@
-"""A key/value table on stored entries: puts and deletes are written, and merged when read."""
+"""Stored key/value tables: entries that are merged when read, and rows laid out for reads by key."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailtide.operators import kv
@@ -57,3 +57,36 @@ def fold(spark: SparkSession, table: EntryTable, new: EntryTable, upto: int) ->
     write_entries(settled, upto, new)
     for row in entries.filter(F.col(BATCH) > upto).select(BATCH).distinct().collect():
         write_entries(entries.filter(F.col(BATCH) == row[0]).drop(BATCH), row[0], new)
+
+
+#: Folders of a table laid out by key, and the column that names them.
+KEY_PARTS = 64
+_PART = "key_part"
+
+
+def _part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def store_by_key(rows: DataFrame, path: str, parts: int = KEY_PARTS) -> None:
+    """Write rows with a ``row_key`` so that a read by key opens one folder's file.
+
+    A folder holds the keys of one hash value, in order and with a Bloom filter, so that the groups of rows
+    in its file that lack a key are skipped too.
+    """
+    (
+        rows.withColumn(_PART, _part_of(F.col("row_key"), parts))
+        .repartition(parts, _PART)
+        .sortWithinPartitions(_PART, "row_key")
+        .write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#row_key", "true")
+        .partitionBy(_PART)
+        .parquet(path)
+    )
+
+
+def get_stored(spark: SparkSession, path: str, key: str, parts: int = KEY_PARTS) -> DataFrame:
+    """The row of a key; the other folders are pruned by the plan."""
+    rows = spark.read.parquet(path)
+    mine = (F.col(_PART) == _part_of(F.lit(key), parts)) & (F.col("row_key") == key)
+    return rows.filter(mine).drop(_PART)

@@ -11,9 +11,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +24,8 @@ MAX_REJECTED = 0.1
 
 BATCH = "batch_id"
 
+_MARK = "cannot_be_stored"
+
 
 class LoadRejected(RuntimeError):
     """Too many rows of a load lack a required column."""
@@ -73,13 +74,17 @@ def cannot_store(table: ReportTable, as_of=None) -> Column:
     return bad
 
 
-def check_rejects(df: DataFrame, bad: Column, limit: float = MAX_REJECTED) -> None:
-    """Refuse the load when more than ``limit`` of its rows are unusable."""
-    total, rejected = df.agg(F.count(F.lit(1)), F.count(F.when(bad, F.lit(1)))).first()
+def refuse(total: int, rejected: int, limit: float = MAX_REJECTED) -> None:
+    """Refuse a load when more than ``limit`` of its rows are unusable."""
     if rejected > limit * total:
         raise LoadRejected(f"{rejected} of {total} rows cannot be stored")
 
 
+def check_rejects(df: DataFrame, bad: Column, limit: float = MAX_REJECTED) -> None:
+    """Refuse a table that is there already when too many of its rows are unusable."""
+    refuse(*df.agg(F.count(F.lit(1)), F.count(F.when(bad, F.lit(1)))).first(), limit)
+
+
 def _put(df: DataFrame, batch_id: int, table: ReportTable) -> None:
     if table.files:
         spread = [k for k in table.keys or df.columns if k != table.day]
@@ -112,22 +117,28 @@ def write_batch(
     A keyed table needs ``order``, which picks the newest row where a key occurs more than once in
     the batch, or the caller's word that its rows are ``unique``. Rows that the table cannot take
     are stored beside it (``read_rejected``), each with its batch; with too many of them the whole load
-    is refused.
+    is refused and the table stays as it was. The input is read once: rows wait beside the table until
+    they have been counted.
     """
     if table.keys and order is None and not unique:
         raise ValueError("rows for a keyed table need an order, or must be unique")
     if not table.required and table.back is None and table.ahead is None:
         _put(_newest(df, table, order), batch_id, table)
         return
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        bad = cannot_store(table, as_of)
-        check_rejects(df, bad)
-        _put(_newest(df.filter(~bad), table, order), batch_id, table)
-        rejected = df.filter(bad).withColumn("rejected_at", F.current_timestamp())
-        rejected.write.mode("overwrite").parquet(f"{rejected_path(table)}/{BATCH}={batch_id}")
-    finally:
-        df.unpersist()
+    # Rows are written once, counted as they pass, judged, and then published from what was written.
+    mark, counted = _MARK, Observation(f"load_{batch_id}")
+    staged = f"{table.path.rstrip('/')}_staged/{BATCH}={batch_id}"
+    marked = df.withColumn(mark, cannot_store(table, as_of))
+    observed = marked.observe(
+        counted, F.count(F.lit(1)).alias("total"), F.count(F.when(F.col(mark), F.lit(1))).alias("rejected")
+    )
+    observed.write.mode("overwrite").partitionBy(mark).parquet(staged)
+    refuse(**counted.get)
+    rows = df.sparkSession.read.schema(marked.schema).parquet(staged)
+    _put(_newest(rows.filter(~F.col(mark)).drop(mark), table, order), batch_id, table)
+    rejected = rows.filter(F.col(mark)).drop(mark).withColumn("rejected_at", F.current_timestamp())
+    rejected.write.mode("overwrite").parquet(f"{rejected_path(table)}/{BATCH}={batch_id}")
+    df.sparkSession.createDataFrame([], marked.schema).write.mode("overwrite").parquet(staged)
 
 
 def _newest(df: DataFrame, table: ReportTable, order: Column | None) -> DataFrame:

@@ -11,16 +11,18 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from retailtide.operators import iprange, metrics, parse
 from retailtide.operators.bounded import BROADCAST_LIMIT
+from retailtide.operators.latest import latest_by_key
 from retailtide.plans import logs as reports
 from retailtide.sinks.tables import (
     BATCH,
     ReportTable,
     day_files,
-    read_batches,
+    read_days,
     read_table,
     write_batch,
 )
@@ -36,6 +38,14 @@ DAY_FILES = 4
 
 DAY = "day_start"
 
+USERS = (
+    T.StructType()
+    .add("page", T.StringType())
+    .add("user_id", T.StringType())
+    .add("views", T.LongType())
+    .add("pt", T.DateType())
+)
+
 
 def _by_day(logs: DataFrame, keep: str | None) -> DataFrame:
     dated = logs.withColumn(DAY, F.date_trunc("day", F.col("event_time").cast("timestamp")))
@@ -67,7 +77,7 @@ def search_table(spark: SparkSession, folder: str) -> ReportTable:
 
 def user_table(spark: SparkSession, folder: str) -> ReportTable:
     """Present views of each page and user."""
-    return ReportTable(f"{folder}/page_users", ("pt", "page", "user_id"), files=day_files(spark))
+    return ReportTable(f"{folder}/page_users", ("pt", "page", "user_id"), files=day_files(spark), schema=USERS)
 
 
 def page_table(folder: str, files: int | None = None) -> ReportTable:
@@ -161,30 +171,33 @@ def page_stream(
     users, report = user_table(spark, folder), page_table(folder, day_files(spark))
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(_dated(df).withColumnRenamed("day", "pt"), batch_id, users, unique=True)
-        if emit:
-            changed = (
-                read_batches(spark, users)
-                .filter(F.col(BATCH) == batch_id)
-                .select("pt", "page")
-                .distinct()
-            )
-            lists = page_lists(spark, folder, changed)
-            write_batch(
-                reports.page_columns(lists, F.current_timestamp()), batch_id, report
-            )
+        rows = _dated(df).withColumnRenamed("day", "pt").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(rows, batch_id, users, unique=True)
+            if emit:
+                days = [r.pt for r in rows.select("pt").distinct().collect()]
+                lists = page_lists(spark, folder, rows.select("pt", "page").distinct(), days)
+                write_batch(reports.page_columns(lists, F.current_timestamp()), batch_id, report)
+        finally:
+            rows.unpersist()
 
     counts = metrics.page_user_counts(_by_day(logs, keep), DAY)
     return start(counts, name, "update", each_batch, running)
 
 
 def page_lists(
-    spark: SparkSession, folder: str, pages: DataFrame | None = None
+    spark: SparkSession, folder: str, pages: DataFrame | None = None, days: list | None = None
 ) -> DataFrame:
-    """Views and users per page from the stored rows, of all pages or the given ``pt, page``."""
-    present = read_table(spark, user_table(spark, folder))
+    """Views and users per page from the stored rows, of all pages or the given ``pt, page``.
+
+    With ``days`` only the folders of these days are listed and read, and only rows of the given pages
+    are looked through for the newest.
+    """
+    table = user_table(spark, folder)
+    rows = read_days(spark, table, days)
     if pages is not None:
-        present = present.join(pages, ["pt", "page"], "left_semi")
+        rows = rows.join(pages, ["pt", "page"], "left_semi")
+    present = latest_by_key(rows, list(table.keys), F.col(BATCH)).drop(BATCH)
     return metrics.page_user_lists(present.withColumnRenamed("pt", "day"))
 
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from retailtide.operators import handover, kv
-from retailtide.sinks.entries import EntryTable, fold, read_entries, read_present, write_entries
+from retailtide.sinks.entries import EntryTable, fold, get_stored, read_entries, read_present, store_by_key, write_entries
 
 
 def test_feed_has_the_newest_state_wherever_a_chunk_is_read(spark):
@@ -77,3 +77,14 @@ def test_the_newest_of_put_and_delete_wins_in_any_order_of_batches(spark, tmp_pa
     assert read_entries(spark, whole).count() == len(state)
     write_entries(batches[5], 5, part)  # a replay after the fold
     assert {r.row_key: r.info for r in read_present(spark, part).collect()} == state
+
+
+def test_a_read_by_key_opens_one_file(spark, tmp_path):
+    rows = spark.range(3000).select(F.format_string("k%05d", "id").alias("row_key"), F.col("id").cast("string").alias("v"))
+    store_by_key(rows, str(tmp_path / "t"), 12)
+    found = get_stored(spark, str(tmp_path / "t"), "k00042", 12)
+    assert [tuple(r) for r in found.collect()] == [("k00042", "42")]
+    plan = found._jdf.queryExecution().executedPlan()
+    scans = plan.collectLeaves()
+    assert scans.apply(0).metrics().apply("numFiles").value() == 1
+    assert get_stored(spark, str(tmp_path / "t"), "no such key", 12).count() == 0

@@ -467,3 +467,20 @@ def test_stream_records_equal_batch_records(spark, session, tmp_path):
     finish(start(parse.as_json(stream.drop("proc_time")), "orders", "append", to_files(str(out)), once(tmp_path)))
     want = parse.as_json(order_rows(spark.read.text(str(source))).drop("proc_time"))
     assert sorted(r.value for r in spark.read.text(str(out)).collect()) == sorted(r.value for r in want.collect())
+
+
+def test_a_page_tick_lists_only_the_days_it_changes(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    rows = spark.range(40).select(
+        F.date_add(F.lit("2024-03-01").cast("date"), (F.col("id") % 4).cast("int")).alias("pt"),
+        F.lit("home").alias("page"),
+        F.col("id").cast("string").alias("user_id"),
+        F.lit(1).cast("bigint").alias("views"),
+    )
+    from retailtide.sinks.tables import write_batch
+
+    write_batch(rows, 0, logs.user_table(spark, folder), unique=True)
+    days = [datetime(2024, 3, 2).date()]
+    lists = logs.page_lists(spark, folder, rows.filter("pt = '2024-03-02'").select("pt", "page").distinct(), days)
+    assert {f.split("/pt=")[1][:10] for f in lists.inputFiles()} == {"2024-03-02"}
+    assert [(r.pv, r.users, len(r.user_ids)) for r in lists.collect()] == [(10, 10, 10)]

@@ -208,3 +208,27 @@ def test_database_options(spark):
     assert jdbc.split_options("id", 1, 9, 4)["numPartitions"] == "4"
     named = spark.createDataFrame([(1, 2)], "ORDER_ID int, TOTAL_AMOUNT int")
     assert camel_columns(named).columns == ["orderId", "totalAmount"]
+
+
+def test_a_load_reads_its_input_once_and_a_refused_one_changes_nothing(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+    table = ReportTable(str(tmp_path / "t"), ("k",), required=("k",))
+
+    def rows(values):
+        def counted(row):
+            read.add(1)
+            return row
+
+        return spark.createDataFrame(
+            spark.sparkContext.parallelize([(date(2024, 1, 1), k, v) for k, v in values], 2).map(counted),
+            "pt date, k string, v long",
+        )
+
+    good = [(f"k{i}", i) for i in range(30)]
+    write_batch(rows([*good, (None, -1)]), 0, table, F.col("v"))
+    assert read.value == 31
+    before = sorted(tuple(r) for r in read_table(spark, table).select("k", "v").collect())
+    assert before == sorted(good) and tables.read_rejected(spark, table).count() == 1
+    with pytest.raises(LoadRejected, match="5 of 10"):
+        write_batch(rows([("k1", 100)] * 5 + [(None, 0)] * 5), 1, table, F.col("v"))
+    assert sorted(tuple(r) for r in read_table(spark, table).select("k", "v").collect()) == before
