@@ -33,45 +33,62 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
+def _once(value: Column) -> Column:
+    """The value behind a generator, so that it is not worked out anew wherever it is named."""
+    return F.explode(F.array(value))
+
+
 def _merge(turns: Column) -> Column:
-    """Adjacent turns of a role as one struct with its texts, already escaped."""
-    none = F.array().cast("array<struct<role:string,texts:array<string>>>")
-
-    def add(groups: Column, turn: Column) -> Column:
-        last = F.element_at(groups, -1)
-        joined = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        return F.when(F.size(groups) == 0, F.array(fresh)).otherwise(
-            F.when(
-                last["role"] == turn["role"],
-                F.concat(F.slice(groups, 1, F.size(groups) - 1), F.array(joined)),
-            ).otherwise(F.concat(groups, F.array(fresh)))
-        )
+    """Adjacent turns of a role as one struct with its texts, already escaped.
 
-    return F.aggregate(turns, none, add)
+    The places at which a role begins are found first; each group is then one slice.
+    """
+    size = F.size(turns)
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, i - 1)["role"]))
+    ends = F.concat(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.array(size))
+    return F.zip_with(
+        starts,
+        ends,
+        lambda start, end: F.struct(
+            F.get(turns, start)["role"].alias("role"),
+            F.transform(F.slice(turns, start + 1, F.greatest(end - start, F.lit(0))), lambda t: t["text"]).alias("texts"),
+        ),
+    )
 
 
-def _loss_runs(groups: Column) -> Column:
-    """Characters to skip, then to take, for each text under the loss mask."""
-    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<struct<skip:int,take:int>>").alias("runs"))
+def _lengths(groups: Column) -> Column:
+    """Per group: characters before its first text, of all of it, and whether it is under the mask."""
 
-    def add(state: Column, group: Column) -> Column:
+    def measured(group: Column) -> Column:
         head = len(START + TEXT) + F.char_length(group["role"])
-        whole = F.char_length(F.array_join(group["texts"], NEXT))
-        runs = F.transform(
-            group["texts"],
+        whole = head + F.char_length(F.array_join(group["texts"], NEXT)) + len(END)
+        return F.struct(head.alias("head"), whole.alias("whole"), (group["role"] == LOSS_ROLE).alias("loss"))
+
+    return F.transform(groups, measured)
+
+
+def _loss_runs(groups: Column, lengths: Column) -> Column:
+    """Characters to skip, then to take, for each text under the loss mask.
+
+    Between two groups under the mask lie others; each of them is added up once, for the one after it.
+    """
+    places = F.when(F.size(groups) > 0, F.sequence(F.lit(0), F.size(groups) - 1)).otherwise(F.array().cast("array<int>"))
+    masked = F.filter(places, lambda i: F.get(lengths, i)["loss"])
+    before = F.slice(F.concat(F.array(F.lit(-1)), masked), F.lit(1), F.size(masked))
+
+    def runs(at: Column, last: Column) -> Column:
+        between = F.slice(lengths, last + 2, at - last - 1)
+        skipped = F.aggregate(between, F.when(last >= 0, len(END)).otherwise(0), lambda total, n: total + n["whole"])
+        return F.transform(
+            F.get(groups, at)["texts"],
             lambda text, i: F.struct(
-                F.when(i == 0, state["skip"] + head).otherwise(len(NEXT)).alias("skip"),
+                F.when(i == 0, skipped + F.get(lengths, at)["head"]).otherwise(len(NEXT)).alias("skip"),
                 F.char_length(text).alias("take"),
             ),
         )
-        assistant = group["role"] == LOSS_ROLE
-        return F.struct(
-            F.when(assistant, len(END)).otherwise(state["skip"] + head + whole + len(END)).alias("skip"),
-            F.when(assistant, F.concat(state["runs"], runs)).otherwise(state["runs"]).alias("runs"),
-        )
 
-    return F.aggregate(groups, start, add, lambda state: state["runs"])
+    return F.flatten(F.zip_with(masked, before, runs))
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
@@ -88,13 +105,15 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     turns = rows.select(F.col("conv_id").cast("long"), turn.alias("turn")).groupBy("conv_id").agg(
         F.sort_array(F.collect_list("turn")).alias("turns")
     )
-    merged = turns.select("conv_id", _merge(F.col("turns")).alias("groups"))
+    sorted_turns = turns.select("conv_id", _once(F.col("turns")).alias("turns"))
+    groups = sorted_turns.select("conv_id", _once(_merge(F.col("turns"))).alias("groups"))
+    merged = groups.select("*", _once(_lengths(F.col("groups"))).alias("lengths"))
     pieces = F.transform(
         "groups",
         lambda g: F.concat(F.lit(START), g["role"], F.lit(TEXT), F.array_join(g["texts"], NEXT), F.lit(END)),
     )
     return merged.select(
-        "conv_id", F.array_join(pieces, "").alias("formatted"), _loss_runs(F.col("groups")).alias("loss")
+        "conv_id", F.array_join(pieces, "").alias("formatted"), _loss_runs(F.col("groups"), F.col("lengths")).alias("loss")
     )
 
 
@@ -114,13 +133,13 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, loss: Column) -> Column:
     """The texts under the loss mask, unescaped, in order."""
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("texts"))
+    start = F.struct(formatted.alias("rest"), F.array().cast("array<string>").alias("texts"))
 
     def add(state: Column, run: Column) -> Column:
-        begin = state["at"] + run["skip"]
-        taken = unescape(F.substring(formatted, begin, run["take"]))
+        """What is left after a run; each step looks at the run's characters only."""
+        taken = unescape(F.substring(state["rest"], run["skip"] + 1, run["take"]))
         return F.struct(
-            (begin + run["take"]).alias("at"),
+            F.substring(state["rest"], run["skip"] + run["take"] + 1, F.lit(2**31 - 1)).alias("rest"),
             F.concat(state["texts"], F.array(taken)).alias("texts"),
         )
 

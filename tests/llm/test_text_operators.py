@@ -302,3 +302,21 @@ def test_filters_keep_columns_that_are_named_as_theirs(spark):
     benchmark = spark.createDataFrame([(9, text)], "item_id long, text string")
     clean = decontaminate.filter_documents(docs, benchmark)
     assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [3, 4]
+
+
+def test_conversations_of_thousands_of_turns_take_time_in_proportion(spark):
+    import time
+
+    rows = [(1, t, "user", f"turn {t} of one role") for t in range(4000)]
+    rows += [(2, t, "assistant" if t % 3 else "user", f"turn {t}") for t in range(4000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chat_format.digests(chat_format.format_conversations(table.limit(10))).collect()
+    began = time.time()
+    got = {r.conv_id: r for r in chat_format.digests(chat_format.format_conversations(table)).collect()}
+    assert time.time() - began < 20
+    for conv in (1, 2):
+        turns = [r for r in rows if r[0] == conv]
+        text = "".join(f"{r[2]}\n{r[3]}\n" for r in turns)
+        taken = "".join(r[3] for r in turns if r[2] == "assistant")
+        assert got[conv].turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert got[conv].loss_sha256 == hashlib.sha256(taken.encode()).hexdigest()
