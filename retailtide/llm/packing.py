@@ -146,15 +146,44 @@ def _covers(wide: list[int], narrow: list[int]) -> bool:
     return len(wide) >= len(narrow) and all(a >= b for a, b in pairs)
 
 
-def _fillings(lengths: _Lengths, largest: int, capacity: int) -> Iterator[list[int]]:
+def _undominated(lengths: _Lengths, largest: int, capacity: int) -> list[list[int]]:
+    """All sequences with the largest piece left that no other is as good as piece by piece, least waste first.
+
+    They are as many as there are ways to fill the room, so this is for groups of a few pieces.
+    """
+    lengths.take(largest)
+    kinds = [n for n in range(capacity, 0, -1) if lengths.left[n]]
+    made: list[list[int]] = []
+
+    def fill(at: int, room: int, filling: list[int]) -> None:
+        if at == len(kinds):
+            made.append(filling)
+            return
+        length = kinds[at]
+        for copies in range(min(lengths.left[length], room // length), -1, -1):
+            fill(at + 1, room - copies * length, filling + [length] * copies)
+
+    fill(0, capacity - largest, [])
+    lengths.add(largest)
+    kept: list[list[int]] = []
+    for filling in sorted(made, key=sum, reverse=True):
+        if not any(_covers(better, filling) for better in kept):
+            kept.append(filling)
+    return [[largest, *filling] for filling in kept]
+
+
+def _fillings(lengths: _Lengths, largest: int, capacity: int, choices: int | None) -> Iterator[list[int]]:
     """Sequences with the largest piece left, least waste first, made as they are asked for.
 
-    Each filling after the first does without the longest piece that the one before put beside ``largest``,
+    Up to so many ``choices`` are made, or all undominated ones without a number. Each filling after the first does without the longest piece that the one before put beside ``largest``,
     and is left out if that one covers it. All pieces are left as they were whenever a filling is handed out.
     """
+    if choices is None:
+        yield from _undominated(lengths, largest, capacity)
+        return
     before: list[int] | None = None
     skip = 0
-    for _ in range(CHOICES):
+    for _ in range(choices):
         lengths.take(largest)
         filling = _fullest(lengths, capacity - largest, skip)
         lengths.add(largest)
@@ -225,8 +254,10 @@ def _by_count(lengths: list[int], capacity: int) -> list[list[int]]:
     return made
 
 
-def complete_bins(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
-    """Sequences of lengths, as few as the search finds."""
+def complete_bins(
+    lengths: list[int], capacity: int = CAPACITY, nodes: int | None = NODES, choices: int | None = CHOICES
+) -> list[list[int]]:
+    """Sequences of lengths, as few as the search finds; as few as can be with neither ``nodes`` nor ``choices``."""
     incumbent = best_fit_decreasing(lengths, capacity)
     total = sum(lengths)
     bound = -(-total // capacity)
@@ -245,9 +276,9 @@ def complete_bins(lengths: list[int], capacity: int = CAPACITY, nodes: int = NOD
     path: list[list[int]] = []  # sequences of the branch
     options: list[Iterator[list[int]]] = []  # fillings still to try at each of them
     waste = 0
-    while nodes > 0:
+    while nodes is None or nodes > 0:
         if left.bits:
-            options.append(_fillings(left, left.longest(capacity), capacity))
+            options.append(_fillings(left, left.longest(capacity), capacity, choices))
         else:
             if len(path) < len(incumbent):
                 incumbent = [list(s) for s in path]
@@ -267,18 +298,18 @@ def complete_bins(lengths: list[int], capacity: int = CAPACITY, nodes: int = NOD
             left.take(length)
         path.append(filling)
         waste += capacity - sum(filling)
-        nodes -= 1
+        nodes = None if nodes is None else nodes - 1
     return incumbent
 
 
-def _packed(capacity: int):
+def _packed(capacity: int, nodes: int | None, choices: int | None):
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "deal"], kind="stable").reset_index(drop=True)
         lengths = group["length"].to_numpy()
         places: dict[int, int] = dict(zip(*np.unique(lengths, return_index=True)))
         sequence, offset = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
         base = int(group["sequence_id"].iloc[0])
-        for number, filled in enumerate(complete_bins(lengths.tolist(), capacity)):
+        for number, filled in enumerate(complete_bins(lengths.tolist(), capacity, nodes, choices)):
             at = 0
             for length in filled:
                 row = places[length]
@@ -291,22 +322,30 @@ def _packed(capacity: int):
     return pack
 
 
-def _level(rows: DataFrame, groups: int, first: int, capacity: int) -> DataFrame:
+def _level(
+    rows: DataFrame, groups: int, first: int, capacity: int, nodes: int | None, choices: int | None
+) -> DataFrame:
     """Pack rows in so many groups; the sequences of a group are numbered from its own base."""
     group = F.pmod(F.col("deal"), F.lit(groups))
     dealt = rows.withColumn("pack_group", group).withColumn(
         "sequence_id", (F.col("pack_group") + F.lit(first)) * F.lit(1 << 24)
     )
     schema = f"{PIECE}, pack_group long, sequence_id long, offset long, room long"
-    return dealt.groupBy("pack_group").applyInPandas(_packed(capacity), schema)
+    return dealt.groupBy("pack_group").applyInPandas(_packed(capacity, nodes, choices), schema)
 
 
-def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces with ``sequence_id`` and ``offset``; ``made`` is written first, as dealing must not change."""
+def pack(
+    made: DataFrame, capacity: int = CAPACITY, nodes: int | None = NODES, choices: int | None = CHOICES
+) -> DataFrame:
+    """Pieces with ``sequence_id`` and ``offset``; ``made`` is written first, as dealing must not change.
+
+    ``nodes`` and ``choices`` bound the search in a group. Without them (None) a group's sequences are as few
+    as can be; the time for that grows without bound with the group, so it is for a few dozen pieces.
+    """
     made = written(made, "pieces")
     size = made.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count("*").alias("rows")).first()
     groups = max(1, -(-size["tokens"] // GROUP_TOKENS), -(-size["rows"] // GROUP_PIECES))
-    packed = written(_level(made, groups, 0, capacity), "packed")
+    packed = written(_level(made, groups, 0, capacity, nodes, choices), "packed")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     if groups == 1:
         return packed.select(columns)
@@ -315,7 +354,7 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     again = open_rows.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count("*").alias("rows")).first()
     fewer = max(1, -(-again["tokens"] // GROUP_TOKENS), -(-again["rows"] // GROUP_PIECES))
     full = packed.filter(F.col("room") * 8 <= capacity)
-    return full.select(columns).union(_level(loose, fewer, groups, capacity).select(columns))
+    return full.select(columns).union(_level(loose, fewer, groups, capacity, nodes, choices).select(columns))
 
 
 PIECE_COLUMNS = _PIECE_NAMES

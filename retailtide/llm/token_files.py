@@ -99,11 +99,25 @@ def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndar
     return out, counts + 1
 
 
-def write(docs: DataFrame, path: str, spaced: bool = True, end_id: int = END_ID, wide: bool = False) -> DataFrame:
+def ids_of(path: str) -> int:
+    """How many ids a vocabulary file has."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size()
+
+
+def write(
+    docs: DataFrame, path: str, spaced: bool = True, end_id: int = END_ID, wide: bool | None = None
+) -> DataFrame:
     """Encode and write; the manifest, a row per file in the order of the stream.
 
-    ``path`` is the vocabulary file; ``wide`` keeps ids in four bytes, for more than 65,536 of them.
+    ``path`` is the vocabulary file; ``wide`` keeps ids in four bytes, which more than 65,536 of them need.
     """
+    largest = max(ids_of(path) - 1, end_id)
+    if wide is None:
+        wide = largest > 0xFFFF
+    elif not wide and largest > 0xFFFF:
+        raise ValueError(f"ids up to {largest} do not fit two bytes")
     spark = docs.sparkSession
     folder = shared_folder(spark, "tokens")
     width = pa.uint32() if wide else pa.uint16()

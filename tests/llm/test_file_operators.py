@@ -411,3 +411,42 @@ def test_what_a_worker_keeps_is_let_go_by_tasks_of_another_operator(vocabularies
     assert tokens._encoders
     list(texts.slices(batch, "text"))
     assert not tokens._encoders
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_packing_without_bounds_makes_as_few_sequences_as_can_be(spark, seed):
+    rng = random.Random(seed)
+    lengths = [rng.choice([rng.randrange(1, 9), rng.randrange(9, 26)]) for _ in range(18)]
+    whole, size = (1 << len(lengths)) - 1, 40
+    # the fewest sequences for each subset, and the most room left in the last of them
+    best = {0: (0, 0)}
+    for taken in range(whole):
+        if taken in best:
+            for i, length in enumerate(lengths):
+                if not taken >> i & 1:
+                    bins, room = best[taken]
+                    state = (bins, room - length) if room >= length else (bins + 1, size - length)
+                    more = taken | 1 << i
+                    if more not in best or (state[0], -state[1]) < (best[more][0], -best[more][1]):
+                        best[more] = state
+    rows = [(i, 0, 0, n, 0, i) for i, n in enumerate(lengths)]
+    made = ship(spark).createDataFrame(rows, packing.PIECE)
+    packed = packing.pack(made, size, None, None).collect()
+    assert len({r.sequence_id for r in packed}) == best[whole][0]
+    for number in {r.sequence_id for r in packed}:
+        inside = sorted((r.offset, r.length) for r in packed if r.sequence_id == number)
+        assert [o for o, _ in inside] == [sum(n for _, n in inside[:k]) for k in range(len(inside))]
+        assert sum(n for _, n in inside) <= size
+
+
+def test_ids_that_need_four_bytes_get_them(spark, vocabularies, monkeypatch):
+    docs = docs_of(spark, ["one two", "three"])
+    with monkeypatch.context() as m:
+        m.setattr(token_files, "ids_of", lambda _: 70_000)
+        with pytest.raises(ValueError, match="two bytes"):
+            token_files.write(docs, vocabularies[0], wide=False)
+        manifest = token_files.write(docs, vocabularies[0])
+    ids, _ = token_files.sequence(manifest.first()["sequences"], 0)
+    assert ids.dtype == np.uint32
+    small = token_files.write(docs, vocabularies[0])
+    assert token_files.sequence(small.first()["sequences"], 0)[0].dtype == np.uint16
