@@ -161,6 +161,32 @@ def stream_staged_logs(spark, sf_dir):
     return read_table(spark, logs.device_table(folder)).drop("update_time")
 
 
+def stream_log_job(spark, sf_dir):
+    """The log job as a whole: one read of the texts, four reports and the dead letters.
+
+    Per report and day the rows it has counted; dead letters have no day.
+    """
+    session, folder, running = _setting(spark, "stream_log_job")
+    events = table_stream(session, f"{sf_dir}/events.parquet")
+    stamp = F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")
+    rows = derive.log_columns(events, stamp).withColumn("keywords", F.array("log_type"))
+    text = F.to_json(F.struct(*rows.columns))
+    damaged = F.col("log_id").cast("bigint") % 10 == 0
+    texts = rows.select(F.when(damaged, F.concat(F.lit("{"), text)).otherwise(text).alias("value"))
+    ranges, dead = derive.ip_ranges(session, sf_dir), f"{folder}/dead"
+    finish(*logs.log_job(texts, ranges, folder, running, to_files(dead), log_queries.AS_OF))
+    counts = {
+        "device": (logs.device_table(folder), "count"),
+        "region": (logs.region_table(folder), "count"),
+        "search": (logs.word_table(spark, folder), "cnt"),
+        "page": (logs.user_table(spark, folder), "views"),
+    }
+    whole = spark.read.text(dead).select(F.lit("broken").alias("report"), F.lit(None).cast("date").alias("pt"), F.lit(1).alias("n"))
+    for name, (table, counted) in counts.items():
+        whole = whole.unionByName(read_table(spark, table).select(F.lit(name).alias("report"), "pt", F.col(counted).alias("n")))
+    return whole.groupBy("report", "pt").agg(F.sum("n").alias("n"))
+
+
 def stream_region(spark, sf_dir):
     session, folder, running = _setting(spark, "stream_region")
     ranges = derive.ip_ranges(session, sf_dir)
@@ -293,6 +319,7 @@ QUERIES = {
     "stream_device_expiring": stream_device_expiring,
     "stream_pages_timed": stream_pages_timed,
     "stream_staged_logs": stream_staged_logs,
+    "stream_log_job": stream_log_job,
     "stream_region": stream_region,
     "stream_search_top10": stream_search_top10,
     "stream_cdc": stream_cdc,
@@ -316,6 +343,11 @@ SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events
 GROUP BY 1 HAVING CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"""
 
 ORACLE = {
+    "stream_log_job": """
+SELECT report, CAST(ts AS DATE) AS pt, count(*) AS n
+FROM events, (VALUES ('device'), ('region'), ('search'), ('page')) AS reports(report)
+WHERE event_id % 10 <> 0 GROUP BY ALL
+UNION ALL SELECT 'broken', NULL, count(*) FROM events WHERE event_id % 10 = 0""",
     "stream_pages_emitted": log_queries.ORACLE["page_view_users"],
     "stream_search_emitted": """WITH searches AS (
     SELECT CAST(ts AS DATE) AS pt,
