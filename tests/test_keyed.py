@@ -59,3 +59,17 @@ def test_a_key_emits_by_its_timer_once_until_it_is_seen_again(spark, session, tm
     time.sleep(3)
     others, _ = run(spark, session, tmp_path, [("d", "a", "u3")], **timed)
     assert others == [("d", "b", 1, ["u2"], True)]
+
+
+def test_a_key_holds_its_members_as_one_value_and_forgets_each_by_its_own_last_write(spark, session, tmp_path):
+    life = {"count_life": timedelta(hours=1), "member_life": timedelta(seconds=40), "every": None}
+    _, few = run(spark, session, tmp_path, [("d", "a", "u0")], **life)
+    users = [f"u{i}" for i in range(5000)]
+    whole, many = run(spark, session, tmp_path, [("d", "a", u) for u in users], **life)
+    assert whole == [("d", "a", 5001, sorted(users), False)]
+    assert many == few
+    time.sleep(30)
+    run(spark, session, tmp_path, [("d", "a", "u7"), ("d", "a", "é")], **life)
+    time.sleep(12)
+    later, _ = run(spark, session, tmp_path, [("d", "a", None)], **life)
+    assert later == [("d", "a", 5004, ["u7", "é"], False)]
