@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tempfile
 import zlib
 
 import numpy as np
@@ -155,6 +156,20 @@ def test_shards_come_from_the_tokens(spark, monkeypatch):
         assert hot.parents.tolist() == [-(-49 * texts // 400)] * 2
 
 
+def test_language_model_writes_few_bytes_a_token(spark, monkeypatch, tmp_path):
+    """Words go as short codes, whatever the number of shards, and no shuffle outlives its job."""
+    rng = np.random.default_rng(5)
+    drawn = (rng.pareto(0.8, (400, 500)) * 20).astype(np.int64) % 60000
+    docs = spark.createDataFrame([(i, " ".join(f"word{w}" for w in t)) for i, t in enumerate(drawn.tolist())], "doc_id long, text string")
+    monkeypatch.setattr(pitman_yor, "SHARD_TOKENS", 10000)
+    monkeypatch.setattr(tempfile, "tempdir", str(tmp_path))
+    scored = pitman_yor.score(spark, docs.repartition(2))
+    written = sum(f.stat().st_size for f in tmp_path.rglob("*") if f.is_file())
+    assert scored.count() == 400
+    print("bytes a token", written / drawn.size)
+    assert written < 15 * drawn.size
+
+
 def test_predictive_probabilities_sum_to_one():
     """Over the known words and one for all others, after sweeps, in every restaurant."""
     rng = np.random.default_rng(3)
