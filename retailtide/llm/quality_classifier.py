@@ -19,7 +19,7 @@ columns, also such as are named like a result, are left aside.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailtide.llm.texts import Texts, mix, runs, slices
+from retailtide.llm.texts import Texts, give_back, mix, runs, slices
 from retailtide.operators.bounded import broadcast_if_small
 from retailtide.session import shared_folder
 
@@ -193,7 +193,7 @@ def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def descend(
     rows: list[np.ndarray],
-    values: list[np.ndarray],
+    values: Sequence[np.ndarray],
     signs: np.ndarray,
     costs: np.ndarray,
     epochs: int = EPOCHS,
@@ -205,10 +205,11 @@ def descend(
         for i in order.permutation(len(rows)):
             if not len(rows[i]):
                 continue
-            gradient = signs[i] * (weights[rows[i]] @ values[i]) - 1
+            value = values[i]
+            gradient = signs[i] * (weights[rows[i]] @ value) - 1
             new = min(max(alpha[i] - gradient, 0.0), costs[i])
             if new != alpha[i]:
-                weights[rows[i]] += (new - alpha[i]) * signs[i] * values[i]
+                weights[rows[i]] += (new - alpha[i]) * signs[i] * value
                 alpha[i] = new
     return weights
 
@@ -230,6 +231,20 @@ def _curve(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(slope, 0.0)), float(shift)
 
 
+class _Scaled:
+    """The ratios of each row's n-grams, at unit length; made when asked for, as all of them are large."""
+
+    def __init__(self, grams: list[np.ndarray], ratio: np.ndarray):
+        self._grams, self._ratio = grams, ratio
+        self._norms = [max(np.linalg.norm(ratio[g]), 1e-12) for g in grams]
+
+    def __len__(self) -> int:
+        return len(self._grams)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self._ratio[self._grams[i]] / self._norms[i]
+
+
 def fit(counts: np.ndarray, grams: list[np.ndarray], labels: np.ndarray) -> Model:
     """A model from class counts per n-gram (last entry: rows of the class) and the rows to fit on."""
     n0, n1 = counts[:, -1]
@@ -238,13 +253,13 @@ def fit(counts: np.ndarray, grams: list[np.ndarray], labels: np.ndarray) -> Mode
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, float(np.log(share / (1 - share))))
     share = (counts[:, :-1] + 1) / (counts[:, -1:] + 2)
     ratio = np.log(share[1] / share[0])
-    values = [ratio[g] / max(np.linalg.norm(ratio[g]), 1e-12) for g in grams]
     held = np.arange(len(grams)) % 5 == 0
     learn = np.flatnonzero(~held)
     size = np.bincount(labels[learn], minlength=2)
     costs = COST * len(learn) / (2 * np.maximum(size[labels[learn]], 1))
-    weights = descend([grams[i] for i in learn], [values[i] for i in learn], 2.0 * labels[learn] - 1, costs)
-    margins = np.array([weights[grams[i]] @ values[i] for i in np.flatnonzero(held)])
+    rows, others = [grams[i] for i in learn], [grams[i] for i in np.flatnonzero(held)]
+    weights = descend(rows, _Scaled(rows, ratio), 2.0 * labels[learn] - 1, costs)
+    margins = np.array([weights[g] @ v for g, v in zip(others, _Scaled(others, ratio))])
     slope, shift = _curve(margins, labels[held])
     return Model(ratio * weights, ratio**2, slope, shift)
 
@@ -284,6 +299,13 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, training=None
     at = sums.column("bucket").to_numpy()
     counts[0, at], counts[1, at] = sums.column("n0").to_numpy(), sums.column("n1").to_numpy()
     sample = made.filter("label is not null").select("fit", "label", "grams").toArrow().sort_by("fit")
+    model = _fitted(counts, sample)
+    del sums, sample
+    give_back()
+    return model
+
+
+def _fitted(counts: np.ndarray, sample: pa.Table) -> Model:
     grams = [g.values.to_numpy() for g in sample.column("grams")]
     return fit(counts, grams, sample.column("label").to_numpy())
 

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tracemalloc
 import uuid
 import zlib
 
@@ -77,6 +78,18 @@ def test_the_fit_keeps_its_sample():
     assert quality_classifier.FIT_ROWS >= 10_000
 
 
+def test_the_fit_holds_no_second_copy_of_its_sample():
+    rng = np.random.default_rng(4)
+    grams = [np.sort(rng.choice(quality_classifier.BUCKETS, 1000, replace=False)).astype(np.int32) for _ in range(2000)]
+    labels = rng.integers(0, 2, len(grams))
+    counts = rng.integers(1, 500, (2, quality_classifier.BUCKETS + 1))
+    tracemalloc.start()
+    quality_classifier.fit(counts, grams, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(g.nbytes for g in grams)
+
+
 def test_dual_descent_finds_the_separating_line():
     rng = np.random.default_rng(0)
     rows, values, signs = [], [], []

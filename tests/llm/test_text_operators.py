@@ -290,6 +290,22 @@ def test_components_of_random_graphs(spark, seed):
     assert {r.node: r.component for r in found} == {x: root(x) for x in parent if root(x) != x}
 
 
+def test_no_plan_of_a_round_holds_the_edges_more_than_four_times(spark, monkeypatch):
+    """Plans are kept and run by the driver, whose memory does not grow with the executors."""
+    from retailtide.llm import components as module
+
+    leaves, plain = [], module.written
+
+    def noted(df, purpose):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return plain(df, purpose)
+
+    monkeypatch.setattr(module, "written", noted)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    assert module.components(spark, edges).count() == 20
+    assert max(leaves) <= 4
+
+
 def test_filters_keep_columns_that_are_named_as_theirs(spark):
     from pyspark.sql import functions as F
 
