@@ -74,6 +74,34 @@ def test_encoder_forgets_and_learns_again(vocabularies, monkeypatch):
         assert ids.tolist() == whole_ids(vocabularies[1], [text])[0]
 
 
+def test_encoder_looks_a_chunk_up_once_and_makes_no_array_for_each(vocabularies, monkeypatch):
+    class Counted(dict):
+        looks = 0
+
+        def __contains__(self, key):
+            Counted.looks += 1
+            return dict.__contains__(self, key)
+
+        def __getitem__(self, key):
+            Counted.looks += 1
+            return dict.__getitem__(self, key)
+
+        def get(self, key, default=None):
+            Counted.looks += 1
+            return dict.get(self, key, default)
+
+    made, plain = [], np.asarray
+    monkeypatch.setattr(tokens.np, "asarray", lambda *a, **b: made.append(a) or plain(*a, **b))
+    encoder = tokens.Encoder(vocabularies[0], spaced=True)
+    encoder.known = Counted()
+    text = " ".join(f"word{i}" for i in range(500))
+    for _ in range(2):
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == whole_ids(vocabularies[0], [text])[0]
+    assert Counted.looks <= 2 * 500
+    assert len(made) < 100
+
+
 def test_token_files_are_read_back_exactly(spark, vocabularies, monkeypatch):
     path = vocabularies[0]
     docs = docs_of(spark, ODD_TEXTS)
